@@ -7,18 +7,49 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from landquill.llm.common import table
+from landquill.llm.decontaminate import contamination
 from landquill.llm.exact_dedup import exact_groups
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_decontaminate": op4_decontaminate,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_decontaminate": r"""
+        WITH low AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+        d AS (SELECT doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM low),
+        b AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark
+        ),
+        items AS (SELECT item_id, w, least(13, len(w)) AS n FROM b WHERE len(w) > 0),
+        at_item AS (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM items),
+        windows AS (SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS g FROM at_item),
+        widths AS (SELECT DISTINCT n FROM items),
+        at_doc AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, widths WHERE len(w) >= n),
+        grams AS (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS g FROM at_doc),
+        found AS (SELECT doc_id, n, i, item_id FROM grams JOIN windows USING (n, g)),
+        words AS (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM found),
+        hit AS (SELECT doc_id, count(*) AS n_hit FROM words GROUP BY doc_id),
+        named AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+        )
+        SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+    """,
     "op8_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
         g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
