@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from landquill.llm.common import table
 from landquill.llm.decontaminate import contamination
 from landquill.llm.exact_dedup import exact_groups
+from landquill.llm.mixing import mixed
 from landquill.llm.simhash import near_groups
 
 
@@ -17,6 +18,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
@@ -27,6 +32,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontaminate": op4_decontaminate,
+    "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
     "op8_exact_dedup": op8_exact_dedup,
 }
