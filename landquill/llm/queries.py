@@ -10,6 +10,7 @@ from landquill.llm.common import table
 from landquill.llm.decontaminate import contamination
 from landquill.llm.exact_dedup import exact_groups
 from landquill.llm.mixing import mixed
+from landquill.llm.secrets import secret_report
 from landquill.llm.simhash import near_groups
 
 
@@ -30,11 +31,16 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontaminate": op4_decontaminate,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_secrets": op9_secrets,
 }
 
 ORACLE_SQL: dict[str, str] = {
