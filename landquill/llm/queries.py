@@ -12,6 +12,11 @@ from landquill.llm.exact_dedup import exact_groups
 from landquill.llm.mixing import mixed
 from landquill.llm.secrets import secret_report
 from landquill.llm.simhash import near_groups
+from landquill.llm.toxicity import toxicity
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +41,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op4_decontaminate": op4_decontaminate,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
