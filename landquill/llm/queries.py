@@ -10,6 +10,7 @@ from landquill.llm.common import table
 from landquill.llm.decontaminate import contamination
 from landquill.llm.exact_dedup import exact_groups
 from landquill.llm.mixing import mixed
+from landquill.llm.quality import quality
 from landquill.llm.secrets import secret_report
 from landquill.llm.simhash import near_groups
 from landquill.llm.toxicity import toxicity
@@ -32,6 +33,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -45,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontaminate": op4_decontaminate,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
+    "op7_quality": op7_quality,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_secrets": op9_secrets,
 }
