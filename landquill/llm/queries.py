@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from landquill.llm.common import table
 from landquill.llm.decontaminate import contamination
 from landquill.llm.exact_dedup import exact_groups
+from landquill.llm.lm_score import lm_scores
 from landquill.llm.mixing import mixed
 from landquill.llm.quality import quality
 from landquill.llm.secrets import secret_report
@@ -45,6 +46,10 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op4_decontaminate": op4_decontaminate,
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality": op7_quality,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_secrets": op9_secrets,
+    "op10_lm_score": op10_lm_score,
 }
 
 ORACLE_SQL: dict[str, str] = {
