@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from landquill.llm.common import table
 from landquill.llm.decontaminate import contamination
@@ -14,9 +15,16 @@ from landquill.llm.mixing import mixed
 from landquill.llm.quality import quality
 from landquill.llm.secrets import secret_report
 from landquill.llm.simhash import near_groups
+from landquill.llm.span_dedup import span_dedup
 from landquill.llm.toxicity import toxicity
 
 
+def op1_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that lose sentences, with the ids of those that keep them."""
+    found = span_dedup(table(spark, sf_dir, "documents")).filter("n_removed > 0")
+    return found.select("doc_id", "first_ids", "n_sentences", "n_removed", "words_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -51,6 +59,7 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_span_dedup": op1_span_dedup,
     "op2_toxicity": op2_toxicity,
     "op4_decontaminate": op4_decontaminate,
     "op5_mixing": op5_mixing,
