@@ -60,6 +60,20 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         same_row = recipes["doc_id"].eqNullSafe(resolved["doc_id"]) & (recipes["text_sha256"] == resolved["text_sha256"])
         lists = recipes.join(resolved, same_row, "left").select(recipes["doc_id"], recipes["text_sha256"], "_fps", F.coalesce("_variants", F.lit("")).alias("_variants"))
 
-    groups = lists.groupBy("_fps", "_variants").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # Both sides of the join are shuffled for it, so that a group with very
+    # many copies is split like any skewed key.
+    lists = checkpointed(lists)
+    groups = checkpointed(lists.groupBy("_fps", "_variants").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
     out = lists.join(groups, ["_fps", "_variants"])
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay: of equal texts the one with the smallest id.
+
+    Rows that repeat an id and its text stay once.
+    """
+    kept = exact_groups(docs, id_col, text_col).filter("kept").select("doc_id", "text_sha256")
+    once = checkpointed(kept.distinct())
+    out = docs.join(once.select(F.col("doc_id").alias("_kept_id")), F.col(id_col).eqNullSafe(F.col("_kept_id")), "left_semi").select(docs.columns)
+    return out if once.count() == kept.count() else out.dropDuplicates([id_col, text_col])

@@ -205,3 +205,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = points.join(labels, "node", "left").select("fp", F.coalesce("label", "node").alias("component_id"))
     out = fps.join(named, "fp", "left")
     return out.select(F.col("doc_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, most: int = 4) -> DataFrame:
+    """The rows of ``docs`` that stay: of each group the document with the smallest id; rows with a null id stay."""
+    groups = near_groups(docs, id_col, text_col, width, most)
+    gone = groups.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone"))
+    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti").select(docs.columns)
