@@ -16,6 +16,7 @@ from landquill.llm.quality import quality
 from landquill.llm.secrets import secret_report
 from landquill.llm.simhash import near_groups
 from landquill.llm.span_dedup import span_dedup
+from landquill.llm.suffix_dedup import repeated_bytes
 from landquill.llm.toxicity import toxicity
 
 
@@ -29,6 +30,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -61,6 +66,7 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_span_dedup": op1_span_dedup,
     "op2_toxicity": op2_toxicity,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_decontaminate": op4_decontaminate,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
