@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landquill.shared import checkpointed, shared_folder, stored
+
+__all__ = ["checkpointed", "lower_ascii", "remainder", "shared_folder", "stored", "table", "unit"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -21,27 +23,6 @@ def remainder(id_col: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; one below the warehouse where that is unset, as in tests."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage into the cluster's shared folder."""
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """Write a table into the shared folder and read it back."""
-    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def unit(*parts: Column) -> Column:
     """A reproducible uniform number in [0, 1) for the given values."""
     return F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") / F.lit(float(1 << 53))
