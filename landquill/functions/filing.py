@@ -81,7 +81,7 @@ def to_float(s: Column) -> Column:
 
 def url_list(s: Column) -> Column:
     """The non-empty parts between bars, trimmed."""
-    return F.filter(F.transform(F.split(F.coalesce(s, F.lit("")), r"\|"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(s, F.lit("")), r"\|"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def supported_url(url: Column) -> Column:

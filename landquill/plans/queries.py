@@ -5,6 +5,557 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from landquill.functions import address as fa
+from landquill.functions import filing as ff
+from landquill.functions import valuation as fv
+from landquill.functions.mining import address_candidates, candidate_score
+from landquill.operators import filings, geocode, knn, master, ranking, sites
+from landquill.plans.adapters import sql, view
+from landquill.sources.sinks import price_dates
+from landquill.sources.tables import page_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(oracle: str | None = None) -> Callable[[Callable[[SparkSession, str], DataFrame]], Callable[[SparkSession, str], DataFrame]]:
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLE_SQL[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- nearest points and prices -------------------------------------------------
+
+_DIST = "sqrt((q.x - p.x) * (q.x - p.x) + (q.y - p.y) * (q.y - p.y))"
+_NEAREST = f"""
+    SELECT query_id, point_id, price, kind, dist_m FROM (
+        SELECT q.seq AS query_id, p.point_id, p.price, p.kind, {_DIST} AS dist_m, row_number() OVER (PARTITION BY q.seq ORDER BY {_DIST}, p.point_id) AS rank
+        FROM {sql("sites")} q, {sql("points")} p) WHERE rank = 1
+"""
+_KNN = f"""
+    SELECT q.seq AS query_id, p.point_id, p.price, {_DIST} AS dist_m, row_number() OVER (PARTITION BY q.seq ORDER BY {_DIST}, p.point_id) AS rank
+    FROM {sql("sites")} q, {sql("points")} p
+"""
+
+
+def _queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, "sites").select(F.col("seq").alias("query_id"), "x", "y", F.lit("").alias("scope"), "equipment")
+
+
+def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, "points").select("point_id", "x", "y", "price", "kind")
+
+
+def _all_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _points(spark, sf_dir).withColumn("scope", F.lit(""))
+
+
+@query(f"SELECT query_id, point_id, price, round(dist_m, 4) AS dist_m FROM ({_NEAREST})")
+def nearest_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = knn.knn_join(_queries(spark, sf_dir), _all_points(spark, sf_dir), 1)
+    return found.select("query_id", "point_id", "price", F.round("dist_m", 4).alias("dist_m"))
+
+
+@query(f"SELECT query_id, CAST(rank AS INT) AS rank, point_id, price, round(dist_m, 4) AS dist_m FROM ({_KNN}) WHERE rank <= 3")
+def knn_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = knn.knn_join(_queries(spark, sf_dir), _all_points(spark, sf_dir), 3, strategy="grid")
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "point_id", "price", F.round("dist_m", 4).alias("dist_m"))
+
+
+@query(
+    f"""SELECT query_id, CAST(round(sum(w * price) / sum(w)) AS BIGINT) AS unit_price, array_to_string(list(point_id ORDER BY rank), '|') AS knn_ids, round(max(dist_m), 3) AS max_dist,
+        round(var_pop(dist_m), 2) AS variance FROM (SELECT *, 1 / pow(dist_m + 1, 3) AS w FROM ({_KNN}) WHERE rank <= 3) GROUP BY query_id"""
+)
+def idw_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = knn.idw(knn.knn_join(_queries(spark, sf_dir), _all_points(spark, sf_dir), 3))
+    return out.select("query_id", "unit_price", F.array_join("knn_ids", "|").alias("knn_ids"), F.round("max_dist", 3).alias("max_dist"), F.round("variance", 2).alias("variance"))
+
+
+_FAMILY = "CASE WHEN equipment LIKE '%工場%' OR equipment LIKE '%倉庫%' OR equipment LIKE '%物流%' THEN '工業系' WHEN equipment LIKE '%事務所%' OR equipment LIKE '%賃貸%' THEN '商業系' WHEN equipment LIKE '%寮%' THEN '住居系' END"
+_FAMILY_OF = "CASE WHEN p.kind IN ('工業', '準工') THEN '工業系' WHEN p.kind IN ('商業', '近商') THEN '商業系' WHEN p.kind = '1住居' THEN '住居系' END"
+
+
+@query(
+    f"""WITH q AS (SELECT seq AS query_id, x, y, {_FAMILY} AS family FROM {sql("sites")}), d AS (SELECT q.query_id, p.point_id, p.kind, {_DIST} AS dist_m, family IS NOT NULL AND {_FAMILY_OF} = family AS own FROM q, {sql("points")} p),
+        a AS (SELECT query_id, min(struct_pack(d := dist_m, i := point_id, k := kind)) AS m FROM d GROUP BY query_id), o AS (SELECT query_id, min(struct_pack(d := dist_m, i := point_id, k := kind)) AS m FROM d WHERE own GROUP BY query_id),
+        r AS (SELECT a.query_id, CASE WHEN o.m IS NULL OR o.m.d > 1500 THEN a.m ELSE o.m END AS m FROM a LEFT JOIN o USING (query_id))
+        SELECT query_id, m.i AS point_id, m.k AS kind, round(m.d, 4) AS dist_m FROM r"""
+)
+def scoped_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    queries = _queries(spark, sf_dir).withColumn("family", fv.equipment_family(F.col("equipment"))).drop("scope")
+    found = knn.nearest_with_fallback(queries, knn.with_scopes(_points(spark, sf_dir)))
+    return found.select("query_id", "point_id", "kind", F.round("dist_m", 4).alias("dist_m"))
+
+
+@query(
+    f"""WITH a AS (SELECT * FROM {sql("points")}), b AS (SELECT * FROM {sql("second_points")}) SELECT point_id, price, 1 AS survey FROM a
+        UNION ALL SELECT point_id, price, 2 FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.x = b.x AND a.y = b.y)"""
+)
+def survey_conflation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, second = _points(spark, sf_dir), view(spark, sf_dir, "second_points")
+    return knn.conflate(first, second, "x", "y", 0).select("point_id", "price", "survey")
+
+
+@query(
+    f"""WITH a AS (SELECT * FROM {sql("points")}), b AS (SELECT * FROM {sql("second_points")}), n AS (SELECT (SELECT count(*) FROM a) AS f, (SELECT count(*) FROM b) AS s, (SELECT count(*) FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.x = b.x AND a.y = b.y)) AS d)
+        SELECT f AS first, s AS second, d AS added, s - d AS skipped, f + d AS total FROM n"""
+)
+def conflation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, second = _points(spark, sf_dir), view(spark, sf_dir, "second_points")
+    return knn.conflation_counts(first, second, knn.conflate(first, second, "x", "y", 0))
+
+
+@query(f"SELECT pos, CASE WHEN n = 1 THEN base_id ELSE base_id || '#' || n END AS point_id FROM (SELECT pos, base_id, row_number() OVER (PARTITION BY base_id ORDER BY pos) AS n FROM {sql('points')})")
+def unique_point_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.unique_ids(view(spark, sf_dir, "points").drop("point_id"), "base_id", "pos").select("pos", "point_id")
+
+
+@query(f"SELECT l_orderkey, l_linenumber, l_partkey, coalesce(kind, '') AS kind FROM lineitem LEFT JOIN {sql('points')} p ON p.point_id = '13-' || (l_partkey * 2)")
+def point_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.concat(F.lit("13-"), (F.col("l_partkey") * 2).cast("string")).alias("point_id"))
+    return knn.point_attribute(ids, _points(spark, sf_dir)).select("l_orderkey", "l_linenumber", "l_partkey", "kind")
+
+
+# --- valuation, totals, ranking ------------------------------------------------
+
+_VALUED = f"""
+    SELECT s.code, s.seq, s.area, s.book, v.price, f, round_even(v.price * f, 0) AS unit, v.price * f * s.area AS est_raw, round_even(round_even(v.price * f, 0) * s.area, 0) AS est
+    FROM (SELECT *, CASE level WHEN 'gaiku' THEN 1.0 WHEN 'oaza_chome' THEN 0.95 WHEN 'muni_centroid' THEN 0.85 ELSE 1.0 END::DOUBLE AS f FROM {sql("sites")}) s JOIN ({_NEAREST}) v ON v.query_id = s.seq
+"""
+_TOTALS = f"""
+    SELECT code, company_name, market_cap, coalesce(n, 0) AS n_sites, coalesce(e, 0) AS est, coalesce(b, 0) AS book, coalesce(e, 0) - coalesce(b, 0) AS gain, CASE WHEN braw <> 0 THEN eraw / braw END AS multiple, CASE WHEN market_cap <> 0 THEN (coalesce(eraw, 0) - coalesce(braw, 0)) / market_cap END AS cap_ratio
+    FROM {sql("companies")} LEFT JOIN (SELECT code, count(*) AS n, CAST(sum(est) AS BIGINT) AS e, CAST(sum(round_even(book, 0)) AS BIGINT) AS b, sum(est_raw) AS eraw, sum(book) AS braw FROM ({_VALUED}) GROUP BY code) USING (code)
+"""
+
+
+def _valued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = knn.knn_join(_queries(spark, sf_dir), _all_points(spark, sf_dir), 1).select("query_id", "price")
+    joined = view(spark, sf_dir, "sites").join(found, F.col("seq") == F.col("query_id"))
+    factor = fv.level_factor(F.col("level"))
+    value = fv.valuation(F.col("price"), factor, F.col("area"), F.col("book"), F.lit(1.0))
+    return joined.select("code", "seq", "site_name", "area", "book", "level", "has_hoka", value["unit_price"].alias("unit_price"), value["est"].alias("est"), value["gain"].alias("gain"), value["multiple"].alias("multiple"), (F.col("price") * factor * F.col("area")).alias("est_raw"))
+
+
+@query(f"SELECT code, seq, CAST(unit AS BIGINT) AS unit_price, CAST(est AS BIGINT) AS est, CAST(est - round_even(book, 0) AS BIGINT) AS gain, CASE WHEN book <> 0 THEN round(est_raw / book, 6) END AS multiple FROM ({_VALUED})")
+def site_valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _valued(spark, sf_dir).select("code", "seq", "unit_price", "est", "gain", F.round("multiple", 6).alias("multiple"))
+
+
+def _totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sites.company_totals(view(spark, sf_dir, "companies").select("code", "company_name", "market_cap"), _valued(spark, sf_dir))
+
+
+@query(f"SELECT code, n_sites, est, book, gain, round(multiple, 6) AS multiple, round(cap_ratio, 8) AS cap_ratio FROM ({_TOTALS})")
+def company_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _totals(spark, sf_dir).select("code", "n_sites", "est", "book", "gain", F.round("multiple", 6).alias("multiple"), F.round("cap_ratio", 8).alias("cap_ratio"))
+
+
+@query(f"SELECT CAST(row_number() OVER (ORDER BY cap_ratio DESC, code) AS INT) AS rank, code, est, gain, round(cap_ratio, 8) AS ratio FROM ({_TOTALS}) WHERE cap_ratio IS NOT NULL")
+def gain_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest price of each site, valuation, company totals, ranking by gain over market value."""
+    rows = _totals(spark, sf_dir).withColumn("ratio", F.col("cap_ratio"))
+    return ranking.ranked(rows).select("rank", "code", "est", "gain", F.round("ratio", 8).alias("ratio"))
+
+
+@query(f"SELECT code, CAST(cap_ratio >= 0.5 AS BOOLEAN) AS good, round(cap_ratio, 8) AS ratio FROM ({_TOTALS}) WHERE cap_ratio IS NOT NULL ORDER BY cap_ratio DESC, code LIMIT 20")
+def top_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ranking.top(_totals(spark, sf_dir).withColumn("ratio", F.col("cap_ratio")), 20)
+    return rows.select("code", fv.good_metric(F.col("ratio")).alias("good"), F.round("ratio", 8).alias("ratio"))
+
+
+@query("SELECT CAST(o_custkey AS VARCHAR) AS code, o_orderkey AS site, CAST(grouping(o_orderkey) AS TINYINT) AS is_total, sum(CAST(o_totalprice * 100 AS BIGINT)) AS est, sum(CAST(o_orderkey AS BIGINT)) AS book FROM orders GROUP BY GROUPING SETS ((o_custkey, o_orderkey), (o_custkey))")
+def sites_and_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("code"), F.col("o_orderkey").alias("site"), F.round(F.col("o_totalprice") * 100).cast("long").alias("est"), F.col("o_orderkey").alias("book"))
+    return sites.sites_and_totals(rows)
+
+
+_SCORE = "greatest(0, least(1, 1 - (0.7 * least(max_dist / 5000, 1) + 0.3 * least(variance / 1e6, 1))))"
+_SPREAD = f"SELECT query_id, max(dist_m) AS max_dist, var_pop(dist_m) AS variance FROM ({_KNN}) WHERE rank <= 3 GROUP BY query_id"
+
+
+@query(f"SELECT query_id, round(s, 6) AS score, CASE WHEN s >= 0.67 THEN 'high' WHEN s >= 0.34 THEN 'medium' ELSE 'low' END AS label FROM (SELECT query_id, {_SCORE} AS s FROM ({_SPREAD}))")
+def price_uncertainty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = knn.idw(knn.knn_join(_queries(spark, sf_dir), _all_points(spark, sf_dir), 3)).withColumn("s", fv.uncertainty(F.col("max_dist"), F.col("variance")))
+    return out.select("query_id", F.round("s", 6).alias("score"), fv.confidence_label(F.col("s")).alias("label"))
+
+
+@query(
+    f"""SELECT seq, concat_ws(' | ', CASE WHEN has_hoka THEN 'multi_location' END, CASE WHEN level = 'muni_centroid' THEN 'muni_centroid' END, CASE WHEN level = 'oaza_chome' THEN 'oaza_chome' END, CASE WHEN max_dist >= 10000 THEN 'far_points' END,
+        CASE WHEN {_SCORE} < 0.34 AND area >= 5000 THEN 'low_confidence_large' END) AS warnings FROM {sql("sites")} JOIN ({_SPREAD}) ON query_id = seq"""
+)
+def anomaly_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spread = knn.idw(knn.knn_join(_queries(spark, sf_dir), _all_points(spark, sf_dir), 3))
+    rows = view(spark, sf_dir, "sites").join(spread, F.col("seq") == F.col("query_id"))
+    label = fv.confidence_label(fv.uncertainty(F.col("max_dist"), F.col("variance")))
+    return rows.select("seq", F.array_join(fv.warnings(F.col("has_hoka"), F.col("level"), F.col("max_dist"), label, F.col("area"), F.lit(None).cast("double")), " | ").alias("warnings"))
+
+
+@query(f"SELECT seq, coalesce(count(*) OVER w >= 2 AND sum(round(area, 2)) OVER w >= 12000, false) AS repeated_large FROM {sql('sites')} WINDOW w AS (PARTITION BY code, site_name)")
+def repeated_address(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = view(spark, sf_dir, "sites").withColumn("address", F.col("site_name"))
+    return sites.repeated_address_warning(rows, 12_000.0).select("seq", "repeated_large")
+
+
+@query(
+    f"SELECT seq, contains(site_name, '本社他') OR starts_with(site_name, '本社・') OR ends_with(site_name, '他') OR ends_with(site_name, '等') AS aggregate, regexp_matches(site_name, '他|ほか|及び|等|外') AS multi, {_FAMILY} AS family FROM {sql('sites')}"
+)
+def site_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, "sites").select("seq", fv.is_aggregate(F.col("site_name")).alias("aggregate"), fv.is_multi_location(F.col("site_name")).alias("multi"), fv.equipment_family(F.col("equipment")).alias("family"))
+
+
+@query("SELECT l_orderkey AS code, max(l_extendedprice) AS ratio, string_agg(DISTINCT l_returnflag, ' / ' ORDER BY l_returnflag) AS tags, count(DISTINCT l_returnflag) AS tag_count FROM lineitem GROUP BY 1")
+def ranking_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("code"), F.lit(0).alias("is_total"), F.col("l_extendedprice").alias("ratio"), F.concat("l_returnflag", F.col("l_linenumber").cast("string")).alias("seq"), F.col("l_returnflag").alias("tag"))
+    best = ranking.representative_rows(rows).select("code", "ratio")
+    tags = rows.groupBy("code").agg(ranking.ordered_distinct("tag").alias("tags"), ranking.count_filled("tag").alias("tag_count"))
+    return best.join(tags, "code")
+
+
+@query(
+    f"""SELECT r.code, r.company_name, n_orders, status FROM (SELECT code, trim(company_name) AS company_name FROM {sql("companies")}) r LEFT JOIN (SELECT CAST(o_custkey AS VARCHAR) AS code, count(*) AS n_orders, max(o_orderstatus) AS status FROM orders GROUP BY 1) m USING (code)
+        WHERE EXISTS (SELECT 1 FROM events WHERE CAST(user_id AS VARCHAR) = r.code AND event_type = 'purchase')"""
+)
+def screened_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = view(spark, sf_dir, "companies").select("code", F.trim("company_name").alias("company_name"))
+    metrics = _table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").cast("string").alias("code")).agg(F.count(F.lit(1)).alias("n_orders"), F.max("o_orderstatus").alias("status"))
+    allowed = _table(spark, sf_dir, "events").filter("event_type = 'purchase'").select(F.col("user_id").cast("string").alias("code"))
+    out = ranking.screened(ranking.with_metrics(rows, metrics, ["n_orders", "status"]), allowed)
+    return out.select("code", "company_name", "metrics.n_orders", "metrics.status")
+
+
+# --- companies -------------------------------------------------------------------
+
+_GOOD = lambda name: f"CASE WHEN regexp_replace(coalesce({name}, ''), '\\s+', '', 'g') NOT IN ('', code) THEN trim({name}) END"
+
+
+@query(f"SELECT code, coalesce({_GOOD('company_name')}, {_GOOD('m')}) AS company_name FROM {sql('companies')} LEFT JOIN (SELECT CAST(s_suppkey AS VARCHAR) AS code, s_name AS m FROM supplier) USING (code)")
+def company_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stock = _table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("code"), F.col("s_name").alias("company_name"))
+    return master.resolve_names(view(spark, sf_dir, "companies"), stock).select("code", "company_name")
+
+
+_ASOF = "TIMESTAMP '2024-01-20 00:00:00'"
+_LAST = f"SELECT code, max(date) AS date, arg_max(close, (date, close)) AS close FROM {sql('prices')} WHERE date <= (SELECT max(ts) FROM events) GROUP BY code HAVING max(date) >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY"
+
+
+def _asof(spark: SparkSession, sf_dir: str) -> F.Column:
+    return F.lit(_table(spark, sf_dir, "events").agg(F.max("ts")).first()[0])
+
+
+@query(f"SELECT code, date, close FROM ({_LAST})")
+def latest_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return master.latest_price(view(spark, sf_dir, "prices"), _asof(spark, sf_dir))
+
+
+@query(f"SELECT c.code, coalesce(c.market_cap, CAST(trunc(c.shares * l.close) AS BIGINT)) AS market_cap FROM (SELECT code, market_cap, CAST(code AS BIGINT) % 50 * 1000 + 1000 AS shares FROM {sql('companies')}) c LEFT JOIN ({_LAST}) l USING (code)")
+def market_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    targets = view(spark, sf_dir, "companies").select("code", "market_cap", (F.col("code").cast("long") % 50 * 1000 + 1000).alias("shares"))
+    return master.market_caps(targets, view(spark, sf_dir, "prices"), _asof(spark, sf_dir)).select("code", "market_cap")
+
+
+@query("SELECT o_custkey, o_orderkey, o_orderdate, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders) WHERE n = 1")
+def latest_filing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus")
+    return master.latest_per(rows, "o_custkey", "o_orderdate", "o_orderkey")
+
+
+@query(
+    f"""SELECT code, coalesce(n, o, '') AS company_name, CASE WHEN fresh THEN 2 ELSE 1 END AS updated_at FROM (SELECT code, company_name AS o FROM {sql("companies")} WHERE CAST(code AS BIGINT) % 3 > 0)
+        FULL JOIN (SELECT CAST(s_suppkey AS VARCHAR) AS code, nullif(trim(CASE WHEN s_suppkey % 4 = 0 THEN ' ' ELSE s_name END), '') AS n, true AS fresh FROM supplier) USING (code)"""
+)
+def master_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = view(spark, sf_dir, "companies").filter(F.col("code").cast("long") % 3 > 0).select("code", "company_name", F.lit(1).alias("updated_at"))
+    new = _table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("code"), F.when(F.col("s_suppkey") % 4 == 0, " ").otherwise(F.col("s_name")).alias("company_name"))
+    return master.upsert_names(old, new, F.lit(2))
+
+
+@query(f"SELECT code, CASE WHEN regexp_replace(coalesce(company_name, ''), '\\s+', '', 'g') IN ('', code) THEN 'missing name' WHEN market_cap IS NULL THEN 'missing market value' ELSE 'accepted' END AS outcome FROM {sql('companies')}")
+def target_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, bad = master.split_rejects(view(spark, sf_dir, "companies"), [("missing name", master.is_placeholder(F.col("company_name"), F.col("code"))), ("missing market value", F.col("market_cap").isNull())])
+    return good.select("code", F.lit("accepted").alias("outcome")).unionByName(bad.select("code", F.col("reject_reason").alias("outcome")))
+
+
+@query("SELECT trim(event_type) AS code, min(event_id) AS seq FROM events WHERE trim(event_type) <> '' GROUP BY 1")
+def distinct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "events").select(F.concat(F.lit("  "), "event_type", F.lit(" ")).alias("code"), F.col("event_id").alias("seq"))
+    return master.distinct_codes(rows)
+
+
+_SIGN = "md5(CAST(o_orderstatus AS VARCHAR) || o_totalprice::BIGINT)"
+
+
+@query(
+    f"""WITH o AS (SELECT o_orderkey AS code, CAST(o_totalprice AS BIGINT) AS s FROM orders WHERE o_orderkey % 10 > 0), n AS (SELECT o_orderkey AS code, CASE WHEN o_orderkey % 7 = 0 THEN -1 ELSE CAST(o_totalprice AS BIGINT) END AS s FROM orders WHERE o_orderkey % 9 > 0)
+        SELECT code, CASE WHEN o.s IS NULL THEN 'added' WHEN n.s IS NULL THEN 'deleted' ELSE 'changed' END AS change FROM o FULL JOIN n USING (code) WHERE o.s IS DISTINCT FROM n.s"""
+)
+def changed_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("code"), F.round("o_totalprice").cast("long").alias("signature"))
+    return master.changed_keys(rows.filter("code % 10 > 0"), rows.withColumn("signature", F.when(F.col("code") % 7 == 0, -1).otherwise(F.col("signature"))).filter("code % 9 > 0"))
+
+
+@query("SELECT o_orderkey AS code FROM orders WHERE NOT (o_orderkey % 7 <> 0 AND o_orderkey % 4 <> 0 AND o_orderkey % 5 <> 0)")
+def unchanged_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("code"), F.md5(F.col("o_orderkey").cast("string")).alias("signature"))
+    old = rows.filter("code % 7 <> 0").withColumn("signature", F.when(F.col("code") % 4 == 0, "stale").otherwise(F.col("signature")))
+    return master.to_process(rows, old, rows.select("code", (F.col("code") % 5 != 0).alias("valid"))).select("code")
+
+
+@query("SELECT o_orderkey AS doc_id, CASE WHEN o_orderkey % 6 = 0 OR o_orderkey % 8 = 0 THEN 'fresh' ELSE 'kept' END AS state FROM orders")
+def extraction_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    filings_ = _table(spark, sf_dir, "orders").select(F.lit(2).alias("version"), F.col("o_orderkey").alias("doc_id"), F.col("o_custkey").alias("size"), F.col("o_orderdate").alias("modified"))
+    old = filings_.filter("doc_id % 6 <> 0").withColumn("size", F.when(F.col("doc_id") % 8 == 0, F.col("size") + 1).otherwise(F.col("size")))
+    fresh, kept = master.reuse_extractions(filings_, old, ["version", "doc_id", "size", "modified"])
+    return fresh.select("doc_id", F.lit("fresh").alias("state")).unionByName(kept.select("doc_id", F.lit("kept").alias("state")))
+
+
+@query("SELECT c_custkey, md5('{\"c_mktsegment\":\"' || c_mktsegment || '\",\"c_name\":\"' || c_name || '\"}') AS signature FROM customer")
+def signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "customer").select("c_custkey", master.signature("c_name", "c_mktsegment").alias("signature"))
+
+
+_PATCH = f"SELECT code, site_name, CASE WHEN CAST(code AS BIGINT) % 5 = 0 THEN '' WHEN CAST(code AS BIGINT) % 3 = 0 THEN address ELSE address || '号' END AS p FROM {sql('overrides')} WHERE CAST(code AS BIGINT) % 2 = 0"
+_OLD = f"SELECT code, site_name, address FROM {sql('overrides')} WHERE CAST(code AS BIGINT) % 4 > 0"
+
+
+def _patches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    rows, code = view(spark, sf_dir, "overrides"), F.col("code").cast("long")
+    patches = rows.filter(code % 2 == 0).withColumn("address", F.when(code % 5 == 0, "").when(code % 3 == 0, F.col("address")).otherwise(F.concat("address", F.lit("号"))))
+    return master.merge_patches(rows.filter(code % 4 > 0), patches)
+
+
+@query(f"SELECT code, site_name, coalesce(nullif(p, ''), address) AS address FROM ({_OLD}) FULL JOIN (SELECT * FROM ({_PATCH}) WHERE p <> '') USING (code, site_name)")
+def patched_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _patches(spark, sf_dir)[0]
+
+
+@query(f"SELECT code, site_name, CASE WHEN p = '' THEN 'error' WHEN address IS NULL THEN 'added' WHEN address = p THEN 'unchanged' ELSE 'updated' END AS effect FROM ({_PATCH}) LEFT JOIN ({_OLD}) USING (code, site_name)")
+def patch_effects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _patches(spark, sf_dir)[1]
+
+
+@query("SELECT event_type AS status, CASE WHEN value > 50 THEN 'large' ELSE '' END AS reason, count(*) AS n FROM events GROUP BY 1, 2")
+def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return master.run_counts(_table(spark, sf_dir, "events").select(F.col("event_type").alias("status"), F.when(F.col("value") > 50, "large").alias("reason")))
+
+
+@query(f"SELECT code FROM {sql('companies')} WHERE code NOT IN (SELECT CAST(user_id AS VARCHAR) FROM events)")
+def not_researched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    memos = _table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("code"))
+    return master.without_memo(view(spark, sf_dir, "companies"), memos).select("code")
+
+
+@query(f"SELECT seq AS rank, level AS tags FROM {sql('sites')} WHERE level IN ('muni_centroid', 'oaza_chome') ORDER BY seq LIMIT 25")
+def coarse_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return master.low_resolution(view(spark, sf_dir, "sites").select(F.col("seq").alias("rank"), F.col("level").alias("tags")), 25)
+
+
+@query(f"SELECT code, bool_and(level = 'gaiku') AS all_gaiku, bool_or(risk) AS has_risk, string_agg(seq || ':' || risk, ',' ORDER BY seq) AS flags FROM (SELECT *, ends_with(site_name, '他') OR area >= 9000 AND seq % 2 = 0 AS risk FROM {sql('sites')}) GROUP BY code")
+def risk_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ward = F.when(F.col("seq") % 2 == 0, "港区").otherwise("府中市")
+    rows = view(spark, sf_dir, "sites").withColumn("risk", fv.high_value_risk(F.col("site_name"), ward, F.col("area") + 1000.0))
+    out = master.risk_summary(rows)
+    return out.select("code", "all_gaiku", "has_risk", F.array_join(F.transform("flags", lambda x: F.concat_ws(":", x["seq"].cast("string"), x["risk"].cast("string"))), ",").alias("flags"))
+
+
+@query("SELECT CAST(max(ts) AS TIMESTAMP) AS price_date, DATE '2024-02-01' AS target_price_date FROM events")
+def price_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return price_dates(view(spark, sf_dir, "prices"), "2024-02-01")
+
+
+# --- sites, overrides, splits ------------------------------------------------------
+
+_MERGED = f"SELECT code, site_name, min(seq) AS seq, sum(book) AS total FROM {sql('sites')} GROUP BY 1, 2"
+
+
+@query(
+    f"""WITH s AS (SELECT p.code, p.site_name AS parent, p.pos, p.name AS site_name, p.area, p.book, m.seq, m.total - coalesce(sum(p.book) OVER w, 0) AS remainder, sum(CASE WHEN p.book IS NULL THEN p.area END) OVER w AS open_area
+            FROM {sql("splits")} p JOIN ({_MERGED}) m ON p.code = m.code AND p.site_name = m.site_name WINDOW w AS (PARTITION BY p.code, p.site_name))
+        SELECT code, site_name, pos, round(area, 4) AS area, round(book, 4) AS book, NULL AS reject_reason FROM (SELECT code, site_name, 0 AS pos, area, book FROM {sql("sites")} x WHERE NOT EXISTS (SELECT 1 FROM {sql("splits")} p WHERE p.code = x.code AND p.site_name = x.site_name))
+        UNION ALL SELECT code, site_name, pos, round(area, 4), round(coalesce(book, CASE WHEN coalesce(open_area, 0) > 0 THEN remainder * area / open_area ELSE 0 END), 4), CASE WHEN open_area IS NOT NULL AND remainder < 0 THEN 'split book values exceed the total' END FROM s"""
+)
+def split_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = view(spark, sf_dir, "sites").select("code", "site_name", "seq", "area", "book", "equipment", "has_hoka")
+    out = sites.expand_splits(rows, view(spark, sf_dir, "splits"))
+    return out.select("code", "site_name", "pos", F.round("area", 4).alias("area"), F.round("book", 4).alias("book"), "reject_reason")
+
+
+@query(f"SELECT code, site_name, arg_max(address, pos) AS address FROM (SELECT code, site_name, address, -1 AS pos FROM {sql('overrides')} o WHERE NOT EXISTS (SELECT 1 FROM {sql('splits')} p WHERE p.code = o.code AND p.site_name = o.site_name) UNION ALL SELECT code, name, address, pos FROM {sql('splits')}) GROUP BY 1, 2")
+def flat_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sites.flat_overrides(view(spark, sf_dir, "overrides"), view(spark, sf_dir, "splits"))
+
+
+@query(f"SELECT s.seq, coalesce(o.address, '東京都' || s.level) AS address, CASE WHEN o.address IS NULL THEN 'securities_report' ELSE 'override' END AS address_source, p.unit_price AS override_price FROM {sql('sites')} s LEFT JOIN {sql('overrides')} o USING (code, site_name) LEFT JOIN {sql('price_overrides')} p USING (code, site_name)")
+def site_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = view(spark, sf_dir, "sites").withColumn("location", F.concat(F.lit("東京都"), "level"))
+    rows = sites.price_overridden(sites.with_address(rows, view(spark, sf_dir, "overrides")), view(spark, sf_dir, "price_overrides"))
+    return rows.select("seq", "address", "address_source", "override_price")
+
+
+# --- addresses ---------------------------------------------------------------------
+
+_DIGIT = lambda c: f"(strpos('〇一二三四五六七八九', replace({c}, '零', '〇')) - 1)"
+_TENS = lambda t: f"((CASE WHEN split_part({t}, '十', 1) = '' THEN 1 ELSE {_DIGIT('split_part(' + t + ", '十', 1)")} END) * 10 + (CASE WHEN split_part({t}, '十', 2) = '' THEN 0 ELSE {_DIGIT('split_part(' + t + ", '十', 2)")} END))"
+_NUMBER = f"(CASE WHEN regexp_matches(t, '^[零〇一二三四五六七八九]$') THEN {_DIGIT('t')}::VARCHAR WHEN regexp_matches(t, '^[零〇一二三四五六七八九]?十[零〇一二三四五六七八九]?$') THEN {_TENS('t')}::VARCHAR ELSE t END)"
+
+
+def _norm_sql(rows: str, col: str, key: str) -> str:
+    """key, a: normalised text of a column, numerals replaced piece by piece."""
+    half = f"replace(replace(translate(regexp_replace({col}, '^[\\s　]+|[\\s　]+$', '', 'g'), '０１２３４５６７８９－ー―−', '0123456789----'), '〒', ''), '　', '')"
+    return f"""(SELECT {key}, string_agg(CASE WHEN u = '' THEN piece ELSE {_NUMBER} || u END, '' ORDER BY i) AS a FROM (
+        SELECT {key}, i, piece, regexp_extract(piece, '^([零〇一二三四五六七八九十]+)(丁目|番|号)$', 1) AS t, regexp_extract(piece, '^([零〇一二三四五六七八九十]+)(丁目|番|号)$', 2) AS u
+        FROM (SELECT {key}, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS i FROM (SELECT {key}, regexp_extract_all({half}, '[零〇一二三四五六七八九十]+(?:丁目|番|号)|[零〇一二三四五六七八九十]+|[^零〇一二三四五六七八九十]+') AS pieces FROM {rows}))) GROUP BY {key})"""
+
+
+_PARSED = f"""(SELECT seq, a, CASE WHEN regexp_matches(a, '^東京都(.+?(?:区|市|町|村))(.*)$') THEN regexp_extract(a, '^東京都(.+?(?:区|市|町|村))(.*)$', 1) END AS muni,
+    CASE WHEN regexp_matches(a, '^東京都(.+?(?:区|市|町|村))(.*)$') THEN regexp_extract(a, '^東京都(.+?(?:区|市|町|村))(.*)$', 2) ELSE a END AS rest FROM {_norm_sql(sql("addresses"), "address", "seq")})"""
+_CHOME, _HYPHEN, _BLOCK = "'(.+?)([0-9]+)丁目(.*)$'", "'(.+?)([0-9]+)-([0-9]+)(?:-[0-9]+)?.*$'", "'(.+?)([0-9]+)(?:番地?|号).*$'"
+_ALONE = "'^(?:[^0-9,，、]+|.+(?:町|丁目))$'"
+_TOWN = f"""(SELECT seq, a, muni, CASE WHEN regexp_matches(rest, {_CHOME}) THEN regexp_extract(rest, {_CHOME}, 1) WHEN regexp_matches(rest, {_HYPHEN}) THEN regexp_extract(rest, {_HYPHEN}, 1) WHEN regexp_matches(rest, {_BLOCK}) THEN regexp_extract(rest, {_BLOCK}, 1)
+        WHEN rest <> '' AND regexp_matches(rest, {_ALONE}) THEN rest END AS town,
+    CASE WHEN regexp_matches(rest, {_CHOME}) THEN regexp_extract(rest, {_CHOME}, 2)::INT WHEN regexp_matches(rest, {_HYPHEN}) THEN regexp_extract(rest, {_HYPHEN}, 2)::INT END AS chome,
+    CASE WHEN regexp_matches(rest, {_CHOME}) THEN TRY_CAST(nullif(regexp_extract(regexp_extract(rest, {_CHOME}, 3), '([0-9]{{1,4}})', 1), '') AS INT) WHEN regexp_matches(rest, {_HYPHEN}) THEN regexp_extract(rest, {_HYPHEN}, 3)::INT WHEN regexp_matches(rest, {_BLOCK}) THEN regexp_extract(rest, {_BLOCK}, 2)::INT END AS block
+    FROM {_PARSED})"""
+
+
+@query(f"SELECT seq, a AS address, muni, town, chome, block FROM {_TOWN}")
+def address_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = view(spark, sf_dir, "addresses").select("seq", "address", fa.split_municipality(F.col("address"))["muni"].alias("muni"), fa.parse_town(F.col("address")).alias("t"))
+    return rows.select("seq", fa.normalize_addr(F.col("address")).alias("address"), "muni", "t.town", "t.chome", "t.block")
+
+
+_KANJI = "CASE WHEN {n} > 99 THEN NULL ELSE (CASE WHEN {n} // 10 = 0 THEN '' WHEN {n} // 10 = 1 THEN '十' ELSE substr('零一二三四五六七八九', CAST({n} // 10 AS INT) + 1, 1) || '十' END) || (CASE WHEN {n} % 10 = 0 AND {n} >= 10 THEN '' ELSE substr('零一二三四五六七八九', CAST({n} % 10 AS INT) + 1, 1) END) END"
+
+
+@query(f"SELECT p_partkey, {_KANJI.format(n='(p_partkey % 110)')} AS numeral, CASE WHEN p_partkey % 110 <= 99 THEN CAST(p_partkey % 110 AS INT) END AS back, CASE WHEN p_partkey % 110 <= 99 THEN '六本木' || {_KANJI.format(n='(p_partkey % 110)')} || '丁目' END AS oaza FROM part")
+def numerals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("p_partkey") % 110
+    rows = _table(spark, sf_dir, "part").select("p_partkey", fa.num_to_kanji(n).alias("numeral"), fa.oaza_name(F.lit("六本木"), n).alias("oaza"))
+    return rows.select("p_partkey", "numeral", fa.kanji_to_int(F.col("numeral")).alias("back"), "oaza")
+
+
+_TOWNS = f"(SELECT r.muni, n.a AS town, lat::DOUBLE AS lat, lon::DOUBLE AS lon FROM (SELECT *, muni || town AS k FROM {sql('town_reference')}) r JOIN {_norm_sql('(SELECT DISTINCT town FROM ' + sql('town_reference') + ')', 'town', 'town')} n ON n.town = r.town)"
+_BLOCKS = f"(SELECT r.muni, n.a AS town, block, rep_flag, addr_flag, lat::DOUBLE AS lat, lon::DOUBLE AS lon FROM {sql('block_reference')} r JOIN {_norm_sql('(SELECT DISTINCT town FROM ' + sql('block_reference') + ')', 'town', 'town')} n ON n.town = r.town)"
+
+
+@query(
+    f"""WITH p AS (SELECT s.address AS raw, t.* FROM {_TOWN} t JOIN {sql("addresses")} s USING (seq)), t1 AS (SELECT muni, town, min(struct_pack(a := lat, b := lon)) AS m FROM {_TOWNS} GROUP BY 1, 2),
+        b1 AS (SELECT muni, town, block, min(struct_pack(r := -coalesce(TRY_CAST(rep_flag AS INT), 0), f := -coalesce(TRY_CAST(addr_flag AS INT), 0), a := lat, b := lon)) AS m FROM {_BLOCKS} GROUP BY 1, 2, 3), c1 AS (SELECT muni, avg(lat) AS a, avg(lon) AS b FROM {_TOWNS} GROUP BY 1),
+        k AS (SELECT *, CASE WHEN chome <= 99 THEN town || chome || '丁目' END AS named FROM p)
+        SELECT DISTINCT k.raw AS address, round(coalesce(x1.m.a, x2.m.a, y1.m.a, y2.m.a, c1.a), 9) AS lat, round(coalesce(x1.m.b, x2.m.b, y1.m.b, y2.m.b, c1.b), 9) AS lon,
+            CASE WHEN x1.m IS NOT NULL OR x2.m IS NOT NULL THEN 'gaiku' WHEN y1.m IS NOT NULL OR y2.m IS NOT NULL THEN 'oaza_chome' WHEN c1.a IS NOT NULL THEN 'muni_centroid' END AS level
+        FROM k LEFT JOIN b1 x1 ON x1.muni = k.muni AND x1.town = CASE WHEN k.chome IS NULL THEN k.town ELSE k.named END AND x1.block = k.block::VARCHAR LEFT JOIN b1 x2 ON x2.muni = k.muni AND k.named IS NOT NULL AND k.block IS NOT NULL AND x2.town = k.town AND x2.block = k.chome::VARCHAR
+        LEFT JOIN t1 y1 ON y1.muni = k.muni AND y1.town = k.named LEFT JOIN t1 y2 ON y2.muni = k.muni AND y2.town = k.town LEFT JOIN c1 ON c1.muni = k.muni"""
+)
+def geocoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    towns, blocks = view(spark, sf_dir, "town_reference"), view(spark, sf_dir, "block_reference")
+    out = geocode.geocode(view(spark, sf_dir, "addresses"), geocode.block_index(blocks), geocode.town_index(towns), geocode.centroid_index(towns))
+    return out.select("address", F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"), "level")
+
+
+# --- text mining and pages -----------------------------------------------------------
+
+
+@query(
+    r"""SELECT page_id, regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '<br ?/?>', chr(10), 'g'), '<[^>]+>', chr(10), 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '[ \t\r\f\x0B]+', ' ', 'g') AS text FROM pages"""
+)
+def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "pages").select("page_id", ff.html_to_text(F.col("html")).alias("text"))
+
+
+@query("SELECT page_id, NOT regexp_matches(lower(split_part(url, '?', 1)), '\\.(pdf|docx?|xlsx?|pptx?|zip|csv)$') AS supported FROM pages")
+def page_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "pages").select("page_id", ff.supported_url(F.col("url")).alias("supported"))
+
+
+@query(
+    f"""WITH n AS (SELECT seq, a FROM {_norm_sql(sql("addresses"), "address", "seq")}), t AS (SELECT seq, coalesce(nullif(regexp_extract(a, '^(東京都.+?号)', 1), ''), nullif(regexp_extract(a, '^(東京都.+?[0-9]{{1,4}}-[0-9]{{1,4}}(?:-[0-9]{{1,4}})?).*$', 1), ''), nullif(regexp_extract(a, '^(東京都.+?[0-9]+丁目).*$', 1), ''), a) AS address FROM n)
+        SELECT seq, address FROM t WHERE regexp_matches(address, '[0-9]+丁目|[0-9]+-[0-9]+|[0-9]+番|[0-9]+号')"""
+)
+def mined_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses mined from a line of text around each one."""
+    rows = view(spark, sf_dir, "addresses").select("seq", F.concat(F.lit("所在地: "), F.ltrim(F.regexp_replace("address", "　", "")), F.lit("（本館） TEL 03-1111-2222\n以上")).alias("text"))
+    return rows.select("seq", F.explode(address_candidates(F.col("text"))).alias("address"))
+
+
+@query(
+    f"""WITH n AS (SELECT seq, a FROM {_norm_sql(sql("addresses"), "address", "seq")}), s AS (SELECT seq, a, 10 * CAST(contains(a, '丁目') OR contains(a, '-') AS INT) + 20 * CAST(regexp_matches(a, '[0-9]+番[0-9]*号?|[0-9]+-[0-9]+') AS INT) - 5 * CAST(ends_with(a, '丁目') AS INT)
+            + CASE WHEN contains(a, '港区') THEN 20 ELSE -40 END + 30 * CAST(contains(a, '東京都港区') AS INT) + 40 + 10 * CAST(contains(a, '港区') AS INT) AS score FROM n)
+        SELECT seq % 500 AS site, max(score) AS score, arg_min(a, (-score, a)) AS address FROM s GROUP BY 1"""
+)
+def best_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the addresses on a site's pages the one with the best score."""
+    rows = view(spark, sf_dir, "addresses").select((F.col("seq") % 500).alias("site"), "seq", fa.normalize_addr(F.col("address")).alias("address"))
+    rows = rows.withColumn("page", F.concat(F.lit("当社の本社 "), "address"))
+    rows = rows.withColumn("score", candidate_score(F.lit("本社"), F.lit("東京都港区"), F.col("address"), F.col("page")))
+    return master.first_by(rows, ["site"], F.col("score").desc(), F.col("address"), F.col("seq")).select("site", "score", "address")
+
+
+@query("SELECT event_id, CAST(length(event_type) AS DOUBLE) + 1000 AS number, event_id % 4 = 0 AS bad FROM events")
+def safe_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat(F.lit(" 1,00"), F.length("event_type").cast("string"))
+    text = F.when(F.length("event_type") >= 10, F.concat(F.lit(" 1,0"), F.length("event_type").cast("string"))).otherwise(text)
+    bad = ff.to_float(F.when(F.col("event_id") % 4 == 0, F.lit("n/a")).otherwise(text)).isNull()
+    return _table(spark, sf_dir, "events").select("event_id", ff.to_float(text).alias("number"), bad.alias("bad"))
+
+
+@query("SELECT o_orderkey, list_filter(list_transform(string_split('u' || o_custkey || ' | |v' || o_orderkey, '|'), lambda x: trim(x)), lambda x: x <> '') AS urls FROM orders")
+def url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat(F.lit("u"), F.col("o_custkey").cast("string"), F.lit(" | |v"), F.col("o_orderkey").cast("string"))
+    return _table(spark, sf_dir, "orders").select("o_orderkey", ff.url_list(text).alias("urls"))
+
+
+# --- tables of filings ------------------------------------------------------------------
+
+_HTML = (
+    "<table><tr><td>事業所名<br>(所在地)</td><td>設備の内容</td><td colspan=\"2\">土地</td></tr><tr><td></td><td></td><td>面積(㎡)</td><td>帳簿価額(百万円)</td></tr>"
+    "<tr><td>本社<br>(東京都千代田区)</td><td>事務所</td><td>{area}</td><td>{book}</td></tr><tr><td>工場{key}<br>(東京都大田区)他</td><td>工場</td><td>{area2}</td><td>{book2}</td></tr><tr><td>合計</td><td></td><td>1</td><td>2</td></tr></table>"
+)
+
+
+def _filing_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts, html = __import__("re").split(r"\{(\w+)\}", _HTML), []
+    key = F.col("c_custkey")
+    values = {"area": F.format_number(key % 7000 + 1000, 0), "book": F.format_number(key % 900 + 1, 0), "key": key.cast("string"), "area2": F.concat(F.lit("※1 "), (key % 50 + 5).cast("string")), "book2": (key % 70 + 3).cast("string")}
+    for k, part in enumerate(parts):
+        html.append(values[part] if k % 2 else F.lit(part))
+    docs = _table(spark, sf_dir, "customer").select(key.alias("doc_id"), F.concat(*html).alias("html"))
+    return filings.table_cells(docs, "doc_id", "html")
+
+
+@query(
+    """SELECT c_custkey AS doc_id, '本社' AS site_name, '東京都千代田区' AS location, false AS has_hoka, (c_custkey % 7000 + 1000)::DOUBLE AS area, (c_custkey % 900 + 1)::DOUBLE * 1000000 AS book, '事務所' AS equipment FROM customer
+        UNION ALL SELECT c_custkey, '工場' || c_custkey, '東京都大田区', true, (c_custkey % 50 + 5)::DOUBLE, (c_custkey % 70 + 3)::DOUBLE * 1000000, '工場' FROM customer"""
+)
+def filing_facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = filings.facilities(filings.merge_continuations(_filing_cells(spark, sf_dir), first_row=2))
+    return found.select("doc_id", "site_name", "location", "has_hoka", "area", "book", "equipment")
+
+
+@query("SELECT l_orderkey AS doc_id, l_linenumber AS c, coalesce(last_value(CASE WHEN l_linenumber % 2 = 1 THEN l_returnflag END IGNORE NULLS) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber ROWS UNBOUNDED PRECEDING), '') AS filled FROM (SELECT l_orderkey, l_linenumber, min(l_returnflag) AS l_returnflag FROM lineitem GROUP BY 1, 2)")
+def header_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = _table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("c")).agg(F.min("l_returnflag").alias("_f"))
+    cells = cells.select("doc_id", F.lit(0).alias("table_idx"), F.lit(0).alias("r"), "c", F.when(F.col("c") % 2 == 1, F.col("_f")).alias("txt"))
+    return filings.forward_fill(cells).select("doc_id", "c", "filled")
+
+
+@query("SELECT o_custkey AS doc_id, o_orderstatus AS site_name, count(*) AS n, max(o_orderkey) AS kept FROM orders GROUP BY 1, 2")
+def last_of_equal_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc_id"), F.col("o_orderkey").alias("seq"), F.col("o_orderstatus").alias("site_name"), F.lit("x").alias("location"), F.col("o_orderkey").alias("kept"))
+    counts = rows.groupBy("doc_id", "site_name").agg(F.count(F.lit(1)).alias("n"))
+    return filings.last_of_equals(rows).join(counts, ["doc_id", "site_name"]).select("doc_id", "site_name", "n", "kept")
+
+
+@query("SELECT url, regexp_replace(html, '<[^>]+>', chr(10), 'g') IS NOT NULL AS has_text FROM pages UNION ALL SELECT 'filing://' || c_custkey || '/d1/major-facilities', true FROM customer")
+def page_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sections = _table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("code"), F.lit("d1").alias("doc_id"), F.col("c_name").alias("text"))
+    return page_texts(_table(spark, sf_dir, "pages").select("url", "html"), sections).select("url", F.col("text").isNotNull().alias("has_text"))
