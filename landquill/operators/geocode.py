@@ -51,7 +51,7 @@ def geocode(addresses: DataFrame, blocks: DataFrame, towns: DataFrame, centroids
         names = centroids.select(F.col("muni").alias("_m")).distinct()  # one row for each municipality
         full = parts.select("address", "m", "t", normalize_addr(F.col("address")).alias("_a")).join(F.broadcast(names), F.startswith("_a", F.concat(F.lit("東京都"), "_m")), "left")
         longest = full.groupBy("address").agg(F.max_by("_m", F.length("_m")).alias("_m"), F.first("_a").alias("_a"), F.first("m").alias("m"), F.first("t").alias("t"))
-        rest = F.concat(F.lit("東京都区"), F.substring("_a", F.lit(4) + F.length("_m"), F.length("_a")))
+        rest = F.concat(F.lit("東京都外区"), F.substring("_a", F.lit(4) + F.length("_m"), F.length("_a")))
         parts = longest.select("address", F.when(F.col("_m").isNull(), F.col("m")).otherwise(F.struct(F.col("_m").alias("muni"), F.col("m.rest").alias("rest"))).alias("m"), F.when(F.col("_m").isNull(), F.col("t")).otherwise(parse_town(rest)).alias("t"))
     p = parts.select("address", F.col("m.muni").alias("muni"), F.col("t.town").alias("town"), F.col("t.chome").alias("chome"), F.col("t.block").alias("block"))
     named = F.when(F.col("chome").isNotNull(), normalize_addr(oaza_name(F.col("town"), F.col("chome"))))
