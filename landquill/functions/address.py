@@ -43,7 +43,8 @@ def normalize_addr(s: Column) -> Column:
     t = F.translate(F.regexp_replace(s, BLANKS, ""), FULL_WIDTH + "〒　", HALF_WIDTH)
     number = f"{NUMERAL}(?=丁目|番|号)"
     gaps, tokens = F.split(t, number, -1), F.regexp_extract_all(t, F.lit(number), F.lit(0))
-    return F.concat_ws("", F.zip_with(gaps, tokens, lambda g, x: F.concat(g, F.coalesce(kanji_to_int(x).cast("string"), x, F.lit("")))))
+    joined = F.concat_ws("", F.zip_with(gaps, tokens, lambda g, x: F.concat(g, F.coalesce(kanji_to_int(x).cast("string"), x, F.lit("")))))
+    return F.when(F.size(tokens) > 0, joined).otherwise(t)
 
 
 def split_municipality(addr: Column) -> Column:

@@ -11,19 +11,31 @@ from landquill.functions.address import normalize_addr, split_municipality
 TRIMS = (r"^(東京都.+?号)", r"^(東京都.+?[0-9]{1,4}-[0-9]{1,4})-[0-9]{5,}.*$", r"^(東京都.+?(?:[0-9]+丁目)?[0-9]{1,4}-[0-9]{1,4}(?:-[0-9]{1,4})?).*$", r"^(東京都.+?[0-9]+丁目[0-9]+番(?:地|[0-9]+)?).*$", r"^(東京都.+?[0-9]+丁目).*$")
 
 
-def trim_address(s: Column) -> Column:
-    """An address without what stands before it and without contact data, notes and other noise behind it."""
-    a = F.replace(normalize_addr(s), F.lit(" "))
-    a = F.when(F.instr(a, "東京都") > 0, F.substring(a, F.instr(a, "東京都"), F.length(a))).otherwise(a)
+def _cut_noise(a: Column) -> Column:
     for pattern in (r"TEL|FAX|https?://|〒|[（()）]", r"[。､,，;；]"):
         a = F.element_at(F.split(a, pattern), 1)
-    a = F.regexp_replace(a, "(?:に移転|へ移転|移転予定|移転)$", "")
-    return F.coalesce(*[F.nullif(F.regexp_extract(a, p, 1), F.lit("")) for p in TRIMS], a)
+    return F.regexp_replace(a, "(?:に移転|へ移転|移転予定|移転)$", "")
+
+
+#: The steps of trimming; each sees the value of the one before, which is computed once.
+_STEPS = (
+    lambda s: F.replace(normalize_addr(s), F.lit(" ")),
+    lambda a: F.when(F.instr(a, "東京都") > 0, F.substring(a, F.instr(a, "東京都"), F.length(a))).otherwise(a),
+    _cut_noise,
+    lambda a: F.coalesce(*[F.nullif(F.regexp_extract(a, p, 1), F.lit("")) for p in TRIMS], a),
+)
+
+
+def trim_addresses(found: Column) -> Column:
+    """An array of addresses without what stands before them and without contact data, notes and other noise behind them."""
+    for step in _STEPS:
+        found = F.transform(found, step)
+    return found
 
 
 def address_candidates(text: Column) -> Column:
     """The different addresses of a text that name a municipality and a block, in order."""
-    found = F.transform(F.regexp_extract_all(text, F.lit(r"東京都[^\n]{0,120}"), F.lit(0)), trim_address)
+    found = trim_addresses(F.regexp_extract_all(text, F.lit(r"東京都[^\n]{0,120}"), F.lit(0)))
     good = lambda a: F.startswith(a, F.lit("東京都")) & F.rlike(a, F.lit("区|市|町|村")) & F.rlike(a, F.lit("[0-9]+丁目|[0-9]+-[0-9]+|[0-9]+番|[0-9]+号"))
     return F.array_distinct(F.filter(found, good))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from landquill.functions import valuation as fv
 from landquill.functions.mining import address_candidates, candidate_score
 from landquill.operators import filings, geocode, knn, master, ranking, sites
 from landquill.plans.adapters import sql, view
+from landquill.shared import checkpointed
 from landquill.sources.sinks import price_dates
 from landquill.sources.tables import page_texts
 
@@ -523,13 +525,13 @@ _HTML = (
 
 
 def _filing_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts, html = __import__("re").split(r"\{(\w+)\}", _HTML), []
+    parts, html = re.split(r"\{(\w+)\}", _HTML), []
     key = F.col("c_custkey")
     values = {"area": F.format_number(key % 7000 + 1000, 0), "book": F.format_number(key % 900 + 1, 0), "key": key.cast("string"), "area2": F.concat(F.lit("※1 "), (key % 50 + 5).cast("string")), "book2": (key % 70 + 3).cast("string")}
     for k, part in enumerate(parts):
         html.append(values[part] if k % 2 else F.lit(part))
     docs = _table(spark, sf_dir, "customer").select(key.alias("doc_id"), F.concat(*html).alias("html"))
-    return filings.table_cells(docs, "doc_id", "html")
+    return checkpointed(filings.table_cells(docs, "doc_id", "html"))
 
 
 @query(
@@ -537,7 +539,7 @@ def _filing_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         UNION ALL SELECT c_custkey, '工場' || c_custkey, '東京都大田区', true, (c_custkey % 50 + 5)::DOUBLE, (c_custkey % 70 + 3)::DOUBLE * 1000000, '工場' FROM customer"""
 )
 def filing_facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = filings.facilities(filings.merge_continuations(_filing_cells(spark, sf_dir), first_row=2))
+    found, _ = filings.facilities(checkpointed(filings.merge_continuations(_filing_cells(spark, sf_dir), first_row=2)))
     return found.select("doc_id", "site_name", "location", "has_hoka", "area", "book", "equipment")
 
 
