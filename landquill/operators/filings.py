@@ -65,8 +65,11 @@ class _Cells(HTMLParser):
         self.col += self.span[1]
 
 
-def table_cells(docs: DataFrame, id_col: str, html_col: str) -> DataFrame:
-    """doc_id, table_idx, r, c, txt: cells of every table; txt is null where a span covers the cell."""
+def table_cells(docs: DataFrame, id_col: str, html_col: str, partitions: int | None = None) -> DataFrame:
+    """doc_id, table_idx, r, c, txt: cells of every table; txt is null where a span covers the cell.
+
+    ``partitions`` deals the documents out first, for tables of few files.
+    """
 
     def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -80,6 +83,7 @@ def table_cells(docs: DataFrame, id_col: str, html_col: str) -> DataFrame:
             yield pd.DataFrame(out, columns=["doc_id", "table_idx", "r", "c", "txt"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(html_col).alias("html"))
+    rows = rows.repartition(partitions) if partitions else rows
     return rows.mapInPandas(parse, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, table_idx int, r int, c int, txt string")
 
 

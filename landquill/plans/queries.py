@@ -531,7 +531,7 @@ def _filing_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, part in enumerate(parts):
         html.append(values[part] if k % 2 else F.lit(part))
     docs = _table(spark, sf_dir, "customer").select(key.alias("doc_id"), F.concat(*html).alias("html"))
-    return checkpointed(filings.table_cells(docs, "doc_id", "html"))
+    return checkpointed(filings.table_cells(docs, "doc_id", "html", spark.sparkContext.defaultParallelism))
 
 
 @query(
