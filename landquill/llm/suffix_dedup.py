@@ -25,8 +25,11 @@ PART = 1 << 22
 _POSITION_BITS = 24
 #: Bytes of segments that one task merges, about.
 TASK_BYTES = 2 << 20
-#: Different segments around one seed up to which a task holds them together.
-CROWD = 1 << 12
+#: Different segments around one seed up to which they meet by that seed; more
+#: of them meet by longer seeds, and beyond ENOUGH by whole windows.
+CROWD, ENOUGH = 1 << 8, 1 << 12
+#: Places of the seed in a window that share a longer seed.
+SLICE = 32
 
 
 def _parts(offs: np.ndarray, length: int) -> Iterator[tuple[int, int, int]]:
@@ -74,7 +77,7 @@ def segments_of(data: np.ndarray, length: int, seed: int) -> tuple[np.ndarray, n
 
 
 def _segment_rows(texts: DataFrame, kind: str, length: int, seed: int) -> DataFrame:
-    """_id, _own (hash of the text), s0, windows, key, seg of all segments."""
+    """_id, _own (hash of the text), s0, windows, place, key, seg of all segments."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,18 +90,18 @@ def _segment_rows(texts: DataFrame, kind: str, length: int, seed: int) -> DataFr
                         found.append(_short(data, offs, length, seed))
                 else:
                     for t, a, b in long:
-                        s, n, _, key, own = segments_of(data[offs[t] + a : offs[t] + b], length, seed)
-                        found.append((np.full(len(s), t), s + a, n, key, own))
+                        s, n, place, key, own = segments_of(data[offs[t] + a : offs[t] + b], length, seed)
+                        found.append((np.full(len(s), t), s + a, n, place, key, own))
                 if not found:
                     continue
-                text, s0, n, key, own = (np.concatenate(x) for x in zip(*found))
+                text, s0, n, place, key, own = (np.concatenate(x) for x in zip(*found))
                 take = pa.array(text + rows.start)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("_id").take(take), batch.column("_own").take(take), pa.array(s0.astype(np.int64)), pa.array(n.astype(np.int32)), pa.array(key.view(np.int64)), pa.array(own.view(np.int64))],
-                    names=["_id", "_own", "s0", "windows", "key", "seg"],
+                    [batch.column("_id").take(take), batch.column("_own").take(take), pa.array(s0.astype(np.int64)), pa.array(n.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(key.view(np.int64)), pa.array(own.view(np.int64))],
+                    names=["_id", "_own", "s0", "windows", "place", "key", "seg"],
                 )
 
-    return texts.mapInArrow(scan, f"_id {kind}, _own bigint, s0 bigint, windows int, key bigint, seg bigint")
+    return texts.mapInArrow(scan, f"_id {kind}, _own bigint, s0 bigint, windows int, place int, key bigint, seg bigint")
 
 
 def _short(data: np.ndarray, offs: np.ndarray, length: int, seed: int):
@@ -118,7 +121,7 @@ def _short(data: np.ndarray, offs: np.ndarray, length: int, seed: int):
     start, place = at[first], own_anchor[first]
     whole = range_hash(sums, start, start + count + length - 1)
     own = mix(whole + mix((place - start).astype(np.uint64)))
-    return text[first], start - offs[:-1][text[first]], count, hashes[place], own
+    return text[first], start - offs[:-1][text[first]], count, place - start, hashes[place], own
 
 
 class Shard:
@@ -215,23 +218,24 @@ def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _merge_segments(rows: DataFrame, length: int, symbol: int, most_bytes: int = 1 << 19) -> DataFrame:
-    """rows: key, seg, windows, n, body; returns seg, starts, ends of covered runs, for each segment that has any."""
+    """rows: key, seg, base, windows, n, body; returns seg, a, b of covered runs, for each segment that has any."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shards, copies, names = [], [], []
+        shards, copies, names, bases = [], [], [], []
         for batch in batches:
             data, offs = _binary(batch.column("body"))
-            windows, n, seg = (batch.column(c).to_numpy() for c in ("windows", "n", "seg"))
+            windows, n, seg, base = (batch.column(c).to_numpy() for c in ("windows", "n", "seg", "base"))
             i = 0
             while i < len(seg):
                 j = max(i + 1, int(np.searchsorted(offs, offs[i] + most_bytes, "right")) - 1)
                 shards.append(Shard(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], windows[i:j].astype(np.int64), length, symbol))
                 copies.append(n[i:j].astype(np.int64))
                 names.append(seg[i:j])
+                bases.append(base[i:j])
                 i = j
         if not shards:
             return
-        for (segment, place), seg in zip(repeated_windows(shards, copies, length // symbol), names):
+        for (segment, place), seg, base in zip(repeated_windows(shards, copies, length // symbol), names, bases):
             order = np.lexsort((place, segment))
             segment, place = segment[order], place[order]
             new = np.ones(len(place), bool)
@@ -240,13 +244,14 @@ def _merge_segments(rows: DataFrame, length: int, symbol: int, most_bytes: int =
             if not len(first):
                 continue
             last = np.concatenate([first[1:], [len(place)]]) - 1
-            yield pa.RecordBatch.from_arrays([pa.array(seg[segment[first]]), pa.array(place[first]), pa.array(place[last] + length)], names=["seg", "a", "b"])
+            shift = base[segment[first]]
+            yield pa.RecordBatch.from_arrays([pa.array(seg[segment[first]]), pa.array(shift + place[first]), pa.array(shift + place[last] + length)], names=["seg", "a", "b"])
 
     return rows.mapInArrow(merge, "seg bigint, a bigint, b bigint")
 
 
 def _cut(rows: DataFrame) -> DataFrame:
-    """rows: _text, wanted (array of key, seg, s0, size, windows, n); returns key, seg, windows, n, body."""
+    """rows: _text, wanted (array of key, seg, s0, size, place, windows, n); returns key, seg, base, place, windows, n, body."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,9 +265,44 @@ def _cut(rows: DataFrame) -> DataFrame:
                 body = data[ranges(at, size)]
                 bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
                 column = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(body))])
-                yield pa.RecordBatch.from_arrays([fields["key"], fields["seg"], fields["windows"], fields["n"], column], names=["key", "seg", "windows", "n", "body"])
+                arrays = [fields["key"], fields["seg"], pa.array(np.zeros(len(size), np.int64)), fields["place"], fields["windows"], fields["n"], column]
+                yield pa.RecordBatch.from_arrays(arrays, names=["key", "seg", "base", "place", "windows", "n", "body"])
 
-    return rows.mapInArrow(cut, "key bigint, seg bigint, windows int, n bigint, body binary")
+    return rows.mapInArrow(cut, "key bigint, seg bigint, base bigint, place int, windows int, n bigint, body binary")
+
+
+def _longer_seeds(rows: DataFrame, length: int, seed: int) -> DataFrame:
+    """The segments of crowded seeds as slices that meet by nearly whole windows.
+
+    Windows that hold the seed at one of SLICE neighbouring places share the
+    length - SLICE + 1 bytes that all of them cover; the hash of these is the
+    new key. Equal windows hold the seed at the same place, so they are in
+    slices of the same key.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        core = length - SLICE + 1
+        for batch in batches:
+            data, offs = _binary(batch.column("body"))
+            windows, place = batch.column("windows").to_numpy().astype(np.int64), batch.column("place").to_numpy().astype(np.int64)
+            # Window j holds the seed at place - j; slice r has the places from r * SLICE on.
+            low, high = (place - windows + 1) // SLICE, place // SLICE
+            count = high - low + 1
+            row = np.repeat(np.arange(len(windows)), count)
+            r = ranges(low, count)
+            first = np.maximum(0, place[row] - r * SLICE - SLICE + 1)
+            last = np.minimum(windows[row] - 1, place[row] - r * SLICE)
+            at = offs[:-1][row] + place[row] - r * SLICE
+            key = mix(range_hash(prefix_sums(data), at, at + core) + mix(r.astype(np.uint64)))
+            size = last - first + length
+            body = data[ranges(offs[:-1][row] + first, size)]
+            bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+            column = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(body))])
+            take = pa.array(row)
+            arrays = [pa.array(key.view(np.int64)), batch.column("seg").take(take), pa.array(first), pa.array((last - first + 1).astype(np.int32)), batch.column("n").take(take), column]
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", "seg", "base", "windows", "n", "body"])
+
+    return rows.mapInArrow(cut, "key bigint, seg bigint, base bigint, windows int, n bigint, body binary")
 
 
 def _crowded_runs(rows: DataFrame, length: int) -> DataFrame:
@@ -277,7 +317,7 @@ def _crowded_runs(rows: DataFrame, length: int) -> DataFrame:
             half, sums = length // 2, prefix_sums(data)
             h1, h2 = range_hash(sums, at, at + half), range_hash(sums, at + half, at + length)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("seg").take(pa.array(segment)), pa.array(at - offs[:-1][segment]), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), batch.column("n").take(pa.array(segment))],
+                [batch.column("seg").take(pa.array(segment)), pa.array(at - offs[:-1][segment] + batch.column("base").to_numpy()[segment]), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), batch.column("n").take(pa.array(segment))],
                 names=["seg", "a", "h1", "h2", "n"],
             )
 
@@ -286,7 +326,7 @@ def _crowded_runs(rows: DataFrame, length: int) -> DataFrame:
     return windows.join(often, ["h1", "h2"]).select("seg", "a", (F.col("a") + length).alias("b"))
 
 
-def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, seed: int = SEED, symbol: int = SYMBOL, crowd: int = CROWD, keep_bytes: bool = False) -> DataFrame:
+def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, seed: int = SEED, symbol: int = SYMBOL, crowd: int = CROWD, enough: int = ENOUGH, keep_bytes: bool = False) -> DataFrame:
     """Remove every byte of a string of ``length`` bytes that also starts anywhere else.
 
     Texts are UTF-8 bytes; strings stay within a text, may overlap and count
@@ -302,9 +342,10 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
        shards, orders each shard's suffixes into a Burrows-Wheeler transform
        over ``symbol``-byte letters, and merges the transforms by refining
        their interleave until suffixes are in order of ``length`` bytes;
-       intervals with that common prefix are the repeated windows. Seeds with
-       more than ``crowd`` segments would not fit a task: their windows meet
-       by a 128-bit hash in an aggregate instead.
+       intervals with that common prefix are the repeated windows. The segments
+       of a seed with more than ``crowd`` of them are cut into slices that meet
+       by longer seeds. Should more than ``enough`` slices share even one of
+       these, their windows meet by a 128-bit hash in an aggregate instead.
     3. The windows' bytes go back to all texts that hold the segment.
 
     ``length`` is a multiple of ``symbol``. Null and empty texts have 0 bytes;
@@ -317,25 +358,31 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kind = texts.schema["_id"].dataType.simpleString()
     rows = stored(_segment_rows(texts, kind, length, seed))
     classes = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("seg").alias("lo"), F.max("seg").alias("hi")).filter("n > 1"))
-    rows = stored(rows.join(classes, "key").select("_id", "_own", "s0", "windows", "key", "seg", (F.col("lo") != F.col("hi")).alias("mixed")))
+    rows = stored(rows.join(classes, "key").select("_id", "_own", "s0", "windows", "place", "key", "seg", (F.col("lo") != F.col("hi")).alias("mixed")))
 
     # One place for each different segment; which one doesn't matter.
     rank = F.xxhash64("_id", "_own", "s0")
-    places = rows.filter("mixed").groupBy("key", "seg").agg(F.count(F.lit(1)).alias("n"), F.min_by("_id", rank).alias("_id"), F.min_by("_own", rank).alias("_own"), F.min_by("s0", rank).alias("s0"), F.max("windows").alias("windows"))
+    places = rows.filter("mixed").groupBy("key", "seg").agg(F.count(F.lit(1)).alias("n"), F.min_by("_id", rank).alias("_id"), F.min_by("_own", rank).alias("_own"), F.min_by("s0", rank).alias("s0"), F.max("windows").alias("windows"), F.max("place").alias("place"))
     places = stored(places)
-    crowds = places.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > crowd).select("key")
-    item = F.struct("key", "seg", "s0", (F.col("windows") + length - 1).cast("long").alias("size"), "windows", "n")
+    of = lambda table, most: stored(table.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > most).select("key"))
+    item = F.struct("key", "seg", "s0", (F.col("windows") + length - 1).cast("long").alias("size"), "place", "windows", "n")
     wanted = places.groupBy("_id", "_own").agg(F.collect_list(item).alias("wanted"))
     same = texts["_id"].eqNullSafe(wanted["_id"]) & (texts["_own"] == wanted["_own"])
     bodies = stored(_cut(texts.join(wanted, same).select("_text", "wanted")))
-    size = bodies.agg(F.coalesce(F.sum(F.col("windows") + length), F.lit(0))).first()[0]
-    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))
-    crowds = stored(crowds)
-    calm = bodies.join(crowds, "key", "left_anti").repartition(tasks, "key")
-    runs = _merge_segments(calm, length, symbol)
+    columns = ["key", "seg", "base", "windows", "n", "body"]
+    crowds = of(places, crowd)
+    calm = bodies.join(crowds, "key", "left_anti").select(columns)
+    hashed = None
     if not crowds.isEmpty():
-        runs = runs.union(_crowded_runs(bodies.join(crowds, "key", "left_semi"), length))
-    runs = stored(runs)
+        slices = stored(_longer_seeds(bodies.join(crowds, "key", "left_semi"), length, seed))
+        still = of(slices, enough)
+        calm = calm.unionByName(slices.join(still, "key", "left_anti").select(columns))
+        hashed = None if still.isEmpty() else _crowded_runs(slices.join(still, "key", "left_semi"), length)
+    calm = stored(calm)
+    size = calm.agg(F.coalesce(F.sum(F.col("windows") + length), F.lit(0))).first()[0]
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))
+    runs = _merge_segments(calm.repartition(tasks, "key"), length, symbol)
+    runs = stored(runs if hashed is None else runs.union(hashed))
 
     mixed = rows.filter("mixed").join(runs, "seg").select("_id", "_own", (F.col("s0") + F.col("a")).alias("a"), (F.col("s0") + F.col("b")).alias("b"))
     alike = rows.filter("NOT mixed").select("_id", "_own", F.col("s0").alias("a"), (F.col("s0") + F.col("windows") + length - 1).alias("b"))
