@@ -13,10 +13,10 @@ from pyspark.sql import types as T
 from landquill.llm.common import checkpointed
 from landquill.llm.textbytes import LOWER, NOT_SPACE, mix, prefix_sums, range_hash, segment_sums, text_blocks, word_bounds
 
-#: Sentences in a span, and words that it has at least.
+#: Sentences and words that a span has at least.
 RUN, LEAST_WORDS = 3, 15
 #: Longer sentences are cut behind words whose hash has CUT zero bits at its end.
-LONG, CUT = 24, 3
+LONG, CUT = 12, 3
 _MARKS = np.zeros(256, dtype=bool)
 _MARKS[list(b".!?")] = True
 
@@ -47,16 +47,16 @@ def sentences(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts[bounds[:-1]], ends[bounds[1:] - 1], np.diff(bounds), h, np.searchsorted(bounds[:-1], first)
 
 
-def spans(words: np.ndarray, hashes: np.ndarray, first: np.ndarray, run: int, least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first sentence, hash) of every span of ``run`` sentences with enough words."""
-    n = np.maximum(0, np.diff(first) - run + 1)
-    text = np.repeat(np.arange(len(n)), n)
-    at = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n) + first[:-1][text]
+def spans(words: np.ndarray, hashes: np.ndarray, first: np.ndarray, run: int, least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first sentence, end sentence, hash) of every span: from each sentence on ``run`` sentences, and more until there are enough words."""
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    at = np.arange(len(words))
     total = np.concatenate([[0], np.cumsum(words)])
-    good = total[at + run] - total[at] >= least_words
-    at, text = at[good], text[good]
-    h = range_hash(prefix_sums(hashes), at, at + run) if len(at) else np.zeros(0, np.uint64)
-    return text, at, mix(h)
+    end = np.maximum(at + run, np.searchsorted(total, total[at] + least_words))
+    good = end <= first[text + 1]
+    at, end, text = at[good], end[good], text[good]
+    h = range_hash(prefix_sums(hashes), at, end) if len(at) else np.zeros(0, np.uint64)
+    return text, at, end, mix(h)
 
 
 def _span_rows(texts: DataFrame, kind: str, run: int, least_words: int) -> DataFrame:
@@ -66,7 +66,7 @@ def _span_rows(texts: DataFrame, kind: str, run: int, least_words: int) -> DataF
         for batch in batches:
             for rows, data, offs in text_blocks(batch, "_text"):
                 _, _, words, hashes, first = sentences(data, offs)
-                text, _, h = spans(words, hashes, first, run, least_words)
+                text, _, _, h = spans(words, hashes, first, run, least_words)
                 order = np.lexsort((h, text))
                 text, h = text[order], h[order]
                 new = np.ones(len(h), bool)
@@ -80,8 +80,8 @@ def _span_rows(texts: DataFrame, kind: str, run: int, least_words: int) -> DataF
 def span_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN, least_words: int = LEAST_WORDS) -> DataFrame:
     """Remove sentences that a repeated span covers, wherever it isn't the first.
 
-    Every run of ``run`` consecutive sentences with at least ``least_words``
-    words is hashed. The first of equal spans is the one of the smallest id,
+    From every sentence on, the run of ``run`` consecutive sentences, or of as
+    many more as it takes to ``least_words`` words, is hashed. The first of equal spans is the one of the smallest id,
     and in that text the one that comes first; all others are removed, judged
     on the input. Returns every document: id, n_sentences, n_removed,
     words_removed, first_ids (ids of the texts whose spans stay instead,
@@ -104,7 +104,7 @@ def span_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for part, data, offs in text_blocks(batch, "_text"):
                 own = batch.slice(part.start, part.stop - part.start)
                 start, end, words, hashes, first = sentences(data, offs)
-                text, at, h = spans(words, hashes, first, run, least_words)
+                text, at, end_at, h = spans(words, hashes, first, run, least_words)
                 bounds = np.searchsorted(text, np.arange(len(offs)))
                 gone = np.zeros(len(start) + 1, np.int64)
                 head_ids: list[list[int]] = []
@@ -117,9 +117,8 @@ def span_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     again[index] = False
                     if known:
                         again |= np.isin(mine, np.fromiter(known, np.int64, len(known)))
-                    hit = at[a:b][again]
-                    np.add.at(gone, hit, 1)
-                    np.add.at(gone, hit + run, -1)
+                    np.add.at(gone, at[a:b][again], 1)
+                    np.add.at(gone, end_at[a:b][again], -1)
                     head_ids.append(sorted({known[x] for x in mine[again].tolist() if x in known}))
                 removed = np.cumsum(gone[:-1]) > 0
                 raw, kept = data.tobytes(), []

@@ -73,12 +73,15 @@ def test_span_dedup(docs, rows, empty):
         plain = [b" ".join(re.findall(rb"[^\x20\x09-\x0D]+", data[a:b].translate(bytes.maketrans(LOW_FROM, LOW_TO)))) for a, b in zip(start, end)]
         gone = set()
         for k in range(len(plain) - 2):
-            if sum(len(p.split()) for p in plain[k : k + 3]) < span_dedup.LEAST_WORDS:
+            e = k + 3
+            while e <= len(plain) and sum(len(p.split()) for p in plain[k:e]) < span_dedup.LEAST_WORDS:
+                e += 1
+            if e > len(plain):
                 continue
-            if tuple(plain[k : k + 3]) in firsts:
-                gone |= {k, k + 1, k + 2}
+            if tuple(plain[k:e]) in firsts:
+                gone |= set(range(k, e))
             else:
-                firsts[tuple(plain[k : k + 3])] = i
+                firsts[tuple(plain[k:e])] = i
         kept, last = b"", 0
         for k in sorted(gone):
             kept += data[last : start[k]]
