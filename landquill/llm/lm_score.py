@@ -21,11 +21,11 @@ from landquill.llm.textbytes import LOWER, NOT_SPACE, lookup, mix, prefix_sums,
 
 DEPTH = 5
 END = 0x0A
-#: A context is a candidate from this share of all symbols on, so that there
-#: are at most 1 / CONTEXT_SHARE of them at each depth, whatever the corpus.
-CONTEXT_SHARE = 2.0**-18
-#: The same for the listed next symbols of contexts.
-ENTRY_SHARE = 2.0**-21
+#: Contexts of up to so many bytes are few whatever the corpus and are shared;
+#: longer ones are dealt out by their last SHORT + 1 bytes.
+SHORT = 2
+#: Different grams that a task fits at once, about.
+DEALT = 1 << 17
 #: Occurrences that a state needs at least.
 LEAST = 4
 #: A context is retained if its next symbols diverge from those of its parent
@@ -35,6 +35,8 @@ DIVERGENCE, EVIDENCE = 0.01, 12.0
 PRIOR = 4.0
 #: Words whose counts are broadcast at most: the most frequent ones.
 HEAD_WORDS = 1 << 19
+#: The same for grams with their probabilities.
+HEAD_GRAMS = 1 << 20
 #: Counts that a task gathers before it passes them on.
 HELD = 1 << 20
 _END_HASH = _END_SIGNED = 0x0E0D0E0D0E0D0E0D
@@ -102,10 +104,13 @@ class _Tally:
 
 
 def corpus_counts(texts: DataFrame) -> DataFrame:
-    """kind (0 for words, 1 for grams), key, n over all texts of ``_text``."""
+    """kind (0 for words, 1 for grams), key, n over all rows of ``_text`` that aren't ``_held``, m over all rows.
+
+    Held-out texts add no words.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tallies = {0: _Tally(), 1: _Tally()}
+        tallies = {0: _Tally(), 1: _Tally(), 2: _Tally()}  # 2: grams of held-out texts
 
         def out(kind: int) -> Iterator[pa.RecordBatch]:
             keys, n = tallies[kind].taken()
@@ -114,18 +119,24 @@ def corpus_counts(texts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int8)), pa.array(k), pa.array(n[i : i + (1 << 16)])], names=["kind", "key", "n"])
 
         for batch in batches:
-            for _, data, offs in text_blocks(batch, "_text"):
-                grams, _, words, _ = joined_texts(data, offs)
-                ends = np.full(len(offs) - 1, _END_HASH, np.uint64)
-                tallies[0].add(np.concatenate([words, ends]))
-                tallies[1].add(grams)
+            held = batch.column("_held").to_numpy(zero_copy_only=False).astype(bool)
+            for rows, data, offs in text_blocks(batch, "_text"):
+                grams, place, words, first = joined_texts(data, offs)
+                apart = held[rows]
+                of_gram = np.repeat(apart, np.diff(place))
+                ends = np.full(int((~apart).sum()), _END_HASH, np.uint64)
+                tallies[0].add(np.concatenate([words[~np.repeat(apart, np.diff(first))], ends]))
+                tallies[1].add(grams[~of_gram])
+                tallies[2].add(grams[of_gram])
                 for kind, tally in tallies.items():
                     if tally.size > HELD:
                         yield from out(kind)
         for kind in tallies:
             yield from out(kind)
 
-    return texts.mapInArrow(scan, "kind tinyint, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    found = texts.mapInArrow(scan, "kind tinyint, key bigint, n bigint").withColumn("learnt", F.when(F.col("kind") < 2, F.col("n")).otherwise(0))
+    found = found.withColumn("kind", F.least("kind", F.lit(1).cast("tinyint")))
+    return found.groupBy("kind", "key").agg(F.sum("learnt").alias("n"), F.sum("n").alias("m"))
 
 
 @dataclass
@@ -133,16 +144,12 @@ class SuffixTree:
     """States by depth: sorted contexts with the log factor of what they don't list, and their listed symbols.
 
     entries[d] are sorted keys of context and symbol with log10 probabilities.
-    fast_* is a table from packed grams to log10 probabilities for the
-    frequent ones: a gram is in its slot or has to be looked up by depth.
     """
 
     contexts: list[np.ndarray]
     rest: list[np.ndarray]
     entries: list[np.ndarray]
     logp: list[np.ndarray]
-    fast_keys: np.ndarray
-    fast_logp: np.ndarray
 
     def slow(self, g: np.ndarray) -> np.ndarray:
         """log10 probability of each gram's last symbol in the longest state that ends its context."""
@@ -163,37 +170,60 @@ class SuffixTree:
         return out
 
     def score(self, g: np.ndarray) -> np.ndarray:
-        slot = mix(g) & np.uint64(len(self.fast_keys) - 1)
-        known = self.fast_keys[slot] == g
-        out = self.fast_logp[slot].astype(np.float64)
-        rest = np.flatnonzero(~known)
-        if len(rest):
-            code, different = pd.factorize(g[rest])
-            out[rest] = self.slow(different)[code]
-        return out
+        code, different = pd.factorize(g)
+        return self.slow(different)[code]
+
+
+class FrequentGrams:
+    """log10 probabilities of the frequent grams: a gram is in its slot, or among the sorted keys, or not frequent."""
+
+    def __init__(self, keys: np.ndarray, logp: np.ndarray, n: np.ndarray) -> None:
+        order = np.argsort(keys)
+        self.keys, self.logp = keys[order], logp[order]
+        slots = 1 << max(10, int(2 * len(keys)).bit_length())
+        self.at = np.full(slots, -1, np.int32)
+        often = np.argsort(n[order], kind="stable")  # the most frequent come last and keep their slots
+        self.at[mix(self.keys[often]) & np.uint64(slots - 1)] = often
+
+    def find(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(log10 probability or 0, found) of each gram."""
+        if not len(self.keys):
+            return np.zeros(len(g)), np.zeros(len(g), bool)
+        at = self.at[mix(g) & np.uint64(len(self.at) - 1)]
+        found = (at >= 0) & (self.keys[at] == g)
+        rest = np.flatnonzero(~found)
+        at[rest], found[rest] = lookup(self.keys, g[rest])
+        return np.where(found, self.logp[at], 0.0), found
 
 
-def _by_depth(frame: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Sorted keys and their counts for each depth of a bounded table of depth, key, n."""
-    out = []
-    for d in range(DEPTH + 1):
-        got = frame.filter(F.col("depth") == d).select("key", "n").toArrow()
-        key, n = got.column("key").to_numpy().view(np.uint64), got.column("n").to_numpy()
-        order = np.argsort(key)
-        out.append((key[order], n[order].astype(float)))
-    return out
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted different keys and the sums of their counts."""
+    different, at = np.unique(keys, return_inverse=True)
+    return different, np.bincount(at, n, len(different))
 
 
-def grow_tree(own: list[tuple[np.ndarray, np.ndarray]], ctx: list[tuple[np.ndarray, np.ndarray]]) -> SuffixTree:
-    """The tree of frequent grams and contexts, sorted, with their counts, by depth.
+def _by_depth(keys: np.ndarray, n: np.ndarray, least: int, most: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[tuple[np.ndarray, np.ndarray]]]:
+    """(grams, contexts with LEAST occurrences), sorted and with their counts, for each depth from ``least`` to ``most``."""
+    own, ctx = [], []
+    for d in range(most, least - 1, -1):
+        keys, n = _summed(keys & np.uint64((1 << (8 * (d + 1))) - 1), n)
+        key, total = _summed(keys >> np.uint64(8), n)
+        own.append((keys, n))
+        ctx.append((key[total >= LEAST], total[total >= LEAST]))
+    return own[::-1], ctx[::-1]
+
+
+def grow_tree(own: list[tuple[np.ndarray, np.ndarray]], ctx: list[tuple[np.ndarray, np.ndarray]], extended: np.ndarray | None = None) -> SuffixTree:
+    """The tree of grams and candidate contexts, sorted, with their counts, by depth.
 
     A context is retained if the symbols after it diverge from those after its
     parent (the context without its first byte), or if an extension of it is
-    retained, so that the suffixes of a state are states. What a context
-    doesn't list counts as one more symbol in the test. A state's listed
-    probability is (n + PRIOR * parent's) / (N + PRIOR); what is left goes to
-    the other symbols in proportion to the parent's. The root lists all 256
-    symbols with one added to each count. So each state's sum is 1.
+    retained, so that the suffixes of a state are states; ``extended`` are
+    contexts of SHORT bytes that have retained extensions elsewhere. A state
+    lists every symbol seen after it. A symbol's probability is
+    (n + PRIOR * parent's) / (N + PRIOR), where n is 0 for what isn't listed.
+    The root lists all 256 symbols with one added to each count. So each
+    state's sum is 1.
     """
     byte = np.uint64(8)
     kept = [np.zeros(len(k), bool) for k, _ in ctx]
@@ -208,12 +238,11 @@ def grow_tree(own: list[tuple[np.ndarray, np.ndarray]], ctx: list[tuple[np.ndarr
         at, n, pa_, up = at[good], n[good], pa_[good], up[good]
         p = n / ctx[d][1][at]
         q = own[d - 1][1][pa_] / ctx[d - 1][1][up]
-        size = len(ctx[d][0])
-        kl = np.bincount(at, p * np.log(p / q), size)
-        p_rest = np.maximum(0, 1 - np.bincount(at, p, size))
-        q_rest = np.maximum(1e-12, 1 - np.bincount(at, q, size))
-        kl += np.where(p_rest > 1e-12, p_rest * np.log(np.maximum(p_rest, 1e-12) / q_rest), 0)
+        kl = np.bincount(at, p * np.log(p / q), len(ctx[d][0]))
         kept[d] = (kl >= DIVERGENCE) & (kl * ctx[d][1] >= EVIDENCE)
+    if extended is not None:
+        at, ok = lookup(ctx[SHORT][0], extended)
+        kept[SHORT][at[ok]] = True
     for d in range(DEPTH, 1, -1):
         parents = np.unique(ctx[d][0][kept[d]] & np.uint64((1 << (8 * (d - 1))) - 1))
         at, ok = lookup(ctx[d - 1][0], parents)
@@ -223,7 +252,7 @@ def grow_tree(own: list[tuple[np.ndarray, np.ndarray]], ctx: list[tuple[np.ndarr
     root = np.ones(256)
     root[own[0][0].astype(np.int64)] += own[0][1]
     prob = [root / root.sum()]
-    tree = SuffixTree([np.zeros(1, np.uint64)], [np.zeros(1)], [np.arange(256, dtype=np.uint64)], [np.log10(prob[0])], np.zeros(0, np.uint64), np.zeros(0, np.float32))
+    tree = SuffixTree([np.zeros(1, np.uint64)], [np.zeros(1)], [np.arange(256, dtype=np.uint64)], [np.log10(prob[0])])
     for d in range(1, DEPTH + 1):
         states, total_n = ctx[d][0][kept[d]], ctx[d][1][kept[d]]
         key, n = own[d]
@@ -232,38 +261,72 @@ def grow_tree(own: list[tuple[np.ndarray, np.ndarray]], ctx: list[tuple[np.ndarr
         key, n, at, pa_ = key[ok & ok2], n[ok & ok2], at[ok & ok2], pa_[ok & ok2]
         up = prob[d - 1][pa_] if len(pa_) else np.zeros(0)
         p = (n + PRIOR * up) / (total_n[at] + PRIOR) if len(at) else np.zeros(0)
-        left = np.maximum(1e-9, 1 - np.bincount(at, p, len(states))) if len(states) else np.zeros(0)
-        over = np.maximum(1e-9, 1 - np.bincount(at, up, len(states))) if len(states) else np.zeros(0)
         tree.contexts.append(states)
-        tree.rest.append(np.log10(left / over))
+        tree.rest.append(np.log10(PRIOR / (total_n + PRIOR)))
         tree.entries.append(key)
         tree.logp.append(np.log10(p))
         prob.append(p)
-    often = own[DEPTH][0][np.argsort(own[DEPTH][1], kind="stable")]  # the most frequent come last and keep their slots
-    slots = 1 << max(10, int(2 * len(often)).bit_length())
-    tree.fast_keys, tree.fast_logp = np.full(slots, np.uint64(0xFFFFFFFFFFFFFFFF)), np.zeros(slots, np.float32)
-    if len(often):
-        slot = mix(often) & np.uint64(slots - 1)
-        tree.fast_keys[slot] = often
-        filled = np.flatnonzero(tree.fast_keys != np.uint64(0xFFFFFFFFFFFFFFFF))
-        tree.fast_logp[filled] = tree.slow(tree.fast_keys[filled])
     return tree
 
 
 def fit_tree(gram_counts: DataFrame) -> SuffixTree:
-    """gram_counts: key, n of all grams of the corpus."""
-    total = gram_counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    suffix = lambda d: F.struct(F.lit(d).alias("depth"), F.col("key").bitwiseAND(F.lit((1 << (8 * (d + 1))) - 1)).alias("key"))
-    by_depth = gram_counts.select(F.explode(F.array(*[suffix(d) for d in range(DEPTH + 1)])).alias("s"), "n").groupBy(F.col("s.depth").alias("depth"), F.col("s.key").alias("key")).agg(F.sum("n").alias("n"))
-    by_depth = checkpointed(by_depth)
-    contexts = by_depth.groupBy("depth", F.shiftright("key", 8).alias("key")).agg(F.sum("n").alias("n")).filter(F.col("n") >= max(LEAST, total * CONTEXT_SHARE))
-    entries = by_depth.filter(F.col("n") >= total * ENTRY_SHARE)
-    kept = contexts.select("depth", "key").withColumnRenamed("key", "_c")
-    listed = entries.join(kept, (entries["depth"] == kept["depth"]) & (F.shiftright(entries["key"], 8) == kept["_c"]), "left_semi")
-    return grow_tree(_by_depth(checkpointed(listed)), _by_depth(checkpointed(contexts)))
-
-
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held: int = 2, head_words: int = HEAD_WORDS) -> DataFrame:
+    """The whole tree in one place. gram_counts: key, n of all grams of a small corpus."""
+    got = gram_counts.select("key", "n").toArrow()
+    return grow_tree(*_by_depth(got.column("key").to_numpy().view(np.uint64), got.column("n").to_numpy().astype(float), 0, DEPTH))
+
+
+def gram_logs(grams: DataFrame) -> tuple[DataFrame, SuffixTree]:
+    """(key, m, logp of all grams, the tree of contexts of up to SHORT bytes).
+
+    grams: key, n, m, different keys; they may have n = 0. Grams with the same
+    SHORT + 1 bytes before their symbol meet in one task, and with them all
+    longer contexts that end so. logp is null where no such context is
+    retained; the tree that is returned has the probability then.
+    """
+    last = (1 << (8 * (SHORT + 1))) - 1
+    short = grams.filter("n > 0").groupBy(F.col("key").bitwiseAND(F.lit(last)).alias("key")).agg(F.sum("n").alias("n")).toArrow()
+    own, ctx = _by_depth(short.column("key").to_numpy().view(np.uint64), short.column("n").to_numpy().astype(float), 0, SHORT)
+    shared = grams.sparkSession.sparkContext.broadcast((own, ctx))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
+            return
+        key, n, m = (np.concatenate([b.column(name).to_numpy() for b in parts]) for name in ("key", "n", "m"))
+        key, seen = key.view(np.uint64), n > 0
+        more, longer = _by_depth(key[seen], n[seen].astype(float), SHORT + 1, DEPTH)
+        tree = grow_tree(shared.value[0] + more, shared.value[1] + longer)
+        _, deep = lookup(tree.contexts[SHORT + 1], (key >> np.uint64(8)) & np.uint64(last))
+        logp = tree.slow(key)
+        for i in range(0, len(key), 1 << 16):
+            j = slice(i, i + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array(key[j].view(np.int64)), pa.array(m[j]), pa.array(logp[j], mask=~deep[j])], names=["key", "m", "logp"])
+
+    before = F.shiftright("key", 8)
+    dealt = grams.select("key", "n", "m").repartition(max(1, -(-grams.count() // DEALT)), before.bitwiseAND(F.lit(last)))
+    logs = checkpointed(dealt.mapInArrow(scan, "key bigint, m bigint, logp double"))
+    extended = logs.filter("logp IS NOT NULL").select(before.bitwiseAND(F.lit(last >> 8)).alias("c")).distinct().toArrow()
+    none = [(np.zeros(0, np.uint64), np.zeros(0))] * (DEPTH - SHORT)
+    return logs, grow_tree(own + none, ctx + none, extended.column("c").to_numpy().view(np.uint64))
+
+
+def _levels(frame: DataFrame, column: str) -> dict[int, tuple[int, int]]:
+    """How many rows of each power of two the counts of a column have, and their sum."""
+    return {r["b"]: (r["v"], r["s"]) for r in frame.groupBy(F.floor(F.log2(column)).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("v"), F.sum(column).alias("s")).collect()}
+
+
+def _cut(levels: dict[int, tuple[int, int]], most: int) -> int:
+    """The power of two from which on at most ``most`` rows are."""
+    cut, taken = 63, 0
+    for b in range(63, -1, -1):
+        taken += levels.get(b, (0, 0))[0]
+        if taken > most:
+            break
+        cut = b
+    return cut
+
+
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held: int = 2, head_words: int = HEAD_WORDS, head_grams: int = HEAD_GRAMS) -> DataFrame:
     """log10 probabilities of every text by words alone and by the suffix tree.
 
     Learns from all texts whose id has a crc32 modulo ``folds`` other than
@@ -272,55 +335,78 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     A-Z lower-cased) and one end for each text, so null and empty texts have
     one token. Words are told apart by a 64-bit hash. Counts of the at most
     ``head_words`` most frequent words are broadcast; the other words of all
-    texts meet theirs in a join. Repeated rows are scored each on its own.
+    texts meet theirs in a join, and so do grams beyond the ``head_grams`` most
+    frequent ones their probabilities. Repeated rows are scored each on its own.
     Without training texts every word is unknown and the tree is its root.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    counts = checkpointed(corpus_counts(texts.filter(remainder(F.col("_id"), folds) != held).select("_text")))
-    tree = fit_tree(counts.filter("kind = 1").select("key", "n"))
+    counts = checkpointed(corpus_counts(texts.select("_text", (remainder(F.col("_id"), folds) == held).alias("_held"))))
+    logs, short = gram_logs(counts.filter("kind = 1").select("key", "n", "m"))
+    gram_cut = _cut(_levels(logs, "m"), head_grams)
+    often = logs.filter(F.col("m") >= (1 << gram_cut)).toArrow()
+    keys = often.column("key").to_numpy().view(np.uint64)
+    logp = often.column("logp").to_numpy().astype(float)  # null becomes nan
+    logp = np.where(np.isnan(logp), short.slow(keys), logp)
+    frequent = FrequentGrams(keys, logp, often.column("m").to_numpy())
     words = counts.filter("kind = 0").select("key", "n")
-    levels = {r["b"]: (r["v"], r["s"]) for r in words.groupBy(F.floor(F.log2("n")).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("s")).collect()}
+    levels = _levels(words, "n")
     vocabulary, tokens = sum(v for v, _ in levels.values()), sum(s for _, s in levels.values())
-    cut, taken = 63, 0
-    for b in range(63, -1, -1):
-        taken += levels.get(b, (0, 0))[0]
-        if taken > head_words:
-            break
-        cut = b
+    cut = _cut(levels, head_words)
     head = words.filter(F.col("n") >= (1 << cut)).toArrow()
     keys = head.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
     ends = words.filter(F.col("key") == _END_SIGNED).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    shared = spark.sparkContext.broadcast((tree, keys[order], np.log10(head.column("n").to_numpy()[order] + 1.0)))
-    del head, keys, order
+    shared = spark.sparkContext.broadcast((frequent, keys[order], np.log10(head.column("n").to_numpy()[order] + 1.0)))
+    tree = spark.sparkContext.broadcast(short)
+    del often, logp, frequent, head, keys, order
     kind = texts.schema["_id"].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, common, logs = shared.value
+        model, common, log_n = shared.value
         for batch in batches:
             for rows, data, offs in text_blocks(batch, "_text"):
                 grams, place, hashes, first = joined_texts(data, offs)
-                score = segment_sums(model.score(grams), place)
+                logp, cached = model.find(grams)
+                score = segment_sums(logp, place)
                 at, found = lookup(common, hashes)
                 known = segment_sums(found, first) + int(ends > 0)
-                sums = segment_sums(np.where(found, logs[at] if len(logs) else 0.0, 0.0), first) + float(np.log10(ends + 1))
-                rare = np.concatenate([[0], np.cumsum(~found)])[first]
+                sums = segment_sums(np.where(found, log_n[at] if len(log_n) else 0.0, 0.0), first) + float(np.log10(ends + 1))
                 own = range_hash(prefix_sums(data), offs[:-1], offs[1:])
-                tail = pa.ListArray.from_arrays(pa.array(rare.astype(np.int32)), pa.array(hashes[~found].view(np.int64)))
+                of_word, of_gram = (np.repeat(np.arange(len(offs) - 1), np.diff(x)) for x in (first, place))
+                text = np.concatenate([of_word[~found], of_gram[~cached]])
+                order = np.argsort(text, kind="stable")
+                kinds = np.repeat(np.array([0, 1], np.int8), [(~found).sum(), (~cached).sum()])[order]
+                missing = np.concatenate([hashes[~found], grams[~cached]])[order]
+                rare = np.searchsorted(text[order], np.arange(len(offs)))
+                tail = pa.ListArray.from_arrays(pa.array(rare.astype(np.int32)), pa.StructArray.from_arrays([pa.array(kinds), pa.array(missing.view(np.int64))], names=["kind", "key"]))
                 ids = batch.column("_id").slice(rows.start, rows.stop - rows.start)
                 arrays = [ids, pa.array(own.view(np.int64)), pa.array(np.diff(first) + 1), pa.array(known.astype(np.int64)), pa.array(sums), pa.array(score), tail]
                 yield pa.RecordBatch.from_arrays(arrays, names=["_id", "_own", "n_tokens", "known", "sums", "score", "tail"])
 
-    scored = checkpointed(texts.mapInArrow(scan, f"_id {kind}, _own bigint, n_tokens bigint, known bigint, sums double, score double, tail array<bigint>"))
+    scored = checkpointed(texts.mapInArrow(scan, f"_id {kind}, _own bigint, n_tokens bigint, known bigint, sums double, score double, tail array<struct<kind: tinyint, key: bigint>>"))
     # Rows that repeat id and text have the same tail; each has one first
     # element, so their number divides what they add up to together.
-    tails = scored.select("_id", "_own", F.posexplode("tail").alias("_pos", "key"))
-    met = tails.join(words.filter(F.col("n") < (1 << cut)), "key", "left")
-    rest = met.groupBy("_id", "_own").agg(F.sum(F.when(F.col("n").isNotNull(), 1).otherwise(0)).alias("more"), F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("extra"), F.sum(F.when(F.col("_pos") == 0, 1).otherwise(0)).alias("rep"))
+    tails = scored.select("_id", "_own", F.posexplode("tail").alias("_pos", "_t")).select("_id", "_own", "_pos", "_t.kind", "_t.key")
+
+    def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v = batch.column("logp").to_numpy(zero_copy_only=False).astype(float)
+            todo = np.flatnonzero(np.isnan(v))
+            v[todo] = tree.value.slow(batch.column("key").to_numpy().view(np.uint64)[todo])
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(v), np.int8)), batch.column("key"), pa.array(v)], names=["kind", "key", "v"])
+
+    of_words = words.filter(F.col("n") < (1 << cut)).select(F.lit(0).cast("tinyint").alias("kind"), "key", F.log10(F.col("n") + 1).alias("v"))
+    of_grams = logs.filter(F.col("m") < (1 << gram_cut)).select("key", "logp").mapInArrow(filled, "kind tinyint, key bigint, v double")
+    met = tails.join(of_words.unionByName(of_grams), ["kind", "key"], "left")
+    is_word, is_gram = F.col("kind") == 0, F.col("kind") == 1
+    rest = met.groupBy("_id", "_own").agg(
+        F.sum(F.when(is_word & F.col("v").isNotNull(), 1).otherwise(0)).alias("more"), F.sum(F.when(is_word, F.col("v"))).alias("extra"),
+        F.sum(F.when(is_gram, F.col("v"))).alias("deep"), F.sum(F.when(F.col("_pos") == 0, 1).otherwise(0)).alias("rep"),
+    )
     both = scored.drop("tail").alias("a").join(rest.alias("b"), F.col("a._id").eqNullSafe(F.col("b._id")) & (F.col("a._own") == F.col("b._own")), "left")
     base = F.col("sums") + F.coalesce(F.col("extra") / F.col("rep"), F.lit(0.0)) - F.col("n_tokens") * float(np.log10(tokens + vocabulary + 1))
     return both.select(
         F.col("a._id").alias(id_col), (remainder(F.col("a._id"), folds) == held).alias("held_out"), "n_tokens", (F.col("known") + F.coalesce((F.col("more") / F.col("rep")).cast("long"), F.lit(0))).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), "score",
+        F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("score") + F.coalesce(F.col("deep") / F.col("rep"), F.lit(0.0))).alias("score"),
     )

@@ -456,3 +456,24 @@ def test_suffix_tree_is_a_distribution_and_uses_the_longest_state(spark):
         assert (10**slow).sum() == pytest.approx(1, abs=1e-6)
         assert tree.score(g) == pytest.approx(slow, abs=1e-5)
     assert tree.slow(np.array([int.from_bytes(b"e rive", "big")], np.uint64))[0] > math.log10(30 / 34 - 0.01)  # seen 30 times, always so, with a prior of 4
+
+
+def test_lm_keeps_rare_contexts_of_a_large_corpus(spark, monkeypatch):
+    rng = random.Random(4)
+    phrase = "þæt wæs gōd cyning"
+    common = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(300)]
+    texts = [" ".join(rng.choice(common) for _ in range(20_000)) for _ in range(20)]  # 2.4 million symbols
+    texts += [phrase] * 7 + ["zq " + phrase + " qz"]
+    rows = [(i, t, "s") for i, t in enumerate(texts)]
+    monkeypatch.setattr(lm_score, "DEALT", 1 << 12)
+    got = by_id(lm_score.lm_scores(spark.createDataFrame(rows, SCHEMA), head_grams=1000))
+    learnt = [i for i in got if not got[i]["held_out"]]
+    assert len({20, 21, 22, 23, 24, 25, 26, 27} & set(learnt)) >= 5
+    raw = [np.frombuffer(t.encode(), np.uint8) for t in texts]
+    grams = [lm_score.joined_texts(r, np.array([0, len(r)]))[0] for r in raw]
+    keys, n = np.unique(np.concatenate([grams[i] for i in learnt]), return_counts=True)
+    tree = lm_score.fit_tree(spark.createDataFrame(list(zip(keys.tolist(), n.tolist())), "key long, n long"))
+    for i, g in enumerate(grams):
+        assert got[i]["score"] == pytest.approx(tree.score(g).sum(), rel=1e-9)
+    symbols = len(phrase.encode()) + 1
+    assert got[20]["score"] / symbols > -0.45  # seen 5 to 8 times, always so
