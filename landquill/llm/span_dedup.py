@@ -15,17 +15,47 @@ from landquill.llm.textbytes import LOWER, NOT_SPACE, mix, prefix_sums, range_ha
 
 #: Sentences and words that a span has at least.
 RUN, LEAST_WORDS = 3, 15
-#: Longer sentences are cut behind words whose hash has CUT zero bits at its end.
-LONG, CUT = 12, 3
+#: Sentences of over LONG words are cut behind the word of the least hash in
+#: every WINDOW words (a power of two). Two texts that share RUN * LONG +
+#: 3 * WINDOW words or more thus share a span: the first cut that both have
+#: comes after at most 2 * WINDOW - 1 of these words, RUN parts of at most LONG
+#: words follow, and only the last WINDOW - 1 words may be cut otherwise.
+LONG, WINDOW = 9, 8
 _MARKS = np.zeros(256, dtype=bool)
 _MARKS[list(b".!?")] = True
+#: Marks beyond ASCII, by their number of bytes.
+_LONG_MARKS = {n: np.array([int.from_bytes(m.encode(), "big") for m in "。！？．｡…‼⁇⁈⁉।॥؟۔։።፧။។" if len(m.encode()) == n]) for n in (2, 3)}
+
+
+def _marked(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether each word has a sentence mark at its end."""
+    out = _MARKS[low[ends - 1]]
+    for n, marks in _LONG_MARKS.items():
+        at = np.flatnonzero((low[ends - 1] >= 0x80) & (ends - starts >= n))
+        code = np.zeros(len(at), np.int64)
+        for k in range(n, 0, -1):
+            code = code << 8 | low[ends[at] - k]
+        out[at] |= np.isin(code, marks)
+    return out
+
+
+def _picked(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Words with the least hash, the last of equal ones, in some WINDOW words within a sentence of over LONG words."""
+    best, step = np.arange(len(hashes)), 1
+    while step < WINDOW:
+        left, right = best[:-step], best[step:]
+        best = np.where(hashes[right] <= hashes[left], right, left)
+        step *= 2
+    sentence = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    inside = (sentence[: len(best)] == sentence[len(sentence) - len(best) :]) & (np.diff(bounds) > LONG)[sentence[: len(best)]]
+    return best[inside]
 
 
 def sentences(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(first byte, end byte, word count, hash of each sentence; first sentence of each text).
 
-    A sentence ends behind a word with ., ! or ? at its end, before a line
-    feed and at the end of the text. Sentences of over LONG words are cut at
+    A sentence ends behind a word with ., !, ? or a like mark of another script
+    at its end, before a line feed and at the end of the text. Sentences of over LONG words are cut at
     words that their content picks, so that equal passages are cut alike.
     White space and the case of A-Z do not count.
     """
@@ -36,12 +66,11 @@ def sentences(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
         return z, z, z, np.zeros(0, np.uint64), np.zeros(len(offs), np.int64)
     hashes = range_hash(prefix_sums(low), starts, ends)
     feeds = np.concatenate([[0], np.cumsum(data == 0x0A)])
-    last = _MARKS[low[ends - 1]]
+    last = _marked(low, starts, ends)
     last[:-1] |= feeds[starts[1:]] > feeds[ends[:-1]]
     last[first[1:][first[1:] > 0] - 1] = True
     bounds = np.concatenate([[0], np.flatnonzero(last) + 1])
-    long = np.repeat(np.diff(bounds) > LONG, np.diff(bounds))
-    last |= long & ((hashes & np.uint64((1 << CUT) - 1)) == 0)
+    last[_picked(hashes, bounds)] = True
     bounds = np.concatenate([[0], np.flatnonzero(last) + 1])
     h = range_hash(prefix_sums(hashes), bounds[:-1], bounds[1:])
     return starts[bounds[:-1]], ends[bounds[1:] - 1], np.diff(bounds), h, np.searchsorted(bounds[:-1], first)

@@ -105,6 +105,31 @@ def test_span_dedup_finds_a_moved_passage(spark):
     assert got[1]["n_removed"] == 0 and got[2]["words_removed"] >= 45 and got[2]["first_ids"] == [1]
 
 
+@pytest.mark.parametrize("kind", ["plain", "marks", "other marks", "few words"])
+def test_span_dedup_finds_every_passage_of_51_words(kind):
+    rng = random.Random(17)
+    marks = {"marks": ".!?", "other marks": "。？…؟।"}.get(kind, "")
+
+    def words(n, few):
+        every = rng.randrange(2, 30)
+        return [(rng.choice(few) if few else f"w{rng.randrange(10**7)}") + (rng.choice(marks) if marks and rng.random() < 1 / every else "") for _ in range(n)]
+
+    def found(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        _, _, n, hashes, first = span_dedup.sentences(data, np.array([0, len(data)]))
+        return set(span_dedup.spans(n, hashes, first, span_dedup.RUN, span_dedup.LEAST_WORDS)[3].tolist())
+
+    for _ in range(500):
+        passage = words(51, [f"u{rng.randrange(10**7)}" for _ in range(2)] if kind == "few words" else None)
+        a, b = (" ".join(words(rng.randrange(0, 40), None) + passage + words(rng.randrange(0, 40), None)) for _ in range(2))
+        assert found(a) & found(b)
+
+
+def test_span_dedup_ends_sentences_at_marks_of_other_scripts():
+    data = np.frombuffer("één twee。 três… да؟ नमस्ते। end".encode(), np.uint8)
+    assert span_dedup.sentences(data, np.array([0, len(data)]))[2].tolist() == [2, 1, 1, 1, 1]
+
+
 # 2 ---------------------------------------------------------------------------
 
 
