@@ -19,8 +19,6 @@ from landquill.llm.textbytes import ALNUM, LOWER, segment_sums, text_blocks, wor
 SAMPLE = 20_000
 #: Stems are the first characters of words, from and to so many.
 STEM = (4, 10)
-#: Terms that the lexicon keeps at most, the strongest first.
-TERMS = 128
 #: Bytes from which on a term may hold one error.
 FUZZY_FROM = 5
 #: Words to each side of a hit that make its context.
@@ -41,20 +39,25 @@ def folded(data: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Automaton:
-    """Deterministic automaton that accepts words which start with a term, or with a term with one error.
+    """Deterministic automaton that accepts words which start with a term, or are a term with one error.
 
     It is the intersection of the trie of terms with the Levenshtein automaton
-    of each: a state is a set of (trie node, errors so far). table[state, byte]
-    is the next state, 0 is dead. accept[state] is -1, or the term reached
-    times 2 plus the errors; an accepted word's rest doesn't matter.
+    of each: a state is a set of (trie node, errors so far). kind[byte] is a
+    byte's column in the table, 0 for those in no term; table[state, kind] is
+    the next state, 0 is dead. exact[state] is the term just read without
+    error, whatever follows, and near[state] the first term that the word is
+    within one error of if it ends here, or -1.
     """
 
+    kind: np.ndarray
     table: np.ndarray
-    accept: np.ndarray
+    exact: np.ndarray
+    near: np.ndarray
     terms: list[bytes]
 
 
-def build_automaton(terms: list[bytes], fuzzy_from: int = FUZZY_FROM) -> Automaton:
+def build_automaton(terms: list[bytes], fuzzy_from: int = FUZZY_FROM, first_right: bool = True) -> Automaton:
+    """With ``first_right`` the error can't be in a term's first letter."""
     trie: list[dict[int, int]] = [{}]
     ends: dict[int, int] = {}
     deepest: list[int] = [0]  # longest term through each node
@@ -75,7 +78,7 @@ def build_automaton(terms: list[bytes], fuzzy_from: int = FUZZY_FROM) -> Automat
         todo, seen = list(states), set(states)
         while todo:
             node, errors = todo.pop()
-            if errors == 0 and node:
+            if errors == 0 and (node or not first_right):
                 for child in trie[node].values():
                     if deepest[child] >= fuzzy_from and (child, 1) not in seen:
                         seen.add((child, 1))
@@ -88,56 +91,59 @@ def build_automaton(terms: list[bytes], fuzzy_from: int = FUZZY_FROM) -> Automat
             child = trie[node].get(byte)
             if child is not None:
                 out.add((child, errors))
-            if errors == 0 and node:  # the first letter is held to be right
+            if errors == 0 and (node or not first_right):
                 if deepest[node] >= fuzzy_from:
                     out.add((node, 1))
                 out.update((c, 1) for b, c in trie[node].items() if b != byte and deepest[c] >= fuzzy_from)
         return closed(out)
 
-    def reached(states: frozenset[tuple[int, int]]) -> int:
-        exact = [ends[n] * 2 for n, e in states if e == 0 and n in ends]
-        near = [ends[n] * 2 + 1 for n, e in states if e == 1 and n in ends and len(terms[ends[n]]) >= fuzzy_from]
-        return min(exact) if exact else min(near) if near else -1
+    def reached(states: frozenset[tuple[int, int]], errors: int, least: int) -> int:
+        return min((ends[n] for n, e in states if e == errors and n in ends and len(terms[ends[n]]) >= least), default=-1)
 
     used = sorted({b for t in terms for b in t})
-    start = frozenset({(0, 0)})
+    kind = np.zeros(256, np.int32)
+    kind[used] = np.arange(1, len(used) + 1)
+    start = closed({(0, 0)})
     names: dict[frozenset, int] = {frozenset(): 0, start: 1}
     order = [frozenset(), start]
-    rows = [np.zeros(256, np.int32)]
+    rows = [np.zeros(len(used) + 1, np.int32)]
     k = 1
     while k < len(order):
         other = step(order[k], -1)
-        row = np.zeros(256, np.int32)
-        targets = {b: step(order[k], b) for b in used}
+        # Bytes that no node of the state goes on with all lead to the same.
+        targets = {b: step(order[k], b) for b in sorted({b for n, _ in order[k] for b in trie[n]})}
         for t in (other, *targets.values()):
             if t not in names:
                 names[t] = len(order)
                 order.append(t)
-        row[:] = names[other]
+        row = np.full(len(used) + 1, names[other], np.int32)
         for b, t in targets.items():
-            row[b] = names[t]
+            row[kind[b]] = names[t]
         rows.append(row)
         k += 1
-    return Automaton(np.stack(rows), np.array([reached(s) for s in order], np.int32), terms)
+    exact, near = (np.array([reached(s, e, least) for s in order], np.int32) for e, least in ((0, 0), (1, fuzzy_from)))
+    return Automaton(kind, np.stack(rows), exact, near, terms)
 
 
 def match_words(auto: Automaton, low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(word index, accepted value) of the words that the automaton accepts; an exact match wins over a later one with an error."""
+    """(word index, term times 2 plus errors) of the words that the automaton accepts; an exact match wins over one with an error."""
     alive, state = np.arange(len(starts)), np.ones(len(starts), np.int32)
     best = np.full(len(starts), -1, np.int32)
+    kinds = auto.kind[low]
     k = 0
     while len(alive):
-        state = auto.table[state, low[starts[alive] + k]]
+        state = auto.table[state, kinds[starts[alive] + k]]
         k += 1
-        got = auto.accept[state]
-        hit = (got >= 0) & ((best[alive] < 0) | (best[alive] % 2 > got % 2))
-        best[alive[hit]] = got[hit]
-        go = (state > 0) & (starts[alive] + k < ends[alive])
+        got = auto.exact[state]
+        hit = got >= 0
+        best[alive[hit]] = got[hit] * 2
+        got = auto.near[state]
+        near = ~hit & (got >= 0) & (starts[alive] + k == ends[alive])
+        best[alive[near]] = got[near] * 2 + 1
+        go = (state > 0) & ~hit & (starts[alive] + k < ends[alive])
         alive, state = alive[go], state[go]
     found = np.flatnonzero(best >= 0)
-    size = np.array([len(t) for t in auto.terms])[best[found] // 2]
-    whole = (best[found] % 2 == 0) | (np.abs((ends - starts)[found] - size) <= 1)  # with an error, the word is the term
-    return found[whole], best[found[whole]]
+    return found, best[found]
 
 
 def features(auto: Automaton, weights: np.ndarray, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -202,7 +208,7 @@ def _stem_counts(rows: DataFrame, among: frozenset[bytes] | None = None) -> Data
     return rows.select("_text").mapInArrow(scan, "stem string, n bigint").groupBy("stem").agg(F.sum("n").alias("n"))
 
 
-def mine_lexicon(sample: DataFrame, terms: int = TERMS, least_share: float = 0.005) -> list[tuple[bytes, float]]:
+def mine_lexicon(sample: DataFrame, least_share: float = 0.005) -> list[tuple[bytes, float]]:
     """Stems with weights (log odds) that texts labelled 1 hold and others hardly do.
 
     sample: _text, label; a bounded sample, so its stems are bounded too. Of
@@ -222,7 +228,7 @@ def mine_lexicon(sample: DataFrame, terms: int = TERMS, least_share: float = 0.0
     longer = {s: max((t for t in precise if t.startswith(s) and toxic[t] >= 0.95 * toxic[s]), key=len) for s in shortest}
     kept = sorted(set(longer.values()))
     kept.sort(key=lambda s: (-odds(s) * np.sqrt(toxic[s]), s))
-    return [(s, odds(s)) for s in kept[:terms]]
+    return [(s, odds(s)) for s in kept]
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
@@ -275,7 +281,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     lexicon = mine_lexicon(chosen)
     kind = texts.schema["_id"].dataType.simpleString()
     if lexicon:
-        auto, weights = build_automaton([s for s, _ in lexicon]), np.array([w for _, w in lexicon])
+        auto, weights = build_automaton([s for s, _ in lexicon], first_right=False), np.array([w for _, w in lexicon])
         fitted = _feature_rows(chosen, ["label"], auto, weights, "label int").toPandas()
         x = np.stack(fitted["x"].to_numpy())
         model = fit_logistic(x, fitted["label"].to_numpy(float))

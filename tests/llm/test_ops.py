@@ -195,6 +195,23 @@ def test_automaton_matches_edit_distance(seed):
             assert not [t for t in terms if len(t) >= 5 and w[0] == t[0] and distance(w, t) <= 1]
 
 
+def test_errors_are_judged_over_the_whole_word():
+    terms = [b"scoun", b"scoundrel", b"idiot", b"moron"]
+    auto = toxicity.build_automaton(terms, first_right=False)
+    want = {b"sscoundrel": 1, b"scounsomething": 0, b"sconudrel": None, b"scondrel": 1, b"scoudnrel": None, b"scudrel": None, b"idioms": None, b"morose": None, b"idiott": 2, b"idiof": 2, b"ydiot": 2, b"diot": 2, b"xidiot": 2, b"moran": 3, b"mron": 3, b"idiots": 2}
+    for word, term in want.items():
+        data = np.frombuffer(word, np.uint8)
+        _, value = toxicity.match_words(auto, data, np.array([0]), np.array([len(data)]))
+        assert (value // 2).tolist() == ([] if term is None else [term]), word
+
+
+def test_lexicon_keeps_every_precise_stem(spark):
+    names = [f"{a}{b}{c}zz" for a in "bcdfghj" for b in "aeiou" for c in "klmnp"]  # 175
+    rows = [(f"the river {name} and {names[(k + 1) % len(names)]}", 1) for k, name in enumerate(names) for _ in range(3)] + [("the river and", 0)] * 600
+    found = toxicity.mine_lexicon(spark.createDataFrame(rows, "_text string, label int"))
+    assert {s.decode() for s, _ in found} >= set(names)
+
+
 # 3 ---------------------------------------------------------------------------
 
 
