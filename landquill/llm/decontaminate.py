@@ -176,6 +176,21 @@ def _scanner(windows, schema: T.StructType, cut: bool) -> Callable[[Iterator[pa.
     return scan
 
 
+def _blocks(items: DataFrame, total: int, block_bytes: int) -> list[DataFrame]:
+    """The different items, dealt into measured blocks of up to ``block_bytes``, or of the few that share a small bucket with a longer item."""
+    if total <= block_bytes:
+        return [items]
+    bucket = F.pmod(F.xxhash64("i", "t"), F.lit(64 * -(-total // block_bytes)))
+    blocks, held = [], block_bytes
+    for r in items.groupBy(bucket.alias("b")).agg(F.sum(F.octet_length("t")).alias("n")).orderBy("b").collect():
+        if held + r["n"] > block_bytes:
+            blocks.append((r["b"], r["b"]))
+            held = 0
+        blocks[-1] = (blocks[-1][0], r["b"])
+        held += r["n"]
+    return [items.filter(bucket.between(a, b)) for a, b in blocks]
+
+
 def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", width: int = 13, share: int = 20, block_bytes: int = BLOCK_TEXT_BYTES, keep: list[str] | None = None, cut: bool = False) -> DataFrame:
     """Words of each text that lie in a window of a test item.
 
@@ -190,20 +205,19 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     no window; a null item id is named "null"; repeated items count once per
     id; repeated rows are each scanned. An empty benchmark hits nothing.
 
-    The benchmark's total size is measured first. Up to ``block_bytes`` its
-    windows are one broadcast; beyond that items are dealt into blocks, each
+    The total size of the different items is measured first. Up to ``block_bytes`` its
+    windows are one broadcast; beyond that items are dealt into measured blocks, each
     broadcast in turn, and every text is scanned for each block.
     """
     keep = keep or [id_col]
-    items = bench.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("i"), F.coalesce(F.col(item_text), F.lit("")).alias("t")).filter("t <> ''")
+    items = bench.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("i"), F.coalesce(F.col(item_text), F.lit("")).alias("t")).filter("t <> ''").distinct()
     total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
-    blocks = max(1, -(-total // block_bytes))
+    blocks = _blocks(items, total, block_bytes)
     out = docs.select(*[F.col(c).alias(f"_keep{n}") for n, c in enumerate(keep)], F.col(text_col).alias("_text"))
     added = T.StructType().add("_n", "long").add("_from", T.ArrayType(T.IntegerType())).add("_to", T.ArrayType(T.IntegerType())).add("_items", T.ArrayType(T.StringType()))
-    for block in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block) if blocks > 1 else items
+    for block, part in enumerate(blocks):
         windows = docs.sparkSession.sparkContext.broadcast(window_set([(r["i"], r["t"]) for r in part.collect()], width))
-        last = block == blocks - 1
+        last = block == len(blocks) - 1
         fields = [f for f in out.schema.fields if f.name.startswith("_keep") or f.name == "_text" and not last]
         schema = T.StructType([*fields, *added.fields, *([T.StructField("_clean", T.StringType())] if cut and last else [])])
         out = out.mapInArrow(_scanner(windows, schema, cut and last), schema)

@@ -302,6 +302,17 @@ def test_decontaminate(spark, docs, rows, empty, block):
     assert not any(r["n_hit"] for r in decontaminate.contamination(docs, bench.limit(0)).collect())
 
 
+def test_decontaminate_bounds_blocks_of_repeated_items(spark, docs, monkeypatch):
+    rng = random.Random(8)
+    items = [(k, prose(rng, 20)) for k in range(200)] + [(500, prose(rng, 20))] * 100
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    blocks, plain = [], decontaminate.window_set
+    monkeypatch.setattr(decontaminate, "window_set", lambda rows, width: blocks.append(list(rows)) or plain(rows, width))
+    decontaminate.contamination(docs, bench, block_bytes=8000)
+    assert len(blocks) > 1 and sorted(int(i) for b in blocks for i, _ in b) == [*range(200), 500]
+    assert all(sum(len(t.encode()) for _, t in b) <= 8000 for b in blocks)
+
+
 # 5 ---------------------------------------------------------------------------
 
 
