@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from landquill.shared import running
+
 
 def representative_rows(rows: DataFrame) -> DataFrame:
     """Of each company the total row, else the one with the largest ratio, the first of equals by seq."""
@@ -26,9 +28,9 @@ def count_filled(value: str) -> Column:
 def ranked(companies: DataFrame) -> DataFrame:
     """rank by ratio, the larger first, then by code; companies without a ratio are left out.
 
-    The rank is global, over one row for each listed company.
+    Companies are ranked in ranges of the ratio, which then count those of the ranges before.
     """
-    return companies.filter("ratio IS NOT NULL").withColumn("rank", F.row_number().over(Window.orderBy(F.col("ratio").desc(), F.col("code"))))
+    return running(companies.filter("ratio IS NOT NULL"), [F.col("ratio").desc(), F.col("code")], rank=F.lit(1)).withColumn("rank", (F.col("rank") + 1).cast("int"))
 
 
 def top(companies: DataFrame, n: int) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,3 +27,20 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def running(df: DataFrame, order: list[Column], **sums: Column) -> DataFrame:
+    """``df`` with, for each of ``sums``, its sum over all rows before in a total order (0 for the first row).
+
+    Rows are dealt into ranges of the order and added up in each range on its
+    own; the totals of earlier ranges, one row for each range, are joined to it.
+    """
+    dealt = df.withColumns({f"_add_{name}": add for name, add in sums.items()}).repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    dealt = checkpointed(dealt)
+    totals = dealt.groupBy("_range").agg(*[F.sum(f"_add_{name}").alias(f"_of_{name}") for name in sums])
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(F.col("_range").alias("_r"), *[F.coalesce(F.sum(f"_of_{name}").over(earlier), F.lit(0)).alias(f"_of_{name}") for name in sums])
+    here = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = dealt.withColumns({f"_own_{name}": F.coalesce(F.sum(f"_add_{name}").over(here), F.lit(0)) for name in sums})
+    out = inside.join(F.broadcast(totals), F.col("_range") == F.col("_r"))
+    return out.select(*df.columns, *[(F.col(f"_own_{name}") + F.col(f"_of_{name}")).alias(name) for name in sums])
