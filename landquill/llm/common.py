@@ -7,13 +7,29 @@ from pyspark.sql import functions as F
 
 from landquill.shared import checkpointed, shared_folder, stored
 
-__all__ = ["checkpointed", "lower_ascii", "remainder", "shared_folder", "stored", "table", "unit"]
+__all__ = ["checkpointed", "columns_of", "fresh", "lower_ascii", "remainder", "shared_folder", "stored", "table", "unit"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """A column name for each of ``names`` that ``df`` has no column of, whatever the case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, by their names as they are."""
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

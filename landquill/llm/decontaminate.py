@@ -12,15 +12,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from landquill.llm.common import stored
 from landquill.llm.textbytes import ALNUM, LOWER, lookup, prefix_sums, range_hash, ranges, segment_sums, text_blocks, word_bounds
 
-#: Bytes of benchmark text whose windows go into one broadcast. A larger
-#: benchmark is scanned for in several blocks, one after another.
-BLOCK_TEXT_BYTES = 32 << 20
+#: Bytes of benchmark text whose windows, about one for each six bytes and some
+#: hundred bytes of memory each, go into one broadcast. A larger benchmark is
+#: scanned for in several blocks, one after another.
+BLOCK_TEXT_BYTES = 4 << 20
 _VERIFY_BYTES = 1 << 22
 _FILTER_BITS = 20
 
@@ -191,29 +193,12 @@ def _blocks(items: DataFrame, total: int, block_bytes: int) -> list[DataFrame]:
     return [items.filter(bucket.between(a, b)) for a, b in blocks]
 
 
-def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", width: int = 13, share: int = 20, block_bytes: int = BLOCK_TEXT_BYTES, keep: list[str] | None = None, cut: bool = False) -> DataFrame:
-    """Words of each text that lie in a window of a test item.
-
-    Texts are lower-cased in A-Z; words are runs of ASCII letters, digits and
-    characters beyond ASCII. A window is ``width`` words of an item in a row,
-    or a shorter item as a whole. Returns the columns ``keep`` (the id alone
-    unless given), n_words, n_hit, n_items, items_sha256, contaminated (n_hit >
-    0 and share * n_hit >= n_words), hit_from and hit_to (runs of hit words,
-    end exclusive), and with ``cut`` clean_text (the text without those runs).
-
-    Null and empty texts have no words and are clean; items without words have
-    no window; a null item id is named "null"; repeated items count once per
-    id; repeated rows are each scanned. An empty benchmark hits nothing.
-
-    The total size of the different items is measured first. Up to ``block_bytes`` its
-    windows are one broadcast; beyond that items are dealt into measured blocks, each
-    broadcast in turn, and every text is scanned for each block.
-    """
-    keep = keep or [id_col]
+def _scanned(docs: DataFrame, bench: DataFrame, text_col: str, item_col: str, item_text: str, width: int, block_bytes: int, keep: list[str], cut: bool) -> DataFrame:
+    """The columns ``keep`` as _keep0 and so on, _n, _from, _to, _items, _hit, and with ``cut`` _clean."""
     items = bench.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("i"), F.coalesce(F.col(item_text), F.lit("")).alias("t")).filter("t <> ''").distinct()
     total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     blocks = _blocks(items, total, block_bytes)
-    out = docs.select(*[F.col(c).alias(f"_keep{n}") for n, c in enumerate(keep)], F.col(text_col).alias("_text"))
+    out = docs.select(*[F.col(f"`{c}`").alias(f"_keep{n}") for n, c in enumerate(keep)], F.col(text_col).alias("_text"))
     added = T.StructType().add("_n", "long").add("_from", T.ArrayType(T.IntegerType())).add("_to", T.ArrayType(T.IntegerType())).add("_items", T.ArrayType(T.StringType()))
     for block, part in enumerate(blocks):
         windows = docs.sparkSession.sparkContext.broadcast(window_set([(r["i"], r["t"]) for r in part.collect()], width))
@@ -221,10 +206,43 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
         fields = [f for f in out.schema.fields if f.name.startswith("_keep") or f.name == "_text" and not last]
         schema = T.StructType([*fields, *added.fields, *([T.StructField("_clean", T.StringType())] if cut and last else [])])
         out = out.mapInArrow(_scanner(windows, schema, cut and last), schema)
+        if not last:  # a job of its own, so that one block's windows are in memory at a time
+            out = stored(out)
+            windows.destroy()
     n_hit = F.aggregate(F.zip_with("_to", "_from", lambda b, a: (b - a).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
-    out = out.withColumn("_hit", n_hit)
+    return out.withColumn("_hit", n_hit)
+
+
+def _contaminated(share: int) -> Column:
+    return (F.col("_hit") > 0) & (F.col("_hit") * share >= F.col("_n"))
+
+
+def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", width: int = 13, share: int = 20, block_bytes: int = BLOCK_TEXT_BYTES, cut: bool = False) -> DataFrame:
+    """Words of each text that lie in a window of a test item.
+
+    Texts are lower-cased in A-Z; words are runs of ASCII letters, digits and
+    characters beyond ASCII. A window is ``width`` words of an item in a row,
+    or a shorter item as a whole. Returns id, n_words, n_hit, n_items,
+    items_sha256, contaminated (n_hit > 0 and share * n_hit >= n_words),
+    hit_from and hit_to (runs of hit words, end exclusive), and with ``cut``
+    clean_text (the text without those runs).
+
+    Null and empty texts have no words and are clean; items without words have
+    no window; a null item id is named "null"; repeated items count once per
+    id; repeated rows are each scanned. An empty benchmark hits nothing.
+
+    The total size of the different items is measured first. Up to ``block_bytes`` its
+    windows are one broadcast; beyond that items are dealt into measured blocks, and every
+    text is scanned for each block in a job of its own, with only that block broadcast.
+    """
+    out = _scanned(docs, bench, text_col, item_col, item_text, width, block_bytes, [id_col], cut)
     return out.select(
-        *[F.col(f"_keep{n}").alias(c) for n, c in enumerate(keep)], F.col("_n").alias("n_words"), F.col("_hit").alias("n_hit"), F.size("_items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("_items", ",").cast("binary"), 256).alias("items_sha256"), ((F.col("_hit") > 0) & (F.col("_hit") * share >= F.col("_n"))).alias("contaminated"),
-        F.col("_from").alias("hit_from"), F.col("_to").alias("hit_to"), *([F.col("_clean").alias("clean_text")] if cut else []),
+        F.col("_keep0").alias(id_col), F.col("_n").alias("n_words"), F.col("_hit").alias("n_hit"), F.size("_items").cast("long").alias("n_items"), F.sha2(F.array_join("_items", ",").cast("binary"), 256).alias("items_sha256"),
+        _contaminated(share).alias("contaminated"), F.col("_from").alias("hit_from"), F.col("_to").alias("hit_to"), *([F.col("_clean").alias("clean_text")] if cut else []),
     )
+
+
+def clean_documents(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", width: int = 13, share: int = 20, block_bytes: int = BLOCK_TEXT_BYTES) -> DataFrame:
+    """The rows of ``docs`` that aren't contaminated, unchanged; otherwise as ``contamination``."""
+    out = _scanned(docs, bench, text_col, item_col, item_text, width, block_bytes, docs.columns, False)
+    return out.filter(~_contaminated(share)).select(*[F.col(f"_keep{n}").alias(c) for n, c in enumerate(docs.columns)])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landquill.llm.common import checkpointed
+from landquill.llm.common import checkpointed, columns_of, fresh
 
 WHITESPACE = r"[\x20\x09-\x0D]+"
 #: A chunk ends behind the first cut point after ``least`` characters: a
@@ -69,11 +69,17 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of equal texts the one with the smallest id.
+    """The rows of ``docs`` that stay, unchanged: of equal texts the one with the smallest id.
 
-    Rows that repeat an id and its text stay once.
+    Rows are judged by id and text: of an id with several texts each one stays
+    or goes with its own group. Of rows that repeat an id and its text, white
+    space apart, one stays, whichever; nulls count as the empty text.
     """
-    kept = exact_groups(docs, id_col, text_col).filter("kept").select("doc_id", "text_sha256")
-    once = checkpointed(kept.distinct())
-    out = docs.join(once.select(F.col("doc_id").alias("_kept_id")), F.col(id_col).eqNullSafe(F.col("_kept_id")), "left_semi").select(docs.columns)
-    return out if once.count() == kept.count() else out.dropDuplicates([id_col, text_col])
+    kept = checkpointed(exact_groups(docs, id_col, text_col).filter("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")))
+    sha, kept_id, kept_sha = fresh(docs, "sha", "kept_id", "kept_sha")
+    marked = docs.withColumn(sha, F.sha2(normalised(F.col(text_col)).cast("binary"), 256))
+    same = F.col(id_col).eqNullSafe(F.col(kept_id)) & (F.col(sha) == F.col(kept_sha))
+    out = marked.join(kept.select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_sha)), same, "left_semi")
+    if not kept.filter("n > 1").isEmpty():
+        out = out.dropDuplicates([id_col, sha])
+    return out.select(columns_of(docs))

@@ -234,8 +234,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     return fit_additive(np.stack(rows["x"].to_numpy()), rows["label"].to_numpy(float))
 
 
-def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", folds: int = 4, held: int = 2, sample: int = SAMPLE, threshold: float = 0.7, keep: list[str] | None = None) -> DataFrame:
-    """A quality score for every text: the columns ``keep`` (the id unless given), held_out, score, predicted.
+def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", folds: int = 4, held: int = 2, sample: int = SAMPLE, threshold: float = 0.7) -> DataFrame:
+    """A quality score for every text: id, held_out, score, predicted (1 if the score is ``threshold`` or more).
 
     The model sees features of the text alone and learns from labelled rows
     outside the held-out fold (crc32 of the id modulo ``folds`` is ``held``),
@@ -244,10 +244,21 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     text. Null ids or labels in ``labels`` are no samples; an id with both
     labels counts for each. Without samples of both labels every score is 0.5.
     """
-    keep = keep or [id_col]
+    scored = _scored(docs, labels, id_col, text_col, label_col, folds, held, sample, [id_col])
+    return scored.select(F.col("_keep0").alias(id_col), (remainder(F.col("_keep0"), folds) == held).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", folds: int = 4, held: int = 2, sample: int = SAMPLE, threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` whose score is ``threshold`` or more, unchanged; otherwise as ``quality``."""
+    scored = _scored(docs, labels, id_col, text_col, label_col, folds, held, sample, docs.columns)
+    return scored.filter(F.col("score") >= threshold).select(*[F.col(f"_keep{k}").alias(c) for k, c in enumerate(docs.columns)])
+
+
+def _scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, held: int, sample: int, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` as _keep0 and so on, and score."""
     model = docs.sparkSession.sparkContext.broadcast(fit_quality(docs, labels, id_col, text_col, label_col, folds, held, sample))
-    rows = docs.select(*[F.col(c).alias(f"_keep{k}") for k, c in enumerate(keep)], F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    kept = [f"_keep{k}" for k in range(len(keep))] + ["_id"]
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"_keep{k}") for k, c in enumerate(keep)], F.col(text_col).alias("_text"))
+    kept = [f"_keep{k}" for k in range(len(keep))]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
@@ -258,5 +269,4 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), pa.array(score)], names=[*kept, "score"])
 
     kinds = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in kept)
-    out = rows.mapInArrow(scan, f"{kinds}, score double")
-    return out.select(*[F.col(f"_keep{k}").alias(c) for k, c in enumerate(keep)], (remainder(F.col("_id"), folds) == held).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return rows.mapInArrow(scan, f"{kinds}, score double")

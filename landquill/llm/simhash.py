@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landquill.llm.common import checkpointed
+from landquill.llm.common import checkpointed, columns_of, fresh
 from landquill.llm.components import components
 from landquill.llm.textbytes import LOWER, NOT_SPACE, ranges, text_blocks, word_bounds
 
@@ -59,17 +59,17 @@ def fingerprints_of(data: np.ndarray, offs: np.ndarray, width: int = 4, seed: in
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, seed: int = 42) -> DataFrame:
-    """id, fp (the fingerprint as a signed long) of every text."""
+    """id, own (a 64-bit hash of the text), fp (the fingerprint as a signed long) of every text."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [fingerprints_of(data, offs, width, seed) for _, data, offs in text_blocks(batch, "_text")]
             fps = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(fps.view(np.int64))], names=["_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("own"), pa.array(fps.view(np.int64))], names=["_id", "own", "fp"])
 
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("own"), F.col(text_col).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
-    return rows.mapInArrow(scan, f"_id {kind}, fp bigint").withColumnRenamed("_id", id_col)
+    return rows.mapInArrow(scan, f"_id {kind}, own bigint, fp bigint").withColumnRenamed("_id", id_col)
 
 
 def _rotated(fp: Column, by: int) -> Column:
@@ -188,6 +188,15 @@ def _compare(keyed: DataFrame, pairs: DataFrame, most: int) -> DataFrame:
     return sides.groupBy("depth", "a", "b").applyInPandas(compare_pairs, "u long, v long")
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, most: int, seed: int, leaf: int) -> DataFrame:
+    """doc_id, own, fp, component_id of every row."""
+    fps = checkpointed(fingerprints(docs, id_col, text_col, width, seed).select(F.col(id_col).alias("doc_id"), "own", "fp"))
+    points = checkpointed(fps.groupBy("fp").agg(F.min("doc_id").alias("node")).filter("node IS NOT NULL"))
+    labels = components(trie_links(points, most, leaf=leaf))
+    named = points.join(labels, "node", "left").select("fp", F.coalesce("label", "node").alias("component_id"))
+    return fps.join(named, "fp", "left").select("doc_id", "own", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, most: int = 4, seed: int = 42, leaf: int = LEAF) -> DataFrame:
     """Every document with its fingerprint and the smallest id of its group.
 
@@ -199,16 +208,19 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     link like any other. Repeated rows are returned as often as they come. A
     null id takes part in no group: it is its own component_id.
     """
-    fps = checkpointed(fingerprints(docs, id_col, text_col, width, seed).select(F.col(id_col).alias("doc_id"), "fp"))
-    points = checkpointed(fps.groupBy("fp").agg(F.min("doc_id").alias("node")).filter("node IS NOT NULL"))
-    labels = components(trie_links(points, most, leaf=leaf))
-    named = points.join(labels, "node", "left").select("fp", F.coalesce("label", "node").alias("component_id"))
-    out = fps.join(named, "fp", "left")
-    return out.select(F.col("doc_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    out = _grouped(docs, id_col, text_col, width, most, seed, leaf)
+    return out.select(F.col("doc_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, most: int = 4) -> DataFrame:
-    """The rows of ``docs`` that stay: of each group the document with the smallest id; rows with a null id stay."""
-    groups = near_groups(docs, id_col, text_col, width, most)
-    gone = groups.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone"))
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti").select(docs.columns)
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, most: int = 4, seed: int = 42, leaf: int = LEAF) -> DataFrame:
+    """The rows of ``docs`` that stay, unchanged: of each group the document with the smallest id.
+
+    Rows are judged one by one: of an id with several texts those stay whose
+    group has no smaller id. Rows that repeat the id and text of the one that
+    stays are the same document and stay with it; rows with a null id stay.
+    """
+    gone = _grouped(docs, id_col, text_col, width, most, seed, leaf).filter(F.col("doc_id") != F.col("component_id"))
+    own, gone_id, gone_own = fresh(docs, "own", "gone_id", "gone_own")
+    gone = gone.select(F.col("doc_id").alias(gone_id), F.col("own").alias(gone_own)).distinct()
+    marked = docs.withColumn(own, F.xxhash64(text_col))
+    return marked.join(gone, (F.col(id_col) == F.col(gone_id)) & (F.col(own) == F.col(gone_own)), "left_anti").select(columns_of(docs))
