@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landquill.llm.common import checkpointed, unit
+from landquill.shared import running
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents that one task step pairs off one after another.
@@ -25,21 +26,20 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), budge
     others until none is above. With the sources in ascending order of cap
     over weight, exactly a leading part is capped: the level that the rest
     would get, (budget - caps so far) / (weights left), tells which.
-    The windows run over one row for each source.
+    Running sums over the sources are added up in ranges of that order.
     """
     per = sizes.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("source_size"))
-    order = Window.orderBy(F.col("source").isNull(), F.col("source"))
-    pick = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(F.row_number().over(order) - 1, F.lit(len(weights))) + 1).cast("int"))
-    ranked = per.withColumn("_w", pick).withColumn("_cap", F.lit(most) * F.col("source_size"))
-    fill = Window.orderBy(F.col("_cap") / F.col("_w"), F.col("source").isNull(), "source")
-    before = fill.rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    level = (F.lit(budget) * F.sum("source_size").over(everything) - F.coalesce(F.sum("_cap").over(before), F.lit(0.0))) / (F.sum("_w").over(everything) - F.coalesce(F.sum("_w").over(before), F.lit(0.0)))
-    leveled = ranked.withColumn("_level", level)
+    by_name = [F.col("source").isNull(), F.col("source")]
+    pick = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("_k") % len(weights) + 1).cast("int"))
+    ranked = checkpointed(running(per, by_name, _k=F.lit(1)).withColumn("_w", pick).withColumn("_cap", F.lit(most) * F.col("source_size")).drop("_k"))
+    words, all_weights = ranked.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("_w"), F.lit(0.0))).first()
+    filled = running(ranked, [F.col("_cap") / F.col("_w"), *by_name], _caps=F.col("_cap"), _weights=F.col("_w"))
+    leveled = checkpointed(filled.withColumn("_level", (F.lit(budget * words) - F.col("_caps")) / (F.lit(all_weights) - F.col("_weights"))))
     # The first uncapped source has the level of all that follow; taking its cap
     # away as well lowers the levels that these come to, so it is the largest.
-    final = F.max(F.when(F.col("_level") * F.col("_w") < F.col("_cap"), F.col("_level"))).over(everything)
-    return leveled.withColumn("_final", final).select("source", "n", "source_size", F.when(F.col("_final").isNull(), F.col("_cap")).otherwise(F.least("_cap", F.col("_final") * F.col("_w"))).alias("target"))
+    final = leveled.agg(F.max(F.when(F.col("_level") * F.col("_w") < F.col("_cap"), F.col("_level")))).first()[0]
+    target = F.col("_cap") if final is None else F.least("_cap", F.lit(final) * F.col("_w"))
+    return leveled.select("source", "n", "source_size", target.alias("target"))
 
 
 def _pair_off(items: Column, seed: int) -> Column:
@@ -79,11 +79,12 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     the fraction is rounded by pivotal sampling: within hashed blocks of a
     source documents are paired off (see ``_pair_off``), at most one of a
     block stays open, and the open ones of all blocks form the next, smaller
-    level of the tree until one is left in each source, which is rounded to
-    the nearer side. A source's words so differ from its target by at most half
-    of one document. All draws are hashes of the pair, so that reruns agree.
+    level of the tree until one is left in each source. That one is taken in
+    part: its expected number of words, rounded. A source's words so differ
+    from its target by at most one, however long its documents are. All draws
+    are hashes of the pair, so that reruns agree.
 
-    Returns id, size, source_size, target, taken, copies. Null and empty texts
+    Returns id, size, source_size, target, taken, copies (whole ones). Null and empty texts
     have size 0 and take nothing. The null source is a source. Rows that repeat
     id, source and size are rounded together and get the same copies. A
     source of size 0 has target 0.
@@ -101,7 +102,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     rated = rated.withColumn("p", F.when(F.col("size") > 0, F.col("_rate") - F.col("base")).otherwise(F.lit(0.0)))
     whole = (F.col("p") < 1e-9) | (F.col("size") == 0)
 
-    settled = [rated.filter(whole).select("source", "doc_id", "size", "rep", F.col("base").alias("copies"))]
+    settled = [rated.filter(whole).select("source", "doc_id", "size", "rep", F.col("base").alias("copies"), F.lit(0).cast("long").alias("part"))]
     item = F.struct((F.col("size") * F.col("rep")).cast("double").alias("size"), "doc_id", "base", "p", "rep")
     opened = rated.filter(~whole).select("source", "n", item.alias("item"))
     levels = max(1, math.ceil(math.log(max(2, largest), block)) + 1)
@@ -111,17 +112,20 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
         blocks = opened.groupBy("source", spread.alias("block")).agg(F.max("n").alias("n"), F.sort_array(F.collect_list("item"), asc=False).alias("items"))
         paired = checkpointed(blocks.select("source", "n", _pair_off(F.col("items"), seed + 1000 * level).alias("got")))
         shut = paired.select("source", F.explode("got.shut").alias("item"))
-        settled.append(_closed(shut))
+        settled.append(_closed(shut, F.when(F.col("item.p") >= 0.5, 1).otherwise(0), F.lit(0).cast("long")))
         opened = paired.select("source", "n", F.col("got.open").alias("item"))
-    settled.append(_closed(opened))
+    # What the last open document takes beyond its whole copies, in words of all rows that it stands for.
+    rest = _closed(opened, F.lit(0), F.round(F.col("item.size") * F.col("item.p")).cast("long"))
+    settled.append(rest)
 
     out = settled[0]
     for more in settled[1:]:
         out = out.unionByName(more)
     out = out.join(side.drop("n"), F.col("source").eqNullSafe(F.col("_s"))).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rep"))))
-    return out.select(F.col("doc_id").alias(id_col), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+    return out.select(F.col("doc_id").alias(id_col), "size", "source_size", "target", (F.col("size") * F.col("copies") + F.floor(F.col("part") / F.col("rep")) + F.when(F.col("_copy") <= F.col("part") % F.col("rep"), 1).otherwise(0)).alias("taken"), "copies")
 
 
-def _closed(items: DataFrame) -> DataFrame:
-    own = items.select("source", "item.*")
-    return own.select("source", "doc_id", F.round(F.col("size") / F.col("rep")).cast("long").alias("size"), "rep", (F.col("base") + F.when(F.col("p") >= 0.5, 1).otherwise(0)).alias("copies"))
+def _closed(items: DataFrame, more: Column, part: Column) -> DataFrame:
+    """The documents of items with the copies beyond the base, and the words beyond all copies."""
+    own = items.select("source", "item.*", more.alias("more"), part.alias("part"))
+    return own.select("source", "doc_id", F.round(F.col("size") / F.col("rep")).cast("long").alias("size"), "rep", (F.col("base") + F.col("more")).alias("copies"), "part")
