@@ -12,43 +12,49 @@ from pyspark.sql import functions as F
 
 from landquill.llm.common import checkpointed
 
-#: Fixed patterns of the contract; the value has to be ``least`` characters long.
+#: Fixed patterns of the contract; group 1 is the value. Of an access key or a
+#: hex run a part is never longer than the run from its start, so the least
+#: length may stand in the pattern; a short assigned value uses up its text.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-ACCESS = r"(AKIA[A-Z0-9]+)"
-HEX = r"([0-9a-f]+)"
+ACCESS = r"(AKIA[A-Z0-9]{12,})"
+HEX = r"((?<![0-9a-f])[0-9a-f]{32,})"
 BASE = (("assign", ASSIGN, 8), ("access", ACCESS, 16), ("hex", HEX, 32))
 #: What may be a secret or an ordinary identifier for the models.
-TOKEN = r"([A-Za-z0-9+/_=-]+)"
-TOKEN_LEAST = 20
-TOKEN_RUN = rf"[A-Za-z0-9+/_=-]{{{TOKEN_LEAST},}}"
+TOKEN_LEAST = 12
+TOKEN = rf"((?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{TOKEN_LEAST},}})"
 SPANS = "array<struct<start:int,end:int,value:string>>"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 _START = 0
 _SIZE = len(ALPHABET) + 1
+#: Matches whose places are added up in one go.
+_CHUNK = 128
 
 
 def spans(text: Column, pattern: str, least: int) -> Column:
     """Array of struct(start, end, value) of the leftmost matches, left to right.
 
-    The text is cut into pairs (what lies before a match, the match), so that
-    positions are running sums of lengths in code points. The pattern's only
-    capturing group is the value; matches with a shorter value are dropped
-    after they have used up their text.
+    What lies between matches and the matches themselves alternate, so places
+    are running sums of their lengths in code points: within chunks of matches
+    first, then over the chunks, since an accumulated array is copied at each
+    step. The pattern's only capturing group is the value; matches with a
+    shorter value are dropped after they have used up their text.
     """
-    whole = rf"(?s)(.*?)(?:({pattern})|\z)"
-    gaps = F.regexp_extract_all(text, F.lit(whole), F.lit(1))
-    hits = F.regexp_extract_all(text, F.lit(whole), F.lit(2))
-    values = F.regexp_extract_all(text, F.lit(whole), F.lit(3))
-    pieces = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), values.alias("value"))
-    empty = F.array().cast(SPANS)
+    gaps, hits, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+    pieces = F.zip_with(F.slice(gaps, 1, F.size(hits)), F.arrays_zip(hits.alias("hit"), values.alias("value")), lambda g, h: F.struct(F.length(g).alias("gap"), F.length(h["hit"]).alias("n"), h["value"].alias("value")))
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["gap"])
-        end = start + F.length(x["hit"])
-        keep = F.length(x["value"]) >= least
-        return F.struct(end.alias("at"), F.when(keep, F.concat(state["found"], F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))))).otherwise(state["found"]).alias("found"))
+    def within(chunk: Column) -> Column:
+        def step(state: Column, x: Column) -> Column:
+            start = state["at"] + x["gap"]
+            end = start + x["n"]
+            found = F.concat(state["found"], F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))))
+            return F.struct(end.alias("at"), F.when(F.length(x["value"]) >= least, found).otherwise(state["found"]).alias("found"))
 
-    return F.aggregate(pieces, F.struct(F.lit(0).alias("at"), empty.alias("found")), step, lambda s: s["found"])
+        return F.aggregate(chunk, F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("found")), step)
+
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / _CHUNK).cast("int")), lambda i: within(F.slice(pieces, i * _CHUNK + 1, F.lit(_CHUNK))))
+    starts = F.aggregate(chunks, F.array(F.lit(0)), lambda s, c: F.concat(s, F.array(F.element_at(s, -1) + c["at"])))
+    moved = F.zip_with(chunks, F.slice(starts, 1, F.size(chunks)), lambda c, at: F.transform(c["found"], lambda x: F.struct((x["start"] + at).alias("start"), (x["end"] + at).alias("end"), x["value"].alias("value"))))
+    return F.when(F.size(hits) > 0, F.flatten(moved)).otherwise(F.array().cast(SPANS))
 
 
 def _spans_of(rank: int, kind: str) -> Callable[[Column], Column]:
@@ -67,71 +73,69 @@ def _bigrams(token: Column) -> Column:
     return F.zip_with(before, codes, lambda a, b: a * _SIZE + b)
 
 
-def markov_ratio(samples: DataFrame, smooth: float = 0.5) -> list[float]:
-    """Log-likelihood ratio (random over ordinary) of every character step.
+def markov_model(samples: DataFrame, smooth: float = 0.5) -> tuple[list[float], float] | None:
+    """(log-likelihood ratio, random over ordinary, of every character step; log of the prior odds). None without samples of both labels.
 
     samples: token, random (boolean). All samples are counted; the result has
     one cell for each pair of characters of the alphabet, whatever the corpus.
+    The token that is judged may be one of the ordinary samples, so that one
+    occurrence of each of their steps doesn't count.
     """
     cells = samples.select("random", F.explode(_bigrams(F.col("token"))).alias("cell")).groupBy("random", "cell").agg(F.count(F.lit(1)).alias("n")).collect()
     count: dict[bool, dict[int, int]] = {True: defaultdict(int), False: defaultdict(int)}
     for r in cells:
         count[r["random"]][r["cell"]] += r["n"]
+    n = {k: sum(v for cell, v in c.items() if cell < _SIZE) for k, c in count.items()}  # tokens: steps from the start
+    if not all(n.values()):
+        return None
     table = [0.0] * (_SIZE * _SIZE)
     for a in range(_SIZE):
         row = {k: sum(count[k][a * _SIZE + b] for b in range(_SIZE)) for k in count}
         for b in range(_SIZE):
-            p = {k: (count[k][a * _SIZE + b] + smooth) / (row[k] + smooth * _SIZE) for k in count}
-            table[a * _SIZE + b] = math.log(p[True] / p[False])
-    return table
+            random = (count[True][a * _SIZE + b] + smooth) / (row[True] + smooth * _SIZE)
+            ordinary = (max(0, count[False][a * _SIZE + b] - 1) + smooth) / (max(0, row[False] - 1) + smooth * _SIZE)
+            table[a * _SIZE + b] = math.log(random / ordinary)
+    return table, math.log(n[True] / n[False])
+
+
+def log_odds(token: Column, model: tuple[list[float], float]) -> Column:
+    """Log of the odds that a token is random: its steps' ratios and the prior odds added up."""
+    cells = F.from_json(F.lit(json.dumps(model[0])), "array<double>")
+    return F.aggregate(_bigrams(token), F.lit(model[1]), lambda s, cell: s + F.element_at(cells, cell + 1))
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.0) -> DataFrame:
-    """Spans of secrets in every text: id, found (array of struct(start, end, kind)).
+    """Spans of secrets in every text: id, base and found (arrays of struct(start, rank, end, kind, value)).
 
     kind is assign, access or hex for the spans of the fixed patterns, and
-    markov for a token of at least TOKEN_LEAST characters that holds a digit,
-    overlaps none of the others and is likelier under the model of random
-    strings than under that of ordinary identifiers, by more than ``threshold``
-    for each character. Both models are first-order chains over characters,
-    trained on all texts: the values of pattern spans are the samples labelled
-    random; words of TOKEN_LEAST or more characters outside such spans are the
-    samples labelled ordinary, as long as they hold letters only or parts
-    joined by ``_``, ``-`` or ``/`` without digits. With no sample of either
-    label no markov span is found. Positions are code points, end exclusive.
-    Null texts count as empty and have no spans; repeated rows are each scanned.
+    markov for a token (letters, digits and +/_=-) of TOKEN_LEAST or more
+    characters that overlaps none of the others and whose odds of being random
+    rather than an ordinary identifier are over ``threshold`` as a logarithm.
+    The odds come from two first-order chains over characters and from how
+    many samples each has. The samples are those of all texts, each different
+    token once: the values of pattern spans are labelled random, the tokens
+    outside such spans ordinary; what secrets are among the latter are too few
+    to change their counts. Without samples of both labels no markov span is
+    found. Positions are code points, end exclusive. Null texts count as empty
+    and have no spans; repeated rows are each scanned.
     """
     body = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
-    none = F.array().cast(SPANS)
-    digit = F.lit("[0-9]")
-    longs = F.regexp_extract_all("_t", F.lit(TOKEN_RUN), F.lit(0))
-    gates = {"assign": F.rlike("_t", F.lit(ASSIGN)), "access": F.contains("_t", F.lit("AKIA")), "hex": F.rlike("_t", F.lit("[0-9a-f]{32}"))}
-    seen = body.select("*", longs.alias("_longs"), *[g.alias(f"_{k}") for k, g in gates.items()])
-    # Most texts have no base span and no long token with a digit: there, the
-    # long tokens are ordinary samples and no position is needed.
-    seen = seen.withColumn("_place", F.col("_assign") | F.col("_access") | F.col("_hex") | F.exists("_longs", lambda x: F.rlike(x, digit)))
-    placed = [F.when(F.col(f"_{k}"), spans(F.col("_t"), p, n)).otherwise(none).alias(k) for k, p, n in BASE]
-    placed.append(F.when(F.col("_place"), spans(F.col("_t"), TOKEN, TOKEN_LEAST)).otherwise(none).alias("long"))
-    scanned = checkpointed(seen.select("doc_id", *placed, F.when(~F.col("_place"), F.col("_longs")).otherwise(F.array().cast("array<string>")).alias("ordinary")))
+    gates = {"assign": F.rlike("_t", F.lit(ASSIGN)), "access": F.contains("_t", F.lit("AKIA")), "hex": F.rlike("_t", F.lit(HEX))}
+    placed = [F.when(gates[k], spans(F.col("_t"), p, n)).otherwise(F.array().cast(SPANS)).alias(k) for k, p, n in BASE]
+    scanned = checkpointed(body.select("doc_id", *placed, spans(F.col("_t"), TOKEN, TOKEN_LEAST).alias("long")))
     base = F.concat(*[F.transform(k, _spans_of(rank, k)) for rank, (k, _, _) in enumerate(BASE)])
-    marked = scanned.select("doc_id", F.array_sort(base).alias("base"), "long", "ordinary")
-    free = F.filter("long", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    marked = scanned.select("doc_id", F.array_sort(base).alias("base"), "long")
+    # Few texts have any base span, and only there can a token overlap one.
+    free = F.when(F.size("base") == 0, F.col("long")).otherwise(F.filter("long", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))))
     marked = marked.withColumn("free", free)
     secret = marked.select(F.explode("base").alias("b")).select(F.col("b.value").alias("token"), F.lit(True).alias("random"))
     plain = marked.select(F.explode("free").alias("t")).select(F.col("t.value").alias("token"), F.lit(False).alias("random"))
-    plain = plain.union(marked.select(F.explode("ordinary").alias("token"), F.lit(False).alias("random"))).filter(~F.rlike("token", digit))
-    ratio = markov_ratio(secret.union(plain))
-    trained = any(ratio)
-    scored = F.filter("free", lambda t: F.lit(trained) & F.rlike(t["value"], digit) & (_score(t["value"], ratio) > threshold * F.length(t["value"])))
+    model = markov_model(secret.union(plain).distinct())
+    scored = F.filter("free", lambda t: log_odds(t["value"], model) > threshold) if model else F.array().cast(SPANS)
     extra = F.transform(scored, _spans_of(len(BASE), "markov"))
     return marked.select(F.col("doc_id").alias(id_col), "base", F.array_sort(F.concat("base", extra)).alias("found"))
 
 
-def _score(token: Column, ratio: list[float]) -> Column:
-    cells = F.from_json(F.lit(json.dumps(ratio)), "array<double>")
-    return F.aggregate(_bigrams(token), F.lit(0.0), lambda s, cell: s + F.element_at(cells, cell + 1))
-
-
 def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.0) -> DataFrame:
     """id, n_assign, n_access, n_hex, n_markov, base_sha256, spans of every text."""
     found = secret_spans(docs, id_col, text_col, threshold)
