@@ -21,15 +21,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from landquill.llm.common import stored, table
-from landquill.llm.decontaminate import contamination
+from landquill.llm.decontaminate import clean_documents
 from landquill.llm.exact_dedup import exact_dedup
 from landquill.llm.mixing import mixed
-from landquill.llm.quality import quality
+from landquill.llm.quality import good_documents
 from landquill.llm.simhash import near_dedup
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality(docs, table(spark, sf_dir, "labels"), keep=docs.columns).filter("predicted = 1").select(docs.columns)
+    return good_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def clean_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return contamination(docs, table(spark, sf_dir, "benchmark"), keep=docs.columns).filter("NOT contaminated").select(docs.columns)
+    return clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
