@@ -230,11 +230,12 @@ def removed_bytes(texts, length):
 @pytest.mark.parametrize("crowd, enough", [(1, 1), (1, 4096), (3, 2), (4096, 4096)])
 def test_suffix_dedup(docs, rows, empty, crowd, enough):
     texts = [(t or "").encode() for _, t, _ in [*rows, rows[3]]]
-    got = by_id(suffix_dedup.repeated_bytes(docs, length=60, seed=20, symbol=20, crowd=crowd, enough=enough))
-    for (i, _, _), data, gone in zip(rows, texts, removed_bytes(texts, 60)):
+    got = by_id(suffix_dedup.repeated_bytes(docs, length=60, passage=40, seed=20, symbol=20, crowd=crowd, enough=enough))
+    for (i, _, _), data, gone, again in zip(rows, texts, removed_bytes(texts, 60), removed_bytes(texts, 40)):
         kept = bytes(x for x, g in zip(data, gone) if not g)
         spans = sum(1 for k in range(len(gone)) if gone[k] and not (k and gone[k - 1]))
         assert (got[i]["n_bytes"], got[i]["n_removed"], got[i]["n_spans"], got[i]["kept_sha256"]) == (len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()), i
+        assert got[i]["n_repeated"] == sum(again), i
     assert suffix_dedup.repeated_bytes(empty).count() == 0
 
 
@@ -243,14 +244,15 @@ def test_suffix_dedup_of_parts(spark, monkeypatch):
     rng = random.Random(4)
     body = prose(rng, 600)
     texts = [body.encode(), (prose(rng, 50) + body[500:1500]).encode()]
-    parts = [suffix_dedup._parts(np.array([0, len(t)]), 60) for t in texts]
     whole = []
-    for t, p in zip(texts, parts):
+    for t in texts:
         data = np.frombuffer(t, np.uint8)
-        for _, a, b in p:
-            s, n, *_ = suffix_dedup.segments_of(data[a:b], 60, 20)
-            whole += [a + k for x, y in zip(s, n) for k in range(x, x + y)]
-    assert sorted(whole) == sorted([*range(len(texts[0]) - 59), *range(len(texts[1]) - 59)])
+        for _, a, b in suffix_dedup._parts(np.array([0, len(t)]), 40, 60):
+            _, s0, n, size, *_ = suffix_dedup.segments_of(data[a:b], np.array([0, b - a]), 40, 60, 20)
+            for x, y, z in zip(s0, n, size):
+                assert z == min(x + y + 59, b - a) - x and (a + x + z == len(t) or z == y + 59)
+                whole += range(a + x, a + x + y)
+    assert whole == [*range(len(texts[0]) - 39), *range(len(texts[1]) - 39)]
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -261,12 +263,13 @@ def test_merged_transforms_have_the_blocks_of_sorted_suffixes(seed):
     shards = []
     for shard in bodies:
         size = np.array([len(b) for b in shard])
-        shards.append(suffix_dedup.Shard(np.frombuffer(b"".join(shard), np.uint8), np.concatenate([[0], np.cumsum(size)]), size - length + 1, length, symbol))
-    found = suffix_dedup.repeated_windows(shards, [np.ones(len(b), np.int64) for b in bodies], length // symbol)
-    count = collections.Counter(b[s : s + length] for shard in bodies for b in shard for s in range(len(b) - length + 1))
-    for shard, (segment, place) in zip(bodies, found):
-        want = {(k, s) for k, b in enumerate(shard) for s in range(len(b) - length + 1) if count[b[s : s + length]] > 1}
-        assert set(zip(segment.tolist(), place.tolist())) == want
+        shards.append(suffix_dedup.Shard(np.frombuffer(b"".join(shard), np.uint8), np.concatenate([[0], np.cumsum(size)]), size - 8 + 1, symbol))
+    found = suffix_dedup.repeated_windows(shards, [np.ones(len(b), np.int64) for b in bodies], symbol, (8, length))
+    for size in (8, length):
+        count = collections.Counter(b[s : s + size] for shard in bodies for b in shard for s in range(len(b) - size + 1))
+        for shard, (segment, place) in zip(bodies, found[size]):
+            want = {(k, s) for k, b in enumerate(shard) for s in range(len(b) - size + 1) if count[b[s : s + size]] > 1}
+            assert set(zip(segment.tolist(), place.tolist())) == want
 
 
 # 4 ---------------------------------------------------------------------------
@@ -338,16 +341,20 @@ def test_mixing(spark, empty):
     sizes = collections.Counter()
     for _, t, s in rows:
         sizes[s] += len((t or "").split())
-    want, taken = targets(sizes), collections.Counter()
+    want, taken, part = targets(sizes), collections.Counter(), collections.Counter()
     for i, t, s in rows:
         n, r = len((t or "").split()), got[i]
-        assert (r["size"], r["source_size"], r["taken"]) == (n, sizes[s], n * r["copies"]) and r["copies"] in (0, 1, 2)
+        assert (r["size"], r["source_size"]) == (n, sizes[s]) and r["copies"] in (0, 1, 2) and n * r["copies"] <= r["taken"] <= 2 * n
+        part[s] += r["taken"] > n * r["copies"]
         assert r["target"] == pytest.approx(want[s])
         taken[s] += r["taken"]
-    assert all(abs(taken[s] - want[s]) <= 60 for s in sizes)
+    assert all(abs(taken[s] - want[s]) <= 1 for s in sizes) and max(part.values()) == 1
     again = by_id(mixing.mixed(docs.repartition(5), block=8))
     assert {i: r["taken"] for i, r in got.items()} == {i: r["taken"] for i, r in again.items()}
     assert mixing.mixed(empty).count() == 0
+    large = spark.createDataFrame([(k, "w " * (50_000 if k == 3 else 5), f"s{k % 2}") for k in range(40)], SCHEMA)
+    out = mixing.mixed(large, block=8).groupBy("source_size", "target").agg(F.sum("taken").alias("t")).collect()
+    assert len(out) == 2 and all(abs(r["t"] - r["target"]) <= 1 for r in out)
     twice = mixing.mixed(docs.unionByName(docs.filter("doc_id = 5")), block=8)
     assert twice.filter("doc_id = 5").count() == 2
 
@@ -458,7 +465,7 @@ def test_secrets(spark, empty):
     pick = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
     b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
     texts = ["token: secret: abcdefghij", "é PassWord = 'hunter2hunter2' tail", "token=short", "AKIA" + "A1" * 8 + " AKIAshort", "ſecret=abcdefgh12 ÅPI_KEY:\"x.y-z_0/1+2\"", pick("0123456789abcdef", 40) + "g" + "0" * 31, "", None, "\U0001f600 api_key=abcdefgh", "a\x01b token=12345678"]
-    texts += [f"password={pick(b64, 30)} word" for _ in range(60)] + [" ".join(rng.choice(["internationalization", "keitverschlichungenheit", "unverantwortlichkeiten", "some_long_identifier_name"]) for _ in range(8)) for _ in range(60)]
+    texts += [f"password={pick(b64, 30)} word" for _ in range(60)] + [" ".join("".join(rng.choice(["inter", "nation", "alization", "keit", "ver", "schlich", "ungen", "_identifier", "_long", "name", "words"]) for _ in range(6)) for _ in range(8)) for _ in range(60)]
     texts += ["see " + pick(b64, 34) + "7 here", "the identifier_number_with_long_words_1 here"]
     got = by_id(secrets.secret_report(spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], SCHEMA)))
     for i, text in enumerate(texts):
@@ -473,6 +480,44 @@ def test_secrets(spark, empty):
     assert secrets.secret_report(empty).count() == 0
 
 
+def test_markov_log_odds_and_held_out_samples(spark):
+    rng = random.Random(6)
+    pick = lambda chars: "".join(rng.choice(chars) for _ in range(rng.randrange(12, 40)))
+    kinds = ["0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", secrets.ALPHABET]
+    ordinary = ["inter", "nation", "schung", "keit", "ment", "able", "verb", "tion", "user", "_id", "-name", "2024", "house"]
+    samples = [(pick(rng.choice(kinds)), True) for _ in range(300)] + [("".join(rng.choice(ordinary) for _ in range(rng.randrange(4, 7))), False) for _ in range(900)]
+    table = spark.createDataFrame(samples, "token string, random boolean")
+    held = F.crc32(F.col("token").cast("binary")) % 5 == 2
+    model = secrets.markov_model(table.filter(~held))
+    count, start = collections.Counter(), collections.Counter()
+    for token, kind in samples:
+        if zlib.crc32(token.encode()) % 5 != 2:
+            start[kind] += 1
+            for a, b in zip("^" + token, token):
+                count[kind, a, b] += 1
+                count[kind, a] += 1
+    judged = table.filter(held).select("token", "random", secrets.log_odds(F.col("token"), model).alias("odds")).collect()
+    for r in judged:
+        want = math.log(start[True] / start[False])
+        for a, b in zip("^" + r["token"], r["token"]):
+            want += math.log((count[True, a, b] + 0.5) / (count[True, a] + 0.5 * 69)) - math.log((max(0, count[False, a, b] - 1) + 0.5) / (max(0, count[False, a] - 1) + 0.5 * 69))
+        assert r["odds"] == pytest.approx(want)
+    assert len(judged) > 150 and sum((r["odds"] > 0) == r["random"] for r in judged) >= 0.97 * len(judged)
+    assert secrets.markov_model(table.filter("random")) is None and secrets.markov_model(table.filter("NOT random")) is None
+
+
+def test_one_kind_of_sample_adds_no_span(spark):
+    texts = ["internationalization of responsibilities", "ZK8QW2XN5VB7MT3LP9RDXX", ""]
+    got = secrets.secret_report(spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], SCHEMA)).collect()
+    assert all(r["spans"] == "" and r["n_markov"] == 0 for r in got)
+
+
+def test_places_of_very_many_matches(spark):
+    text = "é token: abcdefgh1 secret=x " * 1000
+    row = secrets.secret_report(spark.createDataFrame([(1, text, "s")], SCHEMA)).first()
+    assert row["n_assign"] == 1000 and row["base_sha256"] == hashlib.sha256(",".join(f"assign:{28 * k + 2}:{28 * k + 18}" for k in range(1000)).encode()).hexdigest()
+
+
 # 10 --------------------------------------------------------------------------
 
 

@@ -1,12 +1,15 @@
 """The corpus pipeline stage by stage on a small corpus."""
 
+import collections
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from landquill.llm.exact_dedup import exact_dedup
 from landquill.llm.quality import quality
+from landquill.llm.simhash import near_dedup
 from test_ops import prose
 
 
@@ -49,6 +52,27 @@ def test_stages(spark, folder):
     assert kept["mix"] == kept["decontaminate"]
 
 
+def test_stages_leave_columns_alone_whatever_their_names(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    names = ["predicted", "held_out", "Score", "contaminated", "n_words", "_gone", "gone_id", "own", "_kept_id", "kept_id", "sha", "kept_sha", "fp", "n", "component_id", "a.b"]
+    wide = docs.select("*", *[F.lit(k).alias(c) for k, c in enumerate(names)])
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        plain, out = stage(spark, docs, folder), stage(spark, wide, folder)
+        assert out.columns == wide.columns
+        assert collections.Counter(tuple(r) for r in out.collect()) == collections.Counter((*r, *range(len(names))) for r in plain.collect())
+    assert corpus_pipeline.STAGES[4][1](spark, wide, folder).count() == docs.count()
+
+
+@pytest.mark.parametrize("stage", [exact_dedup, near_dedup])
+def test_an_id_with_two_texts_is_judged_text_by_text(spark, stage):
+    rng = random.Random(1)
+    same, other = prose(rng, 40), prose(random.Random(99), 60)
+    rows = [(3, same), (5, other), (5, same.replace(" ", "  ")), (5, other), (None, same), (None, other + " x"), (9, None), (8, "")]
+    left = [(r["doc_id"], r["text"]) for r in stage(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert (3, same) in left and (5, other) in left and (5, same.replace(" ", "  ")) not in left and (8, "") in left and (9, None) not in left
+    assert left.count((5, other)) == (1 if stage is exact_dedup else 2)
+
+
 def test_run(spark, folder):
     out = corpus_pipeline.run(spark, folder)
     total = out.agg(F.sum("size"), F.sum("taken")).first()
