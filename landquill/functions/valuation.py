@@ -18,6 +18,16 @@ EQUIPMENT_FAMILY = (
 #: Wards where a large area is suspicious, and from which area on.
 HIGH_PRICE_WARDS = ("千代田区", "中央区", "港区", "新宿区", "渋谷区", "文京区", "台東区", "豊島区", "目黒区", "品川区")
 LARGE_AREA = 10_000.0
+#: The texts of warnings.
+WARNINGS = {
+    "multi_location": "所在地に複数所在地シグナルを含む(他/ほか/及び/等/外)(合算面積の可能性)",
+    "muni_centroid": "muni_centroid",
+    "oaza_chome": "oaza_chome",
+    "far_points": "k近傍最遠距離10000m以上",
+    "low_confidence_large": "信頼度lowかつ土地面積5000m2以上",
+    "extreme_multiple": "評価倍率閾値超過",
+}
+REPEATED_ADDRESS = "同一住所かつ大面積の複数拠点"
 
 
 def level_factor(level: Column, factors: dict[str, float] | None = None) -> Column:
@@ -41,12 +51,12 @@ def valuation(unit_price: Column, factor: Column, area: Column, book: Column, ca
     """unit_price, est, gain, multiple, cap_ratio.
 
     The estimate uses the unit price after the factor, rounded half to even;
-    multiple and ratio use the exact one and are null if their divisor is 0.
+    multiple (over book) and ratio (over market value) use the exact one and are null if their divisor is 0.
     """
     exact = unit_price * factor
     unit = F.bround(exact, 0)
     est, gross = F.bround(unit * area, 0), exact * area
-    return {"unit_price": unit.cast("long"), "est": est.cast("long"), "gain": (est - F.bround(book, 0)).cast("long"), "multiple": F.when(book != 0, gross / book), "cap_ratio": F.when(cap != 0, (gross - book) / cap)}
+    return {"unit_price": unit.cast("long"), "est": est.cast("long"), "gain": (est - F.bround(book, 0)).cast("long"), "multiple": F.when(book != 0, gross / book), "cap_ratio": F.when(cap != 0, gross / cap)}
 
 
 def uncertainty(max_dist: Column, variance: Column) -> Column:
@@ -73,12 +83,12 @@ def accepts_web_address(name: Column, has_hoka: Column, score: Column, least: in
 
 
 def warnings(has_hoka: Column, level: Column, max_dist: Column, label: Column, area: Column, multiple: Column) -> Column:
-    """Array of the codes of the rules that a site meets, in a fixed order."""
+    """Array of the texts of the rules that a site meets, in a fixed order."""
     rules = [
         (has_hoka, "multi_location"), (level == "muni_centroid", "muni_centroid"), (level == "oaza_chome", "oaza_chome"), (max_dist >= 10_000, "far_points"),
         ((label == "low") & (area >= 5000), "low_confidence_large"), (multiple >= 500, "extreme_multiple"),
     ]
-    return F.array_compact(F.array(*[F.when(rule, F.lit(code)) for rule, code in rules]))
+    return F.array_compact(F.array(*[F.when(rule, F.lit(WARNINGS[code])) for rule, code in rules]))
 
 
 def high_value_risk(name: Column, ward: Column, area: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -129,21 +130,27 @@ def geodesic_knn_join(queries: DataFrame, points: DataFrame, k: int, slack: floa
 def idw(neighbours: DataFrame, price: str = "price", power: float = 3.0, eps: float = 1.0) -> DataFrame:
     """query_id, unit_price (inverse-distance weighted, rounded half up), arrays of the neighbours in order, and their spread."""
     weight = F.lit(1.0) / F.pow(F.col("dist_m") + eps, F.lit(power))
-    item = F.struct("rank", "dist_m", "point_id", F.col(price).cast("long").alias("price"))
+    kind = F.col("kind") if "kind" in neighbours.columns else F.lit(None).cast("string")
+    item = F.struct("rank", "dist_m", "point_id", F.col(price).cast("long").alias("price"), kind.alias("kind"))
     out = neighbours.groupBy("query_id").agg(
         F.round(F.sum(weight * F.col(price)) / F.sum(weight)).cast("long").alias("unit_price"), F.array_sort(F.collect_list(item)).alias("_all"), F.max("dist_m").alias("max_dist"), F.var_pop("dist_m").alias("variance")
     )
-    return out.select("query_id", "unit_price", F.col("_all.point_id").alias("knn_ids"), F.col("_all.dist_m").alias("knn_dist_m"), F.col("_all.price").alias("knn_prices"), "max_dist", "variance")
+    return out.select("query_id", "unit_price", F.col("_all.point_id").alias("knn_ids"), F.col("_all.dist_m").alias("knn_dist_m"), F.col("_all.price").alias("knn_prices"), F.col("_all.kind").alias("knn_kinds"), "max_dist", "variance")
 
 
-def nearest_with_fallback(queries: DataFrame, scoped: DataFrame, wanted: str = "family", far: float = 1500.0, **options: object) -> DataFrame:
-    """The nearest point of the wanted scope, or of all points if that scope is unknown or its nearest is farther than ``far``."""
-    own = knn_join(known_scope(queries, scoped, wanted), scoped, 1, **options)
-    anywhere = knn_join(queries.withColumn("scope", F.lit("")), scoped, 1, **options)
-    more = [c for c in own.columns if c not in ("query_id", "rank")]
-    both = anywhere.select("query_id", F.struct(*more).alias("all")).join(own.select("query_id", F.struct(*more).alias("own")), "query_id", "left")
-    pick = F.when(F.col("own").isNull() | (F.col("own.dist_m") > far), F.col("all")).otherwise(F.col("own"))
-    return both.select("query_id", pick.alias("p")).select("query_id", "p.*")
+def nearest_with_fallback(queries: DataFrame, scoped: DataFrame, wanted: str = "family", far: float = 1500.0, join: Callable[..., DataFrame] | None = None, **options: object) -> DataFrame:
+    """The nearest point of the wanted scope, or of all points if that scope is unknown or its nearest is farther than ``far``.
+
+    Only the queries whose own answer is too far are asked again. ``join`` is
+    ``knn_join`` unless given.
+    """
+    join = join or knn_join
+    asked = checkpointed(known_scope(queries, scoped, wanted))
+    own = checkpointed(join(asked, scoped, 1, **options).drop("rank"))
+    near = own.filter(F.col("dist_m") <= far).select("query_id")
+    again = checkpointed(asked.filter("scope <> ''").join(near, "query_id", "left_anti").withColumn("scope", F.lit("")))
+    anywhere = join(again, scoped, 1, **options).drop("rank")
+    return own.join(again.select("query_id"), "query_id", "left_anti").unionByName(anywhere)
 
 
 def point_attribute(ids: DataFrame, points: DataFrame, attribute: str = "kind", id_col: str = "point_id") -> DataFrame:

@@ -21,7 +21,8 @@ def expand_splits(sites: DataFrame, splits: DataFrame) -> DataFrame:
     merged. The book value that no split names is shared among the other splits
     by area, 0 without area. A split has no equipment and has_hoka false.
     Returns the sites' columns, pos, and reject_reason, set where the named
-    values exceed the total. Splits without a site have no row.
+    values exceed the total. Splits without a site have no row. Where sites
+    have a location, that of a split is its address.
     """
     totals = merge_same_name(sites).select("code", "site_name", F.col("seq").alias("_seq"), F.col("book").alias("_total"))
     hit = splits.select("code", "site_name").distinct()
@@ -32,8 +33,9 @@ def expand_splits(sites: DataFrame, splits: DataFrame) -> DataFrame:
     joined = splits.join(totals, ["code", "site_name"]).withColumn("_left", left).withColumn("_open", open_area)
     share = F.when(F.coalesce(F.col("_open"), F.lit(0.0)) > 0, F.col("_left") * F.col("area") / F.col("_open")).otherwise(F.lit(0.0))
     has_open = F.col("_open").isNotNull()
+    place = [F.col("address").alias("location")] if "location" in sites.columns else []
     made = joined.select(
-        "code", F.col("name").alias("site_name"), F.col("_seq").alias("seq"), "area", F.coalesce("book", share).alias("book"), F.lit("").alias("equipment"), F.lit(False).alias("has_hoka"), "pos",
+        "code", *place, F.col("name").alias("site_name"), F.col("_seq").alias("seq"), "area", F.coalesce("book", share).alias("book"), F.lit("").alias("equipment"), F.lit(False).alias("has_hoka"), "pos",
         F.when(has_open & (F.col("_left") < 0), "split book values exceed the total").alias("reject_reason"),
     )
     return plain.select(made.columns).unionByName(made)
@@ -48,14 +50,14 @@ def flat_overrides(overrides: DataFrame, splits: DataFrame) -> DataFrame:
 
 
 def with_address(sites: DataFrame, overrides: DataFrame, web: DataFrame | None = None) -> DataFrame:
-    """address and address_source: an override, else an accepted web address, else the filing's location."""
+    """address, address_source and address_source_url: an override, else an accepted web address, else the filing's location."""
     out = sites.join(overrides.select("code", "site_name", F.col("address").alias("_o")), ["code", "site_name"], "left")
     if web is None:
-        out = out.withColumn("_w", F.lit(None).cast("string"))
+        out = out.withColumns({"_w": F.lit(None).cast("string"), "_u": F.lit(None).cast("string")})
     else:
-        out = out.join(web.select("code", "site_name", F.col("address").alias("_w")), ["code", "site_name"], "left")
+        out = out.join(web.select("code", "site_name", F.col("address").alias("_w"), F.col("source_url").alias("_u")), ["code", "site_name"], "left")
     source = F.when(F.col("_o").isNotNull(), "override").when(F.col("_w").isNotNull(), "web").otherwise("securities_report")
-    return out.withColumn("address", F.coalesce("_o", "_w", "location")).withColumn("address_source", source).drop("_o", "_w")
+    return out.withColumn("address", F.coalesce("_o", "_w", "location")).withColumns({"address_source": source, "address_source_url": F.when(source == "web", F.coalesce("_u", F.lit(""))).otherwise("")}).drop("_o", "_w", "_u")
 
 
 def price_overridden(sites: DataFrame, prices: DataFrame) -> DataFrame:
@@ -67,11 +69,11 @@ def company_totals(companies: DataFrame, valued: DataFrame) -> DataFrame:
     """One row for each company, with zeros without sites: n_sites, est, book, gain, multiple, cap_ratio.
 
     valued: code, est, book, est_raw. Sums of est and book are of rounded
-    values; multiple and ratio come from the raw ones.
+    values; multiple (over book) and ratio (over market value) are of the raw estimate.
     """
     sums = valued.groupBy("code").agg(F.count(F.lit(1)).alias("n_sites"), F.sum("est").alias("est"), F.sum(F.bround("book", 0)).cast("long").alias("book"), F.sum("est_raw").alias("_e"), F.sum("book").alias("_b"))
     out = companies.join(sums, "code", "left").fillna(0, ["n_sites", "est", "book"]).fillna(0.0, ["_e", "_b"])
-    return out.select(*companies.columns, "n_sites", "est", "book", (F.col("est") - F.col("book")).alias("gain"), F.when(F.col("_b") != 0, F.col("_e") / F.col("_b")).alias("multiple"), F.when(F.col("market_cap") != 0, (F.col("_e") - F.col("_b")) / F.col("market_cap")).alias("cap_ratio"))
+    return out.select(*companies.columns, "n_sites", "est", "book", (F.col("est") - F.col("book")).alias("gain"), F.when(F.col("_b") != 0, F.col("_e") / F.col("_b")).alias("multiple"), F.when(F.col("market_cap") != 0, F.col("_e") / F.col("market_cap")).alias("cap_ratio"))
 
 
 def sites_and_totals(sites: DataFrame) -> DataFrame:

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from landquill.functions import address as fa
 from landquill.functions import filing as ff
+from landquill.functions import geo
 from landquill.functions import valuation as fv
 from landquill.functions.mining import address_candidates, candidate_score
-from landquill.operators import filings, geocode, knn, master, ranking, sites
+from landquill.operators import filings, geocode, knn, master, ranking, sites, web
+from landquill.plans import run
 from landquill.plans.adapters import sql, view
 from landquill.shared import checkpointed
 from landquill.sources.sinks import price_dates
@@ -135,7 +137,7 @@ _VALUED = f"""
     FROM (SELECT *, CASE level WHEN 'gaiku' THEN 1.0 WHEN 'oaza_chome' THEN 0.95 WHEN 'muni_centroid' THEN 0.85 ELSE 1.0 END::DOUBLE AS f FROM {sql("sites")}) s JOIN ({_NEAREST}) v ON v.query_id = s.seq
 """
 _TOTALS = f"""
-    SELECT code, company_name, market_cap, coalesce(n, 0) AS n_sites, coalesce(e, 0) AS est, coalesce(b, 0) AS book, coalesce(e, 0) - coalesce(b, 0) AS gain, CASE WHEN braw <> 0 THEN eraw / braw END AS multiple, CASE WHEN market_cap <> 0 THEN (coalesce(eraw, 0) - coalesce(braw, 0)) / market_cap END AS cap_ratio
+    SELECT code, company_name, market_cap, coalesce(n, 0) AS n_sites, coalesce(e, 0) AS est, coalesce(b, 0) AS book, coalesce(e, 0) - coalesce(b, 0) AS gain, CASE WHEN braw <> 0 THEN eraw / braw END AS multiple, CASE WHEN market_cap <> 0 THEN coalesce(eraw, 0) / market_cap END AS cap_ratio
     FROM {sql("companies")} LEFT JOIN (SELECT code, count(*) AS n, CAST(sum(est) AS BIGINT) AS e, CAST(sum(round_even(book, 0)) AS BIGINT) AS b, sum(est_raw) AS eraw, sum(book) AS braw FROM ({_VALUED}) GROUP BY code) USING (code)
 """
 
@@ -164,7 +166,7 @@ def company_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT CAST(row_number() OVER (ORDER BY cap_ratio DESC, code) AS INT) AS rank, code, est, gain, round(cap_ratio, 8) AS ratio FROM ({_TOTALS}) WHERE cap_ratio IS NOT NULL")
 def gain_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nearest price of each site, valuation, company totals, ranking by gain over market value."""
+    """Nearest price of each site, valuation, company totals, ranking by estimate over market value."""
     rows = _totals(spark, sf_dir).withColumn("ratio", F.col("cap_ratio"))
     return ranking.ranked(rows).select("rank", "code", "est", "gain", F.round("ratio", 8).alias("ratio"))
 
@@ -191,15 +193,26 @@ def price_uncertainty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("query_id", F.round("s", 6).alias("score"), fv.confidence_label(F.col("s")).alias("label"))
 
 
+_WARN = ", ".join(
+    f"CASE WHEN {rule} THEN '{fv.WARNINGS[code]}' END"
+    for code, rule in {
+        "multi_location": "has_hoka", "muni_centroid": "level = 'muni_centroid'", "oaza_chome": "level = 'oaza_chome'", "far_points": "max_dist >= 10000", "low_confidence_large": "label = 'low' AND area >= 5000", "extreme_multiple": "multiple >= 500",
+    }.items()
+)
+_LABEL = "CASE WHEN {s} >= 0.67 THEN 'high' WHEN {s} >= 0.34 THEN 'medium' ELSE 'low' END"
+_FACTOR = "CASE level WHEN 'gaiku' THEN 1.0 WHEN 'oaza_chome' THEN 0.95 WHEN 'muni_centroid' THEN 0.85 ELSE 1.0 END::DOUBLE"
+
+
 @query(
-    f"""SELECT seq, concat_ws(' | ', CASE WHEN has_hoka THEN 'multi_location' END, CASE WHEN level = 'muni_centroid' THEN 'muni_centroid' END, CASE WHEN level = 'oaza_chome' THEN 'oaza_chome' END, CASE WHEN max_dist >= 10000 THEN 'far_points' END,
-        CASE WHEN {_SCORE} < 0.34 AND area >= 5000 THEN 'low_confidence_large' END) AS warnings FROM {sql("sites")} JOIN ({_SPREAD}) ON query_id = seq"""
+    f"""SELECT seq, concat_ws(' | ', {_WARN}) AS warnings FROM (SELECT *, {_LABEL.format(s=_SCORE)} AS label, CASE WHEN book <> 0 THEN unit * {_FACTOR} * area / book END AS multiple FROM {sql("sites")}
+        JOIN (SELECT query_id, round(sum(w * price) / sum(w)) AS unit, max(dist_m) AS max_dist, var_pop(dist_m) AS variance FROM (SELECT *, 1 / pow(dist_m + 1, 3) AS w FROM ({_KNN}) WHERE rank <= 3) GROUP BY query_id) ON query_id = seq)"""
 )
 def anomaly_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     spread = knn.idw(knn.knn_join(_queries(spark, sf_dir), _all_points(spark, sf_dir), 3))
     rows = view(spark, sf_dir, "sites").join(spread, F.col("seq") == F.col("query_id"))
     label = fv.confidence_label(fv.uncertainty(F.col("max_dist"), F.col("variance")))
-    return rows.select("seq", F.array_join(fv.warnings(F.col("has_hoka"), F.col("level"), F.col("max_dist"), label, F.col("area"), F.lit(None).cast("double")), " | ").alias("warnings"))
+    multiple = fv.valuation(F.col("unit_price"), fv.level_factor(F.col("level")), F.col("area"), F.col("book"), F.lit(1.0))["multiple"]
+    return rows.select("seq", F.array_join(fv.warnings(F.col("has_hoka"), F.col("level"), F.col("max_dist"), label, F.col("area"), multiple), " | ").alias("warnings"))
 
 
 @query(f"SELECT seq, coalesce(count(*) OVER w >= 2 AND sum(round(area, 2)) OVER w >= 12000, false) AS repeated_large FROM {sql('sites')} WINDOW w AS (PARTITION BY code, site_name)")
@@ -376,22 +389,26 @@ def price_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- sites, overrides, splits ------------------------------------------------------
 
-_MERGED = f"SELECT code, site_name, min(seq) AS seq, sum(book) AS total FROM {sql('sites')} GROUP BY 1, 2"
+def _expanded_sql(rows: str, location: str) -> str:
+    """code, site_name, seq, pos, area, book, equipment, has_hoka, location, reject_reason after the splits; ``location`` is a column of rows or a literal."""
+    merged = f"SELECT code, site_name, min(seq) AS seq, sum(book) AS total FROM {rows} GROUP BY 1, 2"
+    return f"""(WITH s AS (SELECT p.code, p.pos, p.name AS site_name, p.address, p.area, p.book, m.seq, m.total - coalesce(sum(p.book) OVER w, 0) AS remainder, sum(CASE WHEN p.book IS NULL THEN p.area END) OVER w AS open_area
+            FROM {sql("splits")} p JOIN ({merged}) m ON p.code = m.code AND p.site_name = m.site_name WINDOW w AS (PARTITION BY p.code, p.site_name))
+        SELECT code, site_name, seq, 0 AS pos, area, book, equipment, has_hoka, {location} AS location, NULL AS reject_reason FROM {rows} x WHERE NOT EXISTS (SELECT 1 FROM {sql("splits")} p WHERE p.code = x.code AND p.site_name = x.site_name)
+        UNION ALL SELECT code, site_name, seq, pos, area, coalesce(book, CASE WHEN coalesce(open_area, 0) > 0 THEN remainder * area / open_area ELSE 0 END), '', false, address, CASE WHEN open_area IS NOT NULL AND remainder < 0 THEN 'split book values exceed the total' END FROM s)"""
 
 
-@query(
-    f"""WITH s AS (SELECT p.code, p.site_name AS parent, p.pos, p.name AS site_name, p.area, p.book, m.seq, m.total - coalesce(sum(p.book) OVER w, 0) AS remainder, sum(CASE WHEN p.book IS NULL THEN p.area END) OVER w AS open_area
-            FROM {sql("splits")} p JOIN ({_MERGED}) m ON p.code = m.code AND p.site_name = m.site_name WINDOW w AS (PARTITION BY p.code, p.site_name))
-        SELECT code, site_name, pos, round(area, 4) AS area, round(book, 4) AS book, NULL AS reject_reason FROM (SELECT code, site_name, 0 AS pos, area, book FROM {sql("sites")} x WHERE NOT EXISTS (SELECT 1 FROM {sql("splits")} p WHERE p.code = x.code AND p.site_name = x.site_name))
-        UNION ALL SELECT code, site_name, pos, round(area, 4), round(coalesce(book, CASE WHEN coalesce(open_area, 0) > 0 THEN remainder * area / open_area ELSE 0 END), 4), CASE WHEN open_area IS NOT NULL AND remainder < 0 THEN 'split book values exceed the total' END FROM s"""
-)
+@query(f"SELECT code, site_name, pos, round(area, 4) AS area, round(book, 4) AS book, reject_reason FROM {_expanded_sql(sql('sites'), chr(39) * 2)}")
 def split_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = view(spark, sf_dir, "sites").select("code", "site_name", "seq", "area", "book", "equipment", "has_hoka")
     out = sites.expand_splits(rows, view(spark, sf_dir, "splits"))
     return out.select("code", "site_name", "pos", F.round("area", 4).alias("area"), F.round("book", 4).alias("book"), "reject_reason")
 
 
-@query(f"SELECT code, site_name, arg_max(address, pos) AS address FROM (SELECT code, site_name, address, -1 AS pos FROM {sql('overrides')} o WHERE NOT EXISTS (SELECT 1 FROM {sql('splits')} p WHERE p.code = o.code AND p.site_name = o.site_name) UNION ALL SELECT code, name, address, pos FROM {sql('splits')}) GROUP BY 1, 2")
+_FLAT = f"(SELECT code, site_name, arg_max(address, pos) AS address FROM (SELECT code, site_name, address, -1 AS pos FROM {sql('overrides')} o WHERE NOT EXISTS (SELECT 1 FROM {sql('splits')} p WHERE p.code = o.code AND p.site_name = o.site_name) UNION ALL SELECT code, name, address, pos FROM {sql('splits')}) GROUP BY 1, 2)"
+
+
+@query(f"SELECT * FROM {_FLAT}")
 def flat_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sites.flat_overrides(view(spark, sf_dir, "overrides"), view(spark, sf_dir, "splits"))
 
@@ -418,15 +435,21 @@ def _norm_sql(rows: str, col: str, key: str) -> str:
         FROM (SELECT {key}, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS i FROM (SELECT {key}, regexp_extract_all({half}, '[零〇一二三四五六七八九十]+(?:丁目|番|号)|[零〇一二三四五六七八九十]+|[^零〇一二三四五六七八九十]+') AS pieces FROM {rows}))) GROUP BY {key})"""
 
 
-_PARSED = f"""(SELECT seq, a, CASE WHEN regexp_matches(a, '^東京都(.+?(?:区|市|町|村))(.*)$') THEN regexp_extract(a, '^東京都(.+?(?:区|市|町|村))(.*)$', 1) END AS muni,
-    CASE WHEN regexp_matches(a, '^東京都(.+?(?:区|市|町|村))(.*)$') THEN regexp_extract(a, '^東京都(.+?(?:区|市|町|村))(.*)$', 2) ELSE a END AS rest FROM {_norm_sql(sql("addresses"), "address", "seq")})"""
+def _town_sql(rows: str) -> str:
+    """seq, a, muni, town, chome, block of rows of seq and address."""
+    parsed = f"""(SELECT seq, a, CASE WHEN regexp_matches(a, '^東京都(.+?(?:区|市|町|村))(.*)$') THEN regexp_extract(a, '^東京都(.+?(?:区|市|町|村))(.*)$', 1) END AS muni,
+    CASE WHEN regexp_matches(a, '^東京都(.+?(?:区|市|町|村))(.*)$') THEN regexp_extract(a, '^東京都(.+?(?:区|市|町|村))(.*)$', 2) ELSE a END AS rest FROM {_norm_sql(rows, "address", "seq")})"""
+    return _TOWN_OF.replace("{parsed}", parsed)
+
+
 _CHOME, _HYPHEN, _BLOCK = "'(.+?)([0-9]+)丁目(.*)$'", "'(.+?)([0-9]+)-([0-9]+)(?:-[0-9]+)?.*$'", "'(.+?)([0-9]+)(?:番地?|号).*$'"
 _ALONE = "'^(?:[^0-9,，、]+|.+(?:町|丁目))$'"
-_TOWN = f"""(SELECT seq, a, muni, CASE WHEN regexp_matches(rest, {_CHOME}) THEN regexp_extract(rest, {_CHOME}, 1) WHEN regexp_matches(rest, {_HYPHEN}) THEN regexp_extract(rest, {_HYPHEN}, 1) WHEN regexp_matches(rest, {_BLOCK}) THEN regexp_extract(rest, {_BLOCK}, 1)
+_TOWN_OF = f"""(SELECT seq, a, muni, CASE WHEN regexp_matches(rest, {_CHOME}) THEN regexp_extract(rest, {_CHOME}, 1) WHEN regexp_matches(rest, {_HYPHEN}) THEN regexp_extract(rest, {_HYPHEN}, 1) WHEN regexp_matches(rest, {_BLOCK}) THEN regexp_extract(rest, {_BLOCK}, 1)
         WHEN rest <> '' AND regexp_matches(rest, {_ALONE}) THEN rest END AS town,
     CASE WHEN regexp_matches(rest, {_CHOME}) THEN regexp_extract(rest, {_CHOME}, 2)::INT WHEN regexp_matches(rest, {_HYPHEN}) THEN regexp_extract(rest, {_HYPHEN}, 2)::INT END AS chome,
     CASE WHEN regexp_matches(rest, {_CHOME}) THEN TRY_CAST(nullif(regexp_extract(regexp_extract(rest, {_CHOME}, 3), '([0-9]{{1,4}})', 1), '') AS INT) WHEN regexp_matches(rest, {_HYPHEN}) THEN regexp_extract(rest, {_HYPHEN}, 3)::INT WHEN regexp_matches(rest, {_BLOCK}) THEN regexp_extract(rest, {_BLOCK}, 2)::INT END AS block
-    FROM {_PARSED})"""
+    FROM {{parsed}})"""
+_TOWN = _town_sql(sql("addresses"))
 
 
 @query(f"SELECT seq, a AS address, muni, town, chome, block FROM {_TOWN}")
@@ -449,15 +472,18 @@ _TOWNS = f"(SELECT r.muni, n.a AS town, lat::DOUBLE AS lat, lon::DOUBLE AS lon F
 _BLOCKS = f"(SELECT r.muni, n.a AS town, block, rep_flag, addr_flag, lat::DOUBLE AS lat, lon::DOUBLE AS lon FROM {sql('block_reference')} r JOIN {_norm_sql('(SELECT DISTINCT town FROM ' + sql('block_reference') + ')', 'town', 'town')} n ON n.town = r.town)"
 
 
-@query(
-    f"""WITH p AS (SELECT s.address AS raw, t.* FROM {_TOWN} t JOIN {sql("addresses")} s USING (seq)), t1 AS (SELECT muni, town, min(struct_pack(a := lat, b := lon)) AS m FROM {_TOWNS} GROUP BY 1, 2),
+def _geocode_sql(rows: str) -> str:
+    """address, lat, lon, level of the different addresses of rows of seq and address."""
+    return f"""(WITH p AS (SELECT s.address AS raw, t.* FROM {_town_sql(rows)} t JOIN {rows} s USING (seq)), t1 AS (SELECT muni, town, min(struct_pack(a := lat, b := lon)) AS m FROM {_TOWNS} GROUP BY 1, 2),
         b1 AS (SELECT muni, town, block, min(struct_pack(r := -coalesce(TRY_CAST(rep_flag AS INT), 0), f := -coalesce(TRY_CAST(addr_flag AS INT), 0), a := lat, b := lon)) AS m FROM {_BLOCKS} GROUP BY 1, 2, 3), c1 AS (SELECT muni, avg(lat) AS a, avg(lon) AS b FROM {_TOWNS} GROUP BY 1),
         k AS (SELECT *, CASE WHEN chome <= 99 THEN town || chome || '丁目' END AS named FROM p)
-        SELECT DISTINCT k.raw AS address, round(coalesce(x1.m.a, x2.m.a, y1.m.a, y2.m.a, c1.a), 9) AS lat, round(coalesce(x1.m.b, x2.m.b, y1.m.b, y2.m.b, c1.b), 9) AS lon,
+        SELECT DISTINCT k.raw AS address, coalesce(x1.m.a, x2.m.a, y1.m.a, y2.m.a, c1.a) AS lat, coalesce(x1.m.b, x2.m.b, y1.m.b, y2.m.b, c1.b) AS lon,
             CASE WHEN x1.m IS NOT NULL OR x2.m IS NOT NULL THEN 'gaiku' WHEN y1.m IS NOT NULL OR y2.m IS NOT NULL THEN 'oaza_chome' WHEN c1.a IS NOT NULL THEN 'muni_centroid' END AS level
         FROM k LEFT JOIN b1 x1 ON x1.muni = k.muni AND x1.town = CASE WHEN k.chome IS NULL THEN k.town ELSE k.named END AND x1.block = k.block::VARCHAR LEFT JOIN b1 x2 ON x2.muni = k.muni AND k.named IS NOT NULL AND k.block IS NOT NULL AND x2.town = k.town AND x2.block = k.chome::VARCHAR
-        LEFT JOIN t1 y1 ON y1.muni = k.muni AND y1.town = k.named LEFT JOIN t1 y2 ON y2.muni = k.muni AND y2.town = k.town LEFT JOIN c1 ON c1.muni = k.muni"""
-)
+        LEFT JOIN t1 y1 ON y1.muni = k.muni AND y1.town = k.named LEFT JOIN t1 y2 ON y2.muni = k.muni AND y2.town = k.town LEFT JOIN c1 ON c1.muni = k.muni)"""
+
+
+@query(f"SELECT address, round(lat, 9) AS lat, round(lon, 9) AS lon, level FROM {_geocode_sql(sql('addresses'))}")
 def geocoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     towns, blocks = view(spark, sf_dir, "town_reference"), view(spark, sf_dir, "block_reference")
     out = geocode.geocode(view(spark, sf_dir, "addresses"), geocode.block_index(blocks), geocode.town_index(towns), geocode.centroid_index(towns))
@@ -561,3 +587,123 @@ def last_of_equal_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     sections = _table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("code"), F.lit("d1").alias("doc_id"), F.col("c_name").alias("text"))
     return page_texts(_table(spark, sf_dir, "pages").select("url", "html"), sections).select("url", F.col("text").isNotNull().alias("has_text"))
+
+
+# --- distances on the ellipsoid ----------------------------------------------------------
+
+
+def _geodesic_sql(rows: str) -> str:
+    """rows of lat1, lon1, lat2, lon2 with dist_m, the inverse problem in as many steps as ``geo.with_geodesic`` takes."""
+    a, f = geo.A, geo.FLAT
+    b = a * (1 - f)
+    out = f"(SELECT *, atan(tan(radians(lat1)) * {1 - f!r}) AS u1, atan(tan(radians(lat2)) * {1 - f!r}) AS u2, radians(lon2 - lon1) AS l FROM {rows})"
+    out = f"(SELECT *, sin(u1) AS s1, cos(u1) AS c1, sin(u2) AS s2, cos(u2) AS c2, l AS m FROM {out})"
+    for k in range(5):
+        out = f"(SELECT *, sqrt(pow(c2 * sin(m), 2) + pow(c1 * s2 - s1 * c2 * cos(m), 2)) AS ss, s1 * s2 + c1 * c2 * cos(m) AS cs FROM {out})"
+        out = f"(SELECT *, atan2(ss, cs) AS sigma, CASE WHEN ss = 0 THEN 0 ELSE c1 * c2 * sin(m) / ss END AS sa FROM {out})"
+        out = f"(SELECT *, CASE WHEN 1 - sa * sa = 0 THEN 0 ELSE cs - 2 * s1 * s2 / (1 - sa * sa) END AS c2m, {f!r} / 16 * (1 - sa * sa) * (4 + {f!r} * (4 - 3 * (1 - sa * sa))) AS cc FROM {out})"
+        if k < 4:
+            out = f"(SELECT * EXCLUDE (ss, cs, sigma, sa, c2m, cc) REPLACE (l + (1 - cc) * {f!r} * sa * (sigma + cc * ss * (c2m + cc * cs * (2 * c2m * c2m - 1))) AS m) FROM {out})"
+    out = f"(SELECT *, (1 - sa * sa) * {(a * a - b * b) / (b * b)!r} AS uu FROM {out})"
+    out = f"(SELECT *, 1 + uu / 16384 * (4096 + uu * (-768 + uu * (320 - 175 * uu))) AS aa, uu / 1024 * (256 + uu * (-128 + uu * (74 - 47 * uu))) AS bb FROM {out})"
+    turn = "cs * (2 * c2m * c2m - 1) - bb / 6 * c2m * (4 * ss * ss - 3) * (4 * c2m * c2m - 3)"
+    steps = "u1, u2, l, s1, c1, s2, c2, m, ss, cs, sigma, sa, c2m, cc, uu, aa, bb"
+    return f"(SELECT * EXCLUDE ({steps}), {b!r} * aa * (sigma - bb * ss * (c2m + bb / 4 * ({turn}))) AS dist_m FROM {out})"
+
+
+_PLACES = f"(SELECT s_suppkey AS query_id, 35 + CAST(s_suppkey * 7919 % 1000 AS DOUBLE) / 1024 AS lat1, 139 + CAST(s_suppkey * 104729 % 700 AS DOUBLE) / 1024 AS lon1 FROM supplier)"
+_PAIRS = f"(SELECT query_id, lat1, lon1, point_id, lat AS lat2, lon AS lon2 FROM {_PLACES}, {sql('price_points')})"
+
+
+def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("s_suppkey")
+    rows = _table(spark, sf_dir, "supplier").select(key.alias("query_id"), (35 + (key * 7919 % 1000).cast("double") / 1024).alias("lat"), (139 + (key * 104729 % 700).cast("double") / 1024).alias("lon"), F.lit("").alias("scope"))
+    return run.placed(rows)
+
+
+@query(
+    f"""SELECT query_id, CAST(rank AS INT) AS rank, point_id, round(dist_m, 3) AS dist_m FROM (SELECT query_id, point_id, dist_m, row_number() OVER (PARTITION BY query_id ORDER BY round(dist_m * 1e6), point_id) AS rank
+        FROM {_geodesic_sql(_PAIRS)}) WHERE rank <= 3"""
+)
+def geodesic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three points nearest to each supplier's place, by the distance on the ellipsoid."""
+    points = run.placed(view(spark, sf_dir, "price_points").withColumn("scope", F.lit("")))
+    return knn.geodesic_knn_join(_places(spark, sf_dir), points, 3).select("query_id", F.col("rank").cast("int").alias("rank"), "point_id", F.round("dist_m", 3).alias("dist_m"))
+
+
+# --- addresses from pages ------------------------------------------------------------------
+
+_PAGE_ADDRESSES = "(SELECT 'p/' || c_custkey AS url, '東京都港区六本木' || (c_custkey % 7 + 1) || '丁目' || (c_custkey % 40 + 1) || '番' || (c_custkey % 9 + 1) || '号' AS address, c_custkey % 5 AS s FROM customer UNION ALL SELECT 'p/' || c_custkey, '東京都中央区日本橋' || (c_custkey % 8 + 1) || '-' || (c_custkey % 30 + 1), c_custkey % 5 FROM customer)"
+_PAGE_SCORE = """CASE WHEN contains(address, substr(location, 4)) THEN 50 ELSE -40 END + 10 + 20 + CASE WHEN site_name = 'S' || s THEN 40 ELSE 0 END + 10"""
+
+
+@query(
+    f"""WITH u AS (SELECT DISTINCT code, seq, site_name, has_hoka, location, unnest(['p/' || code, 'p/' || (seq % 700)]) AS url FROM {sql("site_urls")}),
+        c AS (SELECT u.*, address, {_PAGE_SCORE} AS score FROM u JOIN {_PAGE_ADDRESSES} USING (url)),
+        b AS (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY score DESC, address, CASE WHEN url = 'p/' || code THEN 0 ELSE 1 END) AS n FROM c)
+        SELECT code, seq, address, CAST(score AS INT) AS score, url AS source_url, NOT has_hoka AND NOT ends_with(site_name, '他') AND score >= 40 AS accepted FROM b WHERE n = 1"""
+)
+def web_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each site the best address on the pages that it names, and whether it is good enough."""
+    rows = view(spark, sf_dir, "site_urls").withColumn("source_urls", ff.url_list(F.col("urls"))).drop("urls")
+    return web.best_addresses(rows, page_texts(view(spark, sf_dir, "address_pages"))).select("code", "seq", "address", "score", "source_url", "accepted")
+
+
+# --- the whole run ---------------------------------------------------------------------------
+
+_ACCEPTED = f"(SELECT * FROM {sql('companies')} WHERE regexp_replace(coalesce(company_name, ''), '\\s+', '', 'g') NOT IN ('', code) AND market_cap IS NOT NULL)"
+_RUN = f"""
+    WITH x AS (SELECT * FROM {_expanded_sql(sql("filed_sites"), "location")} WHERE reject_reason IS NULL AND starts_with(location, '東京都')),
+    a AS (SELECT x.*, c.company_name, c.market_cap, coalesce(o.address, x.location) AS address, CASE WHEN o.address IS NULL THEN 'securities_report' ELSE 'override' END AS source, p.unit_price AS fixed, {_FAMILY} AS family
+        FROM x JOIN {_ACCEPTED} c USING (code) LEFT JOIN {_FLAT} o USING (code, site_name) LEFT JOIN {sql("price_overrides")} p USING (code, site_name)),
+    g AS (SELECT * FROM {_geocode_sql("(SELECT DISTINCT address, address AS seq FROM a)")} WHERE level IS NOT NULL),
+    r AS (SELECT a.*, g.lat, g.lon, g.level FROM a JOIN g USING (address)),
+    pl AS (SELECT DISTINCT lat AS lat1, lon AS lon1 FROM r WHERE fixed IS NULL),
+    d AS (SELECT lat1, lon1, point_id, price, kind, dist_m, {_FAMILY_OF.replace("p.kind", "kind")} AS pf FROM {_geodesic_sql(f"(SELECT lat1, lon1, p.lat AS lat2, p.lon AS lon2, p.point_id, p.price, p.kind FROM pl, {sql('price_points')} p)")}),
+    near AS (SELECT lat1, lon1, min(struct_pack(d := round(dist_m * 1e6), i := point_id, k := kind, m := dist_m)) AS n FROM d GROUP BY 1, 2),
+    own AS (SELECT lat1, lon1, pf, min(struct_pack(d := round(dist_m * 1e6), i := point_id, k := kind, m := dist_m)) AS n FROM d WHERE pf IS NOT NULL GROUP BY 1, 2, 3),
+    f AS (SELECT DISTINCT lat AS lat1, lon AS lon1, family FROM r WHERE fixed IS NULL),
+    seed AS (SELECT f.*, CASE WHEN own.n IS NULL OR own.n.m > 1500 THEN near.n.k ELSE own.n.k END AS kind FROM f JOIN near USING (lat1, lon1) LEFT JOIN own ON own.lat1 = f.lat1 AND own.lon1 = f.lon1 AND own.pf = f.family),
+    k AS (SELECT *, row_number() OVER (PARTITION BY lat1, lon1, target ORDER BY round(dist_m * 1e6), point_id) AS rank FROM (SELECT d.*, s.kind AS target FROM d JOIN (SELECT DISTINCT lat1, lon1, kind FROM seed) s USING (lat1, lon1) WHERE s.kind = '' OR d.kind = s.kind)),
+    e AS (SELECT lat1, lon1, target, round(sum(price / pow(dist_m + 1, 3)) / sum(1 / pow(dist_m + 1, 3))) AS price, list(struct_pack(i := point_id, k := kind, d := dist_m, p := price) ORDER BY rank) AS n, max(dist_m) AS max_dist, var_pop(dist_m) AS variance FROM k WHERE rank <= 3 GROUP BY 1, 2, 3),
+    v AS (SELECT r.*, e.n, coalesce(seed.kind, '') AS target, coalesce(fixed, e.price) AS price, coalesce(max_dist, 0) AS max_dist, coalesce(variance, 0) AS variance, CASE WHEN fixed IS NULL THEN {_FACTOR} ELSE 1 END AS factor, CASE WHEN fixed IS NULL THEN {_SCORE} ELSE 1 END AS score,
+        count(*) OVER w >= 2 AND sum(round(area, 2)) OVER w >= 50000 AS again FROM r LEFT JOIN seed ON fixed IS NULL AND seed.lat1 = r.lat AND seed.lon1 = r.lon AND seed.family IS NOT DISTINCT FROM r.family LEFT JOIN e ON e.lat1 = seed.lat1 AND e.lon1 = seed.lon1 AND e.target = seed.kind
+        WINDOW w AS (PARTITION BY code, address)),
+    o AS (SELECT *, CASE WHEN fixed IS NULL THEN {_LABEL.format(s="score")} ELSE 'override' END AS label, round_even(price * factor, 0) AS unit, price * factor * area AS est_raw, CASE WHEN book <> 0 THEN price * factor * area / book END AS multiple, CASE WHEN market_cap <> 0 THEN price * factor * area / market_cap END AS ratio, round_even(book, 0) AS book_int FROM v),
+    rows AS (SELECT *, round_even(unit * area, 0) AS est FROM o),
+    t AS (SELECT code, company_name, c.market_cap, coalesce(sum(est), 0) AS est, coalesce(sum(book_int), 0) AS book_int, coalesce(sum(est_raw), 0) AS est_raw, coalesce(sum(book), 0) AS book FROM {_ACCEPTED} c LEFT JOIN (SELECT code, est, book_int, est_raw, book FROM rows) USING (code) GROUP BY 1, 2, 3)
+"""
+_FIX = lambda x, n: f"CAST(CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(38, 16)) AS DECIMAL(38, {n}))::VARCHAR"  # noqa: E731  (a decimal text, rounded half up)
+_SHOWN = {
+    "code": "code", "company_name": "company_name", "site_name": "site_name", "address": "address", "address_source": "source", "address_source_url": "''", "level": "level", "area": f"{_FIX('area', 2)}", "unit_price": "CAST(unit AS BIGINT)",
+    "factor": f"{_FIX('factor', 6)}", "geocode_factor": f"{_FIX('factor', 6)}", "method": "CASE WHEN fixed IS NULL THEN 'idw(k=3,p=3)+landuse_match' ELSE 'override' END", "target_kind": "target", "nearest_kind": "coalesce(n[1].k, '')", "nearest_id": "coalesce(n[1].i, '')",
+    "nearest_dist": f"{_FIX('coalesce(n[1].d, 0)', 3)}", "knn_ids": "coalesce(array_to_string(list_transform(n, lambda x: x.i), '|'), '')", "knn_kinds": "coalesce(array_to_string(list_transform(n, lambda x: x.k), '|'), '')",
+    "knn_dist": f"coalesce(array_to_string(list_transform(n, lambda x: {_FIX('x.d', 3)}), '|'), '')", "knn_prices": "coalesce(array_to_string(list_transform(n, lambda x: CAST(x.p AS VARCHAR)), '|'), '')", "variance": f"{_FIX('variance', 3)}", "max_dist": f"{_FIX('max_dist', 3)}",
+    "score": f"{_FIX('score', 6)}", "label": "label", "warnings": f"concat_ws(' | ', {_WARN}, CASE WHEN again THEN '{fv.REPEATED_ADDRESS}' END)", "est": "CAST(est AS BIGINT)", "book": "CAST(book_int AS BIGINT)", "gain": "CAST(est - book_int AS BIGINT)",
+    "multiple_raw": f"coalesce({_FIX('multiple', 6)}, '')", "multiple": f"coalesce({_FIX('multiple', 3)}, '')", "market_cap": "market_cap", "ratio_raw": f"coalesce({_FIX('ratio', 6)}, '')", "ratio": f"coalesce({_FIX('ratio', 3)}, '')",
+}
+_SHOWN_TOTAL = {"code": "code", "company_name": "company_name", "site_name": f"'{run.TOTAL}'", "method": "'idw(k=3,p=3)+landuse_match'", "unit_price": "NULL", "est": "CAST(est AS BIGINT)", "book": "CAST(book_int AS BIGINT)", "gain": "CAST(est - book_int AS BIGINT)", "market_cap": "market_cap"} | {
+    f"{name}{end}": f"coalesce({_FIX(f'CASE WHEN {by} <> 0 THEN est_raw / {by} END', n)}, '')" for name, by in (("multiple", "book"), ("ratio", "market_cap")) for end, n in (("_raw", 6), ("", 3))
+}
+
+
+def _run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(accepted companies, values of their sites)."""
+    of = lambda name: view(spark, sf_dir, name)
+    companies, _ = master.split_rejects(of("companies").select("code", "company_name", "market_cap"), [("missing name", master.is_placeholder(F.col("company_name"), F.col("code"))), ("missing market value", F.col("market_cap").isNull())])
+    towns, blocks = of("town_reference"), of("block_reference")
+    values = run.site_values(companies, of("filed_sites"), of("overrides"), of("splits"), of("price_overrides"), geocode.block_index(blocks), geocode.town_index(towns), geocode.centroid_index(towns), of("price_points"))
+    return companies, values
+
+
+@query(f"{_RUN} SELECT {', '.join(f'{_SHOWN[c]} AS {chr(34)}{name}{chr(34)}' for c, name in run.OUTPUT_COLUMNS.items())} FROM rows UNION ALL SELECT {', '.join(_SHOWN_TOTAL.get(c, repr('')) for c in run.OUTPUT_COLUMNS)} FROM t")
+def valuation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 33 columns of the output for all accepted companies, from filed sites to total rows."""
+    companies, values = _run(spark, sf_dir)
+    return run.output_rows(companies, checkpointed(values), decimals=6)
+
+
+@query(f"{_RUN} SELECT code, seq, pos, site_name, address, level, method FROM (SELECT *, CASE WHEN fixed IS NULL THEN 'idw' ELSE 'override' END AS method FROM r)")
+def regional_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sites in the region after their splits, with the address that counts, its level and how a price is found."""
+    return _run(spark, sf_dir)[1].select("code", "seq", "pos", "site_name", "address", "level", F.substring_index("method", "(", 1).alias("method"))

@@ -92,7 +92,7 @@ def test_valuation_rounding(spark):
     v = fv.valuation(F.col("p"), F.col("f"), F.col("a"), F.col("b"), F.col("c"))
     df = spark.createDataFrame([(1001.0, 0.5, 10.0, 0.0, 0.0), (1000.0, 0.95, 100.0, 50000.0, 1e6)], "p double, f double, a double, b double, c double")
     got = [tuple(r) for r in df.select(v["unit_price"], v["est"], v["gain"], v["multiple"], v["cap_ratio"]).collect()]
-    assert got == [(500, 5000, 5000, None, None), (950, 95000, 45000, 1.9, 0.045)]
+    assert got == [(500, 5000, 5000, None, None), (950, 95000, 45000, 1.9, 0.095)]
 
 
 def test_equipment_family_takes_the_first_keyword(spark):
@@ -113,7 +113,7 @@ def test_uncertainty_is_in_range_and_agrees_with_its_label(spark, rows):
 
 def test_warnings(spark):
     w = fv.warnings(F.lit(True), F.lit("muni_centroid"), F.lit(10000.0), F.lit("low"), F.lit(5000.0), F.lit(500.0))
-    assert spark.range(1).select(w).first()[0] == ["multi_location", "muni_centroid", "far_points", "low_confidence_large", "extreme_multiple"]
+    assert spark.range(1).select(w).first()[0] == [fv.WARNINGS[c] for c in ("multi_location", "muni_centroid", "far_points", "low_confidence_large", "extreme_multiple")]
 
 
 def test_numbers_of_cells(spark):
