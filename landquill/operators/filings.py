@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,18 +15,35 @@ from landquill.functions.filing import area_scale, book_multiplier, extract_loca
 SUB_HEADER = "帳簿|面積|百万|千円|建物|土地|その他|合計|規模|竣工"
 
 
-class _Cells(HTMLParser):
-    """Cells of all tables; those that a span covers are null."""
+#: The tagged block that lists facilities, and the tags behind which its text goes on in a new line.
+FACILITIES_BLOCK = "majorfacilitiestextblock"
+BLOCK_TAGS = ("br", "div", "h1", "h2", "h3", "h4", "h5", "h6", "p", "tr")
+_TABLE = ["doc_id", "table_idx"]
 
-    def __init__(self) -> None:
+
+class _Filing(HTMLParser):
+    """Cells of all tables, those that a span covers null, and the text of tagged blocks; with ``tagged`` only tables inside such blocks."""
+
+    def __init__(self, tagged: bool) -> None:
         super().__init__(convert_charrefs=True)
-        self.rows: list[tuple[int, int, int, str | None]] = []
+        self.tagged = tagged
+        self.cells: list[tuple[int, int, int, str | None]] = []
+        self.blocks: list[list[str]] = []
+        self.tags: list[bool] = []  # of the open tagged elements, whether each is a facilities block
         self.table, self.row, self.col, self.depth = -1, -1, 0, 0
         self.taken: set[tuple[int, int]] = set()
         self.text: list[str] | None = None
         self.span = (1, 1)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag.rpartition(":")[2] == "nonnumeric":
+            self.tags.append((dict(attrs).get("name") or "").rpartition(":")[2].lower() == FACILITIES_BLOCK)
+            if self.tags[-1]:
+                self.blocks.append([])
+        if tag == "br":
+            self._say("\n")
+        if self.tagged and True not in self.tags:
+            return
         if tag == "table":
             self.depth += 1
             if self.depth == 1:
@@ -43,15 +60,25 @@ class _Cells(HTMLParser):
             self.text.append("\n")
 
     def handle_endtag(self, tag: str) -> None:
+        if tag in BLOCK_TAGS and tag != "br":
+            self._say("\n")
         if tag in ("td", "th", "tr", "table") and self.depth == 1:
             self._close()
         if tag == "table":
             self.depth = max(0, self.depth - 1)
+        if tag.rpartition(":")[2] == "nonnumeric" and self.tags and self.tags.pop():
+            self._close()
+            self.depth = 0
 
     def handle_data(self, data: str) -> None:
+        self._say(data)
         if self.text is not None:
             self.text.append(data)
 
+    def _say(self, text: str) -> None:
+        if True in self.tags:
+            self.blocks[-1].append(text)
+
     def _close(self) -> None:
         if self.text is None:
             return
@@ -61,45 +88,76 @@ class _Cells(HTMLParser):
         for r in range(self.span[0]):
             for c in range(self.span[1]):
                 self.taken.add((self.row + r, self.col + c))
-                self.rows.append((self.table, self.row + r, self.col + c, text if r == c == 0 else None))
+                self.cells.append((self.table, self.row + r, self.col + c, text if r == c == 0 else None))
         self.col += self.span[1]
 
 
-def table_cells(docs: DataFrame, id_col: str, html_col: str, partitions: int | None = None) -> DataFrame:
-    """doc_id, table_idx, r, c, txt: cells of every table; txt is null where a span covers the cell.
+def parsed_filings(docs: DataFrame, id_col: str, html_col: str, tagged: bool = False, partitions: int | None = None) -> DataFrame:
+    """doc_id, table_idx, r, c, txt: cells of every table, and the text of each tagged facilities block as a row with table_idx -1.
 
-    ``partitions`` deals the documents out first, for tables of few files.
+    txt of a cell is null where a span covers it. ``tagged`` reads only tables
+    inside facilities blocks. ``partitions`` deals the documents out first,
+    for tables of few files. Null documents have no rows. The only row-wise
+    step: everything behind it works on the cells.
     """
 
-    def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for key, html in zip(frame["doc_id"], frame["html"]):
-                parser = _Cells()
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, rows = [], []
+            for k, html in enumerate(batch.column("html").to_pylist()):
+                parser = _Filing(tagged)
                 parser.feed(html or "")
                 parser.close()
                 parser._close()
-                out += [(key, *row) for row in parser.rows]
-            yield pd.DataFrame(out, columns=["doc_id", "table_idx", "r", "c", "txt"])
+                rows += parser.cells + [(-1, n, 0, "".join(block)) for n, block in enumerate(parser.blocks)]
+                keys += [k] * (len(rows) - len(keys))
+            columns = [pa.array([row[n] for row in rows], kind) for n, kind in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(keys, pa.int32())), *columns], names=["doc_id", "table_idx", "r", "c", "txt"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(html_col).alias("html"))
     rows = rows.repartition(partitions) if partitions else rows
-    return rows.mapInPandas(parse, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, table_idx int, r int, c int, txt string")
+    return rows.mapInArrow(parse, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, table_idx int, r int, c int, txt string")
+
 
+def table_cells(docs: DataFrame, id_col: str, html_col: str, partitions: int | None = None, tagged: bool = False) -> DataFrame:
+    """doc_id, table_idx, r, c, txt: the cells of ``parsed_filings`` alone."""
+    return parsed_filings(docs, id_col, html_col, tagged, partitions).filter("table_idx >= 0")
 
-def merge_continuations(cells: DataFrame, first_row: int = 1) -> DataFrame:
-    """Rows from ``first_row`` on whose first two cells are blank go to the row before, cell by cell with a line feed.
 
-    A blank row right behind the header goes to the header's last row.
+def section_texts(parsed: DataFrame) -> DataFrame:
+    """doc_id, text: the tidy lines of each document's tagged blocks, with an empty line between blocks."""
+    tidy = F.regexp_replace(F.replace("txt", F.lit("\u00a0"), F.lit(" ")), r"[ \t\r\f\x0B]+", " ")
+    lines = F.filter(F.transform(F.split(tidy, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    blocks = parsed.filter("table_idx = -1").select("doc_id", "r", plain(F.array_join(lines, "\n")).alias("t")).filter("t <> ''")
+    return blocks.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "t"))), lambda x: x["t"]), "\n\n").alias("text"))
+
+
+def with_header_rows(cells: DataFrame) -> DataFrame:
+    """cells with header_rows of their table: 2 if a third of the second row is blank or two of its cells hold words of headers, else 1."""
+    table, text = Window.partitionBy(*_TABLE), plain(F.col("txt"))
+    of_second = lambda rule: F.sum(F.when(F.col("r") == 1, rule.cast("int")).otherwise(0)).over(table)
+    width, blank, words = of_second(F.lit(1)), of_second(text == ""), of_second(F.rlike(text, F.lit(SUB_HEADER)))
+    two = (width > 0) & ((blank >= F.greatest(F.floor(width / 3), F.lit(1))) | (words >= 2))
+    return cells.withColumn("header_rows", F.when(two, 2).otherwise(1))
+
+
+def merge_continuations(cells: DataFrame) -> DataFrame:
+    """Rows behind the header whose first two cells are blank go to the row before, cell by cell with a line feed.
+
+    A blank row right behind the header goes to the header's last row. Cells
+    of a table are dealt out together once; every later step on tables keeps
+    that partitioning.
     """
-    blank = F.max(F.when((F.col("c") < 2) & (plain(F.col("txt")) != ""), 1).otherwise(0))
-    rows = cells.groupBy("doc_id", "table_idx", "r").agg(blank.alias("_own"))
-    start = F.when((F.col("r") < first_row) | (F.col("_own") == 1), 1).otherwise(0)
-    w = Window.partitionBy("doc_id", "table_idx").orderBy("r")
-    islands = rows.select("doc_id", "table_idx", "r", (F.sum(start).over(w) - 1).alias("_to")).withColumn("_to", F.greatest("_to", F.lit(0)).cast("int"))
-    joined = cells.join(islands, ["doc_id", "table_idx", "r"])
+    row = Window.partitionBy(*_TABLE, "r")
+    own = F.max(F.when((F.col("c") < 2) & (plain(F.col("txt")) != ""), 1).otherwise(0)).over(row)
+    first = F.col("c") == F.min("c").over(row)
+    marked = with_header_rows(cells).withColumns({"_own": own, "_first": first})
+    start = F.when(F.col("_first") & ((F.col("r") < F.col("header_rows")) | (F.col("_own") == 1)), 1).otherwise(0)
+    # Peers of a row are summed together, so its cells have one number.
+    to = F.greatest(F.sum(start).over(Window.partitionBy(*_TABLE).orderBy("r")) - 1, F.lit(0)).cast("int")
     texts = F.array_sort(F.collect_list(F.when(plain(F.col("txt")) != "", F.struct("r", "txt"))))
-    return joined.groupBy("doc_id", "table_idx", F.col("_to").alias("r"), "c").agg(F.nullif(F.array_join(F.transform(texts, lambda x: x["txt"]), "\n"), F.lit("")).alias("txt"))
+    joined = F.nullif(F.array_join(F.transform(texts, lambda x: x["txt"]), "\n"), F.lit(""))
+    return marked.withColumn("_to", to).groupBy(*_TABLE, F.col("_to").alias("r"), "c").agg(joined.alias("txt"))
 
 
 def forward_fill(cells: DataFrame, row: int = 0, out: str = "filled") -> DataFrame:
@@ -109,28 +167,29 @@ def forward_fill(cells: DataFrame, row: int = 0, out: str = "filled") -> DataFra
     return cells.filter(F.col("r") == row).withColumn(out, F.coalesce(F.last(text, ignorenulls=True).over(w), F.lit("")))
 
 
-def header_roles(cells: DataFrame) -> DataFrame:
-    """doc_id, table_idx, header_rows, columns by role, book_mult, area_scale, of tables that list land of sites."""
-    keys = ["doc_id", "table_idx"]
-    second = cells.filter("r = 1").groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_w"), F.sum((plain(F.col("txt")) == "").cast("int")).alias("_blank"), F.sum(F.rlike(plain(F.col("txt")), F.lit(SUB_HEADER)).cast("int")).alias("_words")
-    )
-    two = (F.col("_blank") >= F.greatest(F.floor(F.col("_w") / 3), F.lit(1))) | (F.col("_words") >= 2)
-    depth = second.select(*keys, F.when(two, 2).otherwise(1).alias("header_rows"))
-    group = forward_fill(cells).select(*keys, "c", F.regexp_replace("filled", r"[\s　]+", "").alias("g"))
-    subs = cells.filter("r = 1").select(*keys, "c", F.regexp_replace(plain(F.col("txt")), r"[\s　]+", "").alias("s"))
-    heads = group.join(depth, keys).join(subs, [*keys, "c"], "left").withColumn("s", F.when(F.col("header_rows") == 2, F.coalesce("s", F.lit(""))).otherwise(F.lit(""))).withColumn("gs", F.concat("g", "s"))
+def with_roles(cells: DataFrame) -> DataFrame:
+    """cells of tables that list land of sites, with header_rows, the columns by role, book_mult and area_scale of their table."""
+    table = Window.partitionBy(*_TABLE)
+    bare = F.regexp_replace(plain(F.col("txt")), r"[\s　]+", "")
+    along = Window.partitionBy(*_TABLE, "r").orderBy("c").rowsBetween(Window.unboundedPreceding, 0)
+    group = F.coalesce(F.last(F.nullif(plain(F.col("txt")), F.lit("")), ignorenulls=True).over(along), F.lit(""))
+    below = F.max(F.when(F.col("r") == 1, bare)).over(Window.partitionBy(*_TABLE, "c"))
+    out = with_header_rows(cells).withColumns({"_g": F.regexp_replace(group, r"[\s　]+", ""), "_s": below})
+    out = out.withColumn("_gs", F.concat("_g", F.when(F.col("header_rows") == 2, F.coalesce("_s", F.lit(""))).otherwise(F.lit(""))))
     has = lambda col, word: F.contains(F.col(col), F.lit(word))
-    land, area, money = has("gs", "土地"), has("gs", "面積"), has("gs", "帳簿") | has("gs", "百万") | has("gs", "千円")
-    first = lambda rule: F.min(F.when(rule, F.col("c")))
-    roles = heads.groupBy(*keys, "header_rows").agg(
-        first(has("g", "事業所名") | (has("g", "名称") & ~has("g", "会社名"))).alias("name_col"), first(F.col("g") == "所在地").alias("location_col"), first(has("g", "設備") & has("g", "内容")).alias("equip_col"),
-        first(land & area & ~money).alias("_a"), first(land & money & ~area).alias("_b"), first(land & area & money).alias("_c"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c", "gs"))), lambda x: x["gs"]), "").alias("_all"),
+    land, area, money = has("_gs", "土地"), has("_gs", "面積"), has("_gs", "帳簿") | has("_gs", "百万") | has("_gs", "千円")
+    first = lambda rule: F.min(F.when((F.col("r") == 0) & rule, F.col("c"))).over(table)
+    heads = F.array_sort(F.collect_list(F.when(F.col("r") == 0, F.struct("c", F.col("_gs").alias("gs")))).over(table))
+    out = out.withColumns(
+        {
+            "name_col": first(has("_g", "事業所名") | (has("_g", "名称") & ~has("_g", "会社名"))), "location_col": first(F.col("_g") == "所在地"), "equip_col": first(has("_g", "設備") & has("_g", "内容")),
+            "_a": first(land & area & ~money), "_b": first(land & money & ~area), "_c": first(land & area & money), "_heads": heads,
+        }
     )
     apart = F.col("_a").isNotNull() & F.col("_b").isNotNull()
-    book = F.when(apart, F.col("_b")).otherwise(F.coalesce("_c", "_b"))
-    out = roles.select(*keys, "header_rows", "name_col", "location_col", "equip_col", book.alias("book_col"), F.when(apart, F.col("_a")).alias("area_col"), book_multiplier(F.col("_all")).alias("book_mult"), area_scale(F.col("_all")).alias("area_scale"))
-    return out.filter("name_col IS NOT NULL AND book_col IS NOT NULL")
+    out = out.withColumns({"book_col": F.when(apart, F.col("_b")).otherwise(F.coalesce("_c", "_b")), "area_col": F.when(apart, F.col("_a")), "_all": F.array_join(F.transform("_heads", lambda x: x["gs"]), "")})
+    out = out.filter("name_col IS NOT NULL AND book_col IS NOT NULL").withColumns({"book_mult": book_multiplier(F.col("_all")), "area_scale": area_scale(F.col("_all"))})
+    return out.drop("_g", "_s", "_gs", "_a", "_b", "_c", "_heads", "_all")
 
 
 def skips_head_office(text: Column) -> Column:
@@ -147,10 +206,9 @@ def facilities(cells: DataFrame, skip_head: DataFrame | None = None) -> tuple[Da
     doc_id of documents whose head office row doesn't count. Of sites with
     one name and place the last one counts, at the first one's place (seq).
     """
-    keys = ["doc_id", "table_idx"]
-    roles = header_roles(cells)
+    keys = _TABLE
     at = lambda role: F.max(F.when(F.col("c") == F.col(role), F.col("txt")))
-    rows = cells.join(roles, keys).filter(F.col("r") >= F.col("header_rows")).groupBy(*keys, "r", "location_col", "area_col", "book_mult", "area_scale").agg(at("name_col").alias("name"), at("location_col").alias("place"), at("equip_col").alias("equip"), at("book_col").alias("book"), at("area_col").alias("area"))
+    rows = with_roles(cells).filter(F.col("r") >= F.col("header_rows")).groupBy(*keys, "r", "location_col", "area_col", "book_mult", "area_scale").agg(at("name_col").alias("name"), at("location_col").alias("place"), at("equip_col").alias("equip"), at("book_col").alias("book"), at("area_col").alias("area"))
     rows = rows.filter((F.coalesce("name", F.lit("")) != "") & ~F.rlike(plain(F.col("name")), F.lit("^[①-⑩]")))
     rows = rows.withColumn("site_name", extract_site_name(F.col("name"))).filter(~F.startswith("site_name", F.lit("計")) & ~F.col("site_name").isin("合計", "小計"))
     if skip_head is not None:

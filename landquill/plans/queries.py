@@ -544,31 +544,58 @@ def url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- tables of filings ------------------------------------------------------------------
 
-_HTML = (
+#: Three layouts of the facilities table, by nation: two header rows, book value and area in one cell, a column of places.
+_LAYOUTS = (
     "<table><tr><td>事業所名<br>(所在地)</td><td>設備の内容</td><td colspan=\"2\">土地</td></tr><tr><td></td><td></td><td>面積(㎡)</td><td>帳簿価額(百万円)</td></tr>"
-    "<tr><td>本社<br>(東京都千代田区)</td><td>事務所</td><td>{area}</td><td>{book}</td></tr><tr><td>工場{key}<br>(東京都大田区)他</td><td>工場</td><td>{area2}</td><td>{book2}</td></tr><tr><td>合計</td><td></td><td>1</td><td>2</td></tr></table>"
+    "<tr><td>本社<br>(東京都千代田区)</td><td>事務所</td><td>{area}</td><td>{book}</td></tr><tr><td>工場{key}<br>(東京都大田区)他</td><td>工場</td><td>{area2}</td><td>{book2}</td></tr><tr><td>合計</td><td></td><td>1</td><td>2</td></tr></table>",
+    "<table><tr><th>事業所名(所在地)</th><th>設備の内容</th><th>土地 帳簿価額(千円)(面積㎡)</th></tr><tr><td>支店{key}<br>(東京都港区)</td><td>店舗</td><td>{book}({area})</td></tr><tr><td></td><td></td><td>※2</td></tr></table>",
+    "<table><tr><td rowspan=\"2\">名称</td><td rowspan=\"2\">所在地</td><td rowspan=\"2\">設備の内容</td><td colspan=\"2\">土地</td></tr><tr><td>面積（千㎡）</td><td>帳簿価額（百万円）</td></tr>"
+    "<tr><td>倉庫{key}</td><td>神奈川県横浜市</td><td>物流倉庫</td><td>{area2}</td><td>{book2}</td></tr><tr><td>倉庫{key}</td><td>神奈川県横浜市</td><td>倉庫</td><td>7</td><td>{book2}</td></tr></table>",
 )
+_FILING = "<html><body><table><tr><td>事業所名</td><td>土地面積</td><td>土地帳簿価額</td></tr><tr><td>別表(東京都)</td><td>1</td><td>2</td></tr></table><ix:nonNumeric name=\"jpcrp_cor:MajorFacilitiesTextBlock\"><h3>主要な設備の状況</h3>{layout}<p>{note}</p></ix:nonNumeric></body></html>"
+_HEAD_NOTE, _PLAIN_NOTE = "本社欄に記載の土地は 各所に所在しております。", "賃借している設備があります。"
 
 
-def _filing_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts, html = re.split(r"\{(\w+)\}", _HTML), []
+def _filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, html: a filing for each customer."""
     key = F.col("c_custkey")
     values = {"area": F.format_number(key % 7000 + 1000, 0), "book": F.format_number(key % 900 + 1, 0), "key": key.cast("string"), "area2": F.concat(F.lit("※1 "), (key % 50 + 5).cast("string")), "book2": (key % 70 + 3).cast("string")}
-    for k, part in enumerate(parts):
-        html.append(values[part] if k % 2 else F.lit(part))
-    docs = _table(spark, sf_dir, "customer").select(key.alias("doc_id"), F.concat(*html).alias("html"))
-    return checkpointed(filings.table_cells(docs, "doc_id", "html", spark.sparkContext.defaultParallelism))
+    values["note"] = F.when(F.col("c_mktsegment") == "BUILDING", _HEAD_NOTE).otherwise(_PLAIN_NOTE)
+    filled = lambda text: F.concat(*[values[part] if k % 2 else F.lit(part) for k, part in enumerate(re.split(r"\{(\w+)\}", text))])
+    which = F.col("c_nationkey") % 3
+    values["layout"] = F.when(which == 0, filled(_LAYOUTS[0])).when(which == 1, filled(_LAYOUTS[1])).otherwise(filled(_LAYOUTS[2]))
+    return _table(spark, sf_dir, "customer").select(key.alias("doc_id"), filled(_FILING).alias("html"))
+
+
+def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checkpointed(filings.parsed_filings(_filings(spark, sf_dir), "doc_id", "html", tagged=True, partitions=spark.sparkContext.defaultParallelism))
 
 
 @query(
-    """SELECT c_custkey AS doc_id, '本社' AS site_name, '東京都千代田区' AS location, false AS has_hoka, (c_custkey % 7000 + 1000)::DOUBLE AS area, (c_custkey % 900 + 1)::DOUBLE * 1000000 AS book, '事務所' AS equipment FROM customer
-        UNION ALL SELECT c_custkey, '工場' || c_custkey, '東京都大田区', true, (c_custkey % 50 + 5)::DOUBLE, (c_custkey % 70 + 3)::DOUBLE * 1000000, '工場' FROM customer"""
+    """SELECT c_custkey AS doc_id, '本社' AS site_name, '東京都千代田区' AS location, false AS has_hoka, (c_custkey % 7000 + 1000)::DOUBLE AS area, (c_custkey % 900 + 1)::DOUBLE * 1000000 AS book, '事務所' AS equipment FROM customer WHERE c_nationkey % 3 = 0 AND c_mktsegment <> 'BUILDING'
+        UNION ALL SELECT c_custkey, '工場' || c_custkey, '東京都大田区', true, (c_custkey % 50 + 5)::DOUBLE, (c_custkey % 70 + 3)::DOUBLE * 1000000, '工場' FROM customer WHERE c_nationkey % 3 = 0
+        UNION ALL SELECT c_custkey, '支店' || c_custkey, '東京都港区', false, (c_custkey % 7000 + 1000)::DOUBLE, (c_custkey % 900 + 1)::DOUBLE * 1000, '店舗' FROM customer WHERE c_nationkey % 3 = 1
+        UNION ALL SELECT c_custkey, '倉庫' || c_custkey, '神奈川県横浜市', false, 7000, (c_custkey % 70 + 3)::DOUBLE * 1000000, '倉庫' FROM customer WHERE c_nationkey % 3 = 2"""
 )
 def filing_facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = filings.facilities(checkpointed(filings.merge_continuations(_filing_cells(spark, sf_dir), first_row=2)))
+    """Facilities of tagged blocks in three layouts, without head offices whose land is listed elsewhere."""
+    parsed = _parsed(spark, sf_dir)
+    heads = filings.section_texts(parsed).filter(filings.skips_head_office(F.col("text"))).select("doc_id")
+    found, _ = filings.facilities(filings.merge_continuations(parsed.filter("table_idx >= 0")), heads)
     return found.select("doc_id", "site_name", "location", "has_hoka", "area", "book", "equipment")
 
 
+@query(
+    f"""SELECT c_custkey AS doc_id, '主要な設備の状況' AS title, CASE WHEN c_mktsegment = 'BUILDING' THEN '{_HEAD_NOTE}' ELSE '{_PLAIN_NOTE}' END AS note, CASE c_nationkey % 3 WHEN 0 THEN '本社' WHEN 1 THEN '支店' || c_custkey ELSE '倉庫' || c_custkey || '神奈川県横浜市物流倉庫※1 ' || (c_custkey % 50 + 5) || (c_custkey % 70 + 3) END AS site,
+        CASE c_nationkey % 3 WHEN 0 THEN 10 WHEN 1 THEN 6 ELSE 6 END AS n_lines FROM customer"""
+)
+def section_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First and last line, the first site's line and the number of lines of every section."""
+    lines = F.split("text", "\n")
+    site = F.filter(lines, lambda x: F.rlike(x, F.lit("^(本社|支店|倉庫)")) & ~F.contains(x, F.lit("記載")))
+    return filings.section_texts(_parsed(spark, sf_dir)).select("doc_id", F.element_at(lines, 1).alias("title"), F.element_at(lines, -1).alias("note"), F.element_at(site, 1).alias("site"), F.size(lines).alias("n_lines"))
+
+
 @query("SELECT l_orderkey AS doc_id, l_linenumber AS c, coalesce(last_value(CASE WHEN l_linenumber % 2 = 1 THEN l_returnflag END IGNORE NULLS) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber ROWS UNBOUNDED PRECEDING), '') AS filled FROM (SELECT l_orderkey, l_linenumber, min(l_returnflag) AS l_returnflag FROM lineitem GROUP BY 1, 2)")
 def header_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = _table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("c")).agg(F.min("l_returnflag").alias("_f"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,10 +132,18 @@ def price_override_table(spark: SparkSession, config: dict[str, dict[str, int]])
 
 
 def read_filings(spark: SparkSession, path: str) -> DataFrame:
-    """code, doc_id, path, length, modified, html of filing documents below code/doc_id/."""
+    """code, doc_id, seq (by file name), path, length, modified, html of filing documents below code/doc_id/.
+
+    Where a document has files below XBRL/PublicDoc, only these count.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{htm,html,xhtml}").load(path)
-    part = lambda k: F.regexp_extract("path", r"([^/]+)/([^/]+)/(?:.*/)?[^/]+$", k)
-    return files.select(part(1).alias("code"), part(2).alias("doc_id"), "path", "length", F.col("modificationTime").alias("modified"), F.decode("content", "UTF-8").alias("html"))
+    base = path.rstrip("/").rsplit("/", 1)[-1]
+    part = lambda k: F.regexp_extract("path", rf"/{re.escape(base)}/([^/]+)/([^/]+)/", k)
+    rows = files.select(part(1).alias("code"), part(2).alias("doc_id"), "path", "length", F.col("modificationTime").alias("modified"), F.decode("content", "UTF-8").alias("html"))
+    public = F.contains("path", F.lit("/XBRL/PublicDoc/"))
+    own = Window.partitionBy("code", "doc_id")
+    rows = rows.withColumn("_any", F.max(public).over(own)).filter(public | ~F.col("_any")).drop("_any")
+    return rows.withColumn("seq", F.row_number().over(own.orderBy(F.substring_index("path", "/", -1), "path"))).select("code", "doc_id", "seq", "path", "length", "modified", "html")
 
 
 def page_texts(pages: DataFrame, sections: DataFrame | None = None) -> DataFrame:

@@ -5,20 +5,35 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-FINGERPRINT = ["code", "doc_id", "length", "modified"]
-
-
-def new_versions(stream: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Each version of a filing once: rows that repeat a fingerprint within ``delay`` of event time are dropped."""
-    return stream.withWatermark("modified", delay).dropDuplicatesWithinWatermark(FINGERPRINT)
+from landquill.operators.master import reuse_extractions
+from landquill.shared import checkpointed
 
+FINGERPRINT = ["code", "doc_id", "length", "modified"]
 
-def ingest(stream: DataFrame, extract: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:
-    """Extract every micro-batch's filings and replace the partitions of their companies."""
-
-    def batch(rows: DataFrame, _: int) -> None:
-        extract(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("code").parquet(path)
 
-    return new_versions(stream).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def ingest(stream: DataFrame, extract: Callable[[DataFrame, DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:
+    """Keep each version of a filing once and replace the results of the companies that have a new one.
+
+    Every micro-batch is compared with the fingerprints of all batches before,
+    which are kept beside the results, so that filings of any age count and
+    each version counts once. ``extract`` gets the new filings and all
+    filings so far of their companies, and returns rows with a code.
+    """
+    known_path = path.rstrip("/") + "_versions"
+    kept = T.StructType([*stream.schema.fields, T.StructField("_batch", T.LongType())])
+
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        known = spark.read.schema(kept).parquet(known_path) if batch_id else spark.createDataFrame([], kept)
+        known = known.filter(F.col("_batch") < batch_id).select(stream.columns)  # a batch that is run again doesn't know itself
+        new, _ = reuse_extractions(rows.dropDuplicates(FINGERPRINT), known, FINGERPRINT)
+        new = checkpointed(new)
+        new.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(known_path)
+        every = known.unionByName(new).join(new.select("code").distinct(), "code", "left_semi")
+        extract(new, every).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("code").parquet(path)
+
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

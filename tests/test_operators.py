@@ -190,7 +190,7 @@ def test_filing_html_with_spans_and_a_continuation(spark):
     docs = spark.createDataFrame([("d", html), ("e", None), ("f", "<p>no table</p>")], "doc string, html string")
     grid = filings.table_cells(docs, "doc", "html")
     assert {(r["r"], r["c"]) for r in grid.filter("txt IS NULL").collect()} == {(1, 0), (1, 1), (0, 3)}
-    found, _ = filings.facilities(filings.merge_continuations(grid, first_row=2))
+    found, _ = filings.facilities(filings.merge_continuations(grid))
     assert [(r["site_name"], r["location"], r["area"], r["book"]) for r in found.collect()] == [("日本橋室町", "東京都中央区", 10255.0, 108443e6)]
 
 
@@ -244,12 +244,42 @@ def test_sink_replaces_only_its_companies(spark, tmp_path):
     assert all(r["valid"] for r in sinks.valid_outputs(out, ["v"]).collect())
 
 
+def test_filings_prefer_public_documents(spark, tmp_path):
+    for name in ("1/d1/XBRL/PublicDoc/b.htm", "1/d1/XBRL/PublicDoc/a.htm", "1/d1/XBRL/AuditDoc/c.htm", "2/e/x.html", "2/e/notes.txt"):
+        (tmp_path / "f" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "f" / name).write_text(f"<p>{name}</p>")
+    got = [(r["code"], r["doc_id"], r["seq"], r["html"]) for r in tables.read_filings(spark, str(tmp_path / "f")).orderBy("code", "seq").collect()]
+    assert got == [("1", "d1", 1, "<p>1/d1/XBRL/PublicDoc/a.htm</p>"), ("1", "d1", 2, "<p>1/d1/XBRL/PublicDoc/b.htm</p>"), ("2", "e", 1, "<p>2/e/x.html</p>")]
+
+
+def test_memos_by_company(spark, tmp_path):
+    (tmp_path / "1911.md").write_text("# a\nb")
+    assert [tuple(r) for r in tables.read_memos(spark, str(tmp_path)).collect()] == [("1911", "# a\nb")]
+
+
+def test_tagged_blocks_and_their_text(spark):
+    rented = "<table><tr><td rowspan=2>事業所名（所在地）</td><td colspan=2>帳簿価額（千円）</td></tr><tr><td>建物</td><td>合計</td></tr><tr><td>本社<br />（東京都渋谷区）</td><td>13,257</td><td>232,009</td></tr></table><p>賃借している設備があります。</p>"
+    owned = "<table><tr><td>名称（所在地）</td><td>土地面積（㎡）</td><td>土地帳簿価額（百万円）</td></tr><tr><td>A<br>（東京都港区）</td><td>5</td><td>6</td></tr></table>"
+    tag = lambda name, body: f'<ix:nonNumeric name="{name}">{body}</ix:nonNumeric>'
+    docs = [("a", owned + tag("jpcrp_cor:MajorFacilitiesTextBlock", "<h3>設備&nbsp;の 状況</h3>" + rented)), ("b", tag("x:OtherTextBlock", owned) + tag("MajorFacilitiesTextBlock", tag("y:Inner", "x<br>y") + owned) + tag("MajorFacilitiesTextBlock", "z")), ("c", None)]
+    parsed = filings.parsed_filings(spark.createDataFrame(docs, "doc string, html string"), "doc", "html", tagged=True)
+    found, _ = filings.facilities(filings.merge_continuations(parsed.filter("table_idx >= 0")))
+    assert [(r["doc_id"], r["site_name"], r["area"], r["book"]) for r in found.collect()] == [("b", "A", 5.0, 6e6)]
+    texts = {r["doc_id"]: r["text"] for r in filings.section_texts(parsed).collect()}
+    assert texts["a"].startswith("設備 の 状況\n事業所名") and texts["a"].endswith("賃借している設備があります。") and set(texts) == {"a", "b"}
+    assert texts["b"].startswith("x\ny") and texts["b"].endswith("\n\nz")
+
+
 def test_stream_takes_each_version_once(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     t = datetime.datetime(2024, 1, 1)
     rows = [("1", "d", 10, t), ("1", "d", 10, t), ("2", "e", 11, t)]
     schema = "code string, doc_id string, length long, modified timestamp"
     spark.createDataFrame(rows, schema).write.parquet(source)
-    query = ingest(spark.readStream.schema(schema).parquet(source), lambda x: x.groupBy("code").count(), out, str(tmp_path / "ck"))
+    query = ingest(spark.readStream.schema(schema).parquet(source), lambda new, every: every.groupBy("code").count(), out, str(tmp_path / "ck"))
     query.awaitTermination(120)
     assert {(str(r["code"]), r["count"]) for r in spark.read.parquet(out).collect()} == {("1", 1), ("2", 1)}
+    # A filing copied in later with an old time still comes, a repeated one doesn't.
+    spark.createDataFrame([("1", "old", 9, datetime.datetime(2020, 1, 1)), ("2", "e", 11, t)], schema).write.mode("append").parquet(source)
+    ingest(spark.readStream.schema(schema).parquet(source), lambda new, every: every.groupBy("code").count(), out, str(tmp_path / "ck")).awaitTermination(120)
+    assert {(str(r["code"]), r["count"]) for r in spark.read.parquet(out).collect()} == {("1", 2), ("2", 1)}
