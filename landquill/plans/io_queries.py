@@ -141,7 +141,7 @@ def ranking_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def price_date_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _path(spark, "dates")
     sinks.write_price_dates(view(spark, sf_dir, "prices"), "2024-03-01", path)
-    return spark.read.schema("price_date timestamp, target_price_date date").option("timestampFormat", sinks.TIME_FORMAT).json(path)
+    return spark.read.schema("price_date string, target_price_date date").json(path).withColumn("price_date", F.col("price_date").cast("timestamp"))
 
 
 @query("SELECT CAST(c_mktsegment AS VARCHAR) AS code, CAST(count(*) AS BIGINT) AS versions FROM customer GROUP BY 1")

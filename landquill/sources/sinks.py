@@ -25,9 +25,6 @@ def price_dates(prices: DataFrame, target_date: str) -> DataFrame:
     return prices.agg(F.max("date").alias("price_date")).withColumn("target_price_date", F.lit(target_date).cast("date"))
 
 
-#: How times are written in JSON, to the microsecond.
-TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
-
-
 def write_price_dates(prices: DataFrame, target_date: str, path: str) -> None:
-    price_dates(prices, target_date).write.mode("overwrite").option("timestampFormat", TIME_FORMAT).json(path)
+    """The dates as JSON; the price date as text to the microsecond."""
+    price_dates(prices, target_date).withColumn("price_date", F.col("price_date").cast("string")).write.mode("overwrite").json(path)
