@@ -19,6 +19,8 @@ FAMILIES = {
 }
 #: Pairs up to which all points are compared with all queries of a scope, and points up to which they are broadcast for it.
 BROADCAST_PAIRS, BROADCAST_POINTS = 50_000_000, 50_000
+#: Levels of cells at most, each half as wide as the one before, and queries that one block compares with all points.
+LEVELS, QUERY_BLOCK = 30, 4096
 
 
 def with_scopes(points: DataFrame, kind: str = "kind", families: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
@@ -38,11 +40,37 @@ def known_scope(queries: DataFrame, scoped: DataFrame, wanted: str) -> DataFrame
 
 
 def _ranked(pairs: DataFrame, k: int) -> DataFrame:
+    """The k best pairs of each query; the rank's bound also limits what each task passes on to the shuffle."""
     by = Window.partitionBy("_q").orderBy("dist_m", "point_id")
     return pairs.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k)
 
 
-def knn_join(queries: DataFrame, points: DataFrame, k: int, strategy: str = "auto", cell: float | None = None) -> DataFrame:
+def _cell(x: Column, low: float, size: Column) -> Column:
+    return F.floor((x - low) / size).cast("int")
+
+
+def _dense_levels(held: DataFrame, n: int, low: tuple[float, float], extent: float, least: int) -> tuple[DataFrame, list[int]]:
+    """(pscope, level, cx, cy of the cells with ``least`` or more points; the levels). Cells of a level are half as wide as those before.
+
+    The levels at which ``n`` points spread evenly would be that few are
+    counted at once; below them only the points of cells that are still
+    crowded, a few levels at a time.
+    """
+    size = F.lit(extent) / F.pow(F.lit(2.0), F.col("level"))
+    points, out, start, step = held.select("pscope", "px", "py"), None, 0, max(1, math.ceil(math.log(max(1, n / least), 4))) + 1
+    while True:
+        levels = range(start, min(LEVELS, start + step))
+        own = points.withColumn("level", F.explode(F.array(*map(F.lit, levels)))).withColumns({"cx": _cell(F.col("px"), low[0], size), "cy": _cell(F.col("py"), low[1], size)})
+        dense = checkpointed(own.groupBy("pscope", "level", "cx", "cy").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least))
+        out = dense if out is None else out.unionByName(dense)
+        crowded = dense.filter((F.col("level") == levels[-1]) & (F.col("n") >= 4 * least)).select("pscope", "level", "cx", "cy")
+        start, step = levels[-1] + 1, 4
+        if start == LEVELS or crowded.isEmpty():
+            return out.drop("n"), list(range(start))
+        points = own.join(crowded, ["pscope", "level", "cx", "cy"], "left_semi").select("pscope", "px", "py")
+
+
+def knn_join(queries: DataFrame, points: DataFrame, k: int, strategy: str = "auto", block: int = QUERY_BLOCK) -> DataFrame:
     """The k nearest points of each query in metres of the plane, nearer first, then by the smaller point_id.
 
     queries: query_id, x, y, scope. points: point_id, x, y, scope, and any
@@ -52,52 +80,77 @@ def knn_join(queries: DataFrame, points: DataFrame, k: int, strategy: str = "aut
 
     Queries at one place are answered once. ``broadcast`` compares each query
     with all points of its scope. ``grid`` compares it with the points of 3 x 3
-    cells and accepts the answer if the kth is nearer than the edge of that
-    area; the other queries go on with cells of twice the size, until one cell
-    holds everything, so the answer is exact for any data. Of points at one
-    place only the k smallest ids can be among the nearest, so that crowded
-    places stay small. ``auto`` counts both sides first and takes the
-    broadcast only for few points and few pairs.
+    cells around the place of the points' box that is nearest to it. Cells come
+    in levels, each half as wide as the one before; a query starts with the
+    finest level whose own cell still holds points enough, so that crowded
+    and empty regions and scopes each have cells of their own size. An answer
+    counts if the kth is nearer than anything outside those cells can be; other
+    queries go on one level up. Those that come to the whole box, with a scope
+    of few points or far outside, are compared in blocks of ``block`` queries
+    with all points of their scope, where each task of points keeps the k best.
+    Of points at one place only the k smallest ids can be among the nearest, so
+    that crowded places stay small. ``auto`` counts both sides first and takes
+    the broadcast only for few points and few pairs.
     """
     more = [c for c in points.columns if c not in ("point_id", "x", "y", "scope")]
     asked = queries.filter("x IS NOT NULL AND y IS NOT NULL").select("query_id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), "scope")
-    spots = asked.select("x", "y", "scope").distinct().withColumn("_q", F.struct("scope", "x", "y"))
     held = points.filter("x IS NOT NULL AND y IS NOT NULL").select("point_id", F.col("x").cast("double").alias("px"), F.col("y").cast("double").alias("py"), F.col("scope").alias("pscope"), *more)
-    held = held.withColumn("_n", F.row_number().over(Window.partitionBy("pscope", "px", "py").orderBy("point_id"))).filter(F.col("_n") <= k).drop("_n")
+    held = checkpointed(held.withColumn("_n", F.row_number().over(Window.partitionBy("pscope", "px", "py").orderBy("point_id"))).filter(F.col("_n") <= k).drop("_n"))
+    spots = checkpointed(asked.select("x", "y", "scope").distinct().withColumn("_q", F.monotonically_increasing_id()))  # ids hold from here on
     box = held.agg(F.count(F.lit(1)), F.min("px"), F.max("px"), F.min("py"), F.max("py")).first()
-    n, extent = box[0], max((box[2] or 0) - (box[1] or 0), (box[4] or 0) - (box[3] or 0), 1.0)
+    if not box[0]:
+        return asked.join(held, F.lit(False)).select("query_id", F.lit(0).alias("rank"), F.lit(0.0).alias("dist_m"), "point_id", *more)
     if strategy == "auto":
-        strategy = "broadcast" if n <= BROADCAST_POINTS and n * spots.count() <= BROADCAST_PAIRS else "grid"
+        strategy = "broadcast" if box[0] <= BROADCAST_POINTS and box[0] * spots.count() <= BROADCAST_PAIRS else "grid"
     dist = F.sqrt((F.col("x") - F.col("px")) * (F.col("x") - F.col("px")) + (F.col("y") - F.col("py")) * (F.col("y") - F.col("py"))).alias("dist_m")
-    cols = ["_q", "dist_m", "point_id", *more]
     if strategy == "broadcast":
-        pairs = spots.join(F.broadcast(held) if n <= BROADCAST_POINTS else held, F.col("scope") == F.col("pscope")).select("_q", dist, "point_id", *more)
+        pairs = spots.join(F.broadcast(held) if box[0] <= BROADCAST_POINTS else held, F.col("scope") == F.col("pscope")).select("_q", dist, "point_id", *more)
         found = _ranked(pairs, k)
     else:
-        size = cell or max(extent * math.sqrt(max(1.0, 2.0 * k) / max(1, n)), 1e-9)
-        found, pending = None, spots
-        while True:
-            last = size > 2 * extent
-            own = held.withColumn("_cx", F.floor(F.col("px") / size)).withColumn("_cy", F.floor(F.col("py") / size))
-            shifts = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
-            if last:
-                pairs = pending.join(held, F.col("scope") == F.col("pscope")).select("_q", dist, "point_id", *more)
-                done = _ranked(pairs, k)
-                found = done if found is None else found.unionByName(done)
-                break
-            reach = pending.withColumn("_s", F.explode(shifts)).withColumn("_qx", F.floor(F.col("x") / size) + F.col("_s.a")).withColumn("_qy", F.floor(F.col("y") / size) + F.col("_s.b"))
-            pairs = reach.join(own, (F.col("scope") == F.col("pscope")) & (F.col("_qx") == F.col("_cx")) & (F.col("_qy") == F.col("_cy"))).select("_q", "x", "y", dist, "point_id", *more)
-            near = _ranked(pairs, k)
-            fx, fy = F.pmod(F.col("x"), F.lit(size)), F.pmod(F.col("y"), F.lit(size))
-            safe = F.lit(size) + F.least(fx, size - fx, fy, size - fy)
-            good = F.max(F.when(F.col("rank") == k, F.col("dist_m") < safe).otherwise(F.lit(False))).over(Window.partitionBy("_q"))
-            done = checkpointed(near.withColumn("_ok", good).filter("_ok").select(*cols, "rank"))
-            found = done if found is None else found.unionByName(done)
-            pending = checkpointed(pending.join(done.select("_q").distinct(), "_q", "left_anti"))
-            if pending.isEmpty():
-                break
-            size *= 2
-    return asked.withColumn("_q", F.struct("scope", "x", "y")).join(found, "_q").select("query_id", "rank", "dist_m", "point_id", *more)
+        found = _grid_found(spots, held, box[0], k, ((box[1], box[2]), (box[3], box[4])), dist, more, block)
+    placed = spots.join(found, "_q").withColumnsRenamed({"x": "_x", "y": "_y", "scope": "_scope"})
+    return asked.join(placed, (F.col("x") == F.col("_x")) & (F.col("y") == F.col("_y")) & (F.col("scope") == F.col("_scope"))).select("query_id", "rank", "dist_m", "point_id", *more)
+
+
+def _grid_found(spots: DataFrame, held: DataFrame, n: int, k: int, box: tuple[tuple[float, float], tuple[float, float]], dist: Column, more: list[str], block: int) -> DataFrame:
+    """_q, rank, dist_m, point_id and ``more`` by cells; see ``knn_join``."""
+    (x0, x1), (y0, y1) = box
+    extent = max(x1 - x0, y1 - y0, 1e-9) * (1 + 1e-9)
+    dense, levels = _dense_levels(held, n, (x0, y0), extent, -(-2 * k // 3))
+    near = spots.withColumns({"nx": F.greatest(F.lit(x0), F.least(F.lit(x1), F.col("x"))), "ny": F.greatest(F.lit(y0), F.least(F.lit(y1), F.col("y")))})
+    # The finest level that knows the query's own cell as dense.
+    size = F.lit(extent) / F.pow(F.lit(2.0), F.col("level"))
+    at = near.withColumn("level", F.explode(F.array(*map(F.lit, levels)))).withColumns({"cx": _cell(F.col("nx"), x0, size), "cy": _cell(F.col("ny"), y0, size)})
+    deepest = at.join(dense.withColumnRenamed("pscope", "scope"), ["scope", "level", "cx", "cy"], "left_semi").groupBy("_q").agg(F.max("level").alias("level"))
+    pending = checkpointed(near.join(deepest, "_q", "left").withColumn("level", F.coalesce("level", F.lit(0))))
+    shifts = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
+    out = []
+    while True:
+        used = sorted(r[0] for r in pending.filter("level > 0").select("level").distinct().collect())
+        if not used:
+            break
+        own = held.withColumn("level", F.explode(F.array(*map(F.lit, used)))).withColumns({"cx": _cell(F.col("px"), x0, size), "cy": _cell(F.col("py"), y0, size)})
+        reach = pending.filter("level > 0").withColumn("_s", F.explode(shifts)).withColumns({"cx": _cell(F.col("nx"), x0, size) + F.col("_s.a"), "cy": _cell(F.col("ny"), y0, size) + F.col("_s.b")})
+        met = reach.join(own.withColumnRenamed("pscope", "scope"), ["scope", "level", "cx", "cy"])
+        fx, fy = F.pmod(F.col("nx") - x0, size), F.pmod(F.col("ny") - y0, size)
+        safe = size + F.least(fx, size - fx, fy, size - fy)
+        # What lies outside those cells is as far from the box's nearest place as ``safe``, and the query stands at or behind that place.
+        beyond = F.sqrt(safe * safe + F.pow(F.col("x") - F.col("nx"), 2) + F.pow(F.col("y") - F.col("ny"), 2)) * (1 - 1e-9)
+        best = _ranked(met.select("_q", dist, "point_id", beyond.alias("_beyond"), *more), k)
+        sure = F.max(F.when(F.col("rank") == k, F.col("dist_m") < F.col("_beyond"))).over(Window.partitionBy("_q"))
+        done = checkpointed(best.withColumn("_ok", sure).filter("_ok").select("_q", "rank", "dist_m", "point_id", *more))
+        out.append(done)
+        left = pending.join(done.filter("rank = 1").select("_q"), "_q", "left_anti")
+        pending = checkpointed(left.withColumn("level", F.greatest(F.lit(0), F.col("level") - 1)))
+    blocks = -(-pending.count() // block)
+    for part in range(blocks):
+        mine = pending if blocks == 1 else pending.filter(F.pmod(F.xxhash64("_q"), F.lit(blocks)) == part)
+        pairs = held.join(F.broadcast(mine.select("_q", "x", "y", "scope")), F.col("scope") == F.col("pscope")).select("_q", dist, "point_id", *more)
+        out.append(checkpointed(_ranked(pairs, k).select("_q", "rank", "dist_m", "point_id", *more)))
+    found = out[0] if out else held.select(F.lit(0).cast("long").alias("_q"), F.lit(0).alias("rank"), F.lit(0.0).alias("dist_m"), "point_id", *more).limit(0)
+    for part in out[1:]:
+        found = found.unionByName(part)
+    return found
 
 
 def geodesic_knn_join(queries: DataFrame, points: DataFrame, k: int, slack: float = 0.002, **options: object) -> DataFrame:
@@ -118,12 +171,13 @@ def geodesic_knn_join(queries: DataFrame, points: DataFrame, k: int, slack: floa
         own = Window.partitionBy("query_id")
         found = found.withColumn("rank", F.row_number().over(own.orderBy(F.round(F.col("dist_m") * 1e6), "point_id"))).withColumn("_far", F.max("_plane").over(own)).withColumn("_n", F.count(F.lit(1)).over(own))
         found = found.withColumn("_kth", F.max(F.when(F.col("rank") <= k, F.col("dist_m"))).over(own))
+        found = checkpointed(found.filter(F.col("rank") <= k))
         sure = (F.col("_n") < want) | (F.col("_kth") * (1 + slack) < F.col("_far"))
-        done = checkpointed(found.filter(sure & (F.col("rank") <= k)).select("query_id", "rank", "dist_m", "point_id", *more))
+        done = found.filter(sure).select("query_id", "rank", "dist_m", "point_id", *more)
         out = done if out is None else out.unionByName(done)
-        unsure = checkpointed(found.filter(~sure).select("query_id").distinct())
+        unsure = found.filter(~sure).select("query_id").distinct()
         if want >= total or unsure.isEmpty():
-            return out if unsure.isEmpty() else out.unionByName(found.filter(~sure & (F.col("rank") <= k)).select("query_id", "rank", "dist_m", "point_id", *more))
+            return out if unsure.isEmpty() else out.unionByName(found.filter(~sure).select("query_id", "rank", "dist_m", "point_id", *more))
         pending, want = pending.join(unsure, "query_id", "left_semi"), want * 2
 
 

@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import math
 import random
 
 import pytest
@@ -55,7 +56,7 @@ def test_knn_matches_brute_force(spark, strategy):
     rng = random.Random(3)
     pts = [(f"p{i:03}", float(rng.randrange(100)) if i % 3 else 50.0, float(rng.randrange(100)) if i % 3 else 50.0, "" if i % 2 else "a") for i in range(120)]
     qs = [(i, float(rng.randrange(-500, 600)), float(rng.randrange(100)), "" if i % 2 else "a") for i in range(60)] + [(900, None, 1.0, "")]
-    got = knn.knn_join(spark.createDataFrame(qs, "query_id int, x double, y double, scope string"), spark.createDataFrame(pts, "point_id string, x double, y double, scope string"), 4, strategy=strategy, cell=3.0)
+    got = knn.knn_join(spark.createDataFrame(qs, "query_id int, x double, y double, scope string"), spark.createDataFrame(pts, "point_id string, x double, y double, scope string"), 4, strategy=strategy)
     want = set()
     for q, x, y, s in qs[:-1]:
         best = sorted((((x - a) ** 2 + (y - b) ** 2) ** 0.5, p) for p, a, b, t in pts if t == s)[:4]
@@ -244,6 +245,22 @@ def test_sink_replaces_only_its_companies(spark, tmp_path):
     assert all(r["valid"] for r in sinks.valid_outputs(out, ["v"]).collect())
 
 
+@pytest.mark.parametrize("k, block", [(1, 4096), (3, 2), (8, 4096)])
+def test_grid_of_clusters_outliers_and_far_queries(spark, k, block):
+    rng = random.Random(k)
+    pts = [(f"p{i:03}", 5e5 + rng.gauss(0, 3), 2e5 + rng.gauss(0, 3), "") for i in range(150)] + [(f"q{i:03}", rng.uniform(0, 1e6), rng.uniform(0, 1e6), "") for i in range(60)]
+    pts += [("out", 1e8, -1e8, ""), *[(f"s{i}", 7.0, 7.0, "") for i in range(12)], ("a", 1.0, 1.0, "few"), ("b", 2.0, 2.0, "few")]
+    qs = [(i, 5e5 + rng.gauss(0, 5), 2e5 + rng.gauss(0, 5), "") for i in range(40)] + [(100 + i, rng.uniform(-1e6, 2e6), rng.uniform(-1e6, 2e6), "") for i in range(20)]
+    qs += [(200, 9e9, 9e9, ""), (201, -5e8, 0.0, ""), (202, 0.0, 0.0, "few"), (203, 1.0, 1.0, "none"), (204, 7.0, 7.0, ""), (205, None, 1.0, "")]
+    got = knn.knn_join(spark.createDataFrame(qs, "query_id int, x double, y double, scope string"), spark.createDataFrame(pts, "point_id string, x double, y double, scope string"), k, strategy="grid", block=block)
+    found = {}
+    for r in got.orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append(r["point_id"])
+    for i, x, y, scope in qs:
+        want = [] if x is None else [p for _, p in sorted((math.sqrt((x - a) * (x - a) + (y - b) * (y - b)), p) for p, a, b, s in pts if s == scope)[:k]]
+        assert found.get(i, []) == want, i
+
+
 def test_filings_prefer_public_documents(spark, tmp_path):
     for name in ("1/d1/XBRL/PublicDoc/b.htm", "1/d1/XBRL/PublicDoc/a.htm", "1/d1/XBRL/AuditDoc/c.htm", "2/e/x.html", "2/e/notes.txt"):
         (tmp_path / "f" / name).parent.mkdir(parents=True, exist_ok=True)
