@@ -30,19 +30,27 @@ _SIZE = len(ALPHABET) + 1
 _CHUNK = 128
 
 
-def spans(text: Column, pattern: str, least: int) -> Column:
-    """Array of struct(start, end, value) of the leftmost matches, left to right.
+def with_spans(df: DataFrame, text: str, patterns: dict[str, tuple[str, int, Column | None]]) -> DataFrame:
+    """``df`` with, for each name of ``patterns`` (pattern, least length, gate), an array of struct(start, end, value) of the leftmost matches, left to right.
 
     What lies between matches and the matches themselves alternate, so places
     are running sums of their lengths in code points: within chunks of matches
     first, then over the chunks, since an accumulated array is copied at each
-    step. The pattern's only capturing group is the value; matches with a
-    shorter value are dropped after they have used up their text.
+    step. Each step is a projection of its own, so that none is computed twice.
+    The pattern's only capturing group is the value; matches with a shorter
+    value are dropped after they have used up their text. Where the gate isn't
+    true there are no matches.
     """
-    gaps, hits, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
-    pieces = F.zip_with(F.slice(gaps, 1, F.size(hits)), F.arrays_zip(hits.alias("hit"), values.alias("value")), lambda g, h: F.struct(F.length(g).alias("gap"), F.length(h["hit"]).alias("n"), h["value"].alias("value")))
+    columns, names = df.columns, list(patterns)
+    gated = lambda k, x: x if patterns[k][2] is None else F.when(patterns[k][2], x)
+    cut = {f"_gaps_{k}": gated(k, F.split(F.col(text), patterns[k][0], -1)) for k in names} | {f"_hits_{k}": gated(k, F.regexp_extract_all(text, F.lit(patterns[k][0]), F.lit(0))) for k in names}
+    df = df.withColumns(cut | {f"_values_{k}": gated(k, F.regexp_extract_all(text, F.lit(patterns[k][0]), F.lit(1))) for k in names if not _whole(patterns[k][0])})
 
-    def within(chunk: Column) -> Column:
+    def pieces(k: str) -> Column:
+        values = F.col(f"_hits_{k}" if _whole(patterns[k][0]) else f"_values_{k}")
+        return F.zip_with(F.arrays_zip(F.col(f"_hits_{k}").alias("hit"), values.alias("value")), F.slice(F.col(f"_gaps_{k}"), F.lit(1), F.size(f"_hits_{k}")), lambda h, g: F.struct(F.length(g).alias("gap"), F.length(h["hit"]).alias("n"), h["value"].alias("value")))
+
+    def within(chunk: Column, least: int) -> Column:
         def step(state: Column, x: Column) -> Column:
             start = state["at"] + x["gap"]
             end = start + x["n"]
@@ -51,10 +59,19 @@ def spans(text: Column, pattern: str, least: int) -> Column:
 
         return F.aggregate(chunk, F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("found")), step)
 
-    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / _CHUNK).cast("int")), lambda i: within(F.slice(pieces, i * _CHUNK + 1, F.lit(_CHUNK))))
-    starts = F.aggregate(chunks, F.array(F.lit(0)), lambda s, c: F.concat(s, F.array(F.element_at(s, -1) + c["at"])))
-    moved = F.zip_with(chunks, F.slice(starts, 1, F.size(chunks)), lambda c, at: F.transform(c["found"], lambda x: F.struct((x["start"] + at).alias("start"), (x["end"] + at).alias("end"), x["value"].alias("value"))))
-    return F.when(F.size(hits) > 0, F.flatten(moved)).otherwise(F.array().cast(SPANS))
+    def chunks(k: str) -> Column:
+        own = F.col(f"_pieces_{k}")
+        return F.when(F.size(own) > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size(own) - 1) / _CHUNK).cast("int")), lambda i: within(F.slice(own, i * _CHUNK + 1, F.lit(_CHUNK)), patterns[k][1])))
+
+    df = df.withColumns({f"_pieces_{k}": pieces(k) for k in names}).withColumns({f"_chunks_{k}": chunks(k) for k in names})
+    df = df.withColumns({f"_starts_{k}": F.aggregate(f"_chunks_{k}", F.array(F.lit(0)), lambda s, c: F.concat(s, F.array(F.element_at(s, -1) + c["at"]))) for k in names})
+    moved = lambda k: F.zip_with(f"_chunks_{k}", F.slice(f"_starts_{k}", F.lit(1), F.size(f"_chunks_{k}")), lambda c, at: F.transform(c["found"], lambda x: F.struct((x["start"] + at).alias("start"), (x["end"] + at).alias("end"), x["value"].alias("value"))))
+    return df.select(*columns, *[F.coalesce(F.flatten(moved(k)), F.array().cast(SPANS)).alias(k) for k in names])
+
+
+def _whole(pattern: str) -> bool:
+    """Whether the value is all of the match."""
+    return pattern.startswith("(") and pattern.endswith(")") and pattern != ASSIGN
 
 
 def _spans_of(rank: int, kind: str) -> Callable[[Column], Column]:
@@ -121,8 +138,8 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     body = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
     gates = {"assign": F.rlike("_t", F.lit(ASSIGN)), "access": F.contains("_t", F.lit("AKIA")), "hex": F.rlike("_t", F.lit(HEX))}
-    placed = [F.when(gates[k], spans(F.col("_t"), p, n)).otherwise(F.array().cast(SPANS)).alias(k) for k, p, n in BASE]
-    scanned = checkpointed(body.select("doc_id", *placed, spans(F.col("_t"), TOKEN, TOKEN_LEAST).alias("long")))
+    placed = with_spans(body, "_t", {k: (p, n, gates[k]) for k, p, n in BASE} | {"long": (TOKEN, TOKEN_LEAST, None)})
+    scanned = checkpointed(placed.drop("_t"))
     base = F.concat(*[F.transform(k, _spans_of(rank, k)) for rank, (k, _, _) in enumerate(BASE)])
     marked = scanned.select("doc_id", F.array_sort(base).alias("base"), "long")
     # Few texts have any base span, and only there can a token overlap one.
