@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from landquill.functions.address import normalize_addr, oaza_name, parse_town, split_municipality
 
+#: Characters of a municipality's name at most.
+MUNI_LENGTH = 12
+
 
 def block_index(rows: DataFrame, prefecture: str = "東京都") -> DataFrame:
     """muni, town, block, lat, lon: of each block the row with the flags set, then the smallest coordinates.
@@ -48,11 +51,13 @@ def geocode(addresses: DataFrame, blocks: DataFrame, towns: DataFrame, centroids
     base = addresses.select("address").distinct()
     parts = base.select("address", split_municipality(F.col("address")).alias("m"), parse_town(F.col("address")).alias("t"))
     if muni_match == "dimension":
-        names = centroids.select(F.col("muni").alias("_m")).distinct()  # one row for each municipality
-        full = parts.select("address", "m", "t", normalize_addr(F.col("address")).alias("_a")).join(F.broadcast(names), F.startswith("_a", F.concat(F.lit("東京都"), "_m")), "left")
-        longest = full.groupBy("address").agg(F.max_by("_m", F.length("_m")).alias("_m"), F.first("_a").alias("_a"), F.first("m").alias("m"), F.first("t").alias("t"))
+        # Every beginning of an address that may be a municipality meets the table by equality; the longest counts.
+        named = parts.select("address", "m", "t", normalize_addr(F.col("address")).alias("_a"))
+        starts = named.filter(F.startswith("_a", F.lit("東京都"))).select("address", F.explode(F.transform(F.sequence(F.lit(1), F.lit(MUNI_LENGTH)), lambda n: F.substring(F.col("_a"), F.lit(4), n))).alias("_m")).distinct()
+        longest = starts.join(centroids.select(F.col("muni").alias("_m")).distinct(), "_m").groupBy("address").agg(F.max_by("_m", F.length("_m")).alias("_m"))
+        named = named.join(longest, "address", "left")
         rest = F.concat(F.lit("東京都外区"), F.substring("_a", F.lit(4) + F.length("_m"), F.length("_a")))
-        parts = longest.select("address", F.when(F.col("_m").isNull(), F.col("m")).otherwise(F.struct(F.col("_m").alias("muni"), F.col("m.rest").alias("rest"))).alias("m"), F.when(F.col("_m").isNull(), F.col("t")).otherwise(parse_town(rest)).alias("t"))
+        parts = named.select("address", F.when(F.col("_m").isNull(), F.col("m")).otherwise(F.struct(F.col("_m").alias("muni"), F.col("m.rest").alias("rest"))).alias("m"), F.when(F.col("_m").isNull(), F.col("t")).otherwise(parse_town(rest)).alias("t"))
     p = parts.select("address", F.col("m.muni").alias("muni"), F.col("t.town").alias("town"), F.col("t.chome").alias("chome"), F.col("t.block").alias("block"))
     named = F.when(F.col("chome").isNotNull(), normalize_addr(oaza_name(F.col("town"), F.col("chome"))))
     text = lambda c: F.col(c).cast("string")
