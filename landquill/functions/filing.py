@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,15 +66,20 @@ def extract_site_name(cell: Column) -> Column:
     return F.when(joined == "", "不明").otherwise(joined)
 
 
+#: The notes of units in headers, thousand and million yen and thousand square metres.
+THOUSAND_YEN, MILLION_YEN = ("帳簿価額(千円)", "帳簿価額（千円）"), ("帳簿価額(百万円)", "帳簿価額（百万円）", "(百万円)", "（百万円）")
+OTHER_THOUSAND_YEN, THOUSAND_METRES = ("(千円)", "（千円）"), ("面積千㎡", "(千㎡)", "（千㎡）", "(千m2)", "（千m2）")
+
+
 def book_multiplier(header: Column) -> Column:
     """Yen of a unit of book value; a million unless the header says thousand."""
     has = lambda *words: F.coalesce(*[F.when(F.contains(header, F.lit(w)), True) for w in words], F.lit(False))
-    return F.when(has("帳簿価額(千円)", "帳簿価額（千円）"), 1000).when(has("帳簿価額(百万円)", "帳簿価額（百万円）", "(百万円)", "（百万円）"), 1_000_000).when(has("(千円)", "（千円）"), 1000).otherwise(1_000_000)
+    return F.when(has(*THOUSAND_YEN), 1000).when(has(*MILLION_YEN), 1_000_000).when(has(*OTHER_THOUSAND_YEN), 1000).otherwise(1_000_000)
 
 
 def area_scale(header: Column) -> Column:
-    found = [F.contains(header, F.lit(w)) for w in ("面積千㎡", "(千㎡)", "（千㎡）", "(千m2)", "（千m2）")]
-    return F.when(found[0] | found[1] | found[2] | found[3] | found[4], 1000.0).otherwise(F.lit(1.0))
+    found = [F.contains(header, F.lit(w)) for w in THOUSAND_METRES]
+    return F.when(functools.reduce(operator.or_, found), 1000.0).otherwise(F.lit(1.0))
 
 
 def to_float(s: Column) -> Column:

@@ -10,9 +10,12 @@ from landquill.functions.address import normalize_addr, split_municipality
 #: Fixed patterns: how an address is cut back, the first that matches.
 TRIMS = (r"^(東京都.+?号)", r"^(東京都.+?[0-9]{1,4}-[0-9]{1,4})-[0-9]{5,}.*$", r"^(東京都.+?(?:[0-9]+丁目)?[0-9]{1,4}-[0-9]{1,4}(?:-[0-9]{1,4})?).*$", r"^(東京都.+?[0-9]+丁目[0-9]+番(?:地|[0-9]+)?).*$", r"^(東京都.+?[0-9]+丁目).*$")
 
+#: Fixed patterns: what ends an address in running text.
+NOISE = (r"TEL|FAX|https?://|〒|[（()）]", r"[。､,，;；]")
+
 
 def _cut_noise(a: Column) -> Column:
-    for pattern in (r"TEL|FAX|https?://|〒|[（()）]", r"[。､,，;；]"):
+    for pattern in NOISE:
         a = F.element_at(F.split(a, pattern), 1)
     return F.regexp_replace(a, "(?:に移転|へ移転|移転予定|移転)$", "")
 
