@@ -78,7 +78,7 @@ def features(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     follows[1:] = (hashes[1:] == hashes[:-1]) & (text[1:] == text[:-1])
     out[:, 15] = segment_sums(follows, first) / every
     pair = hashes.copy()
-    pair[1:] += hashes[:-1] * np.uint64(0x9E3779B97F4A7C15)
+    pair[1:] += np.where(text[1:] == text[:-1], hashes[:-1] * np.uint64(0x9E3779B97F4A7C15), np.uint64(0))
     out[:, 16] = _distinct(pair, first) / every
     out[:, 17] = segment_sums(np.isin(kinds[ends - 1], (_STOP, _COMMA, _SHOUT)), first) / every
     out[:, 18] = segment_sums(kinds[starts] == _UPPER, first) / every
