@@ -31,8 +31,6 @@ LEAST = 4
 #: A context is retained if its next symbols diverge from those of its parent
 #: by so many nats for each occurrence and in all.
 DIVERGENCE, EVIDENCE = 0.01, 12.0
-#: Weight of the parent's distribution in a state's own.
-PRIOR = 4.0
 #: Words whose counts are broadcast at most: the most frequent ones.
 HEAD_WORDS = 1 << 19
 #: The same for grams with their probabilities.
@@ -221,7 +219,8 @@ def grow_tree(own: list[tuple[np.ndarray, np.ndarray]], ctx: list[tuple[np.ndarr
     retained, so that the suffixes of a state are states; ``extended`` are
     contexts of SHORT bytes that have retained extensions elsewhere. A state
     lists every symbol seen after it. A symbol's probability is
-    (n + PRIOR * parent's) / (N + PRIOR), where n is 0 for what isn't listed.
+    (n + D * parent's) / (N + D), where D is the number of different symbols
+    seen after the state, and n is 0 for what isn't listed.
     The root lists all 256 symbols with one added to each count. So each
     state's sum is 1.
     """
@@ -260,9 +259,10 @@ def grow_tree(own: list[tuple[np.ndarray, np.ndarray]], ctx: list[tuple[np.ndarr
         pa_, ok2 = lookup(tree.entries[d - 1], key & np.uint64((1 << (8 * d)) - 1))
         key, n, at, pa_ = key[ok & ok2], n[ok & ok2], at[ok & ok2], pa_[ok & ok2]
         up = prob[d - 1][pa_] if len(pa_) else np.zeros(0)
-        p = (n + PRIOR * up) / (total_n[at] + PRIOR) if len(at) else np.zeros(0)
+        different = np.bincount(at, minlength=len(states)).astype(float)
+        p = (n + different[at] * up) / (total_n[at] + different[at])
         tree.contexts.append(states)
-        tree.rest.append(np.log10(PRIOR / (total_n + PRIOR)))
+        tree.rest.append(np.log10(different / (total_n + different)))
         tree.entries.append(key)
         tree.logp.append(np.log10(p))
         prob.append(p)
