@@ -1,5 +1,6 @@
 """Each corpus operator against a plain version of it, with awkward rows."""
 
+import bisect
 import collections
 import hashlib
 import math
@@ -425,6 +426,39 @@ def test_quality(spark, empty):
     assert quality.quality(empty, labels).count() == 0
 
 
+def plain_features(text):
+    b = text.encode()
+    words = re.findall(rb"[^\x20\x09-\x0D]+", b)
+    classes = {4: b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", 5: b"0123456789", 6: b".", 7: b",;:", 8: b"!?", 9: b"#$%&*+<=>@\\^_`~/{}[]()", 10: b"|", 11: bytes(range(128, 256)), 13: b"\n"}
+    out = [0.0] * len(quality.FEATURES)
+    out[0], out[1], out[12] = math.log1p(len(b)), math.log1p(len(words)), math.log1p(len(b) / (1 + b.count(b"\n")))
+    for k, chars in classes.items():
+        out[k] = sum(x in chars for x in b) / max(1, len(b))
+    if words:
+        low, n = [w.lower() for w in words], len(words)
+        mean = sum(map(len, words)) / n
+        out[2], out[3] = mean, math.sqrt(max(0, sum(len(w) ** 2 for w in words) / n - mean**2))
+        out[14], out[15], out[16] = len(set(low)) / n, sum(a == c for a, c in zip(low, low[1:])) / n, len({(None, low[0]), *zip(low, low[1:])}) / n
+        out[17], out[18] = sum(w[-1] in b".,;:!?" for w in words) / n, sum(w[0] in classes[4] for w in words) / n
+        out[19], out[20], out[21] = math.log1p(max(map(len, words))), sum(len(w) == 1 for w in words) / n, max(b.count(c) for c in b"etaoinrs") / len(b)
+    return out
+
+
+def test_quality_features_and_scores_are_those_of_plain_lookups(spark, rows):
+    texts = [t or "" for _, t, _ in rows] + ["a b", "a", "b a b a", "b"]
+    data, offs = b"".join(t.encode() for t in texts), np.cumsum([0, *(len(t.encode()) for t in texts)])
+    assert np.allclose(quality.features(np.frombuffer(data, np.uint8), offs), [plain_features(t) for t in texts])
+    junk = lambda rng, t: " ".join(w + rng.choice(["###", "&&&"]) for w in t.split())
+    docs, labels, _ = labelled(spark, 9, 200, junk, "quality")
+    model = quality.fit_quality(docs, labels, "doc_id", "text", "quality", 4, 2, quality.SAMPLE)
+    got = {(r["doc_id"], round(r["score"], 12)) for r in quality.quality(docs, labels).collect()}
+    for r in docs.collect():
+        x = plain_features(r["text"] or "")
+        logit = model.bias + sum(t[bisect.bisect_right(list(c), v)] for t, c, v in zip(model.tables, model.cuts, x))
+        logit += sum(t[bisect.bisect_right(list(model.pair_cuts[i]), x[i])][bisect.bisect_right(list(model.pair_cuts[j]), x[j])] for t, (i, j) in zip(model.pair_tables, model.pairs))
+        assert any(i == r["doc_id"] and s == pytest.approx(1 / (1 + math.exp(-logit)), abs=1e-9) for i, s in got)
+
+
 def test_additive_model_learns_a_pair():
     rng = np.random.default_rng(0)
     x = rng.random((4000, 3))
@@ -538,6 +572,45 @@ def test_lm_base_counts(docs, rows, empty, head):
     assert lm_score.lm_scores(empty).count() == 0
 
 
+def test_lm_scores_are_those_of_a_plain_suffix_tree(docs, rows):
+    depth, end = lm_score.DEPTH, b"\n"
+    joined = {i: b" ".join(w.encode() for w in re.findall(WORD, (t or "").translate(LOW))) + end for i, t, _ in rows}
+    lead = b"\0" * (depth - 1) + end
+    count = [collections.defaultdict(collections.Counter) for _ in range(depth + 1)]
+    for i in [*joined, 3]:
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            text = lead + joined[i]
+            for k in range(depth, len(text)):
+                for d in range(depth + 1):
+                    count[d][text[k - d : k]][text[k]] += 1
+    total = [{c: sum(n.values()) for c, n in level.items()} for level in count]
+    kept = {b""}
+    for d in range(1, depth + 1):
+        for c, after in count[d].items():
+            n, up = total[d][c], count[d - 1][c[1:]]
+            divergence = sum(v / n * math.log((v / n) / (up[s] / total[d - 1][c[1:]])) for s, v in after.items())
+            if n >= lm_score.LEAST and divergence >= lm_score.DIVERGENCE and divergence * n >= lm_score.EVIDENCE:
+                kept |= {c[k:] for k in range(d + 1)}
+    known = {}
+
+    def p(c, s):
+        if (c, s) not in known:
+            if not c:
+                known[c, s] = (count[0][c][s] + 1) / (total[0][c] + 256)
+            elif c not in kept:
+                known[c, s] = p(c[1:], s)
+            else:
+                own, n = count[len(c)][c], total[len(c)][c]
+                known[c, s] = (own[s] + len(own) * p(c[1:], s)) / (n + len(own))
+        return known[c, s]
+
+    got = by_id(lm_score.lm_scores(docs, head_grams=2000))
+    for i, t in joined.items():
+        text = lead + t
+        assert got[i]["score"] == pytest.approx(sum(math.log10(p(text[k - depth : k], text[k])) for k in range(depth, len(text))))
+    assert sum(len(c) > lm_score.SHORT for c in kept) > 20
+
+
 def test_suffix_tree_is_a_distribution_and_uses_the_longest_state(spark):
     text = "the river and the house of stone and the light. " * 30
     raw = np.frombuffer(text.encode(), np.uint8)
