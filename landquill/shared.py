@@ -35,8 +35,8 @@ def running(df: DataFrame, order: list[Column], **sums: Column) -> DataFrame:
     Rows are dealt into ranges of the order and added up in each range on its
     own; the totals of earlier ranges, one row for each range, are joined to it.
     """
-    dealt = df.withColumns({f"_add_{name}": add for name, add in sums.items()}).repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
-    dealt = checkpointed(dealt)
+    known = checkpointed(df.withColumns({f"_add_{name}": add for name, add in sums.items()}))  # ranges are found by a pass of its own
+    dealt = checkpointed(known.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
     totals = dealt.groupBy("_range").agg(*[F.sum(f"_add_{name}").alias(f"_of_{name}") for name in sums])
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(F.col("_range").alias("_r"), *[F.coalesce(F.sum(f"_of_{name}").over(earlier), F.lit(0)).alias(f"_of_{name}") for name in sums])
