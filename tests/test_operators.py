@@ -300,3 +300,12 @@ def test_stream_takes_each_version_once(spark, tmp_path):
     spark.createDataFrame([("1", "old", 9, datetime.datetime(2020, 1, 1)), ("2", "e", 11, t)], schema).write.mode("append").parquet(source)
     ingest(spark.readStream.schema(schema).parquet(source), lambda new, every: every.groupBy("code").count(), out, str(tmp_path / "ck")).awaitTermination(120)
     assert {(str(r["code"]), r["count"]) for r in spark.read.parquet(out).collect()} == {("1", 2), ("2", 1)}
+
+
+def test_running_and_ranked_keep_columns_of_any_name(spark):
+    rows = [(k, float(k % 4), 5 + k, 6 + k, 7 + k, 8 + k, 9 + k) for k in range(30)]
+    df = spark.createDataFrame(rows, "code long, ratio double, _range long, _r long, rank long, _add_rank long, _own_rank long")
+    want = sorted(rows, key=lambda r: (-r[1], r[0]))
+    got = {r["code"]: r for r in ranking.ranked(df).collect()}
+    assert [got[r[0]]["rank"] for r in want] == list(range(1, 31))
+    assert all((got[r[0]]["_range"], got[r[0]]["_r"], got[r[0]]["_add_rank"], got[r[0]]["_own_rank"]) == (r[2], r[3], r[5], r[6]) for r in rows)
