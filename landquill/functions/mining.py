@@ -43,20 +43,53 @@ def address_candidates(text: Column) -> Column:
     return F.array_distinct(F.filter(found, good))
 
 
-def candidate_score(site: Column, location: Column, addr: Column, page: Column, near: int = 100) -> Column:
-    """How well an address suits a site: its municipality and place, its detail, and names near it on the page."""
-    a, loc, name = normalize_addr(addr), normalize_addr(location), normalize_addr(site)
-    muni = split_municipality(loc)["muni"]
-    at = F.instr(page, a)
+#: The points of a candidate, and the characters to each side of its first place on the page where names count.
+POINTS = {"municipality": 20, "other_municipality": -40, "location": 30, "chome_or_hyphen": 10, "block": 20, "chome_only": -5, "site_near": 40, "municipality_near": 10}
+NEAR = 100
+
+
+def _points(rule: Column, name: str) -> Column:
+    return F.when(F.coalesce(rule, F.lit(False)), POINTS[name]).otherwise(0)
+
+
+def address_index(text: Column, near: int = NEAR) -> Column:
+    """An array of what scoring needs of a text, one struct for each candidate: address, norm, detail, around.
+
+    ``detail`` are the points of the address alone, ``around`` the characters about
+    its first place in the text (null if it stands there in another form). With these, at most 2 ``near``
+    characters for an address, the text itself isn't needed again.
+    """
+    found = F.transform(address_candidates(text), lambda a: F.struct(a.alias("address"), normalize_addr(a).alias("norm")))
+    found = F.transform(found, lambda x: F.struct(x["address"].alias("address"), x["norm"].alias("norm"), F.instr(text, x["norm"]).alias("at")))
+    return F.transform(found, lambda x: _entry(x["address"], x["norm"], x["at"], text, near))
+
+
+def _entry(address: Column, norm: Column, at: Column, text: Column, near: int) -> Column:
     left = F.greatest(at - 1 - near, F.lit(0))
-    around = F.substring(page, left + 1, F.least(at - 1 + near, F.length(page)) - left)
-    points = lambda rule, n: F.when(F.coalesce(rule, F.lit(False)), n).otherwise(0)
+    around = F.when(at > 0, F.substring(text, left + 1, F.least(at - 1 + near, F.length(text)) - left))
+    detail = _points(F.contains(norm, F.lit("丁目")) | F.contains(norm, F.lit("-")), "chome_or_hyphen") + _points(F.rlike(norm, F.lit("[0-9]+番[0-9]*号?|[0-9]+-[0-9]+")), "block") + _points(F.endswith(norm, F.lit("丁目")), "chome_only")
+    return F.struct(address.alias("address"), norm.alias("norm"), detail.alias("detail"), around.alias("around"))
+
+
+def site_keys(site: Column, location: Column) -> Column:
+    """struct(name, location, muni) of a site as ``indexed_score`` compares them; made once for each site."""
+    place = normalize_addr(location)
+    return F.struct(normalize_addr(site).alias("name"), place.alias("location"), split_municipality(place)["muni"].alias("muni"))
+
+
+def indexed_score(keys: Column, entry: Column) -> Column:
+    """How well an entry of ``address_index`` suits a site: its municipality and place, its detail, and names near it on the page."""
+    a, around, loc, muni = entry["norm"], entry["around"], keys["location"], keys["muni"]
     return (
-        F.when(muni.isNull(), 0).when(F.contains(a, muni), 20).otherwise(-40)
-        + points((loc != "") & F.contains(a, loc), 30)
-        + points(F.contains(a, F.lit("丁目")) | F.contains(a, F.lit("-")), 10)
-        + points(F.rlike(a, F.lit("[0-9]+番[0-9]*号?|[0-9]+-[0-9]+")), 20)
-        - points(F.endswith(a, F.lit("丁目")), 5)
-        + points((at > 0) & (name != "") & F.contains(around, name), 40)
-        + points((at > 0) & F.contains(around, muni), 10)
+        F.when(muni.isNull(), 0).when(F.contains(a, muni), POINTS["municipality"]).otherwise(POINTS["other_municipality"])
+        + _points((loc != "") & F.contains(a, loc), "location")
+        + entry["detail"]
+        + _points((keys["name"] != "") & F.contains(around, keys["name"]), "site_near")
+        + _points(F.contains(around, muni), "municipality_near")
     )
+
+
+def candidate_score(site: Column, location: Column, addr: Column, page: Column, near: int = NEAR) -> Column:
+    """The score of one address on one page."""
+    norm = normalize_addr(addr)
+    return indexed_score(site_keys(site, location), _entry(addr, norm, F.instr(page, norm), page, near))

@@ -5,23 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landquill.functions.mining import address_candidates, candidate_score
+from landquill.functions.mining import address_index, indexed_score, site_keys
 from landquill.functions.valuation import accepts_web_address
+from landquill.shared import fresh
+
+
+def page_index(pages: DataFrame) -> DataFrame:
+    """url, entry: one row for each address of a page, with the little that scoring needs of its text.
+
+    pages: url, text. A page is mined where it is read; texts are in no shuffle. Of several texts of
+    one url that with the smallest md5 counts, also if it has no address.
+    """
+    mined = pages.filter("url IS NOT NULL").select("url", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("digest"), F.coalesce(address_index(F.col("text")), F.array()).alias("entries"))
+    one = mined.groupBy("url").agg(F.min_by("entries", "digest").alias("entries"))
+    return one.select("url", F.explode("entries").alias("entry"))
 
 
 def best_addresses(sites: DataFrame, pages: DataFrame, least: int = 40) -> DataFrame:
-    """For each site the candidate of the highest score on its pages: address, score, source_url, accepted.
+    """For each site the candidate of the highest score on its pages: the site's columns, address, score, source_url, accepted.
 
-    sites: code, seq, site_name, location, has_hoka, source_urls (array).
-    pages: url, text. Every page is mined once, then its addresses meet the
-    sites that name it. Of equal scores the smaller address counts, then the
+    sites: code, site_name, location, has_hoka, source_urls (array), and any more columns; equal rows
+    count once. pages: url, text. Of equal scores the smaller address counts, then the
     page named first. ``accepted``: the site isn't several sites in one and
     the score is ``least`` or more. Sites without a candidate have no row.
     """
-    mined = pages.filter("url IS NOT NULL").groupBy("url").agg(F.min("text").alias("text")).select("url", "text", F.explode(address_candidates(F.col("text"))).alias("address"))
-    asked = sites.select("*", F.posexplode("source_urls").alias("_at", "url")).drop("source_urls")
-    scored = asked.join(mined, "url").withColumn("score", candidate_score(F.col("site_name"), F.col("location"), F.col("address"), F.col("text")))
-    keys = ["code", "seq", "site_name", "location", "has_hoka"]
-    best = scored.groupBy(*keys).agg(F.min(F.struct((-F.col("score")).alias("worse"), "address", "_at", F.col("url").alias("source_url"))).alias("b"))
-    out = best.select(*keys, "b.address", (-F.col("b.worse")).alias("score"), "b.source_url")
-    return out.withColumn("accepted", accepts_web_address(F.col("site_name"), F.coalesce("has_hoka", F.lit(False)), F.col("score"), least))
+    keys = [c for c in sites.columns if c != "source_urls"]
+    key, at, url = fresh([*sites.columns, "entry"], "keys", "at", "url")
+    asked = sites.withColumn(key, site_keys(F.col("site_name"), F.col("location"))).select(*keys, key, F.posexplode("source_urls").alias(at, url))
+    index = page_index(pages).withColumnRenamed("url", f"{url}_of")
+    scored = asked.join(index, F.col(url) == F.col(f"{url}_of"))
+    order = F.struct((-indexed_score(F.col(key), F.col("entry"))).alias("worse"), F.col("entry.address").alias("address"), F.col(at).alias("at"), F.col(url).alias("source_url"))
+    best = scored.groupBy(*keys).agg(F.min(order).alias(key))
+    score = -F.col(f"{key}.worse")
+    accepted = accepts_web_address(F.col("site_name"), F.coalesce("has_hoka", F.lit(False)), score, least)
+    return best.select(*keys, f"{key}.address", score.alias("score"), f"{key}.source_url", accepted.alias("accepted"))
