@@ -50,12 +50,17 @@ def flat_overrides(overrides: DataFrame, splits: DataFrame) -> DataFrame:
 
 
 def with_address(sites: DataFrame, overrides: DataFrame, web: DataFrame | None = None) -> DataFrame:
-    """address, address_source and address_source_url: an override, else an accepted web address, else the filing's location."""
+    """address, address_source and address_source_url: an override, else an accepted web address, else the filing's location.
+
+    web: code, site_name, location, has_hoka, address, source_url; a site's own by all of the first four.
+    """
     out = sites.join(overrides.select("code", "site_name", F.col("address").alias("_o")), ["code", "site_name"], "left")
     if web is None:
         out = out.withColumns({"_w": F.lit(None).cast("string"), "_u": F.lit(None).cast("string")})
     else:
-        out = out.join(web.select("code", "site_name", F.col("address").alias("_w"), F.col("source_url").alias("_u")), ["code", "site_name"], "left")
+        found = web.select("code", "site_name", F.col("location").alias("_l"), F.col("has_hoka").alias("_h"), F.col("address").alias("_w"), F.col("source_url").alias("_u")).alias("w")
+        same = (F.col("s.code") == F.col("w.code")) & (F.col("s.site_name") == F.col("w.site_name")) & F.col("location").eqNullSafe(F.col("_l")) & F.col("has_hoka").eqNullSafe(F.col("_h"))
+        out = out.alias("s").join(found, same, "left").select("s.*", "_w", "_u")
     source = F.when(F.col("_o").isNotNull(), "override").when(F.col("_w").isNotNull(), "web").otherwise("securities_report")
     return out.withColumn("address", F.coalesce("_o", "_w", "location")).withColumns({"address_source": source, "address_source_url": F.when(source == "web", F.coalesce("_u", F.lit(""))).otherwise("")}).drop("_o", "_w", "_u")
 

@@ -678,11 +678,27 @@ def web_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- the whole run ---------------------------------------------------------------------------
 
-_ACCEPTED = f"(SELECT * FROM {sql('companies')} WHERE regexp_replace(coalesce(company_name, ''), '\\s+', '', 'g') NOT IN ('', code) AND market_cap IS NOT NULL)"
-_RUN = f"""
+_BAD_NAME = "regexp_replace(coalesce(company_name, ''), '\\s+', '', 'g') IN ('', code)"
+_ACCEPTED = f"(SELECT * FROM {sql('companies')} WHERE NOT {_BAD_NAME} AND market_cap IS NOT NULL)"
+#: The pages that each company names, and the best accepted address for each of its sites on them.
+_RUN_URLS = ["'p/' || code", "'p/' || (CAST(code AS BIGINT) % 97)"]
+_PLAIN_PLACE = "replace(replace(location, '五番町', '5番町'), '九丁目', '9丁目')"
+_PLACE_MUNI = "nullif(regexp_extract(location, '^東京都(.+?[区市町村])', 1), '')"
+_RUN_WEB = f"""(
+    WITH u AS (SELECT DISTINCT code, site_name, location, has_hoka, {_PLAIN_PLACE} AS place, {_PLACE_MUNI} AS muni, nth, CASE nth WHEN 1 THEN {_RUN_URLS[0]} ELSE {_RUN_URLS[1]} END AS url FROM x JOIN {_ACCEPTED} c USING (code), (VALUES (1), (2)) AS t(nth)),
+    c AS (SELECT u.*, address, CASE WHEN muni IS NULL THEN 0 WHEN contains(address, muni) THEN 20 ELSE -40 END + CASE WHEN contains(address, place) THEN 30 ELSE 0 END + 30 + CASE WHEN site_name = 'S' || s THEN 40 ELSE 0 END + CASE WHEN muni IN ('港区', '中央区', '府中市') THEN 10 ELSE 0 END AS score
+        FROM u JOIN {_PAGE_ADDRESSES} USING (url)),
+    b AS (SELECT *, row_number() OVER (PARTITION BY code, site_name, location, has_hoka ORDER BY score DESC, address, nth) AS n FROM c)
+    SELECT code, site_name, location, has_hoka, address, url FROM b WHERE n = 1 AND score >= 40 AND NOT has_hoka AND NOT ends_with(site_name, '他'))"""
+
+
+def _run_sql(web: bool = False, k: int = 3, match: bool = True) -> str:
+    """The CTEs of a run: x (sites after splits) up to rows (values) and t (totals)."""
+    found = f"LEFT JOIN {_RUN_WEB} w ON w.code = x.code AND w.site_name = x.site_name AND w.location = x.location AND w.has_hoka = x.has_hoka" if web else "LEFT JOIN (SELECT NULL::VARCHAR AS address, NULL::VARCHAR AS url) w ON false"
+    return f"""
     WITH x AS (SELECT * FROM {_expanded_sql(sql("filed_sites"), "location")} WHERE reject_reason IS NULL AND starts_with(location, '東京都')),
-    a AS (SELECT x.*, c.company_name, c.market_cap, coalesce(o.address, x.location) AS address, CASE WHEN o.address IS NULL THEN 'securities_report' ELSE 'override' END AS source, p.unit_price AS fixed, {_FAMILY} AS family
-        FROM x JOIN {_ACCEPTED} c USING (code) LEFT JOIN {_FLAT} o USING (code, site_name) LEFT JOIN {sql("price_overrides")} p USING (code, site_name)),
+    a AS (SELECT x.*, c.company_name, c.market_cap, coalesce(o.address, w.address, x.location) AS address, CASE WHEN o.address IS NOT NULL THEN 'override' WHEN w.address IS NOT NULL THEN 'web' ELSE 'securities_report' END AS source, CASE WHEN o.address IS NULL THEN w.url END AS source_url, p.unit_price AS fixed, {_FAMILY} AS family
+        FROM x JOIN {_ACCEPTED} c USING (code) LEFT JOIN {_FLAT} o USING (code, site_name) {found} LEFT JOIN {sql("price_overrides")} p ON p.code = x.code AND p.site_name = x.site_name),
     g AS (SELECT * FROM {_geocode_sql("(SELECT DISTINCT address, address AS seq FROM a)")} WHERE level IS NOT NULL),
     r AS (SELECT a.*, g.lat, g.lon, g.level FROM a JOIN g USING (address)),
     pl AS (SELECT DISTINCT lat AS lat1, lon AS lon1 FROM r WHERE fixed IS NULL),
@@ -690,9 +706,9 @@ _RUN = f"""
     near AS (SELECT lat1, lon1, min(struct_pack(d := round(dist_m * 1e6), i := point_id, k := kind, m := dist_m)) AS n FROM d GROUP BY 1, 2),
     own AS (SELECT lat1, lon1, pf, min(struct_pack(d := round(dist_m * 1e6), i := point_id, k := kind, m := dist_m)) AS n FROM d WHERE pf IS NOT NULL GROUP BY 1, 2, 3),
     f AS (SELECT DISTINCT lat AS lat1, lon AS lon1, family FROM r WHERE fixed IS NULL),
-    seed AS (SELECT f.*, CASE WHEN own.n IS NULL OR own.n.m > 1500 THEN near.n.k ELSE own.n.k END AS kind FROM f JOIN near USING (lat1, lon1) LEFT JOIN own ON own.lat1 = f.lat1 AND own.lon1 = f.lon1 AND own.pf = f.family),
+    seed AS (SELECT f.*, CASE WHEN {str(not match).lower()} THEN '' WHEN own.n IS NULL OR own.n.m > 1500 THEN near.n.k ELSE own.n.k END AS kind FROM f JOIN near USING (lat1, lon1) LEFT JOIN own ON own.lat1 = f.lat1 AND own.lon1 = f.lon1 AND own.pf = f.family),
     k AS (SELECT *, row_number() OVER (PARTITION BY lat1, lon1, target ORDER BY round(dist_m * 1e6), point_id) AS rank FROM (SELECT d.*, s.kind AS target FROM d JOIN (SELECT DISTINCT lat1, lon1, kind FROM seed) s USING (lat1, lon1) WHERE s.kind = '' OR d.kind = s.kind)),
-    e AS (SELECT lat1, lon1, target, round(sum(price / pow(dist_m + 1, 3)) / sum(1 / pow(dist_m + 1, 3))) AS price, list(struct_pack(i := point_id, k := kind, d := dist_m, p := price) ORDER BY rank) AS n, max(dist_m) AS max_dist, var_pop(dist_m) AS variance FROM k WHERE rank <= 3 GROUP BY 1, 2, 3),
+    e AS (SELECT lat1, lon1, target, round(sum(price / pow(dist_m + 1, 3)) / sum(1 / pow(dist_m + 1, 3))) AS price, list(struct_pack(i := point_id, k := kind, d := dist_m, p := price) ORDER BY rank) AS n, max(dist_m) AS max_dist, var_pop(dist_m) AS variance FROM k WHERE rank <= {k} GROUP BY 1, 2, 3),
     v AS (SELECT r.*, e.n, coalesce(seed.kind, '') AS target, coalesce(fixed, e.price) AS price, coalesce(max_dist, 0) AS max_dist, coalesce(variance, 0) AS variance, CASE WHEN fixed IS NULL THEN {_FACTOR} ELSE 1 END AS factor, CASE WHEN fixed IS NULL THEN {_SCORE} ELSE 1 END AS score,
         count(*) OVER w >= 2 AND sum(round(area, 2)) OVER w >= 50000 AS again FROM r LEFT JOIN seed ON fixed IS NULL AND seed.lat1 = r.lat AND seed.lon1 = r.lon AND seed.family IS NOT DISTINCT FROM r.family LEFT JOIN e ON e.lat1 = seed.lat1 AND e.lon1 = seed.lon1 AND e.target = seed.kind
         WINDOW w AS (PARTITION BY code, address)),
@@ -700,9 +716,12 @@ _RUN = f"""
     rows AS (SELECT *, round_even(unit * area, 0) AS est FROM o),
     t AS (SELECT code, company_name, c.market_cap, coalesce(sum(est), 0) AS est, coalesce(sum(book_int), 0) AS book_int, coalesce(sum(est_raw), 0) AS est_raw, coalesce(sum(book), 0) AS book FROM {_ACCEPTED} c LEFT JOIN (SELECT code, est, book_int, est_raw, book FROM rows) USING (code) GROUP BY 1, 2, 3)
 """
+
+
+_RUN = _run_sql()
 _FIX = lambda x, n: f"CAST(CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(38, 16)) AS DECIMAL(38, {n}))::VARCHAR"  # noqa: E731  (a decimal text, rounded half up)
 _SHOWN = {
-    "code": "code", "company_name": "company_name", "site_name": "site_name", "address": "address", "address_source": "source", "address_source_url": "''", "level": "level", "area": f"{_FIX('area', 2)}", "unit_price": "CAST(unit AS BIGINT)",
+    "code": "code", "company_name": "company_name", "site_name": "site_name", "address": "address", "address_source": "source", "address_source_url": "coalesce(source_url, '')", "level": "level", "area": f"{_FIX('area', 2)}", "unit_price": "CAST(unit AS BIGINT)",
     "factor": f"{_FIX('factor', 6)}", "geocode_factor": f"{_FIX('factor', 6)}", "method": "CASE WHEN fixed IS NULL THEN 'idw(k=3,p=3)+landuse_match' ELSE 'override' END", "target_kind": "target", "nearest_kind": "coalesce(n[1].k, '')", "nearest_id": "coalesce(n[1].i, '')",
     "nearest_dist": f"{_FIX('coalesce(n[1].d, 0)', 3)}", "knn_ids": "coalesce(array_to_string(list_transform(n, lambda x: x.i), '|'), '')", "knn_kinds": "coalesce(array_to_string(list_transform(n, lambda x: x.k), '|'), '')",
     "knn_dist": f"coalesce(array_to_string(list_transform(n, lambda x: {_FIX('x.d', 3)}), '|'), '')", "knn_prices": "coalesce(array_to_string(list_transform(n, lambda x: CAST(x.p AS VARCHAR)), '|'), '')", "variance": f"{_FIX('variance', 3)}", "max_dist": f"{_FIX('max_dist', 3)}",
@@ -714,23 +733,81 @@ _SHOWN_TOTAL = {"code": "code", "company_name": "company_name", "site_name": f"'
 }
 
 
-def _run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(accepted companies, values of their sites)."""
+def _shown(method: str) -> str:
+    """Both parts of the output's 33 columns over the CTEs of a run."""
+    rows, total = _SHOWN | {"method": f"CASE WHEN fixed IS NULL THEN '{method}' ELSE 'override' END"}, _SHOWN_TOTAL | {"method": f"'{method}'"}
+    return f"SELECT {', '.join(f'{rows[c]} AS {chr(34)}{name}{chr(34)}' for c, name in run.OUTPUT_COLUMNS.items())} FROM rows UNION ALL SELECT {', '.join(total.get(c, repr('')) for c in run.OUTPUT_COLUMNS)} FROM t"
+
+
+def _run_inputs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """rows, overrides, splits, price overrides, and the three indexes of places."""
     of = lambda name: view(spark, sf_dir, name)
-    companies, _ = master.split_rejects(of("companies").select("code", "company_name", "market_cap"), [("missing name", master.is_placeholder(F.col("company_name"), F.col("code"))), ("missing market value", F.col("market_cap").isNull())])
     towns, blocks = of("town_reference"), of("block_reference")
-    values = run.site_values(companies, of("filed_sites"), of("overrides"), of("splits"), of("price_overrides"), geocode.block_index(blocks), geocode.town_index(towns), geocode.centroid_index(towns), of("price_points"))
-    return companies, values
+    return [of("filed_sites"), of("overrides"), of("splits"), of("price_overrides"), geocode.block_index(blocks), geocode.town_index(towns), geocode.centroid_index(towns)]
 
 
-@query(f"{_RUN} SELECT {', '.join(f'{_SHOWN[c]} AS {chr(34)}{name}{chr(34)}' for c, name in run.OUTPUT_COLUMNS.items())} FROM rows UNION ALL SELECT {', '.join(_SHOWN_TOTAL.get(c, repr('')) for c in run.OUTPUT_COLUMNS)} FROM t")
+def _run(spark: SparkSession, sf_dir: str, web: bool = False, **options: object) -> tuple[DataFrame, DataFrame]:
+    """(accepted companies, values of their sites)."""
+    companies = run.company_reasons(view(spark, sf_dir, "companies").select("code", "company_name", "market_cap")).filter("reason IS NULL").drop("reason")
+    pages = page_texts(view(spark, sf_dir, "address_pages")) if web else None
+    asked = companies.withColumn("source_urls", F.array(F.concat(F.lit("p/"), "code"), F.concat(F.lit("p/"), (F.col("code").cast("long") % 97).cast("string")))) if web else companies
+    return companies, run.site_values(asked, *_run_inputs(spark, sf_dir), view(spark, sf_dir, "price_points"), pages, **options)
+
+
+@query(f"{_RUN} {_shown('idw(k=3,p=3)+landuse_match')}")
 def valuation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 33 columns of the output for all accepted companies, from filed sites to total rows."""
     companies, values = _run(spark, sf_dir)
     return run.output_rows(companies, checkpointed(values), decimals=6)
 
 
+@query(f"{_run_sql(k=1, match=False)} {_shown('nearest')}")
+def valuation_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the price of the nearest point of any land use."""
+    options = {"price_method": "nearest", "landuse_match": False}
+    companies, values = _run(spark, sf_dir, **options)
+    return run.output_rows(companies, checkpointed(values), decimals=6, **options)
+
+
+@query(f"{_run_sql(web=True)} {_shown('idw(k=3,p=3)+landuse_match')}")
+def valuation_web(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with addresses from the pages that the companies name, where there is no override."""
+    companies, values = _run(spark, sf_dir, web=True)
+    return run.output_rows(companies, checkpointed(values), decimals=6)
+
+
 @query(f"{_RUN} SELECT code, seq, pos, site_name, address, level, method FROM (SELECT *, CASE WHEN fixed IS NULL THEN 'idw' ELSE 'override' END AS method FROM r)")
 def regional_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sites in the region after their splits, with the address that counts, its level and how a price is found."""
     return _run(spark, sf_dir)[1].select("code", "seq", "pos", "site_name", "address", "level", F.substring_index("method", "(", 1).alias("method"))
+
+
+# Companies without an urgent order have no filing here, codes of a nineteenth are no targets, and without centroids some addresses stay unresolved.
+_OUTCOMES = f"""
+    WITH co AS (SELECT c.*, CASE WHEN {_BAD_NAME} THEN '{run.NO_NAME}' WHEN NOT EXISTS (SELECT 1 FROM orders WHERE o_orderpriority = '1-URGENT' AND CAST(o_custkey AS VARCHAR) = code) THEN '{run.NO_FILING}' WHEN market_cap IS NULL THEN '{run.NO_MARKET_VALUE}' END AS reason FROM {sql("companies")} c WHERE CAST(code AS BIGINT) % 19 > 0),
+    xs AS (SELECT x.*, co.code IS NOT NULL AS is_target, co.reason AS by_company FROM {_expanded_sql(sql("filed_sites"), "location")} x LEFT JOIN co USING (code)),
+    ys AS (SELECT xs.*, coalesce(o.address, location) AS address, CASE WHEN by_company IS NOT NULL OR NOT is_target THEN 'company' WHEN reject_reason IS NOT NULL THEN 'split' WHEN NOT starts_with(location, '東京都') THEN 'region' END AS early FROM xs LEFT JOIN {_FLAT} o USING (code, site_name)),
+    gs AS (SELECT * FROM {_geocode_sql("(SELECT DISTINCT address, address AS seq FROM ys WHERE early IS NULL)")} WHERE level IS NOT NULL AND level <> 'muni_centroid'),
+    sites AS (SELECT ys.*, coalesce(early, CASE WHEN gs.level IS NULL THEN 'geocode' END) AS stage,
+        CASE WHEN by_company IS NOT NULL THEN by_company WHEN NOT is_target THEN '{run.NO_TARGET}' WHEN early = 'split' THEN '{run.OVER_ALLOCATED}' WHEN early = 'region' THEN '{run.ELSEWHERE}' WHEN gs.level IS NULL THEN '{run.UNRESOLVED}' END AS reason FROM ys LEFT JOIN gs USING (address))
+"""
+
+
+def _traced(spark: SparkSession, sf_dir: str) -> run.Traced:
+    """A run over the companies of most codes, without centroids of municipalities."""
+    targets = view(spark, sf_dir, "companies").select("code", "company_name", "market_cap").filter(F.col("code").cast("long") % 19 > 0)
+    filed = _table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").cast("string").alias("code"))
+    *inputs, centroids = _run_inputs(spark, sf_dir)
+    return run.trace(targets, *inputs, centroids.limit(0), filings=filed)
+
+
+@query(f"{_OUTCOMES} SELECT 'company' AS stage, code, NULL::VARCHAR AS site_name, NULL::BIGINT AS seq, NULL::INT AS pos, reason FROM co WHERE reason IS NOT NULL UNION ALL SELECT stage, code, site_name, seq, pos, reason FROM sites WHERE reason IS NOT NULL")
+def run_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What doesn't come through a run, with the stage and the reason; codes that are no target are left out of the targets on purpose."""
+    return run.rejects(_traced(spark, sf_dir))
+
+
+@query(f"{_OUTCOMES} SELECT 'company' AS item, CASE WHEN reason IS NULL THEN '' ELSE 'company' END AS stage, coalesce(reason, '') AS reason, count(*) AS n FROM co GROUP BY ALL UNION ALL SELECT 'site', coalesce(stage, ''), coalesce(reason, ''), count(*) FROM sites GROUP BY ALL")
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters of the same run, taken while its rows are written."""
+    return run.report(_traced(spark, sf_dir))

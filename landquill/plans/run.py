@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from landquill.functions import valuation as fv
 from landquill.functions.geo import plane_xy
-from landquill.operators import geocode, knn, ranking, sites
-from landquill.shared import checkpointed
+from landquill.operators import geocode, knn, master, ranking, sites, web
+from landquill.shared import checkpointed, stored
 
 #: The columns of the output, in order, by the names that they have here.
 OUTPUT_COLUMNS = {
@@ -48,14 +50,99 @@ OUTPUT_COLUMNS = {
 }
 #: Fixed value: the name of a company's total row.
 TOTAL = "東京都合計"
+#: What a company or a site can be refused for, by the stage that finds it; the first that holds counts.
+NO_NAME, NO_FILING, NO_MARKET_VALUE, NO_TARGET, OVER_ALLOCATED, ELSEWHERE, UNRESOLVED = (
+    "missing name", "missing filing", "missing market value", "no target", "split book values exceed the total", "outside the region", "unresolved address",
+)
+STAGES = {"company": [NO_NAME, NO_FILING, NO_MARKET_VALUE], "site_company": [NO_NAME, NO_FILING, NO_MARKET_VALUE, NO_TARGET], "split": [OVER_ALLOCATED], "region": [ELSEWHERE], "geocode": [UNRESOLVED]}
+
+
+class Traced(NamedTuple):
+    """companies and sites with ``reason`` (null: accepted), and the number of each outcome as {(item, stage, reason): n}."""
+
+    companies: DataFrame
+    sites: DataFrame
+    counters: dict[tuple[str, str, str], int]
+
+
+def company_reasons(targets: DataFrame, filings: DataFrame | None = None) -> DataFrame:
+    """targets (code, company_name, market_cap) with ``reason``: no name, no filing (if ``filings``, of code, are given), no market value."""
+    if filings is None:
+        known, has_filing = targets.withColumn("_filed", F.lit(True)), F.lit(True)
+    else:
+        known = targets.join(filings.select("code").distinct().withColumn("_filed", F.lit(True)), "code", "left")
+        has_filing = F.col("_filed").isNotNull()
+    rules = [(NO_NAME, master.is_placeholder(F.col("company_name"), F.col("code"))), (NO_FILING, ~has_filing), (NO_MARKET_VALUE, F.col("market_cap").isNull())]
+    reason = F.coalesce(*[F.when(F.coalesce(rule, F.lit(False)), name) for name, rule in rules])
+    return known.withColumn("reason", reason).drop("_filed")
+
+
+def site_reasons(companies: DataFrame, rows: DataFrame, overrides: DataFrame, splits: DataFrame, price_overrides: DataFrame, blocks: DataFrame, towns: DataFrame, centroids: DataFrame, pages: DataFrame | None = None, region: str = "東京都") -> DataFrame:
+    """Every filed site after its splits, with its company's columns, address, override_price, family, lat, lon, level, stage and reason.
+
+    companies: as from ``company_reasons``, or accepted ones without ``reason``. pages: url, text; with them the sites in the
+    region that have no override look for an address on their company's ``source_urls``. A
+    site without ``reason`` goes on; the others lie outside or can't be valued, and ``stage`` says where that was found.
+    """
+    known = companies if "reason" in companies.columns else companies.withColumn("reason", F.lit(None).cast("string"))
+    known = known.withColumn("_target", F.lit(True)).withColumnRenamed("reason", "_company_reason")
+    every = sites.expand_splits(rows, splits).join(known, "code", "left")
+    by_company = F.coalesce("_company_reason", F.when(F.col("_target").isNull(), NO_TARGET))
+    outside = F.when(F.coalesce(~F.startswith("location", F.lit(region)), F.lit(True)), ELSEWHERE)
+    stage = F.when(by_company.isNotNull(), "company").when(F.col("reject_reason").isNotNull(), "split").when(outside.isNotNull(), "region")
+    every = every.withColumns({"stage": stage, "reason": F.coalesce(by_company, F.when(F.col("reject_reason").isNotNull(), OVER_ALLOCATED), outside)}).drop("reject_reason", "_company_reason", "_target")
+    flat = sites.flat_overrides(overrides, splits)
+    found = None
+    if pages is not None:
+        every = checkpointed(every)
+        asked = every.filter("reason IS NULL AND source_urls IS NOT NULL").select("code", "site_name", "location", "has_hoka", "source_urls").distinct()
+        asked = asked.join(flat.select("code", "site_name"), ["code", "site_name"], "left_anti")
+        found = web.best_addresses(asked, pages).filter("accepted").drop("score", "accepted")
+    local = sites.price_overridden(sites.with_address(every.drop("source_urls"), flat, found), price_overrides)
+    local = checkpointed(local.withColumn("family", fv.equipment_family(F.col("equipment"))))
+    where = geocode.geocode(local.filter("reason IS NULL"), blocks, towns, centroids).filter("level IS NOT NULL")
+    local = local.join(where, "address", "left")
+    lost = F.col("reason").isNull() & F.col("level").isNull()
+    return local.withColumns({"stage": F.when(lost, "geocode").otherwise(F.col("stage")), "reason": F.when(lost, UNRESOLVED).otherwise(F.col("reason"))})
+
 
+def _counted(rows: DataFrame, item: str, stages: dict[str, list[str]], stage: Column) -> tuple[DataFrame, dict[tuple[str, str, str], int]]:
+    """rows, written once, and how many there are of each outcome, counted while they are written."""
+    outcomes = [("", "")] + [(s, r) for s, reasons in stages.items() for r in reasons]
+    seen = Observation(item)
+    counts = [F.count_if(F.col("reason").isNull() if not r else (stage == s) & (F.col("reason") == r)).alias(f"n{k}") for k, (s, r) in enumerate(outcomes)]
+    kept = stored(rows.observe(seen, *counts))
+    return kept, {(item, s, r): seen.get[f"n{k}"] for k, (s, r) in enumerate(outcomes)}
 
-def regional_sites(rows: DataFrame, splits: DataFrame, region: str = "東京都") -> DataFrame:
-    """Sites with splits expanded, then only those in the region; a split may lie elsewhere than its site.
 
-    Sites whose splits exceed the total are left out (see ``sites.expand_splits`` for their reason).
+def trace(
+    targets: DataFrame, rows: DataFrame, overrides: DataFrame, splits: DataFrame, price_overrides: DataFrame, blocks: DataFrame, towns: DataFrame, centroids: DataFrame, filings: DataFrame | None = None, pages: DataFrame | None = None, region: str = "東京都"
+) -> Traced:
+    """One pass over companies and filed sites that says of each whether it goes on, and if not, where and why.
+
+    Companies and sites are written once each; what goes on, the rejects and the
+    counters, which are taken while the rows are written, all come from those two tables.
     """
-    return sites.expand_splits(rows, splits).filter(F.col("reject_reason").isNull() & F.startswith("location", F.lit(region))).drop("reject_reason")
+    companies, by_company = _counted(company_reasons(targets, filings), "company", {"company": STAGES["company"]}, F.lit("company"))
+    every = site_reasons(companies, rows, overrides, splits, price_overrides, blocks, towns, centroids, pages, region)
+    stages = {"company" if s == "site_company" else s: r for s, r in STAGES.items() if s != "company"}
+    tagged, by_site = _counted(every, "site", stages, F.col("stage"))
+    return Traced(companies, tagged, by_company | by_site)
+
+
+def rejects(run: Traced) -> DataFrame:
+    """stage, code, site_name, seq, pos, reason of each company (without a site) and each site that doesn't go on."""
+    none = F.lit(None)
+    companies = run.companies.filter("reason IS NOT NULL").select(F.lit("company").alias("stage"), "code", none.cast("string").alias("site_name"), none.cast("long").alias("seq"), none.cast("int").alias("pos"), "reason")
+    return companies.unionByName(run.sites.filter("reason IS NOT NULL").select("stage", "code", "site_name", F.col("seq").cast("long").alias("seq"), "pos", "reason"))
+
+
+def report(run: Traced) -> DataFrame:
+    """item (company or site), stage, reason, n: the run's counters that aren't zero; those accepted have an empty stage and reason."""
+    counted = [(item, stage, reason, n) for (item, stage, reason), n in run.counters.items() if n]
+    return run.sites.sparkSession.createDataFrame(counted, "item string, stage string, reason string, n long")
+
+
 
 
 def placed(points: DataFrame) -> DataFrame:
@@ -63,40 +150,52 @@ def placed(points: DataFrame) -> DataFrame:
     return points.withColumn("_p", plane_xy(F.col("lat"), F.col("lon"))).withColumns({"x": F.col("_p.x"), "y": F.col("_p.y")}).drop("_p")
 
 
-def estimates(places: DataFrame, points: DataFrame, k: int = 3, power: float = 3.0, eps: float = 1.0, far: float = 1500.0) -> DataFrame:
+def estimates(places: DataFrame, points: DataFrame, k: int = 3, power: float = 3.0, eps: float = 1.0, far: float = 1500.0, landuse_match: bool = True) -> DataFrame:
     """lat, lon, family of each different place with target_kind and the estimate of ``knn.idw``.
 
     The nearest point of the family, or of all points beyond ``far`` metres and
     without a family, gives the kind of land use among whose points the k
-    nearest are sought; distances are on the ellipsoid.
+    nearest are sought; without ``landuse_match`` they are sought among all points. Distances are on the ellipsoid.
     """
     asked = places.select("lat", "lon", "family").distinct().withColumn("query_id", F.to_json(F.struct("lat", "lon", "family")))
     asked = checkpointed(placed(asked))
-    scoped = checkpointed(knn.with_scopes(placed(points)))
-    seed = knn.nearest_with_fallback(asked, scoped, far=far, join=knn.geodesic_knn_join).select("query_id", F.col("kind").alias("target_kind"))
-    seeded = checkpointed(asked.join(seed, "query_id"))
-    found = knn.idw(knn.geodesic_knn_join(knn.known_scope(seeded, scoped, "target_kind"), scoped, k), power=power, eps=eps)
+    if landuse_match:
+        scoped = checkpointed(knn.with_scopes(placed(points)))
+        seed = knn.nearest_with_fallback(asked, scoped, far=far, join=knn.geodesic_knn_join).select("query_id", F.col("kind").alias("target_kind"))
+        seeded = checkpointed(asked.join(seed, "query_id"))
+        wanted = knn.known_scope(seeded, scoped, "target_kind")
+    else:
+        scoped = placed(points).withColumn("scope", F.lit(""))
+        seeded = asked.withColumn("target_kind", F.lit(""))
+        wanted = seeded.withColumn("scope", F.lit(""))
+    found = knn.idw(knn.geodesic_knn_join(wanted, scoped, k), power=power, eps=eps)
     return seeded.select("query_id", "lat", "lon", "family", "target_kind").join(found, "query_id").drop("query_id")
 
 
+def method_name(price_method: str, k: int, power: int, landuse_match: bool) -> str:
+    """Fixed format: how a price was found."""
+    return ("nearest" if price_method == "nearest" else f"idw(k={k},p={power})") + ("+landuse_match" if landuse_match else "")
+
+
 def site_values(
     companies: DataFrame, rows: DataFrame, overrides: DataFrame, splits: DataFrame, price_overrides: DataFrame, blocks: DataFrame, towns: DataFrame, centroids: DataFrame, points: DataFrame,
-    web: DataFrame | None = None, k: int = 3, power: int = 3, eps: float = 1.0, far: float = 1500.0,
+    pages: DataFrame | None = None, **options: object,
 ) -> DataFrame:
-    """One typed row for each site of the accepted companies whose address is resolved.
+    """One typed row for each site of the accepted companies whose address is resolved; ``options`` are those of ``valued``."""
+    every = site_reasons(companies, rows, overrides, splits, price_overrides, blocks, towns, centroids, pages)
+    return valued(checkpointed(every.filter("reason IS NULL").drop("stage", "reason")), points, **options)
 
-    companies: code, company_name, market_cap. rows: code, site_name, seq,
-    area, book, equipment, has_hoka, location. web: code, site_name, address,
-    source_url of accepted web addresses. Sites with a price override don't
+
+def valued(local: DataFrame, points: DataFrame, k: int = 3, power: int = 3, eps: float = 1.0, far: float = 1500.0, price_method: str = "idw", landuse_match: bool = True) -> DataFrame:
+    """The rows of ``site_reasons`` that go on, with price, value, score and warnings.
+
+    ``price_method`` is "idw", of the k nearest points, or "nearest", of one. Sites with a price override don't
     enter the search for neighbours: factor and score are 1, distances 0.
     """
-    local = regional_sites(rows, splits).join(companies, "code")
-    local = sites.price_overridden(sites.with_address(local, sites.flat_overrides(overrides, splits), web), price_overrides)
-    local = checkpointed(local.withColumn("family", fv.equipment_family(F.col("equipment"))))
-    where = geocode.geocode(local, blocks, towns, centroids).filter("level IS NOT NULL")
-    local = checkpointed(local.join(where, "address"))
+    if price_method not in ("idw", "nearest") or k < 1:
+        raise ValueError(f"price_method {price_method!r}, k {k}")
     fixed = local.filter("override_price IS NOT NULL")
-    found = estimates(local.filter("override_price IS NULL"), points, k, power, eps, far).withColumnRenamed("unit_price", "price")
+    found = estimates(local.filter("override_price IS NULL"), points, 1 if price_method == "nearest" else k, power, eps, far, landuse_match).withColumnRenamed("unit_price", "price")
     same = (F.col("s.lat") == F.col("e.lat")) & (F.col("s.lon") == F.col("e.lon")) & F.col("s.family").eqNullSafe(F.col("e.family"))
     sought = local.filter("override_price IS NULL").alias("s").join(found.alias("e"), same).select("s.*", *[f"e.{c}" for c in found.columns if c not in ("lat", "lon", "family")])
     out = sought.unionByName(fixed.withColumn("price", F.col("override_price")), allowMissingColumns=True)
@@ -107,7 +206,7 @@ def site_values(
     score = fv.uncertainty(F.col("max_dist"), F.col("variance"))
     value = fv.valuation(F.col("price"), factor, F.col("area"), F.col("book"), F.col("market_cap"))
     out = out.select(
-        "*", factor.alias("factor"), either(F.lit("override"), F.lit(f"idw(k={k},p={power})+landuse_match")).alias("method"), either(F.lit(1.0), score).alias("score"), either(F.lit("override"), fv.confidence_label(score)).alias("label"),
+        "*", factor.alias("factor"), either(F.lit("override"), F.lit(method_name(price_method, k, power, landuse_match))).alias("method"), either(F.lit(1.0), score).alias("score"), either(F.lit("override"), fv.confidence_label(score)).alias("label"),
         value["unit_price"].alias("unit_price"), value["est"].alias("est"), value["gain"].alias("gain"), (F.col("price") * factor * F.col("area")).alias("est_raw"), value["multiple"].alias("multiple"), value["cap_ratio"].alias("ratio"),
     )
     out = out.withColumns({"variance": F.coalesce("variance", F.lit(0.0)), "max_dist": F.coalesce("max_dist", F.lit(0.0)), "target_kind": F.coalesce("target_kind", F.lit(""))})
@@ -116,7 +215,7 @@ def site_values(
     return out.withColumn("warnings", F.when(F.col("repeated_large"), F.array_append(own, F.lit(fv.REPEATED_ADDRESS))).otherwise(own))
 
 
-def output_rows(companies: DataFrame, values: DataFrame, k: int = 3, power: int = 3, decimals: int = 12) -> DataFrame:
+def output_rows(companies: DataFrame, values: DataFrame, k: int = 3, power: int = 3, decimals: int = 12, price_method: str = "idw", landuse_match: bool = True) -> DataFrame:
     """The 33 columns of the contract: a row for each site, and a total for each company, with or without sites.
 
     Amounts are whole numbers, other figures text of fixed decimals, lists are
@@ -135,7 +234,7 @@ def output_rows(companies: DataFrame, values: DataFrame, k: int = 3, power: int
         "est", amount("book").alias("book"), "gain", "market_cap", *ratios,
     )
     totals = sites.company_totals(companies.select("code", "company_name", "market_cap"), values).withColumn("ratio", F.col("cap_ratio"))
-    totals = totals.select("code", "company_name", F.lit(TOTAL).alias("site_name"), F.lit(f"idw(k={k},p={power})+landuse_match").alias("method"), "est", "book", "gain", "market_cap", *ratios)
+    totals = totals.select("code", "company_name", F.lit(TOTAL).alias("site_name"), F.lit(method_name(price_method, k, power, landuse_match)).alias("method"), "est", "book", "gain", "market_cap", *ratios)
     text = [c for c in rows.columns if c not in totals.columns and c != "unit_price"]
     totals = totals.withColumns({c: F.lit("") for c in text}).withColumn("unit_price", F.lit(None).cast("long"))
     both = rows.unionByName(totals)

@@ -8,7 +8,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from landquill.operators import filings, geocode, knn, master, ranking, sites
+from landquill.operators import filings, geocode, knn, master, ranking, sites, web
+from landquill.plans import run
 from landquill.sources import sinks, tables
 from landquill.streaming.ingest import ingest
 
@@ -309,3 +310,55 @@ def test_running_and_ranked_keep_columns_of_any_name(spark):
     got = {r["code"]: r for r in ranking.ranked(df).collect()}
     assert [got[r[0]]["rank"] for r in want] == list(range(1, 31))
     assert all((got[r[0]]["_range"], got[r[0]]["_r"], got[r[0]]["_add_rank"], got[r[0]]["_own_rank"]) == (r[2], r[3], r[5], r[6]) for r in rows)
+
+
+@pytest.fixture(scope="module")
+def small_run(spark):
+    """Inputs of a run in which each reason occurs."""
+    targets = spark.createDataFrame([("1", "A", 100), ("2", " ", 100), ("3", "C", 100), ("4", "D", None), ("5", "E", 100)], "code string, company_name string, market_cap long").withColumn("source_urls", F.array(F.concat(F.lit("p/"), "code")))
+    filed = spark.createDataFrame([("1",), ("2",), ("4",), ("5",), ("9",)], "code string")
+    where = "東京都港区六本木3丁目5番"
+    rows = [("1", "S", where), ("1", "T", "大阪府大阪市"), ("1", "U", "東京都青梅市"), ("1", "V", where), ("1", "W", "東京都港区"), ("1", "X", None), ("2", "S", where), ("3", "S", where), ("4", "S", where), ("9", "S", where)]
+    sites_ = spark.createDataFrame([(c, n, k, 10.0, 5.0, "工場", False, a) for k, (c, n, a) in enumerate(rows)], "code string, site_name string, seq long, area double, book double, equipment string, has_hoka boolean, location string")
+    splits = spark.createDataFrame([("1", "V", 0, "V0", where, 4.0, 9.0), ("1", "V", 1, "V1", where, 6.0, None)], "code string, site_name string, pos int, name string, address string, area double, book double")
+    overrides = spark.createDataFrame([], "code string, site_name string, address string")
+    prices = spark.createDataFrame([], "code string, site_name string, unit_price long")
+    blocks = spark.createDataFrame([("港区", "六本木3丁目", "5", 35.66, 139.73), ("港区", "六本木3丁目", "9", 35.67, 139.74)], "muni string, town string, block string, lat double, lon double")
+    towns = spark.createDataFrame([("港区", "六本木3丁目", 35.66, 139.73)], "muni string, town string, lat double, lon double")
+    centroids = spark.createDataFrame([("港区", 35.65, 139.75)], "muni string, lat double, lon double")
+    return targets, [sites_, overrides, splits, prices, blocks, towns, centroids], filed
+
+
+def test_every_row_of_a_run_has_one_outcome(spark, small_run):
+    targets, inputs, filed = small_run
+    traced = run.trace(targets, *inputs, filings=filed)
+    bad = {(r["stage"], r["code"], r["site_name"], r["reason"]) for r in run.rejects(traced).collect()}
+    assert bad == {
+        ("company", "2", None, run.NO_NAME), ("company", "3", None, run.NO_FILING), ("company", "4", None, run.NO_MARKET_VALUE), ("company", "2", "S", run.NO_NAME), ("company", "3", "S", run.NO_FILING), ("company", "4", "S", run.NO_MARKET_VALUE),
+        ("company", "9", "S", run.NO_TARGET), ("region", "1", "T", run.ELSEWHERE), ("region", "1", "X", run.ELSEWHERE), ("geocode", "1", "U", run.UNRESOLVED), ("split", "1", "V0", run.OVER_ALLOCATED), ("split", "1", "V1", run.OVER_ALLOCATED),
+    }
+    kept = {r["site_name"] for r in traced.sites.filter("reason IS NULL").collect()}
+    assert kept == {"S", "W"}
+    counted = {(r["item"], r["stage"], r["reason"]): r["n"] for r in run.report(traced).collect()}
+    assert counted[("company", "", "")] == 2 and counted[("site", "", "")] == 2 and counted[("site", "split", run.OVER_ALLOCATED)] == 2
+    assert sum(n for (item, _, _), n in counted.items() if item == "site") == 11 == traced.sites.count()
+    nothing = run.trace(targets.limit(0), *[x.limit(0) for x in inputs])
+    assert run.rejects(nothing).count() == 0 and run.report(nothing).count() == 0
+
+
+def test_price_methods_and_web_addresses_of_a_run(spark, small_run):
+    targets, inputs, _ = small_run
+    points = spark.createDataFrame([("a", 35.66, 139.7301, 100, "工業"), ("b", 35.66, 139.7302, 300, "商業"), ("c", 35.661, 139.73, 500, "商業"), ("d", 35.67, 139.74, 700, "商業")], "point_id string, lat double, lon double, price long, kind string")
+    good = run.company_reasons(targets).filter("reason IS NULL").drop("reason")
+    pages = spark.createDataFrame([("p/1", "S の 東京都港区六本木3丁目9番 です")], "url string, text string")
+    of = lambda pages=None, **o: {r["site_name"]: r for r in run.site_values(good.filter("code = '1'"), *inputs, points, pages, **o).collect()}
+    plain = of()["S"]
+    assert (plain["method"], plain["target_kind"], plain["knn_ids"], plain["address_source"]) == ("idw(k=3,p=3)+landuse_match", "工業", ["a"], "securities_report")
+    near = of(price_method="nearest")["S"]
+    assert (near["method"], near["knn_ids"], near["unit_price"]) == ("nearest+landuse_match", ["a"], 100)
+    free = of(landuse_match=False)["S"]
+    assert (free["method"], free["target_kind"], free["knn_ids"]) == ("idw(k=3,p=3)", "", ["a", "b", "c"])
+    web_ = of(pages=pages)
+    assert (web_["S"]["address_source"], web_["S"]["address"], web_["S"]["address_source_url"], web_["S"]["lat"]) == ("web", "東京都港区六本木3丁目9番", "p/1", 35.67)
+    with pytest.raises(ValueError):
+        of(price_method="mean")
