@@ -14,6 +14,7 @@ from landquill.functions import geo
 from landquill.functions import valuation as fv
 from landquill.functions.mining import address_candidates, candidate_score
 from landquill.operators import filings, geocode, knn, master, ranking, sites, web
+from landquill.operators.asof import asof_join, market_caps_at
 from landquill.plans import run
 from landquill.plans.adapters import sql, view
 from landquill.shared import checkpointed
@@ -278,6 +279,35 @@ def market_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return master.market_caps(targets, view(spark, sf_dir, "prices"), _asof(spark, sf_dir)).select("code", "market_cap")
 
 
+# Filings at the day of their order within the month of the events; a third of the codes has no events. Prices are those of purchases.
+_FILED_AT = "SELECT o_orderkey AS doc_id, CAST(o_custkey % 225 AS VARCHAR) AS code, TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(date_diff('day', TIMESTAMP '1995-01-01 00:00:00', o_orderdate) % 45 AS INT)) AS date, CAST(o_custkey % 50 + 1 AS BIGINT) * 1000 AS shares, CASE WHEN o_orderkey % 11 = 0 THEN o_orderkey END AS market_cap FROM orders"
+_PURCHASES = "(SELECT CAST(user_id AS VARCHAR) AS code, ts AS price_date, max(value) AS close FROM events WHERE event_type = 'purchase' GROUP BY 1, 2)"
+_PRICED = f"SELECT f.*, CASE WHEN p.price_date >= f.date - INTERVAL 7 DAY THEN p.close END AS close, CASE WHEN p.price_date >= f.date - INTERVAL 7 DAY THEN p.price_date END AS price_date FROM ({_FILED_AT}) f ASOF LEFT JOIN {_PURCHASES} p ON f.code = p.code AND f.date >= p.price_date"
+
+
+def _filed_at(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(filings with a date of their own, prices)."""
+    day = F.datediff("o_orderdate", F.lit("1995-01-01").cast("date")) % 45
+    cap = F.when(F.col("o_orderkey") % 11 == 0, F.col("o_orderkey"))
+    filed = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), (F.col("o_custkey") % 225).cast("string").alias("code"), (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(day)).alias("date"), ((F.col("o_custkey") % 50 + 1) * 1000).alias("shares"), cap.alias("market_cap"))
+    prices = _table(spark, sf_dir, "events").filter("event_type = 'purchase'").select(F.col("user_id").cast("string").alias("code"), F.col("ts").alias("date"), F.col("value").alias("close"))
+    return filed, prices
+
+
+@query(f"SELECT doc_id, close, price_date FROM ({_PRICED})")
+def price_asof_filing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The price at each filing's own date, not older than seven days."""
+    filed, prices = _filed_at(spark, sf_dir)
+    found = asof_join(filed, prices.withColumnRenamed("date", "price_date"), "code", "date", "price_date", ["close", "price_date"], tie=["close"], max_age=F.make_dt_interval(F.lit(7)))
+    return found.select("doc_id", "close", "price_date")
+
+
+@query(f"SELECT doc_id, coalesce(market_cap, CAST(trunc(shares * close) AS BIGINT)) AS market_cap FROM ({_PRICED})")
+def market_caps_at_filing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The market value at each filing's date: its own, else shares times the price."""
+    return market_caps_at(*_filed_at(spark, sf_dir)).select("doc_id", "market_cap")
+
+
 @query("SELECT o_custkey, o_orderkey, o_orderdate, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders) WHERE n = 1")
 def latest_filing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus")
