@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,10 +16,12 @@ FAMILIES = {
     "商業系": ("商業", "近商"),
     "住居系": ("1低専", "2低専", "1中専", "2中専", "1住居", "2住居", "準住居"),
 }
-#: Pairs up to which all points are compared with all queries of a scope, and points up to which they are broadcast for it.
-BROADCAST_PAIRS, BROADCAST_POINTS = 50_000_000, 50_000
-#: Levels of cells at most, each half as wide as the one before, and queries that one block compares with all points.
-LEVELS, QUERY_BLOCK = 30, 4096
+#: Pairs, and points, up to which all points are broadcast and compared with all queries of their scope.
+BROADCAST_PAIRS, BROADCAST_POINTS = 2_000_000, 50_000
+#: Points of a leaf at least, queries of a group, children of a node, nodes beyond which a group goes on as single queries, and nodes up to which a
+#: level of the tree is broadcast.
+LEAF, GROUP, FAN, SPLIT, BROADCAST_NODES = 8, 16, 64, 24, 50_000
+_BITS = 25
 
 
 def with_scopes(points: DataFrame, kind: str = "kind", families: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
@@ -45,140 +46,140 @@ def _ranked(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k)
 
 
-def _cell(x: Column, low: float, size: Column) -> Column:
-    return F.floor((x - low) / size).cast("int")
+def _packed(rows: DataFrame, scope: str, x: str, y: str, last: str, size: int) -> tuple[DataFrame, int]:
+    """rows with ``_node``, the number of a run of up to ``size`` neighbours on a space-filling curve, and a bound of these numbers.
 
+    Rows are dealt into ranges along the curve and numbered inside each range, so that no task
+    sees all of them; a node's number over any whole number is that of a node higher up.
+    """
+    box = rows.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
+    if box[0] is None:
+        return rows.withColumn("_node", F.lit(0).cast("long")), 1
+    wide = max(box[1] - box[0], box[3] - box[2], 1e-9)
 
-def _dense_levels(held: DataFrame, n: int, low: tuple[float, float], extent: float, least: int) -> tuple[DataFrame, list[int]]:
-    """(pscope, level, cx, cy of the cells with ``least`` or more points; the levels). Cells of a level are half as wide as those before.
+    def bits(c: str, low: float) -> Column:
+        return F.conv(F.bin(F.floor((F.col(c) - low) / wide * (1 << _BITS)).cast("long")), 4, 10).cast("long")  # binary digits read as those of base four lie apart
 
-    The levels at which ``n`` points spread evenly would be that few are
-    counted at once; below them only the points of cells that are still
-    crowded, a few levels at a time.
-    """
-    size = F.lit(extent) / F.pow(F.lit(2.0), F.col("level"))
-    points, out, start, step = held.select("pscope", "px", "py"), None, 0, max(1, math.ceil(math.log(max(1, n / least), 4))) + 1
-    while True:
-        levels = range(start, min(LEVELS, start + step))
-        own = points.withColumn("level", F.explode(F.array(*map(F.lit, levels)))).withColumns({"cx": _cell(F.col("px"), low[0], size), "cy": _cell(F.col("py"), low[1], size)})
-        dense = checkpointed(own.groupBy("pscope", "level", "cx", "cy").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least))
-        out = dense if out is None else out.unionByName(dense)
-        crowded = dense.filter((F.col("level") == levels[-1]) & (F.col("n") >= 4 * least)).select("pscope", "level", "cx", "cy")
-        start, step = levels[-1] + 1, 4
-        if start == LEVELS or crowded.isEmpty():
-            return out.drop("n"), list(range(start))
-        points = own.join(crowded, ["pscope", "level", "cx", "cy"], "left_semi").select("pscope", "px", "py")
-
-
-def knn_join(queries: DataFrame, points: DataFrame, k: int, strategy: str = "auto", block: int = QUERY_BLOCK) -> DataFrame:
-    """The k nearest points of each query in metres of the plane, nearer first, then by the smaller point_id.
+    order = [F.col(scope), F.col("_z"), F.col(x), F.col(y), F.col(last)]
+    dealt = checkpointed(rows.withColumn("_z", bits(x, box[0]) * 2 + bits(y, box[2])).repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    sizes = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.max("_range")).first()
+    width = -(-sizes[0] // size)  # nodes of a range
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    return dealt.withColumn("_node", F.col("_range").cast("long") * width + F.floor(inside / size)).drop("_z", "_range"), (sizes[1] + 1) * width
 
-    queries: query_id, x, y, scope. points: point_id, x, y, scope, and any
-    more columns, which come along. Returns query_id, rank, dist_m, point_id
-    and those columns; fewer than k rows where the scope has fewer points;
-    none for null coordinates.
-
-    Queries at one place are answered once. ``broadcast`` compares each query
-    with all points of its scope. ``grid`` compares it with the points of 3 x 3
-    cells around the place of the points' box that is nearest to it. Cells come
-    in levels, each half as wide as the one before; a query starts with the
-    finest level whose own cell still holds points enough, so that crowded
-    and empty regions and scopes each have cells of their own size. An answer
-    counts if the kth is nearer than anything outside those cells can be; other
-    queries go on one level up. Those that come to the whole box, with a scope
-    of few points or far outside, are compared in blocks of ``block`` queries
-    with all points of their scope, where each task of points keeps the k best.
-    Of points at one place only the k smallest ids can be among the nearest, so
-    that crowded places stay small. ``auto`` counts both sides first and takes
-    the broadcast only for few points and few pairs.
+
+def _boxes(rows: DataFrame, *keys: Column, x: tuple[str, str], y: tuple[str, str], n: Column) -> DataFrame:
+    return rows.groupBy(*keys).agg(n.alias("n"), F.min(x[0]).alias("x0"), F.max(x[1]).alias("x1"), F.min(y[0]).alias("y0"), F.max(y[1]).alias("y1"))
+
+
+def met_pairs(spots: DataFrame, held: DataFrame, k: int, slack: float = 0.0) -> DataFrame:
+    """_q, dist_m and the columns of ``held`` of all pairs that can be among the k nearest, or farther than these by up to ``slack``.
+
+    spots: _q, x, y, scope. held: point_id, px, py, pscope. Points make a tree of packed
+    nodes with their number and box, queries make groups with a box. From the top down, a group meets the
+    children of the nodes it still has: k points are surely within the farthest corner of the nearest node that holds as many,
+    and nodes whose box begins beyond that are left behind. A group that keeps many nodes, since it is
+    wide or far away, goes on as single queries. Only the leaves that remain are
+    compared, wherever the queries lie and however few points a scope has.
     """
+    tree, leaves = _packed(held, "pscope", "px", "py", "point_id", max(LEAF, 2 * k))
+    tree = checkpointed(tree)
+    asked, _ = _packed(spots, "scope", "x", "y", "_q", GROUP)
+    asked = checkpointed(asked.withColumnRenamed("_node", "_group"))
+    lowest = checkpointed(_boxes(tree, F.col("pscope").alias("nscope"), F.col("_node"), x=("px", "px"), y=("py", "py"), n=F.count(F.lit(1))))
+    groups = asked.groupBy(F.col("scope").alias("gscope"), "_group").agg(F.min("x").alias("a0"), F.max("x").alias("a1"), F.min("y").alias("b0"), F.max("y").alias("b1"))
+    levels = 1
+    while FAN**levels < leaves:
+        levels += 1
+    room = (1 + slack) ** 2 * (1 + 1e-9)
+    front = groups.withColumns({"_one": F.lit(-1).cast("long"), "_at": F.lit(0).cast("long"), "_u": F.lit(float("inf"))})
+    for level in range(levels - 1, -1, -1):
+        width = FAN**level
+        nodes = _boxes(lowest, F.col("nscope"), F.floor(F.col("_node") / width).alias("_child"), x=("x0", "x1"), y=("y0", "y1"), n=F.sum("n")).withColumn("_up", F.floor(F.col("_child") / FAN))
+        nodes = F.broadcast(nodes) if leaves // width + 1 <= BROADCAST_NODES else nodes
+        met = _bounded(front.join(nodes, (F.col("gscope") == F.col("nscope")) & (F.col("_at") == F.col("_up"))), k, room)
+        met = checkpointed(met.withColumn("_many", F.count(F.lit(1)).over(Window.partitionBy("gscope", "_group", "_one"))))
+        wide = met.filter((F.col("_many") > SPLIT) & (F.col("_one") < 0))
+        if not wide.isEmpty():
+            own = asked.select("scope", F.col("_group").alias("_g"), F.col("_q").alias("_one"), *[F.col(c).alias(name) for c, name in (("x", "a0"), ("x", "a1"), ("y", "b0"), ("y", "b1"))])
+            single = wide.drop("_one", "a0", "a1", "b0", "b1").join(own, (F.col("gscope") == F.col("scope")) & (F.col("_group") == F.col("_g"))).drop("scope", "_g")
+            met = checkpointed(met.filter((F.col("_many") <= SPLIT) | (F.col("_one") >= 0)).unionByName(_bounded(single, k, room)))
+        front = met.select("gscope", "_group", "_one", "a0", "a1", "b0", "b1", F.col("_child").alias("_at"), "_u")
+    of_leaf = (F.col("gscope") == F.col("pscope")) & (F.col("_at") == F.col("_node"))
+    single = front.filter("_one >= 0").select("gscope", "_at", "_u", F.col("_one").alias("_q"), F.col("a0").alias("x"), F.col("b0").alias("y")).join(tree, of_leaf)
+    grouped = front.filter("_one < 0").select("gscope", "_at", "_u", F.col("_group").alias("_own")).join(tree, of_leaf).join(asked, (F.col("gscope") == F.col("scope")) & (F.col("_own") == F.col("_group")))
+    pairs = grouped.select("_q", "x", "y", "_u", *held.columns).unionByName(single.select("_q", "x", "y", "_u", *held.columns))
+    apart = _square(F.col("x") - F.col("px"), F.col("y") - F.col("py"))
+    return pairs.filter(apart <= F.col("_u") * room).select("_q", F.sqrt(apart).alias("dist_m"), *held.columns)
+
+
+def _square(a: Column, b: Column) -> Column:
+    return a * a + b * b
+
+
+def _bounded(met: DataFrame, k: int, room: float) -> DataFrame:
+    """The pairs of a group (or one query) and a node that can still matter, with ``_u``, the square of a distance that surely holds k points."""
+    gap = lambda low, high, a, b: F.greatest(F.lit(0.0), F.col(low) - F.col(b), F.col(a) - F.col(high))
+    reach = lambda low, high, a, b: F.greatest(F.col(high) - F.col(a), F.col(b) - F.col(low))
+    met = met.withColumns({"_near": _square(gap("x0", "x1", "a0", "a1"), gap("y0", "y1", "b0", "b1")), "_far": _square(reach("x0", "x1", "a0", "a1"), reach("y0", "y1", "b0", "b1"))})
+    surely = F.min(F.when(F.col("n") >= k, F.col("_far"))).over(Window.partitionBy("gscope", "_group", "_one"))
+    return met.withColumn("_u", F.least("_u", surely)).filter(F.col("_near") <= F.col("_u") * room)
+
+
+def _answers(queries: DataFrame, points: DataFrame, k: int, strategy: str, slack: float | None) -> DataFrame:
+    """query_id, rank, dist_m, point_id and more columns of the points: the k nearest, or with ``slack`` all within so much of the kth (and no rank)."""
+    fine = lambda c: F.coalesce(F.abs(F.col(c).cast("double")) < F.lit(float("inf")), F.lit(False))
     more = [c for c in points.columns if c not in ("point_id", "x", "y", "scope")]
-    asked = queries.filter("x IS NOT NULL AND y IS NOT NULL").select("query_id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), "scope")
-    held = points.filter("x IS NOT NULL AND y IS NOT NULL").select("point_id", F.col("x").cast("double").alias("px"), F.col("y").cast("double").alias("py"), F.col("scope").alias("pscope"), *more)
+    asked = queries.filter(fine("x") & fine("y")).select("query_id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), "scope")
+    held = points.filter(fine("x") & fine("y")).select("point_id", F.col("x").cast("double").alias("px"), F.col("y").cast("double").alias("py"), F.col("scope").alias("pscope"), *more)
     held = checkpointed(held.withColumn("_n", F.row_number().over(Window.partitionBy("pscope", "px", "py").orderBy("point_id"))).filter(F.col("_n") <= k).drop("_n"))
     spots = checkpointed(asked.select("x", "y", "scope").distinct().withColumn("_q", F.monotonically_increasing_id()))  # ids hold from here on
-    box = held.agg(F.count(F.lit(1)), F.min("px"), F.max("px"), F.min("py"), F.max("py")).first()
-    if not box[0]:
-        return asked.join(held, F.lit(False)).select("query_id", F.lit(0).alias("rank"), F.lit(0.0).alias("dist_m"), "point_id", *more)
+    n = held.count()
     if strategy == "auto":
-        strategy = "broadcast" if box[0] <= BROADCAST_POINTS and box[0] * spots.count() <= BROADCAST_PAIRS else "grid"
-    dist = F.sqrt((F.col("x") - F.col("px")) * (F.col("x") - F.col("px")) + (F.col("y") - F.col("py")) * (F.col("y") - F.col("py"))).alias("dist_m")
+        strategy = "broadcast" if n <= BROADCAST_POINTS and n * spots.count() <= BROADCAST_PAIRS else "tree"
     if strategy == "broadcast":
-        pairs = spots.join(F.broadcast(held) if box[0] <= BROADCAST_POINTS else held, F.col("scope") == F.col("pscope")).select("_q", dist, "point_id", *more)
+        dist = F.sqrt((F.col("x") - F.col("px")) * (F.col("x") - F.col("px")) + (F.col("y") - F.col("py")) * (F.col("y") - F.col("py")))
+        pairs = spots.join(F.broadcast(held) if n <= BROADCAST_POINTS else held, F.col("scope") == F.col("pscope")).select("_q", dist.alias("dist_m"), "point_id", *more)
+    else:
+        pairs = met_pairs(spots, held, k, slack or 0.0).select("_q", "dist_m", "point_id", *more)
+    if slack is None:
         found = _ranked(pairs, k)
     else:
-        found = _grid_found(spots, held, box[0], k, ((box[1], box[2]), (box[3], box[4])), dist, more, block)
+        every = Window.partitionBy("_q").orderBy("dist_m").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        kth = F.nth_value("dist_m", k).over(every)
+        found = pairs.withColumn("_kth", kth).filter(F.col("_kth").isNull() | (F.col("dist_m") <= F.col("_kth") * (1 + slack))).drop("_kth").withColumn("rank", F.lit(0))
     placed = spots.join(found, "_q").withColumnsRenamed({"x": "_x", "y": "_y", "scope": "_scope"})
     return asked.join(placed, (F.col("x") == F.col("_x")) & (F.col("y") == F.col("_y")) & (F.col("scope") == F.col("_scope"))).select("query_id", "rank", "dist_m", "point_id", *more)
 
 
-def _grid_found(spots: DataFrame, held: DataFrame, n: int, k: int, box: tuple[tuple[float, float], tuple[float, float]], dist: Column, more: list[str], block: int) -> DataFrame:
-    """_q, rank, dist_m, point_id and ``more`` by cells; see ``knn_join``."""
-    (x0, x1), (y0, y1) = box
-    extent = max(x1 - x0, y1 - y0, 1e-9) * (1 + 1e-9)
-    dense, levels = _dense_levels(held, n, (x0, y0), extent, -(-2 * k // 3))
-    near = spots.withColumns({"nx": F.greatest(F.lit(x0), F.least(F.lit(x1), F.col("x"))), "ny": F.greatest(F.lit(y0), F.least(F.lit(y1), F.col("y")))})
-    # The finest level that knows the query's own cell as dense.
-    size = F.lit(extent) / F.pow(F.lit(2.0), F.col("level"))
-    at = near.withColumn("level", F.explode(F.array(*map(F.lit, levels)))).withColumns({"cx": _cell(F.col("nx"), x0, size), "cy": _cell(F.col("ny"), y0, size)})
-    deepest = at.join(dense.withColumnRenamed("pscope", "scope"), ["scope", "level", "cx", "cy"], "left_semi").groupBy("_q").agg(F.max("level").alias("level"))
-    pending = checkpointed(near.join(deepest, "_q", "left").withColumn("level", F.coalesce("level", F.lit(0))))
-    shifts = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
-    out = []
-    while True:
-        used = sorted(r[0] for r in pending.filter("level > 0").select("level").distinct().collect())
-        if not used:
-            break
-        own = held.withColumn("level", F.explode(F.array(*map(F.lit, used)))).withColumns({"cx": _cell(F.col("px"), x0, size), "cy": _cell(F.col("py"), y0, size)})
-        reach = pending.filter("level > 0").withColumn("_s", F.explode(shifts)).withColumns({"cx": _cell(F.col("nx"), x0, size) + F.col("_s.a"), "cy": _cell(F.col("ny"), y0, size) + F.col("_s.b")})
-        met = reach.join(own.withColumnRenamed("pscope", "scope"), ["scope", "level", "cx", "cy"])
-        fx, fy = F.pmod(F.col("nx") - x0, size), F.pmod(F.col("ny") - y0, size)
-        safe = size + F.least(fx, size - fx, fy, size - fy)
-        # What lies outside those cells is as far from the box's nearest place as ``safe``, and the query stands at or behind that place.
-        beyond = F.sqrt(safe * safe + F.pow(F.col("x") - F.col("nx"), 2) + F.pow(F.col("y") - F.col("ny"), 2)) * (1 - 1e-9)
-        best = _ranked(met.select("_q", dist, "point_id", beyond.alias("_beyond"), *more), k)
-        sure = F.max(F.when(F.col("rank") == k, F.col("dist_m") < F.col("_beyond"))).over(Window.partitionBy("_q"))
-        done = checkpointed(best.withColumn("_ok", sure).filter("_ok").select("_q", "rank", "dist_m", "point_id", *more))
-        out.append(done)
-        left = pending.join(done.filter("rank = 1").select("_q"), "_q", "left_anti")
-        pending = checkpointed(left.withColumn("level", F.greatest(F.lit(0), F.col("level") - 1)))
-    blocks = -(-pending.count() // block)
-    for part in range(blocks):
-        mine = pending if blocks == 1 else pending.filter(F.pmod(F.xxhash64("_q"), F.lit(blocks)) == part)
-        pairs = held.join(F.broadcast(mine.select("_q", "x", "y", "scope")), F.col("scope") == F.col("pscope")).select("_q", dist, "point_id", *more)
-        out.append(checkpointed(_ranked(pairs, k).select("_q", "rank", "dist_m", "point_id", *more)))
-    found = out[0] if out else held.select(F.lit(0).cast("long").alias("_q"), F.lit(0).alias("rank"), F.lit(0.0).alias("dist_m"), "point_id", *more).limit(0)
-    for part in out[1:]:
-        found = found.unionByName(part)
-    return found
-
-
-def geodesic_knn_join(queries: DataFrame, points: DataFrame, k: int, slack: float = 0.002, **options: object) -> DataFrame:
+def knn_join(queries: DataFrame, points: DataFrame, k: int, strategy: str = "auto") -> DataFrame:
+    """The k nearest points of each query in metres of the plane, nearer first, then by the smaller point_id.
+
+    queries: query_id, x, y, scope. points: point_id, x, y, scope, and any
+    more columns, which come along. Returns query_id, rank, dist_m, point_id
+    and those columns; fewer than k rows where the scope has fewer points;
+    none for null or non-finite coordinates.
+
+    Queries at one place are answered once, and of points at one place only the k smallest ids can be among the nearest, so
+    that crowded places stay small. ``tree`` compares a query with the points of the few leaves that can
+    matter (see ``met_pairs``); ``broadcast`` compares it with all points of its scope. ``auto`` counts both sides first and takes
+    the broadcast only for few points and few pairs.
+    """
+    return _answers(queries, points, k, strategy, None)
+
+
+def geodesic_knn_join(queries: DataFrame, points: DataFrame, k: int, slack: float = 0.002, strategy: str = "auto") -> DataFrame:
     """As ``knn_join``, but ranked by the distance on the ellipsoid; both sides also have lat and lon.
 
-    Plane neighbours are candidates: twice as many as asked and two more, which
-    covers the projection's scale within ``slack``; a query whose last
-    candidate is not clearly farther than its kth answer is asked again with
-    more of them.
+    Candidates are all points whose distance in the plane is within ``slack`` of the kth, which covers a
+    projection whose scale is right to half of that where queries and their neighbours lie.
     """
     more = [c for c in points.columns if c not in ("point_id", "x", "y", "scope")]
-    want, out, pending = 2 * k + 2, None, queries
     places = queries.select("query_id", F.col("lat").alias("_qlat"), F.col("lon").alias("_qlon"))
-    total = points.count()
-    while True:
-        found = knn_join(pending, points, want, **options).withColumnRenamed("dist_m", "_plane").drop("rank").join(places, "query_id")
-        found = with_geodesic(found, "_qlat", "_qlon", "lat", "lon", "dist_m")
-        own = Window.partitionBy("query_id")
-        found = found.withColumn("rank", F.row_number().over(own.orderBy(F.round(F.col("dist_m") * 1e6), "point_id"))).withColumn("_far", F.max("_plane").over(own)).withColumn("_n", F.count(F.lit(1)).over(own))
-        found = found.withColumn("_kth", F.max(F.when(F.col("rank") <= k, F.col("dist_m"))).over(own))
-        found = checkpointed(found.filter(F.col("rank") <= k))
-        sure = (F.col("_n") < want) | (F.col("_kth") * (1 + slack) < F.col("_far"))
-        done = found.filter(sure).select("query_id", "rank", "dist_m", "point_id", *more)
-        out = done if out is None else out.unionByName(done)
-        unsure = found.filter(~sure).select("query_id").distinct()
-        if want >= total or unsure.isEmpty():
-            return out if unsure.isEmpty() else out.unionByName(found.filter(~sure).select("query_id", "rank", "dist_m", "point_id", *more))
-        pending, want = pending.join(unsure, "query_id", "left_semi"), want * 2
+    found = _answers(queries, points, k, strategy, slack).drop("rank", "dist_m").join(places, "query_id")
+    found = with_geodesic(found, "_qlat", "_qlon", "lat", "lon", "dist_m")
+    best = Window.partitionBy("query_id").orderBy(F.round(F.col("dist_m") * 1e6), "point_id")
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "dist_m", "point_id", *more)
 
 
 def idw(neighbours: DataFrame, price: str = "price", power: float = 3.0, eps: float = 1.0) -> DataFrame:

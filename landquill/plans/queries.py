@@ -73,10 +73,31 @@ def nearest_price(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT query_id, CAST(rank AS INT) AS rank, point_id, price, round(dist_m, 4) AS dist_m FROM ({_KNN}) WHERE rank <= 3")
 def knn_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = knn.knn_join(_queries(spark, sf_dir), _all_points(spark, sf_dir), 3, strategy="grid")
+    found = knn.knn_join(_queries(spark, sf_dir), _all_points(spark, sf_dir), 3, strategy="tree")
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "point_id", "price", F.round("dist_m", 4).alias("dist_m"))
 
 
+# Far queries: a ring about all points and a place beyond them; every second one asks in a scope of three points.
+_FAR_QUERIES = "(SELECT o_orderkey AS query_id, CASE WHEN o_orderkey % 4 < 2 THEN -3000000 + o_orderkey * 7919 % 1000003 ELSE 900000 + o_orderkey * 104729 % 70001 END::DOUBLE AS x, CASE WHEN o_orderkey % 4 < 2 THEN o_orderkey * 15485863 % 500009 - 200000 ELSE -800000 - o_orderkey * 31 % 977 END::DOUBLE AS y, CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE 'few' || (o_orderkey % 40) END AS scope FROM orders WHERE o_orderpriority = '2-HIGH')"
+_FAR_POINTS = f"(SELECT point_id, x, y, '' AS scope FROM {sql('points')} UNION ALL SELECT point_id, x, y, 'few' || (pos // 50) FROM {sql('points')} WHERE pos % 50 < 3)"
+
+
+@query(f"SELECT query_id, CAST(rank AS INT) AS rank, point_id, round(dist_m, 3) AS dist_m FROM (SELECT q.query_id, p.point_id, {_DIST} AS dist_m, row_number() OVER (PARTITION BY q.query_id ORDER BY {_DIST}, p.point_id) AS rank FROM {_FAR_QUERIES} q JOIN {_FAR_POINTS} p USING (scope)) WHERE rank <= 4")
+def far_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four nearest points of queries that lie far outside all points, half of them in scopes of three points."""
+    key = F.col("o_orderkey")
+    ring = key % 4 < 2
+    orders = _table(spark, sf_dir, "orders").filter("o_orderpriority = '2-HIGH'")
+    queries = orders.select(
+        key.alias("query_id"), F.when(ring, key * 7919 % 1000003 - 3000000).otherwise(key * 104729 % 70001 + 900000).cast("double").alias("x"), F.when(ring, key * 15485863 % 500009 - 200000).otherwise(-800000 - key * 31 % 977).cast("double").alias("y"),
+        F.when(key % 2 == 0, "").otherwise(F.concat(F.lit("few"), (key % 40).cast("string"))).alias("scope"),
+    )
+    points = view(spark, sf_dir, "points").select("point_id", "pos", "x", "y", F.lit("").alias("scope"))
+    few = points.filter("pos % 50 < 3").withColumn("scope", F.concat(F.lit("few"), F.floor(F.col("pos") / 50).cast("string")))
+    found = knn.knn_join(queries, points.unionByName(few).drop("pos"), 4, strategy="tree")
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "point_id", F.round("dist_m", 3).alias("dist_m"))
+
+
 @query(
     f"""SELECT query_id, CAST(round(sum(w * price) / sum(w)) AS BIGINT) AS unit_price, array_to_string(list(point_id ORDER BY rank), '|') AS knn_ids, round(max(dist_m), 3) AS max_dist,
         round(var_pop(dist_m), 2) AS variance FROM (SELECT *, 1 / pow(dist_m + 1, 3) AS w FROM ({_KNN}) WHERE rank <= 3) GROUP BY query_id"""

@@ -52,7 +52,7 @@ def test_unknown_scope_falls_back_to_all(spark):
     assert knn.nearest_with_fallback(q, scoped, far=10.0).first()["point_id"] == "13-101-001"
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "grid"])
+@pytest.mark.parametrize("strategy", ["broadcast", "tree"])
 def test_knn_matches_brute_force(spark, strategy):
     rng = random.Random(3)
     pts = [(f"p{i:03}", float(rng.randrange(100)) if i % 3 else 50.0, float(rng.randrange(100)) if i % 3 else 50.0, "" if i % 2 else "a") for i in range(120)]
@@ -68,7 +68,7 @@ def test_knn_matches_brute_force(spark, strategy):
 def test_knn_without_points(spark):
     q = spark.createDataFrame([(1, 0.0, 0.0, "")], "query_id int, x double, y double, scope string")
     p = spark.createDataFrame([], "point_id string, x double, y double, scope string")
-    assert knn.knn_join(q, p, 2).count() == 0 and knn.knn_join(q, p, 2, strategy="grid").count() == 0
+    assert knn.knn_join(q, p, 2).count() == 0 and knn.knn_join(q, p, 2, strategy="tree").count() == 0
 
 
 def test_duplicate_ids_and_attributes(spark):
@@ -246,14 +246,14 @@ def test_sink_replaces_only_its_companies(spark, tmp_path):
     assert all(r["valid"] for r in sinks.valid_outputs(out, ["v"]).collect())
 
 
-@pytest.mark.parametrize("k, block", [(1, 4096), (3, 2), (8, 4096)])
-def test_grid_of_clusters_outliers_and_far_queries(spark, k, block):
+@pytest.mark.parametrize("k", [1, 3, 8])
+def test_tree_of_clusters_outliers_and_far_queries(spark, k):
     rng = random.Random(k)
     pts = [(f"p{i:03}", 5e5 + rng.gauss(0, 3), 2e5 + rng.gauss(0, 3), "") for i in range(150)] + [(f"q{i:03}", rng.uniform(0, 1e6), rng.uniform(0, 1e6), "") for i in range(60)]
     pts += [("out", 1e8, -1e8, ""), *[(f"s{i}", 7.0, 7.0, "") for i in range(12)], ("a", 1.0, 1.0, "few"), ("b", 2.0, 2.0, "few")]
     qs = [(i, 5e5 + rng.gauss(0, 5), 2e5 + rng.gauss(0, 5), "") for i in range(40)] + [(100 + i, rng.uniform(-1e6, 2e6), rng.uniform(-1e6, 2e6), "") for i in range(20)]
     qs += [(200, 9e9, 9e9, ""), (201, -5e8, 0.0, ""), (202, 0.0, 0.0, "few"), (203, 1.0, 1.0, "none"), (204, 7.0, 7.0, ""), (205, None, 1.0, "")]
-    got = knn.knn_join(spark.createDataFrame(qs, "query_id int, x double, y double, scope string"), spark.createDataFrame(pts, "point_id string, x double, y double, scope string"), k, strategy="grid", block=block)
+    got = knn.knn_join(spark.createDataFrame(qs, "query_id int, x double, y double, scope string"), spark.createDataFrame(pts, "point_id string, x double, y double, scope string"), k, strategy="tree")
     found = {}
     for r in got.orderBy("query_id", "rank").collect():
         found.setdefault(r["query_id"], []).append(r["point_id"])
@@ -262,6 +262,22 @@ def test_grid_of_clusters_outliers_and_far_queries(spark, k, block):
         assert found.get(i, []) == want, i
 
 
+def test_far_queries_and_small_scopes_meet_few_points(spark):
+    rng = random.Random(5)
+    pts = [(f"p{k:04}", rng.uniform(0, 1000), rng.uniform(0, 1000), "") for k in range(3000)] + [(f"s{k:03}", rng.uniform(0, 1000), rng.uniform(0, 1000), f"few{k // 3}") for k in range(300)]
+    qs = [(k, rng.uniform(-9e5, -8e5), rng.uniform(-1e5, 1e5), "") for k in range(300)] + [(300 + k, rng.uniform(0, 1000), rng.uniform(0, 1000), "") for k in range(300)] + [(600 + k, rng.uniform(-1e6, 1e6), rng.uniform(-1e6, 1e6), f"few{k}") for k in range(100)]
+    held = spark.createDataFrame(pts, "point_id string, px double, py double, pscope string")
+    spots = spark.createDataFrame(qs, "_q long, x double, y double, scope string")
+    pairs = knn.met_pairs(spots, held, 3)
+    met = {r["_q"]: r["count"] for r in pairs.groupBy("_q").count().collect()}
+    mean = lambda a, b: sum(met[q] for q in range(a, b)) / (b - a)
+    assert mean(0, 300) < 150 and mean(300, 600) < 100 and all(met[q] == 3 for q in range(600, 700))
+    best = {(r["_q"], r["rank"]): r["point_id"] for r in knn._ranked(pairs, 3).collect()}
+    for q, x, y, scope in qs:
+        want = [p for _, p in sorted((math.sqrt((x - a) * (x - a) + (y - b) * (y - b)), p) for p, a, b, s in pts if s == scope)[:3]]
+        assert [best[q, k] for k in (1, 2, 3)] == want
+
+
 def test_filings_prefer_public_documents(spark, tmp_path):
     for name in ("1/d1/XBRL/PublicDoc/b.htm", "1/d1/XBRL/PublicDoc/a.htm", "1/d1/XBRL/AuditDoc/c.htm", "2/e/x.html", "2/e/notes.txt"):
         (tmp_path / "f" / name).parent.mkdir(parents=True, exist_ok=True)
