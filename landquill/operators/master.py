@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from landquill.shared import checkpointed
+
 
 def distinct_codes(rows: DataFrame, code: str = "code", seq: str = "seq") -> DataFrame:
     """Trimmed, non-empty codes with the place of their first row."""
@@ -75,6 +77,34 @@ def changed_keys(old: DataFrame, new: DataFrame, key: str = "code", mark: str =
     return both.select(key, change.alias("change")).filter("change IS NOT NULL")
 
 
+def bucket_digests(rows: DataFrame, key: str = "code", mark: str = "signature", buckets: int = 1 << 16, bucket: Column | None = None) -> DataFrame:
+    """bucket, n, total, mixed: what stays the same for each bucket of keys as long as no key and mark in it change.
+
+    The digest is the number of rows, the sum and the exclusive or of their hashes, so the order of rows doesn't matter
+    and tasks add up their own rows before the shuffle: it moves ``buckets`` rows of a task at most. Digests are small and may be kept beside the rows.
+    """
+    at = F.pmod(F.xxhash64(key), F.lit(buckets)) if bucket is None else bucket
+    h = F.xxhash64(key, mark, F.col(mark).isNull())
+    return rows.groupBy(at.cast("long").alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.sum(h.cast("decimal(20,0)")).alias("total"), F.bit_xor(F.xxhash64(F.lit(7), key, mark, F.col(mark).isNull())).alias("mixed"))
+
+
+def differing_buckets(old: DataFrame, new: DataFrame) -> DataFrame:
+    """bucket: those of two sets of digests that aren't the same."""
+    o, n = old.select("bucket", F.struct("n", "total", "mixed").alias("_o")), new.select("bucket", F.struct("n", "total", "mixed").alias("_n"))
+    return o.join(n, "bucket", "full").filter(~F.col("_o").eqNullSafe(F.col("_n"))).select("bucket")
+
+
+def changed_keys_by_digest(old: DataFrame, new: DataFrame, key: str = "code", mark: str = "signature", buckets: int = 1 << 16, bucket: Column | None = None) -> DataFrame:
+    """As ``changed_keys``, for tables of which little changes: only rows of buckets whose digests differ are shuffled and joined.
+
+    ``bucket``, a function of the key, takes the place of its hash if given, with at most ``buckets`` values. A key is to be in a table once.
+    """
+    at = F.pmod(F.xxhash64(key), F.lit(buckets)) if bucket is None else bucket
+    differ = F.broadcast(checkpointed(differing_buckets(bucket_digests(old, key, mark, buckets, bucket), bucket_digests(new, key, mark, buckets, bucket))))
+    some = [side.select(key, mark).join(differ, at.cast("long").eqNullSafe(differ["bucket"]), "left_semi") for side in (old, new)]
+    return changed_keys(some[0], some[1], key, mark)
+
+
 def to_process(targets: DataFrame, signatures: DataFrame, outputs: DataFrame) -> DataFrame:
     """Targets whose signature differs from the stored one or which have no valid output."""
     same = signatures.select("code", F.col("signature").alias("_s"))

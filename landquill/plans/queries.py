@@ -369,6 +369,20 @@ def changed_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return master.changed_keys(rows.filter("code % 10 > 0"), rows.withColumn("signature", F.when(F.col("code") % 7 == 0, -1).otherwise(F.col("signature"))).filter("code % 9 > 0"))
 
 
+@query(
+    """WITH o AS (SELECT o_orderkey AS code, CAST(o_totalprice AS BIGINT) AS s FROM orders WHERE o_orderkey % 1009 > 0), n AS (SELECT o_orderkey AS code, CASE WHEN o_orderkey % 907 = 0 THEN -1 WHEN o_orderkey % 911 = 0 THEN NULL ELSE CAST(o_totalprice AS BIGINT) END AS s FROM orders WHERE o_orderkey % 1013 > 0),
+        c AS (SELECT code, CASE WHEN o.code IS NULL THEN 'added' WHEN n.code IS NULL THEN 'deleted' ELSE 'changed' END AS change FROM o FULL JOIN n USING (code) WHERE o.code IS NULL OR n.code IS NULL OR o.s IS DISTINCT FROM n.s)
+        SELECT code % 512 AS bucket, count(*) FILTER (change = 'added') AS added, count(*) FILTER (change = 'changed') AS changed, count(*) FILTER (change = 'deleted') AS deleted FROM c GROUP BY 1"""
+)
+def changed_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What changes between two states of all orders, by bucket; buckets without change are never joined."""
+    rows = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("code"), F.round("o_totalprice").cast("long").alias("signature"))
+    new = rows.filter("code % 1013 > 0").withColumn("signature", F.when(F.col("code") % 907 == 0, -1).when(F.col("code") % 911 != 0, F.col("signature")))
+    found = master.changed_keys_by_digest(rows.filter("code % 1009 > 0"), new, buckets=512, bucket=F.col("code") % 512)
+    kinds = [F.count_if(F.col("change") == kind).alias(kind) for kind in ("added", "changed", "deleted")]
+    return found.groupBy((F.col("code") % 512).alias("bucket")).agg(*kinds)
+
+
 @query("SELECT o_orderkey AS code FROM orders WHERE NOT (o_orderkey % 7 <> 0 AND o_orderkey % 4 <> 0 AND o_orderkey % 5 <> 0)")
 def unchanged_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("code"), F.md5(F.col("o_orderkey").cast("string")).alias("signature"))

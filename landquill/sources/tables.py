@@ -131,21 +131,40 @@ def price_override_table(spark: SparkSession, config: dict[str, dict[str, int]])
     return spark.createDataFrame(rows, "code string, site_name string, unit_price long")
 
 
-def read_filings(spark: SparkSession, path: str) -> DataFrame:
-    """code, doc_id, seq (by file name), path, length, modified, html of filing documents below code/doc_id/.
+def filing_files(spark: SparkSession, path: str) -> DataFrame:
+    """code, doc_id, public, path, length, modified, content of filing documents below code/doc_id/ (or code=.../doc_id=.../).
 
-    Where a document has files below XBRL/PublicDoc, only these count.
+    ``public``: the file is below XBRL/PublicDoc. Where a document has such files, only these count.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{htm,html,xhtml}").load(path)
     base = path.rstrip("/").rsplit("/", 1)[-1]
-    part = lambda k: F.regexp_extract("path", rf"/{re.escape(base)}/([^/]+)/([^/]+)/", k)
-    rows = files.select(part(1).alias("code"), part(2).alias("doc_id"), "path", "length", F.col("modificationTime").alias("modified"), F.decode("content", "UTF-8").alias("html"))
-    public = F.contains("path", F.lit("/XBRL/PublicDoc/"))
+    part = lambda k: F.regexp_extract("path", rf"/{re.escape(base)}/(?:[^/=]+=)?([^/]+)/(?:[^/=]+=)?([^/]+)/", k)
+    return files.select(part(1).alias("code"), part(2).alias("doc_id"), F.contains("path", F.lit("/XBRL/PublicDoc/")).alias("public"), "path", "length", F.col("modificationTime").alias("modified"), "content")
+
+
+def read_filings(spark: SparkSession, path: str) -> DataFrame:
+    """code, doc_id, seq (by file name), path, length, modified, html of the files of ``filing_files`` that count."""
     own = Window.partitionBy("code", "doc_id")
-    rows = rows.withColumn("_any", F.max(public).over(own)).filter(public | ~F.col("_any")).drop("_any")
+    rows = filing_files(spark, path).withColumn("html", F.decode("content", "UTF-8")).drop("content")
+    rows = rows.withColumn("_any", F.max("public").over(own)).filter(F.col("public") | ~F.col("_any"))
     return rows.withColumn("seq", F.row_number().over(own.orderBy(F.substring_index("path", "/", -1), "path"))).select("code", "doc_id", "seq", "path", "length", "modified", "html")
 
 
+def company_fingerprints(files: DataFrame) -> DataFrame:
+    """code, n_files, fingerprint: a digest of the contents of all of a company's files that count, whatever their names and order.
+
+    files: as from ``filing_files``. A file's md5 is made where it is read. The three parts of those are added up, each
+    task for itself first, so neither contents nor lists of digests are shuffled; the fingerprint is the md5 of the count and the sums.
+    """
+    digest = files.select("code", "doc_id", "public", F.md5("content").alias("d"))
+    part = lambda first, n: F.conv(F.substring("d", first, n), 16, 10).cast("decimal(20,0)")
+    pieces = {"n_files": F.lit(1).cast("decimal(20,0)"), "a": part(1, 11), "b": part(12, 11), "c": part(23, 10)}
+    both = [f(x).alias(f"{name}_{side}") for name, x in pieces.items() for side, f in (("public", lambda x: F.sum(F.when(F.col("public"), x))), ("all", F.sum))]
+    documents = digest.groupBy("code", "doc_id").agg(F.bool_or("public").alias("_any"), *both)
+    sums = documents.groupBy("code").agg(*[F.sum(F.when(F.col("_any"), F.col(f"{name}_public")).otherwise(F.col(f"{name}_all"))).alias(name) for name in pieces])
+    return sums.select("code", F.col("n_files").cast("long").alias("n_files"), F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in pieces]).cast("binary")).alias("fingerprint"))
+
+
 def page_texts(pages: DataFrame, sections: DataFrame | None = None) -> DataFrame:
     """url, text: pages as text, and sections of filings under an address of their own."""
     from landquill.functions.filing import html_to_text

@@ -6,34 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from landquill.operators.master import reuse_extractions
 from landquill.shared import checkpointed
 
 FINGERPRINT = ["code", "doc_id", "length", "modified"]
 
 
-def ingest(stream: DataFrame, extract: Callable[[DataFrame, DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:
-    """Keep each version of a filing once and replace the results of the companies that have a new one.
+def ingest(stream: DataFrame, extract: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:
+    """Write what ``extract`` makes of each version of a filing, once, however often and late it arrives.
 
-    Every micro-batch is compared with the fingerprints of all batches before,
-    which are kept beside the results, so that filings of any age count and
-    each version counts once. ``extract`` gets the new filings and all
-    filings so far of their companies, and returns rows with a code.
+    Versions seen are state keyed by the fingerprint (code, doc_id, length, modified; null is a value like any other), dealt out
+    by it, so that a company of very many filings is no hot key, and a micro-batch looks up its own
+    rows only: its work doesn't grow with what came before. The state is as large as the number of different
+    fingerprints; a session with ``spark.sql.streaming.stateStore.providerClass`` set to the RocksDB provider keeps it on disk.
+
+    ``extract`` gets the new versions and returns rows, which go below ``path`` by batch. A batch that is run again
+    after a failure replaces its own part, so that nothing counts twice. A new query on the same ``checkpoint`` goes on where the last one ended.
     """
-    known_path = path.rstrip("/") + "_versions"
-    kept = T.StructType([*stream.schema.fields, T.StructField("_batch", T.LongType())])
 
     def batch(rows: DataFrame, batch_id: int) -> None:
-        spark = rows.sparkSession
-        known = spark.read.schema(kept).parquet(known_path) if batch_id else spark.createDataFrame([], kept)
-        known = known.filter(F.col("_batch") < batch_id).select(stream.columns)  # a batch that is run again doesn't know itself
-        new, _ = reuse_extractions(rows.dropDuplicates(FINGERPRINT), known, FINGERPRINT)
-        new = checkpointed(new)
-        new.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(known_path)
-        every = known.unionByName(new).join(new.select("code").distinct(), "code", "left_semi")
-        extract(new, every).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("code").parquet(path)
-
-    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        made = extract(checkpointed(rows))
+        made.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(path)
+
+    return stream.dropDuplicates(FINGERPRINT).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def current(results: DataFrame, version: str = "modified") -> DataFrame:
+    """The rows of each company's and document's newest version: what came last by ``version``, of equal ones in the later batch."""
+    keys, order = ["code", "doc_id"], F.struct(version, "_batch")
+    newest = results.groupBy(*keys).agg(F.max(order).alias("_newest")).select(F.col("code").alias("_c"), F.col("doc_id").alias("_d"), "_newest")
+    same = F.col("code").eqNullSafe(F.col("_c")) & F.col("doc_id").eqNullSafe(F.col("_d")) & (order == F.col("_newest"))
+    return results.join(newest, same, "left_semi")

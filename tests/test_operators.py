@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from landquill.operators import filings, geocode, knn, master, ranking, sites, web
 from landquill.plans import run
 from landquill.sources import sinks, tables
-from landquill.streaming.ingest import ingest
+from landquill.streaming.ingest import current, ingest
 
 POINTS = [("13-101-001", 35.68, 139.77, 1000000, "1住居"), ("13-101-002", 35.69, 139.78, 2000000, "商業"), ("13-101-003", 35.70, 139.79, 3000000, "商業")]
 
@@ -286,6 +286,34 @@ def test_filings_prefer_public_documents(spark, tmp_path):
     assert got == [("1", "d1", 1, "<p>1/d1/XBRL/PublicDoc/a.htm</p>"), ("1", "d1", 2, "<p>1/d1/XBRL/PublicDoc/b.htm</p>"), ("2", "e", 1, "<p>2/e/x.html</p>")]
 
 
+def test_company_fingerprints_are_those_of_contents(spark, tmp_path):
+    def marks(files):
+        root = tmp_path / f"f{len(list(tmp_path.iterdir()))}"
+        for name, text in files.items():
+            (root / name).parent.mkdir(parents=True, exist_ok=True)
+            (root / name).write_text(text)
+        return {r["code"]: (r["n_files"], r["fingerprint"]) for r in tables.company_fingerprints(tables.filing_files(spark, str(root))).collect()}
+
+    first = marks({"1/d/a.htm": "x", "1/d/b.htm": "y", "2/e/XBRL/PublicDoc/a.htm": "x", "2/e/XBRL/other.htm": "q"})
+    assert first["1"] == marks({"1/d/c.htm": "y", "1/d/d.htm": "x"})["1"]  # other names and order
+    assert first["1"] != marks({"1/d/a.htm": "x", "1/d/b.htm": "z"})["1"]  # another byte
+    assert first["1"] != marks({"1/d/a.htm": "x", "1/d/b.htm": "y", "1/d/c.htm": "y"})["1"]  # one file twice
+    assert first["2"] == marks({"2/e/a.htm": "x"})["2"]  # only public documents count
+    assert marks({"code=1/doc_id=d/a.htm": "x", "code=1/doc_id=d/b.htm": "y"})["1"] == first["1"]  # folders with names of columns
+
+
+def test_only_buckets_that_differ_are_joined(spark):
+    old = spark.range(20_000).select(F.col("id").alias("code"), F.md5(F.col("id").cast("string")).alias("signature"))
+    new = old.filter("code <> 7").withColumn("signature", F.when(F.col("code") == 11, "x").when(F.col("code") == 12, F.lit(None)).otherwise(F.col("signature"))).unionByName(spark.createDataFrame([(10**6, "n"), (None, "m")], "code long, signature string"))
+    got = master.changed_keys_by_digest(old, new, buckets=512)
+    assert {(r["code"], r["change"]) for r in got.collect()} == {(7, "deleted"), (11, "changed"), (12, "changed"), (10**6, "added"), (None, "added")}
+    assert master.changed_keys_by_digest(old, old).count() == 0
+    assert master.differing_buckets(master.bucket_digests(old, buckets=512), master.bucket_digests(new, buckets=512)).count() <= 5
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    full, semi = plan.index("Join FullOuter"), plan.index("Join LeftSemi")
+    assert full < semi and plan.count("Join LeftSemi") >= 2  # below the join of keys, both sides are cut down to those buckets
+
+
 def test_memos_by_company(spark, tmp_path):
     (tmp_path / "1911.md").write_text("# a\nb")
     assert [tuple(r) for r in tables.read_memos(spark, str(tmp_path)).collect()] == [("1911", "# a\nb")]
@@ -310,13 +338,20 @@ def test_stream_takes_each_version_once(spark, tmp_path):
     rows = [("1", "d", 10, t), ("1", "d", 10, t), ("2", "e", 11, t)]
     schema = "code string, doc_id string, length long, modified timestamp"
     spark.createDataFrame(rows, schema).write.parquet(source)
-    query = ingest(spark.readStream.schema(schema).parquet(source), lambda new, every: every.groupBy("code").count(), out, str(tmp_path / "ck"))
-    query.awaitTermination(120)
-    assert {(str(r["code"]), r["count"]) for r in spark.read.parquet(out).collect()} == {("1", 1), ("2", 1)}
-    # A filing copied in later with an old time still comes, a repeated one doesn't.
-    spark.createDataFrame([("1", "old", 9, datetime.datetime(2020, 1, 1)), ("2", "e", 11, t)], schema).write.mode("append").parquet(source)
-    ingest(spark.readStream.schema(schema).parquet(source), lambda new, every: every.groupBy("code").count(), out, str(tmp_path / "ck")).awaitTermination(120)
-    assert {(str(r["code"]), r["count"]) for r in spark.read.parquet(out).collect()} == {("1", 2), ("2", 1)}
+    start = lambda: ingest(spark.readStream.schema(schema).parquet(source), lambda new: new, out, str(tmp_path / "ck"))
+    start().awaitTermination(120)
+    counts = lambda: {r["code"]: r["count"] for r in spark.read.parquet(out).groupBy("code").count().collect()}
+    assert counts() == {"1": 1, "2": 1}
+    # After a restart a filing copied in later with an old time still comes, a repeated one doesn't, and only the new one touches the state.
+    spark.createDataFrame([("1", "old", 9, datetime.datetime(2020, 1, 1)), ("2", "e", 11, t), ("2", "e", 12, t), (None, "f", None, t), (None, "f", None, t)], schema).coalesce(1).write.mode("append").parquet(source)
+    again = start()
+    again.awaitTermination(120)
+    assert counts() == {"1": 2, "2": 2, None: 1}
+    assert sum(s["numRowsUpdated"] for p in again.recentProgress for s in p["stateOperators"]) == 3
+    newest = {(r["code"], r["doc_id"]): r["length"] for r in current(spark.read.parquet(out)).collect()}
+    assert newest == {("1", "d"): 10, ("1", "old"): 9, ("2", "e"): 12, (None, "f"): None}
+    start().awaitTermination(120)
+    assert counts() == {"1": 2, "2": 2, None: 1}
 
 
 def test_running_and_ranked_keep_columns_of_any_name(spark):
