@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from landquill.functions.geo import with_geodesic
@@ -18,9 +20,9 @@ FAMILIES = {
 }
 #: Pairs, and points, up to which all points are broadcast and compared with all queries of their scope.
 BROADCAST_PAIRS, BROADCAST_POINTS = 2_000_000, 50_000
-#: Points of a leaf at least, queries of a group, children of a node, nodes beyond which a group goes on as single queries, and nodes up to which a
-#: level of the tree is broadcast.
-LEAF, GROUP, FAN, SPLIT, BROADCAST_NODES = 8, 16, 64, 24, 50_000
+#: Points of a leaf at least, queries of a group, children of a node, nodes at the top at most, nodes beyond which a group goes on as single queries,
+#: nodes up to which a level of the tree is broadcast, and distances that a task computes at once.
+LEAF, GROUP, FAN, TOP, SPLIT, BROADCAST_NODES, DISTANCES = 8, 128, 32, 128, 1024, 50_000, 1 << 20
 _BITS = 25
 
 
@@ -46,33 +48,40 @@ def _ranked(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k)
 
 
-def _packed(rows: DataFrame, scope: str, x: str, y: str, last: str, size: int) -> tuple[DataFrame, int]:
-    """rows with ``_node``, the number of a run of up to ``size`` neighbours on a space-filling curve, and a bound of these numbers.
+def _kept(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict[str, object]]:
+    """df, its lineage cut, and what was observed meanwhile."""
+    seen = Observation()
+    return checkpointed(df.observe(seen, *[c.alias(name) for name, c in metrics.items()])), seen.get
+
+
+def _extent(x: str, y: str) -> dict[str, Column]:
+    return {"n": F.count(F.lit(1)), "x0": F.min(x), "x1": F.max(x), "y0": F.min(y), "y1": F.max(y)}
+
+
+def _packed(rows: DataFrame, box: dict[str, object], scope: str, x: str, y: str, last: str, size: int) -> tuple[DataFrame, int]:
+    """rows with ``_node``, the number of a run of up to ``size`` neighbours on a space-filling curve, ``_p``, a number of its own, and a bound of the nodes' numbers.
 
     Rows are dealt into ranges along the curve and numbered inside each range, so that no task
     sees all of them; a node's number over any whole number is that of a node higher up.
     """
-    box = rows.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
-    if box[0] is None:
-        return rows.withColumn("_node", F.lit(0).cast("long")), 1
-    wide = max(box[1] - box[0], box[3] - box[2], 1e-9)
+    wide = max(box["x1"] - box["x0"], box["y1"] - box["y0"], 1e-9) if box["n"] else 1.0
 
     def bits(c: str, low: float) -> Column:
-        return F.conv(F.bin(F.floor((F.col(c) - low) / wide * (1 << _BITS)).cast("long")), 4, 10).cast("long")  # binary digits read as those of base four lie apart
+        return F.conv(F.bin(F.floor((F.col(c) - (low or 0.0)) / wide * (1 << _BITS)).cast("long")), 4, 10).cast("long")  # binary digits read as those of base four lie apart
 
     order = [F.col(scope), F.col("_z"), F.col(x), F.col(y), F.col(last)]
-    dealt = checkpointed(rows.withColumn("_z", bits(x, box[0]) * 2 + bits(y, box[2])).repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
-    sizes = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.max("_range")).first()
-    width = -(-sizes[0] // size)  # nodes of a range
+    dealt = rows.withColumn("_z", bits(x, box["x0"]) * 2 + bits(y, box["y0"])).repartitionByRange(*order).withColumn("_range", F.spark_partition_id().cast("long"))
     inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
-    return dealt.withColumn("_node", F.col("_range").cast("long") * width + F.floor(inside / size)).drop("_z", "_range"), (sizes[1] + 1) * width
+    numbered, seen = _kept(dealt.withColumn("_inside", inside.cast("long")).withColumn("_p", F.monotonically_increasing_id()), most=F.max("_inside"), last=F.max("_range"))
+    width = (seen["most"] or 0) // size + 1  # nodes of a range
+    return numbered.withColumn("_node", F.col("_range") * width + F.floor(F.col("_inside") / size)).drop("_z", "_range", "_inside"), ((seen["last"] or 0) + 1) * width
 
 
 def _boxes(rows: DataFrame, *keys: Column, x: tuple[str, str], y: tuple[str, str], n: Column) -> DataFrame:
     return rows.groupBy(*keys).agg(n.alias("n"), F.min(x[0]).alias("x0"), F.max(x[1]).alias("x1"), F.min(y[0]).alias("y0"), F.max(y[1]).alias("y1"))
 
 
-def met_pairs(spots: DataFrame, held: DataFrame, k: int, slack: float = 0.0) -> DataFrame:
+def met_pairs(spots: DataFrame, held: DataFrame, k: int, slack: float = 0.0, boxes: list[dict[str, object]] | None = None) -> DataFrame:
     """_q, dist_m and the columns of ``held`` of all pairs that can be among the k nearest, or farther than these by up to ``slack``.
 
     spots: _q, x, y, scope. held: point_id, px, py, pscope. Points make a tree of packed
@@ -82,35 +91,60 @@ def met_pairs(spots: DataFrame, held: DataFrame, k: int, slack: float = 0.0) ->
     wide or far away, goes on as single queries. Only the leaves that remain are
     compared, wherever the queries lie and however few points a scope has.
     """
-    tree, leaves = _packed(held, "pscope", "px", "py", "point_id", max(LEAF, 2 * k))
-    tree = checkpointed(tree)
-    asked, _ = _packed(spots, "scope", "x", "y", "_q", GROUP)
-    asked = checkpointed(asked.withColumnRenamed("_node", "_group"))
+    boxes = boxes or [held.agg(*[c.alias(name) for name, c in _extent("px", "py").items()]).first().asDict(), spots.agg(*[c.alias(name) for name, c in _extent("x", "y").items()]).first().asDict()]
+    tree, leaves = _packed(held, boxes[0], "pscope", "px", "py", "point_id", max(LEAF, 2 * k))
+    asked = _packed(spots, boxes[1], "scope", "x", "y", "_q", GROUP)[0].withColumnRenamed("_node", "_group")
     lowest = checkpointed(_boxes(tree, F.col("pscope").alias("nscope"), F.col("_node"), x=("px", "px"), y=("py", "py"), n=F.count(F.lit(1))))
     groups = asked.groupBy(F.col("scope").alias("gscope"), "_group").agg(F.min("x").alias("a0"), F.max("x").alias("a1"), F.min("y").alias("b0"), F.max("y").alias("b1"))
-    levels = 1
-    while FAN**levels < leaves:
-        levels += 1
+    top = 0
+    while leaves > TOP * FAN**top:
+        top += 1
     room = (1 + slack) ** 2 * (1 + 1e-9)
-    front = groups.withColumns({"_one": F.lit(-1).cast("long"), "_at": F.lit(0).cast("long"), "_u": F.lit(float("inf"))})
-    for level in range(levels - 1, -1, -1):
+    front = groups.withColumns({"_one": F.lit(-1).cast("long"), "_u": F.lit(float("inf"))})
+    for level in range(top, -1, -1):
         width = FAN**level
         nodes = _boxes(lowest, F.col("nscope"), F.floor(F.col("_node") / width).alias("_child"), x=("x0", "x1"), y=("y0", "y1"), n=F.sum("n")).withColumn("_up", F.floor(F.col("_child") / FAN))
         nodes = F.broadcast(nodes) if leaves // width + 1 <= BROADCAST_NODES else nodes
-        met = _bounded(front.join(nodes, (F.col("gscope") == F.col("nscope")) & (F.col("_at") == F.col("_up"))), k, room)
-        met = checkpointed(met.withColumn("_many", F.count(F.lit(1)).over(Window.partitionBy("gscope", "_group", "_one"))))
-        wide = met.filter((F.col("_many") > SPLIT) & (F.col("_one") < 0))
-        if not wide.isEmpty():
+        below = F.col("gscope") == F.col("nscope")
+        met = _bounded(front.join(nodes, below if level == top else below & (F.col("_at") == F.col("_up"))), k, room)
+        met, seen = _kept(met.withColumn("_many", F.count(F.lit(1)).over(Window.partitionBy("gscope", "_group", "_one"))), most=F.max(F.when(F.col("_one") < 0, F.col("_many"))))
+        if (seen["most"] or 0) > SPLIT:
+            wide = met.filter((F.col("_many") > SPLIT) & (F.col("_one") < 0))
             own = asked.select("scope", F.col("_group").alias("_g"), F.col("_q").alias("_one"), *[F.col(c).alias(name) for c, name in (("x", "a0"), ("x", "a1"), ("y", "b0"), ("y", "b1"))])
             single = wide.drop("_one", "a0", "a1", "b0", "b1").join(own, (F.col("gscope") == F.col("scope")) & (F.col("_group") == F.col("_g"))).drop("scope", "_g")
-            met = checkpointed(met.filter((F.col("_many") <= SPLIT) | (F.col("_one") >= 0)).unionByName(_bounded(single, k, room)))
+            met = met.filter((F.col("_many") <= SPLIT) | (F.col("_one") >= 0)).unionByName(checkpointed(_bounded(single, k, room)))
         front = met.select("gscope", "_group", "_one", "a0", "a1", "b0", "b1", F.col("_child").alias("_at"), "_u")
     of_leaf = (F.col("gscope") == F.col("pscope")) & (F.col("_at") == F.col("_node"))
     single = front.filter("_one >= 0").select("gscope", "_at", "_u", F.col("_one").alias("_q"), F.col("a0").alias("x"), F.col("b0").alias("y")).join(tree, of_leaf)
-    grouped = front.filter("_one < 0").select("gscope", "_at", "_u", F.col("_group").alias("_own")).join(tree, of_leaf).join(asked, (F.col("gscope") == F.col("scope")) & (F.col("_own") == F.col("_group")))
-    pairs = grouped.select("_q", "x", "y", "_u", *held.columns).unionByName(single.select("_q", "x", "y", "_u", *held.columns))
     apart = _square(F.col("x") - F.col("px"), F.col("y") - F.col("py"))
-    return pairs.filter(apart <= F.col("_u") * room).select("_q", F.sqrt(apart).alias("dist_m"), *held.columns)
+    single = single.filter(apart <= F.col("_u") * room).select("_q", F.sqrt(apart).alias("dist_m"), *held.columns)
+    # A group is compared with all points of its leaves at once; what comes out is hardly more than the answers.
+    near = front.filter("_one < 0").select("gscope", "_at", "_group").join(tree.select("pscope", "_node", "_p", "px", "py"), of_leaf)
+    near = near.select("gscope", "_group", F.lit(True).alias("is_point"), F.col("_p").alias("id"), F.col("px").alias("x"), F.col("py").alias("y"))
+    both = near.unionByName(asked.select(F.col("scope").alias("gscope"), "_group", F.lit(False).alias("is_point"), F.col("_q").alias("id"), "x", "y"))
+    tasks = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, but much work: not to be put together into few tasks
+    found = both.repartition(tasks, "gscope", "_group").groupBy("gscope", "_group").applyInArrow(_comparer(k, room), "_q long, _point long, dist_m double")
+    return found.join(tree, F.col("_point") == F.col("_p")).select("_q", "dist_m", *held.columns).unionByName(single)
+
+
+def _comparer(k: int, room: float) -> Callable[[pa.Table], pa.Table]:
+    """For the queries and points of a group: each query with the points not farther than its kth, or beyond that by what ``room`` gives."""
+
+    def compare(both: pa.Table) -> pa.Table:
+        is_point = both.column("is_point").to_numpy()
+        ids, x, y = (both.column(c).to_numpy() for c in ("id", "x", "y"))
+        q, p = np.flatnonzero(~is_point), np.flatnonzero(is_point)
+        out = []
+        for part in np.array_split(q, max(1, -(-len(q) * len(p) // DISTANCES))) if len(p) else []:
+            dx, dy = x[part, None] - x[p], y[part, None] - y[p]
+            square = dx * dx + dy * dy
+            kth = np.partition(square, k - 1, 1)[:, k - 1] if len(p) > k else square.max(1)
+            a, b = np.nonzero(square <= (kth * room)[:, None])
+            out.append((ids[part[a]], ids[p[b]], np.sqrt(square[a, b])))
+        columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        return pa.table(dict(zip(("_q", "_point", "dist_m"), map(pa.array, columns))))
+
+    return compare
 
 
 def _square(a: Column, b: Column) -> Column:
@@ -132,16 +166,16 @@ def _answers(queries: DataFrame, points: DataFrame, k: int, strategy: str, slack
     more = [c for c in points.columns if c not in ("point_id", "x", "y", "scope")]
     asked = queries.filter(fine("x") & fine("y")).select("query_id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), "scope")
     held = points.filter(fine("x") & fine("y")).select("point_id", F.col("x").cast("double").alias("px"), F.col("y").cast("double").alias("py"), F.col("scope").alias("pscope"), *more)
-    held = checkpointed(held.withColumn("_n", F.row_number().over(Window.partitionBy("pscope", "px", "py").orderBy("point_id"))).filter(F.col("_n") <= k).drop("_n"))
-    spots = checkpointed(asked.select("x", "y", "scope").distinct().withColumn("_q", F.monotonically_increasing_id()))  # ids hold from here on
-    n = held.count()
+    held, held_box = _kept(held.withColumn("_n", F.row_number().over(Window.partitionBy("pscope", "px", "py").orderBy("point_id"))).filter(F.col("_n") <= k).drop("_n"), **_extent("px", "py"))
+    spots, spots_box = _kept(asked.select("x", "y", "scope").distinct().withColumn("_q", F.monotonically_increasing_id()), **_extent("x", "y"))  # ids hold from here on
+    n = held_box["n"]
     if strategy == "auto":
-        strategy = "broadcast" if n <= BROADCAST_POINTS and n * spots.count() <= BROADCAST_PAIRS else "tree"
+        strategy = "broadcast" if n <= BROADCAST_POINTS and n * spots_box["n"] <= BROADCAST_PAIRS else "tree"
     if strategy == "broadcast":
         dist = F.sqrt((F.col("x") - F.col("px")) * (F.col("x") - F.col("px")) + (F.col("y") - F.col("py")) * (F.col("y") - F.col("py")))
         pairs = spots.join(F.broadcast(held) if n <= BROADCAST_POINTS else held, F.col("scope") == F.col("pscope")).select("_q", dist.alias("dist_m"), "point_id", *more)
     else:
-        pairs = met_pairs(spots, held, k, slack or 0.0).select("_q", "dist_m", "point_id", *more)
+        pairs = met_pairs(spots, held, k, slack or 0.0, [held_box, spots_box]).select("_q", "dist_m", "point_id", *more)
     if slack is None:
         found = _ranked(pairs, k)
     else:
