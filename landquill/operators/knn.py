@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +37,10 @@ def with_scopes(points: DataFrame, kind: str = "kind", families: dict[str, tuple
     return points.withColumn("scope", F.explode(scopes))
 
 
-def known_scope(queries: DataFrame, scoped: DataFrame, wanted: str) -> DataFrame:
+def known_scope(queries: DataFrame, scoped: DataFrame | PointTree, wanted: str) -> DataFrame:
     """``scope``: the wanted one if any point has it, else '' for all points."""
-    known = scoped.select(F.col("scope").alias("_known")).distinct()  # one row for each kind and family
+    scopes = scoped.lowest.select(F.col("nscope").alias("_known")) if isinstance(scoped, PointTree) else scoped.select(F.col("scope").alias("_known"))
+    known = scopes.distinct()  # one row for each kind and family
     return queries.join(known, F.col(wanted) == F.col("_known"), "left").withColumn("scope", F.coalesce("_known", F.lit(""))).drop("_known")
 
 
@@ -81,20 +83,54 @@ def _boxes(rows: DataFrame, *keys: Column, x: tuple[str, str], y: tuple[str, str
     return rows.groupBy(*keys).agg(n.alias("n"), F.min(x[0]).alias("x0"), F.max(x[1]).alias("x1"), F.min(y[0]).alias("y0"), F.max(y[1]).alias("y1"))
 
 
-def met_pairs(spots: DataFrame, held: DataFrame, k: int, slack: float = 0.0, boxes: list[dict[str, object]] | None = None) -> DataFrame:
-    """_q, dist_m and the columns of ``held`` of all pairs that can be among the k nearest, or farther than these by up to ``slack``.
+class PointTree(NamedTuple):
+    """Points made ready for searches of up to ``k`` neighbours: their rows with nodes, the lowest nodes' boxes, and their numbers."""
 
-    spots: _q, x, y, scope. held: point_id, px, py, pscope. Points make a tree of packed
+    rows: DataFrame
+    lowest: DataFrame
+    leaves: int
+    n: int
+    k: int
+    more: list[str]
+
+
+def _held(points: DataFrame, k: int) -> tuple[DataFrame, dict[str, object], list[str]]:
+    """(point_id, px, py, pscope and more columns of the points that can be among k nearest, their extent, the names of more columns)."""
+    more = [c for c in points.columns if c not in ("point_id", "x", "y", "scope")]
+    held = points.filter(_finite("x") & _finite("y")).select("point_id", F.col("x").cast("double").alias("px"), F.col("y").cast("double").alias("py"), F.col("scope").alias("pscope"), *more)
+    first = F.row_number().over(Window.partitionBy("pscope", "px", "py").orderBy("point_id"))
+    return *_kept(held.withColumn("_n", first).filter(F.col("_n") <= k).drop("_n"), **_extent("px", "py")), more
+
+
+def _finite(c: str) -> Column:
+    return F.coalesce(F.abs(F.col(c).cast("double")) < F.lit(float("inf")), F.lit(False))
+
+
+def _tree(held: DataFrame, box: dict[str, object], k: int, more: list[str]) -> PointTree:
+    rows, leaves = _packed(held, box, "pscope", "px", "py", "point_id", max(LEAF, 2 * k))
+    lowest = checkpointed(_boxes(rows, F.col("pscope").alias("nscope"), F.col("_node"), x=("px", "px"), y=("py", "py"), n=F.count(F.lit(1))))
+    return PointTree(rows, lowest, leaves, box["n"], k, more)
+
+
+def point_tree(points: DataFrame, k: int) -> PointTree:
+    """points (point_id, x, y, scope, and more columns) for several searches; see ``knn_join``."""
+    held, box, more = _held(points, k)
+    return _tree(held, box, k, more)
+
+
+def met_pairs(spots: DataFrame, points: PointTree, k: int, slack: float = 0.0, box: dict[str, object] | None = None) -> DataFrame:
+    """_q, dist_m, point_id and more columns of all pairs that can be among the k nearest, or farther than these by up to ``slack``.
+
+    spots: _q, x, y, scope. Points are a tree of packed
     nodes with their number and box, queries make groups with a box. From the top down, a group meets the
     children of the nodes it still has: k points are surely within the farthest corner of the nearest node that holds as many,
     and nodes whose box begins beyond that are left behind. A group that keeps many nodes, since it is
     wide or far away, goes on as single queries. Only the leaves that remain are
     compared, wherever the queries lie and however few points a scope has.
     """
-    boxes = boxes or [held.agg(*[c.alias(name) for name, c in _extent("px", "py").items()]).first().asDict(), spots.agg(*[c.alias(name) for name, c in _extent("x", "y").items()]).first().asDict()]
-    tree, leaves = _packed(held, boxes[0], "pscope", "px", "py", "point_id", max(LEAF, 2 * k))
-    asked = _packed(spots, boxes[1], "scope", "x", "y", "_q", GROUP)[0].withColumnRenamed("_node", "_group")
-    lowest = checkpointed(_boxes(tree, F.col("pscope").alias("nscope"), F.col("_node"), x=("px", "px"), y=("py", "py"), n=F.count(F.lit(1))))
+    tree, lowest, leaves, columns = points.rows, points.lowest, points.leaves, ["point_id", *points.more]
+    box = box or spots.agg(*[c.alias(name) for name, c in _extent("x", "y").items()]).first().asDict()
+    asked = _packed(spots, box, "scope", "x", "y", "_q", GROUP)[0].withColumnRenamed("_node", "_group")
     groups = asked.groupBy(F.col("scope").alias("gscope"), "_group").agg(F.min("x").alias("a0"), F.max("x").alias("a1"), F.min("y").alias("b0"), F.max("y").alias("b1"))
     top = 0
     while leaves > TOP * FAN**top:
@@ -117,14 +153,14 @@ def met_pairs(spots: DataFrame, held: DataFrame, k: int, slack: float = 0.0, box
     of_leaf = (F.col("gscope") == F.col("pscope")) & (F.col("_at") == F.col("_node"))
     single = front.filter("_one >= 0").select("gscope", "_at", "_u", F.col("_one").alias("_q"), F.col("a0").alias("x"), F.col("b0").alias("y")).join(tree, of_leaf)
     apart = _square(F.col("x") - F.col("px"), F.col("y") - F.col("py"))
-    single = single.filter(apart <= F.col("_u") * room).select("_q", F.sqrt(apart).alias("dist_m"), *held.columns)
+    single = single.filter(apart <= F.col("_u") * room).select("_q", F.sqrt(apart).alias("dist_m"), *columns)
     # A group is compared with all points of its leaves at once; what comes out is hardly more than the answers.
     near = front.filter("_one < 0").select("gscope", "_at", "_group").join(tree.select("pscope", "_node", "_p", "px", "py"), of_leaf)
     near = near.select("gscope", "_group", F.lit(True).alias("is_point"), F.col("_p").alias("id"), F.col("px").alias("x"), F.col("py").alias("y"))
     both = near.unionByName(asked.select(F.col("scope").alias("gscope"), "_group", F.lit(False).alias("is_point"), F.col("_q").alias("id"), "x", "y"))
-    tasks = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, but much work: not to be put together into few tasks
+    tasks = int(tree.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, but much work: not to be put together into few tasks
     found = both.repartition(tasks, "gscope", "_group").groupBy("gscope", "_group").applyInArrow(_comparer(k, room), "_q long, _point long, dist_m double")
-    return found.join(tree, F.col("_point") == F.col("_p")).select("_q", "dist_m", *held.columns).unionByName(single)
+    return found.join(tree, F.col("_point") == F.col("_p")).select("_q", "dist_m", *columns).unionByName(single)
 
 
 def _comparer(k: int, room: float) -> Callable[[pa.Table], pa.Table]:
@@ -160,22 +196,25 @@ def _bounded(met: DataFrame, k: int, room: float) -> DataFrame:
     return met.withColumn("_u", F.least("_u", surely)).filter(F.col("_near") <= F.col("_u") * room)
 
 
-def _answers(queries: DataFrame, points: DataFrame, k: int, strategy: str, slack: float | None) -> DataFrame:
+def _answers(queries: DataFrame, points: DataFrame | PointTree, k: int, strategy: str, slack: float | None) -> DataFrame:
     """query_id, rank, dist_m, point_id and more columns of the points: the k nearest, or with ``slack`` all within so much of the kth (and no rank)."""
-    fine = lambda c: F.coalesce(F.abs(F.col(c).cast("double")) < F.lit(float("inf")), F.lit(False))
-    more = [c for c in points.columns if c not in ("point_id", "x", "y", "scope")]
-    asked = queries.filter(fine("x") & fine("y")).select("query_id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), "scope")
-    held = points.filter(fine("x") & fine("y")).select("point_id", F.col("x").cast("double").alias("px"), F.col("y").cast("double").alias("py"), F.col("scope").alias("pscope"), *more)
-    held, held_box = _kept(held.withColumn("_n", F.row_number().over(Window.partitionBy("pscope", "px", "py").orderBy("point_id"))).filter(F.col("_n") <= k).drop("_n"), **_extent("px", "py"))
-    spots, spots_box = _kept(asked.select("x", "y", "scope").distinct().withColumn("_q", F.monotonically_increasing_id()), **_extent("x", "y"))  # ids hold from here on
-    n = held_box["n"]
+    asked = queries.filter(_finite("x") & _finite("y")).select("query_id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), "scope")
+    if isinstance(points, PointTree):
+        if points.k < k:
+            raise ValueError(f"a tree for {points.k} neighbours can't give {k}")
+        held, n, more, strategy = points.rows, points.n, points.more, "tree"
+    else:
+        held, held_box, more = _held(points, k)
+        n = held_box["n"]
+    spots, box = _kept(asked.select("x", "y", "scope").distinct().withColumn("_q", F.monotonically_increasing_id()), **_extent("x", "y"))  # ids hold from here on
     if strategy == "auto":
-        strategy = "broadcast" if n <= BROADCAST_POINTS and n * spots_box["n"] <= BROADCAST_PAIRS else "tree"
+        strategy = "broadcast" if n <= BROADCAST_POINTS and n * box["n"] <= BROADCAST_PAIRS else "tree"
     if strategy == "broadcast":
         dist = F.sqrt((F.col("x") - F.col("px")) * (F.col("x") - F.col("px")) + (F.col("y") - F.col("py")) * (F.col("y") - F.col("py")))
         pairs = spots.join(F.broadcast(held) if n <= BROADCAST_POINTS else held, F.col("scope") == F.col("pscope")).select("_q", dist.alias("dist_m"), "point_id", *more)
     else:
-        pairs = met_pairs(spots, held, k, slack or 0.0, [held_box, spots_box]).select("_q", "dist_m", "point_id", *more)
+        tree = points if isinstance(points, PointTree) else _tree(held, held_box, k, more)
+        pairs = met_pairs(spots, tree, k, slack or 0.0, box)
     if slack is None:
         found = _ranked(pairs, k)
     else:
@@ -186,7 +225,7 @@ def _answers(queries: DataFrame, points: DataFrame, k: int, strategy: str, slack
     return asked.join(placed, (F.col("x") == F.col("_x")) & (F.col("y") == F.col("_y")) & (F.col("scope") == F.col("_scope"))).select("query_id", "rank", "dist_m", "point_id", *more)
 
 
-def knn_join(queries: DataFrame, points: DataFrame, k: int, strategy: str = "auto") -> DataFrame:
+def knn_join(queries: DataFrame, points: DataFrame | PointTree, k: int, strategy: str = "auto") -> DataFrame:
     """The k nearest points of each query in metres of the plane, nearer first, then by the smaller point_id.
 
     queries: query_id, x, y, scope. points: point_id, x, y, scope, and any
@@ -195,20 +234,20 @@ def knn_join(queries: DataFrame, points: DataFrame, k: int, strategy: str = "aut
     none for null or non-finite coordinates.
 
     Queries at one place are answered once, and of points at one place only the k smallest ids can be among the nearest, so
-    that crowded places stay small. ``tree`` compares a query with the points of the few leaves that can
+    that crowded places stay small. Points for several searches can be given as ``point_tree`` makes them. ``tree`` compares a query with the points of the few leaves that can
     matter (see ``met_pairs``); ``broadcast`` compares it with all points of its scope. ``auto`` counts both sides first and takes
     the broadcast only for few points and few pairs.
     """
     return _answers(queries, points, k, strategy, None)
 
 
-def geodesic_knn_join(queries: DataFrame, points: DataFrame, k: int, slack: float = 0.002, strategy: str = "auto") -> DataFrame:
+def geodesic_knn_join(queries: DataFrame, points: DataFrame | PointTree, k: int, slack: float = 0.002, strategy: str = "auto") -> DataFrame:
     """As ``knn_join``, but ranked by the distance on the ellipsoid; both sides also have lat and lon.
 
     Candidates are all points whose distance in the plane is within ``slack`` of the kth, which covers a
     projection whose scale is right to half of that where queries and their neighbours lie.
     """
-    more = [c for c in points.columns if c not in ("point_id", "x", "y", "scope")]
+    more = points.more if isinstance(points, PointTree) else [c for c in points.columns if c not in ("point_id", "x", "y", "scope")]
     places = queries.select("query_id", F.col("lat").alias("_qlat"), F.col("lon").alias("_qlon"))
     found = _answers(queries, points, k, strategy, slack).drop("rank", "dist_m").join(places, "query_id")
     found = with_geodesic(found, "_qlat", "_qlon", "lat", "lon", "dist_m")
@@ -227,7 +266,7 @@ def idw(neighbours: DataFrame, price: str = "price", power: float = 3.0, eps: fl
     return out.select("query_id", "unit_price", F.col("_all.point_id").alias("knn_ids"), F.col("_all.dist_m").alias("knn_dist_m"), F.col("_all.price").alias("knn_prices"), F.col("_all.kind").alias("knn_kinds"), "max_dist", "variance")
 
 
-def nearest_with_fallback(queries: DataFrame, scoped: DataFrame, wanted: str = "family", far: float = 1500.0, join: Callable[..., DataFrame] | None = None, **options: object) -> DataFrame:
+def nearest_with_fallback(queries: DataFrame, scoped: DataFrame | PointTree, wanted: str = "family", far: float = 1500.0, join: Callable[..., DataFrame] | None = None, **options: object) -> DataFrame:
     """The nearest point of the wanted scope, or of all points if that scope is unknown or its nearest is farther than ``far``.
 
     Only the queries whose own answer is too far are asked again. ``join`` is

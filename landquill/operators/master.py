@@ -64,6 +64,15 @@ def upsert_names(old: DataFrame, new: DataFrame, now: Column) -> DataFrame:
     return o.join(n, "code", "full").select("code", F.coalesce("_n", "_o", F.lit("")).alias("company_name"), F.when(F.col("_new"), now).otherwise(F.col("_t")).alias("updated_at"))
 
 
+def save_bucketed(rows: DataFrame, table: str, path: str, buckets: int = 64, key: str = "code") -> DataFrame:
+    """``rows`` as a table whose files are dealt out and sorted by ``key``; tables of as many buckets are joined by it without a shuffle.
+
+    The rows are dealt out once, when they are written; every later run reads its buckets as they lie. ``table`` is replaced if it is there.
+    """
+    rows.repartition(buckets, key).write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return rows.sparkSession.table(table)
+
+
 def signature(*fields: str) -> Column:
     """md5 of the fields as JSON, in the order of their names; nulls are left out of it by name."""
     return F.md5(F.to_json(F.struct(*sorted(fields))))

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from landquill.functions import address as fa
 from landquill.functions import geo
-from landquill.operators import knn, ranking
+from landquill.operators import knn, master, ranking
 from landquill.plans.adapters import sql, view
-from landquill.plans.queries import ORACLE_SQL, QUERIES, _table, query
+from landquill.plans.queries import _GOOD, ORACLE_SQL, QUERIES, _table, query
 from landquill.plans.run import ranking_payload
 from landquill.shared import shared_folder, stored
 from landquill.sources import sinks, tables
@@ -144,6 +144,23 @@ def price_date_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("price_date string, target_price_date date").json(path).withColumn("price_date", F.col("price_date").cast("timestamp"))
 
 
+def bucketed_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Targets, names and last orders of companies as bucketed tables."""
+    run = uuid.uuid4().hex
+    stock = _table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("code"), F.col("s_name").alias("company_name"))
+    orders = _table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("code"), "o_orderkey", "o_orderdate")
+    made = {"targets": view(spark, sf_dir, "companies"), "names": stock, "filings": master.latest_per(orders, "code", "o_orderdate", "o_orderkey")}
+    return tuple(master.save_bucketed(rows, f"bucketed_{name}_{run}", _path(spark, name)) for name, rows in made.items())
+
+
+@query(f"SELECT code, coalesce({_GOOD('company_name')}, {_GOOD('m')}) AS company_name, o_orderkey AS filing FROM {sql('companies')} LEFT JOIN (SELECT CAST(s_suppkey AS VARCHAR) AS code, s_name AS m FROM supplier) USING (code) LEFT JOIN (SELECT CAST(o_custkey AS VARCHAR) AS code, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1) USING (code)")
+def bucketed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names and latest filings of companies from tables that are bucketed by code, so that no join shuffles."""
+    targets, names, filings = bucketed_inputs(spark, sf_dir)
+    named = master.resolve_names(targets, names)
+    return named.join(filings.select("code", F.col("o_orderkey").alias("filing")), "code", "left").select("code", "company_name", "filing")
+
+
 _FILES = "(SELECT CAST(c_nationkey AS VARCHAR) AS code, c_mktsegment AS doc_id, string_agg('<p>' || c_name || ', ' || c_custkey || '</p>' || chr(10), '' ORDER BY c_custkey) AS content FROM customer GROUP BY 1, 2)"
 
 

@@ -266,7 +266,7 @@ def test_far_queries_and_small_scopes_meet_few_points(spark):
     rng = random.Random(5)
     pts = [(f"p{k:04}", rng.uniform(0, 1000), rng.uniform(0, 1000), "") for k in range(3000)] + [(f"s{k:03}", rng.uniform(0, 1000), rng.uniform(0, 1000), f"few{k // 3}") for k in range(300)]
     qs = [(k, rng.uniform(-9e5, -8e5), rng.uniform(-1e5, 1e5), "") for k in range(300)] + [(300 + k, rng.uniform(0, 1000), rng.uniform(0, 1000), "") for k in range(300)] + [(600 + k, rng.uniform(-1e6, 1e6), rng.uniform(-1e6, 1e6), f"few{k}") for k in range(100)]
-    held = spark.createDataFrame(pts, "point_id string, px double, py double, pscope string")
+    held = knn.point_tree(spark.createDataFrame(pts, "point_id string, x double, y double, scope string"), 3)
     spots = spark.createDataFrame(qs, "_q long, x double, y double, scope string")
     pairs = knn.met_pairs(spots, held, 3)
     met = {r["_q"]: r["count"] for r in pairs.groupBy("_q").count().collect()}
