@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 import functools
 import operator
 
@@ -98,10 +100,30 @@ def supported_url(url: Column) -> Column:
     return ~F.rlike(path, F.lit(r"\.(pdf|docx?|xlsx?|pptx?|zip|csv)$"))
 
 
+_ENTITY = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def unescape_html(s: Column) -> Column:
+    """Character references replaced once, from the left: the names of HTML 4 and apos, decimal and hexadecimal numbers.
+
+    Other names stay as they are; numbers of no character give U+FFFD.
+    """
+    names = F.create_map(*[F.lit(x) for name, point in {**name2codepoint, "apos": 0x27}.items() for x in (f"&{name};", chr(point))])
+    gaps, found = F.split(s, _ENTITY, -1), F.regexp_extract_all(s, F.lit(_ENTITY), F.lit(0))
+
+    def char(e: Column) -> Column:
+        digits = F.when(F.rlike(e, F.lit("^&#[xX]")), F.regexp_extract(e, "([0-9a-fA-F]+);$", 1)).when(F.startswith(e, F.lit("&#")), F.conv(F.regexp_extract(e, "([0-9]+);$", 1), 10, 16))
+        point = F.conv(digits, 16, 10).cast("long")
+        sound = point.between(1, 0xD7FF) | point.between(0xE000, 0x10FFFF)
+        number = F.when(sound, F.decode(F.unhex(F.lpad(F.when(sound, digits).otherwise("20"), 8, "0")), "UTF-32")).when(digits.isNotNull(), "�")
+        return F.coalesce(F.try_element_at(names, e), number, e)
+
+    joined = F.concat_ws("", F.zip_with(gaps, F.transform(found, char), lambda g, x: F.concat(g, F.coalesce(x, F.lit("")))))
+    return F.when(F.size(found) > 0, joined).otherwise(s)
+
+
 def html_to_text(s: Column) -> Column:
-    """Entities of the common set, line breaks and tags as line feeds, blanks collapsed."""
-    out = F.regexp_replace(s, r"<br ?/?>", "\n")
+    """Character references replaced, then line breaks and tags as line feeds, blanks collapsed."""
+    out = F.regexp_replace(unescape_html(s), r"<br ?/?>", "\n")
     out = F.regexp_replace(out, r"<[^>]+>", "\n")
-    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(entity), F.lit(char))
     return F.regexp_replace(out, r"[ \t\r\f\x0B]+", " ")

@@ -558,9 +558,12 @@ def geocoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- text mining and pages -----------------------------------------------------------
 
 
-@query(
-    r"""SELECT page_id, regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '<br ?/?>', chr(10), 'g'), '<[^>]+>', chr(10), 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '[ \t\r\f\x0B]+', ' ', 'g') AS text FROM pages"""
-)
+# The references that the pages have, replaced one after the other; & itself comes last.
+_PLAIN = """replace(replace(replace(replace(replace(html, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&#39;', ''''), '&amp;', '&')"""
+_PAGE_TEXT = f"regexp_replace(regexp_replace(regexp_replace({_PLAIN}, '<br ?/?>', chr(10), 'g'), '<[^>]+>', chr(10), 'g'), '[ \\t\\r\\f\\x0B]+', ' ', 'g')"
+
+
+@query(f"SELECT page_id, {_PAGE_TEXT} AS text FROM pages")
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "pages").select("page_id", ff.html_to_text(F.col("html")).alias("text"))
 
@@ -675,10 +678,10 @@ def last_of_equal_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filings.last_of_equals(rows).join(counts, ["doc_id", "site_name"]).select("doc_id", "site_name", "n", "kept")
 
 
-@query("SELECT url, regexp_replace(html, '<[^>]+>', chr(10), 'g') IS NOT NULL AS has_text FROM pages UNION ALL SELECT 'filing://' || c_custkey || '/d1/major-facilities', true FROM customer")
+@query(f"SELECT url, {_PAGE_TEXT} AS text FROM pages UNION ALL SELECT 'filing://' || c_custkey || '/d1/major-facilities', c_name FROM customer")
 def page_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     sections = _table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("code"), F.lit("d1").alias("doc_id"), F.col("c_name").alias("text"))
-    return page_texts(_table(spark, sf_dir, "pages").select("url", "html"), sections).select("url", F.col("text").isNotNull().alias("has_text"))
+    return page_texts(_table(spark, sf_dir, "pages").select("url", "html"), sections)
 
 
 # --- distances on the ellipsoid ----------------------------------------------------------

@@ -159,3 +159,9 @@ def test_candidate_scores(spark):
 
 def test_dates_are_utc(spark):
     assert spark.sql("SELECT TIMESTAMP '2024-01-01 00:00:00'").first()[0] == datetime.datetime(2024, 1, 1)
+
+
+def test_character_references_are_replaced_before_tags(spark):
+    text = ["&lt;b&gt;x&lt;/b&gt;", "&amp;lt; &copy;&middot;&nope; &#39;&#x3042;&#128512; &#0; &#xD800; &apos;", "plain", ""]
+    assert values(spark, text, ff.unescape_html(F.col("s"))) == ["<b>x</b>", "&lt; ©·&nope; 'あ😀 � � '", "plain", ""]
+    assert values(spark, ["a&lt;br&gt;b<i>c</i>"], ff.html_to_text(F.col("s"))) == ["a\nb\nc\n"]
