@@ -14,11 +14,15 @@ def representative_rows(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
-def ordered_distinct(value: str, seq: str = "seq") -> Column:
-    """Aggregate: different non-empty values in order of seq, bars and blanks tidied, joined with ' / '."""
-    tidy = lambda x: F.trim(F.regexp_replace(F.replace(x["v"], F.lit("|"), F.lit(" / ")), r"\s+", " "))
-    values = F.transform(F.array_sort(F.collect_list(F.struct(F.col(seq).alias("s"), F.coalesce(value, F.lit("")).alias("v")))), tidy)
-    return F.array_join(F.array_distinct(F.filter(values, lambda v: v != "")), " / ")
+def ordered_distinct(rows: DataFrame, value: str, out: str, key: str = "code", seq: str = "seq") -> DataFrame:
+    """key, out: the different non-empty values of each key in order of their first seq, bars and blanks tidied, joined with ' / '.
+
+    Values are made distinct before they are listed, so that a list is as long as there are different ones.
+    """
+    tidy = F.trim(F.regexp_replace(F.replace(F.coalesce(value, F.lit("")), F.lit("|"), F.lit(" / ")), r"\s+", " "))
+    first = rows.select(key, tidy.alias("_v"), F.col(seq).alias("_s")).groupBy(key, "_v").agg(F.min("_s").alias("_s"))
+    listed = F.array_sort(F.collect_list(F.when(F.col("_v") != "", F.struct(F.col("_s").alias("s"), F.col("_v").alias("v")))))
+    return first.groupBy(key).agg(F.array_join(listed["v"], " / ").alias(out))
 
 
 def count_filled(value: str) -> Column:

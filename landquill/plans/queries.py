@@ -254,8 +254,8 @@ def site_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ranking_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("code"), F.lit(0).alias("is_total"), F.col("l_extendedprice").alias("ratio"), F.concat("l_returnflag", F.col("l_linenumber").cast("string")).alias("seq"), F.col("l_returnflag").alias("tag"))
     best = ranking.representative_rows(rows).select("code", "ratio")
-    tags = rows.groupBy("code").agg(ranking.ordered_distinct("tag").alias("tags"), ranking.count_filled("tag").alias("tag_count"))
-    return best.join(tags, "code")
+    counts = rows.groupBy("code").agg(ranking.count_filled("tag").alias("tag_count"))
+    return best.join(ranking.ordered_distinct(rows, "tag", "tags"), "code").join(counts, "code")
 
 
 @query(

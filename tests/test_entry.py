@@ -48,3 +48,18 @@ def test_query_matches_its_sql(spark, name):
     assert sorted(columns) == sorted(df.columns)
     got = sorted((tuple(_plain(r[c]) for c in columns) for r in df.collect()), key=repr)
     assert got == sorted((tuple(map(_plain, r)) for r in want.fetchall()), key=repr) and got
+
+
+def test_bucketed_tables_are_joined_without_a_shuffle(spark):
+    from landquill.operators import master
+    from landquill.plans.io_queries import bucketed_inputs
+
+    targets, names, filings = bucketed_inputs(spark, "/root/testdata/sf0.001")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = master.resolve_names(targets, names).join(filings.select("code", "o_orderkey"), "code", "left")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Join") >= 2 and "Exchange" not in plan
