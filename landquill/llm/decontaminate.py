@@ -230,6 +230,7 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     Null and empty texts have no words and are clean; items without words have
     no window; a null item id is named "null"; repeated items count once per
     id; repeated rows are each scanned. An empty benchmark hits nothing.
+    Other columns, whatever their names, play no part; an empty table gives an empty one. A text is worked through as a whole, with some tens of bytes of arrays for each of its bytes.
 
     The total size of the different items is measured first. Up to ``block_bytes`` its
     windows are one broadcast; beyond that items are dealt into measured blocks, and every

@@ -42,6 +42,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kept = true if the id is the smallest. A null id sorts after all others
     (it is the keep_id only of a group without any other id). ``bits`` narrows
     the fingerprint, which tests use to force clashes.
+    Other columns, whatever their names, play no part; an empty table gives an empty one.
+    A text of any length is cut into chunks where it lies.
     """
     body = docs.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("_norm"))
     pattern = CHUNK.format(least=least, most=most, edge=most)

@@ -338,6 +338,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     texts meet theirs in a join, and so do grams beyond the ``head_grams`` most
     frequent ones their probabilities. Repeated rows are scored each on its own.
     Without training texts every word is unknown and the tree is its root.
+    Other columns, whatever their names, play no part; an empty table gives an empty one.
+    A text is worked through as a whole, with some tens of bytes of arrays for each of its bytes.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))

@@ -88,6 +88,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     have size 0 and take nothing. The null source is a source. Rows that repeat
     id, source and size are rounded together and get the same copies. A
     source of size 0 has target 0.
+    Other columns, whatever their names, play no part; an empty table gives an empty one.
+    Of a text only its number of words is kept, however long it is.
     """
     sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long").alias("size"))
     sized = checkpointed(sized.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("rep")))

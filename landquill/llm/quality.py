@@ -243,6 +243,8 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     at the text's bins. Null and empty texts have the features of an empty
     text. Null ids or labels in ``labels`` are no samples; an id with both
     labels counts for each. Without samples of both labels every score is 0.5.
+    Other columns, whatever their names, play no part; an empty table gives an empty one.
+    A text is worked through as a whole, with some tens of bytes of arrays for each of its bytes.
     """
     scored = _scored(docs, labels, id_col, text_col, label_col, folds, held, sample, [id_col])
     return scored.select(F.col("_keep0").alias(id_col), (remainder(F.col("_keep0"), folds) == held).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

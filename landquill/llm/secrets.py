@@ -154,7 +154,11 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.0) -> DataFrame:
-    """id, n_assign, n_access, n_hex, n_markov, base_sha256, spans of every text."""
+    """id, n_assign, n_access, n_hex, n_markov, base_sha256, spans of every text.
+
+    Null and empty texts have no span; repeated rows are each reported. Other columns, whatever their names, play no part; an empty table gives an empty one.
+    A text of any length stays one value of one row.
+    """
     found = secret_spans(docs, id_col, text_col, threshold)
     count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     joined = lambda column: F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

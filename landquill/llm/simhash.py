@@ -207,6 +207,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     connected components. Null, empty and blank texts have fingerprint 0 and
     link like any other. Repeated rows are returned as often as they come. A
     null id takes part in no group: it is its own component_id.
+    Other columns, whatever their names, play no part; an empty table gives an empty one.
+    A text is worked through as a whole, with up to a hundred bytes of arrays for each of its bytes.
     """
     out = _grouped(docs, id_col, text_col, width, most, seed, leaf)
     return out.select(F.col("doc_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -119,6 +119,8 @@ def span_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts have no sentences; a null kept_text stands for a null text. Rows
     that repeat an id count as one document. Spans of rows with a null id are
     removed against others but are first for none.
+    Other columns, whatever their names, play no part; an empty table gives an empty one.
+    A text is worked through as a whole, with some tens of bytes of arrays for each of its bytes.
     """
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kind = texts.schema["_id"].dataType.simpleString()

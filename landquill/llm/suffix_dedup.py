@@ -365,6 +365,8 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text. Segments count as equal if the 64-bit hashes both of their seeds and
     of all their bytes are equal, strings in a task if those of all their
     letters are, so a chance of a mistake would need two hashes to meet at once.
+    Other columns, whatever their names, play no part; an empty table gives an empty one.
+    Long texts are cut into parts. ``passage`` suits words of about six bytes: 51 of them are some 314; in a script of longer words ``n_repeated`` asks for fewer words.
     """
     if length % symbol or passage % symbol or not seed <= passage <= length:
         raise ValueError("length and passage have to be multiples of symbol, in the order seed, passage, length")

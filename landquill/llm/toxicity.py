@@ -270,6 +270,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     of a text without hits. Null ids or labels in ``labels`` are no samples;
     an id that has both labels counts for each. Without samples of both labels
     every score is 0.
+    Other columns, whatever their names, play no part; an empty table gives an empty one.
+    A text is worked through as a whole, with some tens of bytes of arrays for each of its bytes.
     """
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label")).filter("_id IS NOT NULL AND label IN (0, 1)").distinct()
