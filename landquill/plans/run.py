@@ -160,7 +160,9 @@ def estimates(places: DataFrame, points: DataFrame, k: int = 3, power: float = 3
     asked = places.select("lat", "lon", "family").distinct().withColumn("query_id", F.to_json(F.struct("lat", "lon", "family")))
     asked = checkpointed(placed(asked))
     if landuse_match:
-        scoped = knn.point_tree(knn.with_scopes(placed(points)), k)
+        scoped = checkpointed(knn.with_scopes(placed(points)))
+        if scoped.count() * asked.count() > knn.BROADCAST_PAIRS:  # three searches over the same points
+            scoped = knn.point_tree(scoped, k)
         seed = knn.nearest_with_fallback(asked, scoped, far=far, join=knn.geodesic_knn_join).select("query_id", F.col("kind").alias("target_kind"))
         seeded = checkpointed(asked.join(seed, "query_id"))
         wanted = knn.known_scope(seeded, scoped, "target_kind")

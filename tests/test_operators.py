@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from landquill.operators import filings, geocode, knn, master, ranking, sites, web
 from landquill.plans import run
+from landquill.shared import checkpointed
 from landquill.sources import sinks, tables
 from landquill.streaming.ingest import current, ingest
 
@@ -404,14 +405,13 @@ def test_price_methods_and_web_addresses_of_a_run(spark, small_run):
     points = spark.createDataFrame([("a", 35.66, 139.7301, 100, "工業"), ("b", 35.66, 139.7302, 300, "商業"), ("c", 35.661, 139.73, 500, "商業"), ("d", 35.67, 139.74, 700, "商業")], "point_id string, lat double, lon double, price long, kind string")
     good = run.company_reasons(targets).filter("reason IS NULL").drop("reason")
     pages = spark.createDataFrame([("p/1", "S の 東京都港区六本木3丁目9番 です")], "url string, text string")
-    of = lambda pages=None, **o: {r["site_name"]: r for r in run.site_values(good.filter("code = '1'"), *inputs, points, pages, **o).collect()}
-    plain = of()["S"]
-    assert (plain["method"], plain["target_kind"], plain["knn_ids"], plain["address_source"]) == ("idw(k=3,p=3)+landuse_match", "工業", ["a"], "securities_report")
+    every = checkpointed(run.site_reasons(good.filter("code = '1'"), *inputs, pages).filter("reason IS NULL"))
+    found = {r["site_name"]: r for r in every.collect()}["S"]
+    assert (found["address_source"], found["address"], found["address_source_url"], found["lat"]) == ("web", "東京都港区六本木3丁目9番", "p/1", 35.67)
+    of = lambda **o: {r["site_name"]: r for r in run.valued(every, points, **o).collect()}
     near = of(price_method="nearest")["S"]
-    assert (near["method"], near["knn_ids"], near["unit_price"]) == ("nearest+landuse_match", ["a"], 100)
+    assert (near["method"], near["target_kind"], near["knn_ids"], near["unit_price"]) == ("nearest+landuse_match", "工業", ["a"], 100)
     free = of(landuse_match=False)["S"]
-    assert (free["method"], free["target_kind"], free["knn_ids"]) == ("idw(k=3,p=3)", "", ["a", "b", "c"])
-    web_ = of(pages=pages)
-    assert (web_["S"]["address_source"], web_["S"]["address"], web_["S"]["address_source_url"], web_["S"]["lat"]) == ("web", "東京都港区六本木3丁目9番", "p/1", 35.67)
+    assert (free["method"], free["target_kind"], free["knn_ids"]) == ("idw(k=3,p=3)", "", ["d", "c", "b"])
     with pytest.raises(ValueError):
         of(price_method="mean")
