@@ -59,18 +59,22 @@ def town_reference_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _write_features(rows: DataFrame, names: dict[str, str], path: str) -> None:
-    """rows: part (of files), a, b, c (of the id), lat, lon, price, kind. A file of features for each part, some without a place."""
+    """rows: part (of files), at (place in it), a, b, c (of the id), lat, lon, price, kind. A file of features for each part, some without a place."""
     names = {k: names.get(k, k) for k in ("L01_001", "L01_002", "L01_003", "L01_008", "L01_051")}
     texts = {"L01_001": "a", "L01_002": "b", "L01_003": "c", "L01_008": "price", "L01_051": "kind"}
     own = F.struct(*[F.col(texts[k]).cast("string").alias(v) for k, v in names.items()])
     place = F.when(F.col("kind") != "", F.struct(F.lit("Point").alias("type"), F.array("lon", "lat").alias("coordinates")))
-    rows.groupBy("part").agg(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.collect_list(F.struct(place.alias("geometry"), own.alias("properties"))).alias("features"))).alias("value")).repartition("part").write.partitionBy("part").text(path)
+    lines = rows.select("part", F.lit(1).alias("kind"), F.col("at").cast("long").alias("at"), F.concat(F.lit(","), F.to_json(F.struct(place.alias("geometry"), own.alias("properties")))).alias("value"))
+    head, foot = F.lit('{"type":"FeatureCollection","crs":{"type":"name","properties":{"name":"{["}},"features":[{"type":"Feature","geometry":null}'), F.lit("]}")
+    ends = rows.select("part").distinct().select("part", F.explode(F.array(F.struct(F.lit(0).alias("kind"), head.alias("value")), F.struct(F.lit(2).alias("kind"), foot.alias("value")))).alias("x"))
+    dealt = lines.unionByName(ends.select("part", "x.kind", F.lit(0).cast("long").alias("at"), "x.value")).repartition("part")
+    dealt.sortWithinPartitions("part", "kind", "at").select("part", "value").write.partitionBy("part").text(path)
 
 
 def _survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = view(spark, sf_dir, "price_points")
     key = F.substring_index("point_id", "-", -1)
-    return rows.select((F.col("price") % 50_000 / 1000).cast("int").alias("part"), F.lit("13").alias("a"), (key.cast("long") % 700).alias("b"), key.alias("c"), "lat", "lon", F.when(F.col("kind") == "商業", "n/a").otherwise(F.col("price").cast("string")).alias("price"), "kind")
+    return rows.select((F.col("price") % 50_000 / 1000).cast("int").alias("part"), key.cast("long").alias("at"), F.lit("13").alias("a"), (key.cast("long") % 700).alias("b"), key.alias("c"), "lat", "lon", F.when(F.col("kind") == "商業", "n/a").otherwise(F.col("price").cast("string")).alias("price"), "kind")
 
 
 _SURVEY = f"SELECT '13-' || (CAST(split_part(point_id, '-', 2) AS BIGINT) % 700) || '-' || CASE WHEN length(split_part(point_id, '-', 2)) < 3 THEN lpad(split_part(point_id, '-', 2), 3, '0') ELSE split_part(point_id, '-', 2) END AS base_id, lat, lon, CASE WHEN kind = '商業' THEN 0 ELSE price END::DOUBLE AS price, kind FROM {sql('price_points')} WHERE kind <> ''"
@@ -84,6 +88,18 @@ def survey_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_points(spark, path).select("base_id", "lat", "lon", "price", "kind")
 
 
+@query(
+    f"""SELECT base_id, lat, CASE WHEN n = 1 THEN base_id ELSE base_id || '#' || n END AS point_id FROM (SELECT *, row_number() OVER (PARTITION BY base_id ORDER BY CAST(part AS VARCHAR), k) AS n
+        FROM (SELECT '13-' || (k % 7) || '-' || lpad(CAST(k % 50 AS VARCHAR), 3, '0') AS base_id, lat, k, part FROM (SELECT CAST(split_part(point_id, '-', 2) AS BIGINT) AS k, lat, kind, price % 50000 // 1000 AS part FROM {sql('price_points')}) WHERE kind <> ''))"""
+)
+def survey_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of a survey's points that repeat within and across its files, numbered in the order of all files."""
+    path = _path(spark, "survey")
+    rows = _survey(spark, sf_dir)
+    _write_features(rows.withColumns({"b": F.col("at") % 7, "c": F.col("at") % 50}), {}, path)
+    return knn.unique_ids(tables.read_points(spark, path), "base_id", "pos").select("base_id", "lat", "point_id")
+
+
 @query(f"SELECT base_id, price, 1 AS survey FROM ({_SURVEY}) UNION ALL SELECT '23' || substr(base_id, 3), price, 2 FROM ({_SURVEY}) WHERE price >= 1000000")
 def merged_surveys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two surveys whose files name the same properties differently, as one table without the second one's repeats."""
@@ -112,6 +128,48 @@ def configured_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.price_override_table(spark, {str(r["n_nationkey"]): {r["n_name"]: r["n_regionkey"] * 1000 + 1} for r in rows})
 
 
+def _yaml(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of YAML files: for every customer an address, two splits, or a split or list that breaks a rule."""
+    path, key = _path(spark, "overrides"), F.col("c_custkey")
+    part = F.concat(F.lit("\n  - {name: P0, address: 'part of "), "c_name", F.lit("', area_m2: "))
+    text = F.when(key % 3 == 0, F.concat(F.lit("\n  S1: "), "c_name")).when(key % 3 == 1, F.concat(F.lit("\n  S2:"), part, (key % 500).cast("string"), F.lit("}"), part, F.lit("1.5, book_value_yen: "), (key * 10).cast("string"), F.lit("}")))
+    bad = F.when(key % 5 == 0, F.concat(part, F.lit("-1}"))).when(key % 5 == 1, F.lit("\n  - {name: P0, area_m2: 2}")).when(key % 5 == 2, F.lit(" []"))
+    bad = bad.when(key % 5 == 3, F.concat(part, F.lit("3, area_m2_is_estimated: true, area_m2_source: ' '}"))).otherwise(F.concat(part, F.lit("3, area_m2_is_estimated: true, area_m2_source: notes}")))
+    lines = F.concat(F.lit("'"), key.cast("string"), F.lit("':"), text.otherwise(F.concat(F.lit("\n  S3:"), bad)))
+    _table(spark, sf_dir, "customer").select(lines.alias("value")).repartition(8).write.text(path)
+    return path
+
+
+_YAML = """(SELECT k, CAST(k AS VARCHAR) AS code, CASE k % 3 WHEN 0 THEN 'S1' WHEN 1 THEN 'S2' ELSE 'S3' END AS site_name, CASE WHEN k % 3 = 0 OR k % 15 = 2 THEN NULL ELSE p END AS pos, c_name,
+    CASE WHEN k % 3 < 2 THEN NULL WHEN k % 5 = 0 THEN 'negative area' WHEN k % 5 = 1 THEN 'missing address' WHEN k % 5 = 2 THEN 'no splits' WHEN k % 5 = 3 THEN 'estimated area without a source' END AS reason
+    FROM (SELECT CAST(c_custkey AS BIGINT) AS k, c_name FROM customer), (SELECT unnest([0, 1]) AS p) WHERE p = 0 OR k % 3 = 1)"""
+
+
+@query(
+    f"""SELECT code, site_name, pos, CASE WHEN k % 3 = 0 THEN c_name ELSE 'part of ' || c_name END AS address, CASE WHEN k % 3 = 1 THEN CASE pos WHEN 0 THEN CAST(k % 500 AS DOUBLE) ELSE 1.5::DOUBLE END WHEN k % 3 = 2 THEN 3::DOUBLE END AS area,
+        CASE WHEN pos = 1 THEN CAST(k * 10 AS DOUBLE) END AS book, CASE WHEN k % 3 = 2 THEN 'notes' END AS source FROM {_YAML} WHERE reason IS NULL"""
+)
+def override_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses and splits from YAML files."""
+    rows = tables.read_overrides(spark, _yaml(spark, sf_dir))
+    return rows.filter("reason IS NULL").select("code", "site_name", "pos", "address", "area", "book", "source")
+
+
+@query(f"SELECT code, site_name, pos, reason FROM {_YAML} WHERE reason IS NOT NULL")
+def override_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries of YAML files that break a rule, and which."""
+    return tables.read_overrides(spark, _yaml(spark, sf_dir)).filter("reason IS NOT NULL").select("code", "site_name", "pos", "reason")
+
+
+@query(f"SELECT code, site_name, unit_price FROM {sql('price_overrides')}")
+def price_override_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices of sites from YAML files, in which companies' own mappings are in one line each."""
+    path = _path(spark, "prices")
+    sites = F.to_json(F.map_from_entries(F.collect_list(F.struct("site_name", "unit_price"))))
+    view(spark, sf_dir, "price_overrides").groupBy("code").agg(sites.alias("sites")).select(F.concat(F.lit('"'), "code", F.lit('": '), F.regexp_replace("sites", '":', '": ')).alias("value")).write.text(path)
+    return tables.read_overrides(spark, path, "prices").select("code", "site_name", "unit_price")
+
+
 @query("SELECT c_mktsegment AS code, count(*) AS n, CAST(sum(CASE WHEN c_mktsegment = 'BUILDING' THEN -c_custkey ELSE c_custkey END) AS BIGINT) AS total, true AS valid FROM customer GROUP BY 1")
 def written_by_company(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results by company of which one company's are replaced, and whether they fit the contract."""

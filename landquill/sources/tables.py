@@ -3,22 +3,21 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from landquill.sources.config import read_mixed_csv as read_mixed_csv
+from landquill.sources.config import read_overrides as read_overrides
+from landquill.sources.features import SPLIT_BYTES, read_features
+
 #: Names of the code column of a target list.
 CODE_NAMES = ("code", "証券コード", "コード")
 #: Columns of the two address reference files.
 BLOCK_COLUMNS = {"都道府県名": "pref", "市区町村名": "muni", "大字・丁目名": "town", "街区符号・地番": "block", "代表フラグ": "rep_flag", "住居表示フラグ": "addr_flag", "緯度": "lat", "経度": "lon"}
 TOWN_COLUMNS = {"都道府県名": "pref", "市区町村名": "muni", "大字町丁目名": "town", "緯度": "lat", "経度": "lon"}
-GEOJSON = T.StructType().add(
-    "features",
-    T.ArrayType(T.StructType().add("geometry", T.StructType().add("type", "string").add("coordinates", T.ArrayType(T.DoubleType()))).add("properties", T.MapType(T.StringType(), T.StringType()))),
-)
+FEATURE = T.StructType().add("geometry", T.StructType().add("type", "string").add("coordinates", T.ArrayType(T.DoubleType()))).add("properties", T.MapType(T.StringType(), T.StringType()))
 #: Properties of the second survey by those of the first.
 SECOND_SURVEY = {"L01_001": "L02_020", "L01_002": "L02_001", "L01_003": "L02_002", "L01_008": "L02_006", "L01_051": "L02_046"}
 
@@ -31,31 +30,6 @@ def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFra
     return out.toDF(*[c.lstrip("﻿") for c in out.columns])
 
 
-def read_mixed_csv(spark: SparkSession, path: str, columns: list[str], encodings: tuple[str, ...] = ("utf-8-sig", "cp932")) -> DataFrame:
-    """CSVs of a folder of which each may have another encoding: the first that decodes a file counts; a row for each line."""
-
-    def decode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import csv
-        import io
-
-        for frame in frames:
-            for name, content in zip(frame["path"], frame["content"]):
-                text = None
-                for encoding in encodings:
-                    try:
-                        text = bytes(content).decode(encoding)
-                        break
-                    except UnicodeDecodeError:
-                        continue
-                if text is None:
-                    raise ValueError(f"{name}: none of {encodings} decodes it")
-                rows = [[name, *(row.get(c) for c in columns)] for row in csv.DictReader(io.StringIO(text))]
-                yield pd.DataFrame(rows, columns=["path", *columns], dtype="object")
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
-    return files.mapInPandas(decode, T.StructType([T.StructField(c, T.StringType()) for c in ["path", *columns]]))
-
-
 def read_targets(spark: SparkSession, path: str) -> DataFrame:
     """code, company_name, market_cap, address_source_urls of a target list, with or without a header."""
     lines = spark.read.option("header", False).csv(path)
@@ -81,16 +55,15 @@ def read_reference(spark: SparkSession, path: str, columns: dict[str, str], enco
     return raw.select(*[F.col(f"`{a}`").alias(b) for a, b in columns.items()])
 
 
-def read_points(spark: SparkSession, path: str, rename: dict[str, str] | None = None) -> DataFrame:
+def read_points(spark: SparkSession, path: str, rename: dict[str, str] | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """base_id, lat, lon, price, kind, pos of the point features; others and those without properties are left out.
 
     The id is made of three parts, the last padded to three places. ``rename``
-    maps property names of the first survey to those of the file.
+    maps property names of the first survey to those of the file. ``pos`` (file, and byte at which the
+    feature begins) orders the features of all files. Large files are read by many tasks.
     """
     rename = rename or {}
-    raw = spark.read.schema(GEOJSON).option("multiLine", True).json(path)
-    f = raw.select(F.posexplode("features").alias("pos", "f"))
-    f = f.filter("f.geometry IS NOT NULL AND f.geometry.type = 'Point' AND f.properties IS NOT NULL AND size(f.geometry.coordinates) >= 2")
+    f = read_features(spark, path, FEATURE, split_bytes).filter("f.geometry IS NOT NULL AND f.geometry.type = 'Point' AND f.properties IS NOT NULL AND size(f.geometry.coordinates) >= 2")
     prop = lambda name: F.col("f.properties")[rename.get(name, name)]
     last = F.coalesce(prop("L01_003"), F.lit(""))
     padded = F.when(F.length(last) < 3, F.lpad(last, 3, "0")).otherwise(last)

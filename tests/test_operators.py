@@ -229,7 +229,9 @@ def test_geojson(spark, tmp_path):
     path = tmp_path / "p.geojson"
     path.write_text(json.dumps({"type": "FeatureCollection", "features": [f(None, props), f(point, None), f(point, props), f(point, {**props, "L01_003": "1234", "L01_008": "x"})]}), encoding="utf-8")
     got = tables.read_points(spark, str(path)).orderBy("pos").collect()
-    assert [(r["base_id"], r["lat"], r["price"], r["kind"], r["pos"]) for r in got] == [("13-101-001", 35.68, 1000000.0, "1住居", 2), ("13-101-1234", 35.68, 0.0, "1住居", 3)]
+    assert [(r["base_id"], r["lat"], r["price"], r["kind"]) for r in got] == [("13-101-001", 35.68, 1000000.0, "1住居"), ("13-101-1234", 35.68, 0.0, "1住居")]
+    raw = path.read_bytes()
+    assert [json.JSONDecoder().raw_decode(raw[r["pos"]["at"] :].decode())[0]["properties"]["L01_003"] for r in got] == ["1", "1234"]
 
 
 def test_override_config(spark):
