@@ -6,12 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landquill.llm.common import checkpointed
-from landquill.llm.textbytes import LOWER, NOT_SPACE, mix, prefix_sums, range_hash, segment_sums, text_blocks, word_bounds
+from landquill.llm.textbytes import LOWER, NOT_SPACE, mix, prefix_sums, range_hash, ranges, segment_sums, text_blocks, word_bounds
 
 #: Sentences and words that a span has at least.
 RUN, LEAST_WORDS = 3, 15
@@ -88,29 +89,53 @@ def spans(words: np.ndarray, hashes: np.ndarray, first: np.ndarray, run: int, le
     return text, at, end, mix(h)
 
 
-def _span_rows(texts: DataFrame, kind: str, run: int, least_words: int) -> DataFrame:
-    """_id, h of the different spans of each text."""
+def span_checks(data: np.ndarray, offs: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A second hash of spans of whole words, from byte to byte: of the words themselves with one space between them."""
+    low = LOWER[data]
+    starts, stops, _ = word_bounds(low, offs, NOT_SPACE)
+    lengths = stops - starts + 1
+    place = np.concatenate([[0], np.cumsum(lengths)])
+    plain = low[np.minimum(ranges(starts, lengths), len(low) - 1)]
+    plain[place[1:] - 1] = 0x20
+    raw = memoryview(plain.tobytes())
+    bounds = zip(place[np.searchsorted(starts, begins)].tolist(), place[np.searchsorted(stops, ends) + 1].tolist())
+    return np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in bounds), np.uint64, len(begins))
+
+
+def _firsts(text: np.ndarray, *hashes: np.ndarray) -> np.ndarray:
+    """Places of the first of equal hashes in each text, sorted by text."""
+    order = np.lexsort((*hashes[::-1], text))
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([x[order][1:] != x[order][:-1] for x in (text, *hashes)])
+    return order[new]
+
+
+def _span_rows(texts: DataFrame, kind: str, run: int, least_words: int, hash_bits: int, checked: bool) -> DataFrame:
+    """h of the different spans of each text, and with ``checked`` h2 and _id."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offs in text_blocks(batch, "_text"):
-                _, _, words, hashes, first = sentences(data, offs)
-                text, _, _, h = spans(words, hashes, first, run, least_words)
-                order = np.lexsort((h, text))
-                text, h = text[order], h[order]
-                new = np.ones(len(h), bool)
-                new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
-                ids = batch.column("_id").slice(rows.start, rows.stop - rows.start).take(pa.array(text[new]))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(h[new].view(np.int64))], names=["_id", "h"])
+                start, end, words, hashes, first = sentences(data, offs)
+                text, at, end_at, h = spans(words, hashes, first, run, least_words)
+                h >>= np.uint64(64 - hash_bits)
+                if not checked:
+                    yield pa.RecordBatch.from_arrays([pa.array(h[_firsts(text, h)].view(np.int64))], names=["h"])
+                    continue
+                h2 = span_checks(data, offs, start[at], end[end_at - 1]) if len(at) else h
+                own = _firsts(text, h, h2)
+                ids = batch.column("_id").slice(rows.start, rows.stop - rows.start).take(pa.array(text[own]))
+                yield pa.RecordBatch.from_arrays([pa.array(h[own].view(np.int64)), pa.array(h2[own].view(np.int64)), ids], names=["h", "h2", "_id"])
 
-    return texts.mapInArrow(scan, f"_id {kind}, h bigint")
+    return texts.mapInArrow(scan, f"h bigint, h2 bigint, _id {kind}") if checked else texts.select("_text").mapInArrow(scan, "h bigint")
 
 
-def span_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN, least_words: int = LEAST_WORDS) -> DataFrame:
+def span_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN, least_words: int = LEAST_WORDS, hash_bits: int = 64) -> DataFrame:
     """Remove sentences that a repeated span covers, wherever it isn't the first.
 
     From every sentence on, the run of ``run`` consecutive sentences, or of as
-    many more as it takes to ``least_words`` words, is hashed. The first of equal spans is the one of the smallest id,
+    many more as it takes to ``least_words`` words, is hashed. Spans whose hashes (their first ``hash_bits`` bits) repeat are read
+    once more, and are equal where a second hash, of the words themselves, is too. The first of equal spans is the one of the smallest id,
     and in that text the one that comes first; all others are removed, judged
     on the input. Returns every document: id, n_sentences, n_removed,
     words_removed, first_ids (ids of the texts whose spans stay instead,
@@ -124,11 +149,11 @@ def span_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kind = texts.schema["_id"].dataType.simpleString()
-    rows = checkpointed(_span_rows(texts, kind, run, least_words))
-    heads = rows.groupBy("h").agg(F.min("_id").alias("head"), F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) & F.col("head").isNotNull()).select("h", "head")
-    heads = checkpointed(heads)
-    later = rows.join(heads, "h").filter(~F.col("_id").eqNullSafe(F.col("head")))
-    taken = later.groupBy("_id").agg(F.collect_list(F.struct("h", "head")).alias("taken"))  # at most a text's own spans
+    repeated = _span_rows(texts, kind, run, least_words, hash_bits, False).groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
+    hits = checkpointed(_span_rows(texts, kind, run, least_words, hash_bits, True).join(checkpointed(repeated), "h", "left_semi"))
+    heads = hits.groupBy("h", "h2").agg(F.min("_id").alias("head"), F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) & F.col("head").isNotNull()).select("h", "h2", "head")
+    later = hits.join(checkpointed(heads), ["h", "h2"]).filter(~F.col("_id").eqNullSafe(F.col("head")))
+    taken = later.groupBy("_id").agg(F.collect_list(F.struct("h", "h2", "head")).alias("taken"))  # at most a text's own spans
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,21 +161,22 @@ def span_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 own = batch.slice(part.start, part.stop - part.start)
                 start, end, words, hashes, first = sentences(data, offs)
                 text, at, end_at, h = spans(words, hashes, first, run, least_words)
+                h >>= np.uint64(64 - hash_bits)
+                h2 = span_checks(data, offs, start[at], end[end_at - 1]) if len(at) else h
+                again = np.ones(len(h), bool)
+                again[_firsts(text, h, h2)] = False
                 bounds = np.searchsorted(text, np.arange(len(offs)))
                 gone = np.zeros(len(start) + 1, np.int64)
                 head_ids: list[list[int]] = []
                 for t, known in enumerate(own.column("taken").to_pylist()):
                     a, b = bounds[t], bounds[t + 1]
-                    mine = h[a:b].view(np.int64)
-                    known = {x["h"]: x["head"] for x in known or ()}
-                    _, index = np.unique(mine, return_index=True)
-                    again = np.ones(b - a, bool)
-                    again[index] = False
+                    known = {(x["h"], x["h2"]): x["head"] for x in known or ()}
+                    first_ids = [known.get(x) for x in zip(h[a:b].view(np.int64).tolist(), h2[a:b].view(np.int64).tolist())] if known else []
                     if known:
-                        again |= np.isin(mine, np.fromiter(known, np.int64, len(known)))
-                    np.add.at(gone, at[a:b][again], 1)
-                    np.add.at(gone, end_at[a:b][again], -1)
-                    head_ids.append(sorted({known[x] for x in mine[again].tolist() if x in known}))
+                        again[a:b] |= np.array([x is not None for x in first_ids], bool)
+                    head_ids.append(sorted({x for x in first_ids if x is not None}))
+                np.add.at(gone, at[again], 1)
+                np.add.at(gone, end_at[again], -1)
                 removed = np.cumsum(gone[:-1]) > 0
                 raw, kept = data.tobytes(), []
                 nulls = own.column("_text").is_null().to_pylist()

@@ -98,6 +98,20 @@ def test_span_dedup(docs, rows, empty):
 LOW_FROM, LOW_TO = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 
 
+def test_span_dedup_tells_spans_apart_that_share_the_first_hash(docs):
+    plain = span_dedup.span_dedup(docs)
+    for bits in (1, 6):
+        clashing = span_dedup.span_dedup(docs, hash_bits=bits)
+        assert sorted(map(tuple, clashing.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+def test_span_checks_follow_the_words():
+    texts = ["One  two\nthree.", "one two three.", "one twothree.", ""]
+    data, offs = np.frombuffer("".join(texts).encode(), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    found = span_dedup.span_checks(data, offs, offs[:3], offs[1:4])
+    assert found[0] == found[1] == xxhash.xxh3_64_intdigest(b"one two three. ") and found[2] != found[0]
+
+
 def test_span_dedup_finds_a_moved_passage(spark):
     rng = random.Random(9)
     passage = " ".join(f"w{rng.randrange(10**6)}" + ("." if k % 9 == 8 else "") for k in range(60))
