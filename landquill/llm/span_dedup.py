@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landquill.llm.common import checkpointed
+from landquill.llm.common import stored
 from landquill.llm.textbytes import LOWER, NOT_SPACE, mix, prefix_sums, range_hash, ranges, segment_sums, text_blocks, word_bounds
 
 #: Sentences and words that a span has at least.
@@ -150,10 +150,10 @@ def span_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kind = texts.schema["_id"].dataType.simpleString()
     repeated = _span_rows(texts, kind, run, least_words, hash_bits, False).groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
-    hits = checkpointed(_span_rows(texts, kind, run, least_words, hash_bits, True).join(checkpointed(repeated), "h", "left_semi"))
+    hits = stored(_span_rows(texts, kind, run, least_words, hash_bits, True).join(stored(repeated).hint("merge"), "h", "left_semi"))
     heads = hits.groupBy("h", "h2").agg(F.min("_id").alias("head"), F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) & F.col("head").isNotNull()).select("h", "h2", "head")
-    later = hits.join(checkpointed(heads), ["h", "h2"]).filter(~F.col("_id").eqNullSafe(F.col("head")))
-    taken = later.groupBy("_id").agg(F.collect_list(F.struct("h", "h2", "head")).alias("taken"))  # at most a text's own spans
+    later = hits.join(stored(heads).hint("merge"), ["h", "h2"]).filter(~F.col("_id").eqNullSafe(F.col("head")))
+    taken = later.groupBy("_id").agg(F.collect_list(F.struct((F.col("h").bitwiseXOR(F.col("h2"))).alias("key"), "head")).alias("taken"))  # at most a text's own spans
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,8 +170,8 @@ def span_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 head_ids: list[list[int]] = []
                 for t, known in enumerate(own.column("taken").to_pylist()):
                     a, b = bounds[t], bounds[t + 1]
-                    known = {(x["h"], x["h2"]): x["head"] for x in known or ()}
-                    first_ids = [known.get(x) for x in zip(h[a:b].view(np.int64).tolist(), h2[a:b].view(np.int64).tolist())] if known else []
+                    known = {x["key"]: x["head"] for x in known or ()}
+                    first_ids = [known.get(x) for x in (h[a:b] ^ h2[a:b]).view(np.int64).tolist()] if known else []
                     if known:
                         again[a:b] |= np.array([x is not None for x in first_ids], bool)
                     head_ids.append(sorted({x for x in first_ids if x is not None}))
