@@ -181,6 +181,15 @@ def written_by_company(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total")).join(sinks.valid_outputs(back, ["code", "v"]), "code")
 
 
+@query("SELECT CAST(c_custkey AS VARCHAR) AS code, c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') AS valid FROM customer")
+def output_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each company has valid results, also those for which nothing was written."""
+    orders = _table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'")
+    results = stored(orders.select(F.col("o_custkey").cast("string").alias("code"), F.col("o_orderkey").alias("v")))
+    codes = _table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("code"))
+    return sinks.valid_outputs(results, ["code", "v"], codes)
+
+
 @query(
     "SELECT CAST(row_number() OVER (ORDER BY t DESC, code) AS INT) AS rank, code, round(t, 2) AS ratio, n, last FROM (SELECT CAST(o_custkey AS VARCHAR) AS code, sum(CAST(o_totalprice * 100 AS BIGINT)) / 100 AS t, count(*) AS n, max(o_orderkey) AS last FROM orders GROUP BY 1) WHERE code IN (SELECT CAST(user_id AS VARCHAR) FROM events WHERE value > 90)"
 )

@@ -11,10 +11,13 @@ def write_by_company(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("code").parquet(path)
 
 
-def valid_outputs(rows: DataFrame, contract: list[str]) -> DataFrame:
-    """code, valid: the schema is the contract's and there is a row."""
+def valid_outputs(rows: DataFrame, contract: list[str], codes: DataFrame | None = None) -> DataFrame:
+    """code, valid: the schema is the contract's and there is a row. With ``codes`` each of these has a row, also where nothing was written."""
     same = [c for c in rows.columns if c != "code"] == [c for c in contract if c != "code"]
-    return rows.groupBy("code").agg((F.lit(same) & (F.count(F.lit(1)) >= 1)).alias("valid"))
+    found = rows.groupBy("code").agg((F.lit(same) & (F.count(F.lit(1)) >= 1)).alias("valid"))
+    if codes is None:
+        return found
+    return codes.select("code").distinct().join(found, "code", "left").select("code", F.coalesce("valid", F.lit(False)).alias("valid"))
 
 
 def write_ranking(ranking: DataFrame, path: str) -> None:

@@ -35,7 +35,7 @@ def _plain(value):
 
 
 @needs_tables
-@pytest.mark.parametrize("name", ["nearest_price", "knn_grid", "scoped_nearest", "company_totals", "split_sites", "market_caps", "address_parse", "geocoded", "mined_addresses", "filing_facilities", "patch_effects", "ranking_rows", "valuation_rows", "web_addresses", "geodesic_neighbours", "ingested_filings", "ranking_file"])
+@pytest.mark.parametrize("name", ["nearest_price", "knn_grid", "scoped_nearest", "company_totals", "split_sites", "market_caps", "address_parse", "geocoded", "mined_addresses", "filing_facilities", "patch_effects", "ranking_rows", "valuation_rows", "web_addresses", "geodesic_neighbours", "ingested_filings", "ranking_file", "survey_ids", "override_files", "override_rejects", "price_override_files", "output_checks"])
 def test_query_matches_its_sql(spark, name):
     import duckdb
 

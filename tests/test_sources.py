@@ -6,7 +6,7 @@ import random
 import pytest
 
 from landquill.operators import knn
-from landquill.sources import config, features, tables
+from landquill.sources import config, features, sinks, tables
 
 
 def _collection(rng, n):
@@ -111,3 +111,9 @@ def test_csv_in_no_known_encoding_is_an_error(spark, tmp_path):
     (tmp_path / "x.csv").write_bytes(b"a\n\xff\x81\x20\n")
     with pytest.raises(Exception, match="decodes"):
         tables.read_mixed_csv(spark, str(tmp_path), ["a"]).collect()
+
+
+def test_outputs_that_are_missing_or_break_the_contract_are_not_valid(spark):
+    rows, codes = spark.createDataFrame([("1", 1), ("1", 2)], "code string, v int"), spark.createDataFrame([("1",), ("2",), ("2",)], "code string")
+    assert {tuple(r) for r in sinks.valid_outputs(rows, ["code", "v"], codes).collect()} == {("1", True), ("2", False)}
+    assert {tuple(r) for r in sinks.valid_outputs(rows, ["code", "w"], codes).collect()} == {("1", False), ("2", False)}
