@@ -283,6 +283,41 @@ def test_far_queries_and_small_scopes_meet_few_points(spark):
         assert [best[q, k] for k in (1, 2, 3)] == want
 
 
+def test_nodes_behind_a_sure_one_are_left(spark):
+    """Seen from a wide group far away only the near side of the points counts, though all nodes are about as far."""
+    group = [("", 0, -1, 0.0, 10_000.0, 0.0, 10_000.0, float("inf"))]
+    front = spark.createDataFrame(group, "gscope string, _group long, _one long, a0 double, a1 double, b0 double, b1 double, _u double")
+    nodes = spark.createDataFrame([(c, 8, 1e6 + 100 * c, 1e6 + 100 * c + 90, 0.0, 90.0) for c in range(20)], "_child long, n long, x0 double, x1 double, y0 double, y1 double")
+    assert sorted(r["_child"] for r in knn._bounded(front.crossJoin(nodes), 3, 1 + 1e-9).collect()) == [0]
+
+
+def test_groups_rank_their_points_and_send_no_pairs(spark):
+    """The answers come ranked out of the groups, two rows of one id and place each with their own."""
+    rng = random.Random(11)
+    pts = [(f"p{k:04}", float(rng.randrange(300)), float(rng.randrange(300)), "") for k in range(2000)]
+    qs = [(k // 2, float(k // 2 % 40) * 7, float(k // 2 % 23) * 11, "") for k in range(1400)]
+    held = knn.point_tree(spark.createDataFrame(pts, "point_id string, x double, y double, scope string"), 3)
+    got = knn.met_pairs(spark.createDataFrame(qs, "_q long, x double, y double, scope string"), held, 3).collect()
+    assert len(got) == 3 * len(qs)
+    want = {q: [p for _, p in sorted((math.sqrt((x - a) ** 2 + (y - b) ** 2), p) for p, a, b, _ in pts)[:3]] for q, x, y, _ in qs}
+    assert all(want[r["_q"]][r["rank"] - 1] == r["point_id"] for r in got)
+
+
+def test_scopes_with_near_points_are_asked_once(spark):
+    asked = []
+
+    def join(queries, *args, **options):
+        asked.append(queries.count())
+        return knn.knn_join(queries, *args, **options)
+
+    q = geo_queries(spark, (35.6801, 139.7701), (35.6901, 139.7801)).drop("scope").withColumn("family", F.lit("商業系"))
+    scoped = knn.with_scopes(geo_points(spark))
+    assert knn.nearest_with_fallback(q, scoped, far=5000.0, join=join).count() == 2 and asked == [2]
+    asked.clear()
+    got = {r["query_id"]: r["point_id"] for r in knn.nearest_with_fallback(q, scoped, far=100.0, join=join).collect()}
+    assert got == {0: "13-101-001", 1: "13-101-002"} and asked == [2, 1]
+
+
 def test_filings_prefer_public_documents(spark, tmp_path):
     for name in ("1/d1/XBRL/PublicDoc/b.htm", "1/d1/XBRL/PublicDoc/a.htm", "1/d1/XBRL/AuditDoc/c.htm", "2/e/x.html", "2/e/notes.txt"):
         (tmp_path / "f" / name).parent.mkdir(parents=True, exist_ok=True)
