@@ -318,6 +318,17 @@ def test_scopes_with_near_points_are_asked_once(spark):
     assert got == {0: "13-101-001", 1: "13-101-002"} and asked == [2, 1]
 
 
+def test_tables_that_grow_are_not_broadcast(spark):
+    """However small their files are: orders in the splits, and what sites are joined with."""
+    from landquill.plans.adapters import view
+
+    sf = "/root/testdata/sf0.001"
+    rows, split = view(spark, sf, "filed_sites"), view(spark, sf, "splits")
+    made = sites.price_overridden(sites.with_address(sites.expand_splits(rows, split), view(spark, sf, "overrides")), view(spark, sf, "price_overrides"))
+    for df in (split, made):
+        assert "Broadcast" not in df._jdf.queryExecution().sparkPlan().toString()
+
+
 def test_filings_prefer_public_documents(spark, tmp_path):
     for name in ("1/d1/XBRL/PublicDoc/b.htm", "1/d1/XBRL/PublicDoc/a.htm", "1/d1/XBRL/AuditDoc/c.htm", "2/e/x.html", "2/e/notes.txt"):
         (tmp_path / "f" / name).parent.mkdir(parents=True, exist_ok=True)
