@@ -291,6 +291,15 @@ def test_nodes_behind_a_sure_one_are_left(spark):
     assert sorted(r["_child"] for r in knn._bounded(front.crossJoin(nodes), 3, 1 + 1e-9).collect()) == [0]
 
 
+def test_boxes_of_nodes_stay_small(spark):
+    """Runs along the curve that don't begin at a power of two have small boxes too, so that a group meets few nodes however many there are (8.7 times the square of the extent on a curve with leaps)."""
+    spots = spark.range(20_000).select(F.col("id").alias("_q"), (F.col("id") * 7919 % 10007).cast("double").alias("x"), (F.col("id") * 104729 % 9973).cast("double").alias("y"), F.lit("").alias("scope"))
+    box = {"n": 20_000, "x0": 0.0, "x1": 10_006.0, "y0": 0.0, "y1": 9_972.0}
+    rows, _ = knn._packed(spots, box, "scope", "x", "y", "_q", 24)
+    wide = (F.max("x") - F.min("x")) ** 2 + (F.max("y") - F.min("y")) ** 2  # the square of a node's diagonal
+    assert rows.groupBy("_node").agg(wide.alias("d")).agg(F.sum("d")).first()[0] < 4 * 10_006**2
+
+
 def test_groups_rank_their_points_and_send_no_pairs(spark):
     """The answers come ranked out of the groups, two rows of one id and place each with their own."""
     rng = random.Random(11)
