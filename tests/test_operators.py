@@ -440,6 +440,21 @@ def small_run(spark):
     return targets, [sites_, overrides, splits, prices, blocks, towns, centroids], filed
 
 
+def test_splits_of_a_run_are_made_once(spark, small_run):
+    targets, (sites_, overrides, splits, *rest), _ = small_run
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(name):
+        made.add(1)
+        return name
+
+    n = splits.count()
+    counted = splits.withColumn("name", seen.asNondeterministic()("name"))
+    run.site_reasons(run.company_reasons(targets), sites_, overrides, counted, *rest).collect()
+    assert made.value == n
+
+
 def test_every_row_of_a_run_has_one_outcome(spark, small_run):
     targets, inputs, filed = small_run
     traced = run.trace(targets, *inputs, filings=filed)
