@@ -312,6 +312,61 @@ def test_groups_rank_their_points_and_send_no_pairs(spark):
     assert all(want[r["_q"]][r["rank"] - 1] == r["point_id"] for r in got)
 
 
+def _random_search(seed):
+    rng = random.Random(seed)
+    pts = [(f"p{k:04}", rng.uniform(0, 1000), rng.uniform(0, 1000), "") for k in range(6000)] + [(f"s{k:02}", rng.uniform(0, 1000), rng.uniform(0, 1000), f"few{k // 3}") for k in range(30)]
+    qs = [(k, rng.uniform(0, 1000), rng.uniform(0, 1000), "") for k in range(200)] + [(200 + k, rng.uniform(-9e5, 9e5), 1e6, "") for k in range(50)] + [(250 + k, rng.uniform(0, 1000), 0.0, f"few{k}") for k in range(12)]
+    want = {q: [p for _, p in sorted((math.sqrt((x - a) * (x - a) + (y - b) * (y - b)), p) for p, a, b, s in pts if s == scope)[:3]] for q, x, y, scope in qs}
+    return pts, qs, want
+
+
+def _found(spark, pts, qs):
+    got = knn.knn_join(spark.createDataFrame(qs, "query_id long, x double, y double, scope string"), spark.createDataFrame(pts, "point_id string, x double, y double, scope string"), 3, strategy="tree")
+    found = {q: [] for q, *_ in qs}
+    for r in got.orderBy("query_id", "rank").collect():
+        found[r["query_id"]].append(r["point_id"])
+    return found
+
+
+def test_a_level_that_tasks_hold_is_met_without_a_shuffle(spark, monkeypatch):
+    """No pair of a group and a node is in a window, whatever the number of levels above."""
+    monkeypatch.setattr(knn, "_bounded", lambda *_: pytest.fail("a level went through a window"))
+    monkeypatch.setattr(knn, "TOP", 4)
+    pts, qs, want = _random_search(17)
+    assert _found(spark, pts, qs) == want
+
+
+@pytest.mark.parametrize(("held", "split", "group"), [(20, 2048, 64), (20, 3, 64), (1 << 16, 3, 64), (1, 2048, 64)])
+def test_levels_below_the_held_one_and_single_queries(spark, monkeypatch, held, split, group):
+    """The held level may lie above the leaves, or there may be none; wide groups go on as single queries."""
+    for name, value in {"HELD_NODES": held, "SPLIT": split, "GROUP": group, "TOP": 4, "BLOCK": 8}.items():
+        monkeypatch.setattr(knn, name, value, raising=False)
+    pts, qs, want = _random_search(19)
+    assert _found(spark, pts, qs) == want
+
+
+def test_groups_share_the_points_they_meet(spark):
+    """Groups of neighbouring queries are large enough that few points are sent for each query (2.7; 3.8 with groups of 512)."""
+    pts = spark.range(20_000).select(F.col("id").cast("string").alias("point_id"), (F.col("id") * 7919 % 10007).cast("double").alias("x"), (F.col("id") * 104729 % 9973).cast("double").alias("y"), F.lit("").alias("scope"))
+    spots = spark.range(60_000).select(F.col("id").alias("_q"), (F.col("id") * 15485863 % 10007).cast("double").alias("x"), (F.col("id") * 32452843 % 9973).cast("double").alias("y"), F.lit("").alias("scope"))
+    seen = spark.sparkContext.accumulator(0)
+    real = knn._comparer
+
+    def counting(*args):
+        compare = real(*args)
+
+        def counted(points, queries):
+            seen.add(points.num_rows)
+            return compare(points, queries)
+
+        return counted
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(knn, "_comparer", counting)
+        assert knn.met_pairs(spots, knn.point_tree(pts, 1), 1).count() == 60_000
+    assert seen.value < 3.2 * 60_000
+
+
 def test_scopes_with_near_points_are_asked_once(spark):
     asked = []
 
