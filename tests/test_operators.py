@@ -300,6 +300,16 @@ def test_boxes_of_nodes_stay_small(spark):
     assert rows.groupBy("_node").agg(wide.alias("d")).agg(F.sum("d")).first()[0] < 4 * 10_006**2
 
 
+@pytest.mark.parametrize(("width", "height"), [(3000, 2000), (700, 7000)])
+def test_boxes_of_nodes_stay_small_in_oblong_extents(spark, width, height):
+    """The curve doesn't leave the box of all rows, so no node is wide (at most 0.007 of the box as the square of a diagonal; 0.37 and 0.45 with leaps)."""
+    spots = spark.range(20_000).select(F.col("id").alias("_q"), (F.col("id") * 7919 % 10007 / 10006 * width).alias("x"), (F.col("id") * 104729 % 9973 / 9972 * height).alias("y"), F.lit("").alias("scope"))
+    box = spots.agg(F.count("*").alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")).first().asDict()
+    rows, _ = knn._packed(spots, box, "scope", "x", "y", "_q", 24)
+    wide = (F.max("x") - F.min("x")) ** 2 + (F.max("y") - F.min("y")) ** 2
+    assert rows.groupBy("_node").agg(wide.alias("d")).agg(F.max("d")).first()[0] < 0.02 * width * height
+
+
 def test_groups_rank_their_points_and_send_no_pairs(spark):
     """The answers come ranked out of the groups, two rows of one id and place each with their own."""
     rng = random.Random(11)
