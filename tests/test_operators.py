@@ -4,6 +4,7 @@ import datetime
 import json
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -552,3 +553,69 @@ def test_price_methods_and_web_addresses_of_a_run(spark, small_run):
     assert (free["method"], free["target_kind"], free["knn_ids"]) == ("idw(k=3,p=3)", "", ["d", "c", "b"])
     with pytest.raises(ValueError):
         of(price_method="mean")
+
+
+def _exchanges(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_sites_and_splits_of_a_run_are_sent_once(spark, small_run, monkeypatch):
+    targets, inputs, _ = small_run
+    written = []
+    monkeypatch.setattr(run, "stored", lambda df: written.append(_exchanges(df)) or checkpointed(df))
+    pages = spark.createDataFrame([("p/1", "S の 東京都港区六本木3丁目9番 です")], "url string, text string")
+    run.site_reasons(run.company_reasons(targets), *inputs, pages)
+    # rows by code, companies by code, their pages by url from either side, and found pages by code
+    assert len(written) == 1 and len(written[0]) == 5
+    run.site_reasons(run.company_reasons(targets), *inputs)
+    assert len(written) == 2 and len(written[1]) == 2
+
+
+def test_numbered_inputs_make_their_texts_after_the_shuffle(spark):
+    from landquill.plans.adapters import view
+
+    plan = view(spark, "/root/testdata/sf0.001", "splits")._jdf.queryExecution().executedPlan().toString()
+    assert "concat(" in plan[: plan.index("Window")] and "concat(" not in plan[plan.index("Window") :]
+    assert len(re.findall("Exchange hashpartitioning", plan)) == 3
+
+
+def test_rows_sent_once_are_those_of_the_joins(spark):
+    rng = random.Random(5)
+    code, name = lambda: rng.choice(["1", "2", "3", None]), lambda: rng.choice([*"ABCDEF", None])
+    of = lambda n, *fs: [tuple(f() for f in fs) for _ in range(n)]
+    amount = lambda: rng.choice([None, 0.0, 1.0, 2.0, 8.0])
+    seqs, places = iter(range(1000)), iter(range(1000))
+    s = spark.createDataFrame(of(40, code, name, lambda: next(seqs), amount, amount, lambda: rng.choice(["工場", None]), lambda: rng.choice([True, False, None]), lambda: rng.choice(["x", "y", None])), "code string, site_name string, seq long, area double, book double, equipment string, has_hoka boolean, location string")
+    p = spark.createDataFrame(of(14, code, name, lambda: next(places), name, lambda: rng.choice(["p", "q", None]), amount, amount), "code string, site_name string, pos int, name string, address string, area double, book double")
+    keys = {(c, n) for c, n in of(12, code, name)}
+    over = spark.createDataFrame([(*k, rng.choice(["o", None])) for k in sorted(keys, key=repr)], "code string, site_name string, address string")
+    prices = spark.createDataFrame([*[(*k, 7) for k in sorted(keys, key=repr)[::2]], ("1", "A", 8), ("1", "A", 9)], "code string, site_name string, unit_price long")
+    flat = sites.flat_overrides(over, p).select("code", "site_name", F.col("address").alias("override"), F.lit(True).alias("overridden"))
+    want = sites.price_overridden(sites.expand_splits(s, p), prices).join(flat, ["code", "site_name"], "left").fillna(False, "overridden")
+    got = sites.filed_and_split(s, p, over, prices)
+    assert set(got.columns) == set(want.columns)
+    rows = sorted(want.collect(), key=repr)
+    assert len(rows) > 20 and any(r["pos"] for r in rows) and any(r["override"] for r in rows) and any(r["override_price"] for r in rows)
+    assert sorted(got.select(*want.columns).collect(), key=repr) == rows
+
+
+def test_addresses_on_pages_of_companies(spark):
+    pages = spark.createDataFrame([("a", "S の 東京都港区六本木3丁目9番 です\n東京都港区六本木3丁目5番"), ("b", "T 東京都中央区日本橋2-7-1 と 東京都港区六本木3丁目5番"), ("c", None), ("c", "S 東京都港区六本木1丁目1番"), ("d", "nothing")], "url string, text string")
+    companies = spark.createDataFrame([("1", ["a", "b", "a"]), ("2", ["b", "c"]), ("3", ["d", None]), ("4", []), ("5", None)], "code string, source_urls array<string>")
+    rows = [(c, n, a, h) for c in "12345" for n in ("S", "T", "S他", None) for a in ("東京都港区六本木", "東京都中央区", "", None) for h in (True, False, None)]
+    s = spark.createDataFrame(rows, "code string, site_name string, location string, has_hoka boolean").join(companies, "code")
+    keys = ["code", "site_name", "location", "has_hoka"]
+    want = web.best_addresses(s, pages).filter("accepted").select(*keys, F.col("address").alias("web"), F.col("source_url").alias("url")).collect()
+    got = web.accepted_address(s.join(web.company_pages(companies, pages), "code", "left"), F.lit(True)).filter("web IS NOT NULL").select(*keys, "web", "url")
+    assert len(want) > 5 and sorted(got.collect(), key=repr) == sorted(want, key=repr)
+
+
+def test_repeated_addresses_are_those_of_sites_that_go_on(spark, small_run):
+    targets, (sites_, *rest), _ = small_run
+    points = spark.createDataFrame([("a", 35.66, 139.7301, 100, "工業")], "point_id string, lat double, lon double, price long, kind string")
+    large = sites_.filter("code = '1' AND site_name IN ('S', 'W')").withColumn("area", F.lit(30_000.0))
+    same = large.withColumn("location", F.lit("東京都港区六本木3丁目5番"))
+    good = run.company_reasons(targets).filter("reason IS NULL").drop("reason")
+    for rows, n in ((large, 0), (same, 2)):
+        every = run.site_reasons(good, rows, *rest).filter("reason IS NULL")
+        assert every.filter("repeated_large").count() == n == run.valued(every, points).filter("repeated_large").count() == run.valued(every.drop("repeated_large"), points).filter("repeated_large").count()
